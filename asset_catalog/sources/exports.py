@@ -38,9 +38,9 @@ def keyed_documents(entries: DataFrame, documents: int) -> DataFrame:
 
 
 def write_keyed_json(entries: DataFrame, path: str, chars: int = DOCUMENT_CHARS) -> None:
-    """Write the catalog as export documents, a single one unless it is large."""
-    documents = document_count(entries, chars)
-    keyed_documents(entries, documents).select("value").write.mode("overwrite").text(path)
+    """Write the catalog as export documents, one per file, a single one unless it is large."""
+    documents = keyed_documents(entries, document_count(entries, chars)).select("value")
+    documents.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def asset_file_key(key: Column, name: Column) -> Column:
@@ -49,13 +49,17 @@ def asset_file_key(key: Column, name: Column) -> Column:
 
 
 def asset_files(assets: DataFrame, buckets: int) -> DataFrame:
-    """One row per asset file, the last state of each: (bucket, file_key, raw)."""
+    """One row per asset file, the last state of each: (bucket, file_key, raw).
+
+    ``raw`` is put on one line; line breaks can stand between the parts of a JSON text only.
+    """
+    line = F.regexp_replace("raw", r"[\r\n]+", " ")
     last = latest_per_key(
         assets.select(
             asset_file_key(F.col("asset_key"), F.col("name")).alias("file_key"),
             "updated_at",
             F.xxhash64("raw").alias("tie"),
-            "raw",
+            line.alias("raw"),
         ),
         ["file_key"],
         ["updated_at", "tie"],
@@ -65,15 +69,17 @@ def asset_files(assets: DataFrame, buckets: int) -> DataFrame:
 
 
 def write_asset_files(assets: DataFrame, path: str, buckets: int = 64) -> None:
-    """Write assets in directories by bucket, replacing what was there.
+    """Land assets, one JSON line each, in directories by the hash of their file key.
 
-    A file per asset would be millions of tiny files; the bucket of a file key tells where its
-    row is, and Spark prunes reads by it.
+    A file per asset would be millions of tiny files. A later landing is put beside an earlier
+    one, and whoever reads keeps the last state of each key, so nothing is read while it is
+    being replaced. Rebalancing cuts a bucket that is large into several files.
     """
     (
         asset_files(assets, buckets)
-        .repartition(buckets, "bucket")
-        .write.mode("overwrite")
+        .select("bucket", F.col("raw").alias("value"))
+        .hint("rebalance", F.col("bucket"))
+        .write.mode("append")
         .partitionBy("bucket")
-        .parquet(path)
+        .text(path)
     )

@@ -17,17 +17,17 @@ from asset_catalog.schemas import ConfigError, Kind, kind_of
 # Keys of a mapping that the driver takes in unless told otherwise.
 MAX_MAPPING_KEYS = 200_000
 
-_SOURCE = F.col("_metadata.file_path").alias("source_file")
+_SOURCE = "_metadata.file_path AS source_file"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``value`` is its whole text. Work is spread over files."""
-    return spark.read.text(path, wholetext=True).select("value", _SOURCE)
+    return spark.read.text(path, wholetext=True).selectExpr("value", _SOURCE)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line of the landed asset files, which hold one JSON object per line."""
-    lines = spark.read.format("text").load(path).select(F.col("value").alias("raw"), _SOURCE)
+    lines = spark.read.format("text").load(path).selectExpr("value AS raw", _SOURCE)
     return lines.where(F.trim("raw") != "")
 
 

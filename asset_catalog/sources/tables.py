@@ -36,7 +36,10 @@ def ensure_catalog(spark: SparkSession, config: Config) -> None:
 
 
 def read_catalog(spark: SparkSession, config: Config, kind: str | Kind) -> DataFrame:
-    return spark.table(table_name(config, kind))
+    """The current version, also when another session has moved the table to it."""
+    name = table_name(config, kind)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def commit_version(rows: DataFrame, config: Config, kind: str | Kind) -> str:

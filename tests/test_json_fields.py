@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from asset_catalog.functions.json_fields import (
+    member,
+    or_default,
+    parse_object,
+    redact,
+    set_and_drop,
+    text_field,
+)
+from asset_catalog.functions.tags import normalise_tags, parse_list, parse_tag_list
+from asset_catalog.operators.rewrite import annotate_query
+from tests.conftest import dumps, query
+
+
+def one(frame, column):
+    return [row[0] for row in frame.select(column.alias("out")).collect()]
+
+
+def test_only_one_whole_object_is_read(texts):
+    values = ['{"a":1}', ' {"a":1}\n', '{"a":1} x', '{"a":1', "[1]", "null", "", None, '"}"',
+              '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}] x', '{"a":1,"a":2}']
+    got = one(texts(values), F.to_json(parse_object(F.col("raw"))))
+    assert got == ['{"a":1}', '{"a":1}'] + [None] * 11
+
+
+def test_a_field_is_replaced_and_others_keep_their_types(texts):
+    asset = query(
+        number=12345678901234567890123, real=1.50, nothing=None, yes=True,
+        text='é "quoted" \\ \n', nested={"x": [None, {"y": 1}], "query": "inner"},
+    )
+    parsed = parse_object(F.col("raw"))
+    got = one(texts([dumps(asset)]), set_and_drop(parsed, {"query": F.lit('new "q"')}))[0]
+    assert json.loads(got) == {**asset, "query": 'new "q"'}
+
+
+def test_secrets_are_dropped(texts):
+    got = one(texts([dumps(query())]), redact(parse_object(F.col("raw"))))[0]
+    expected = query()
+    del expected["api_key"]
+    assert json.loads(got) == expected
+
+
+def test_fields(texts):
+    frame = texts(['{"a":"x","b":[1,"y"],"c":{"d":null},"e":null,"f":2,"g":true}'])
+    parsed = parse_object(F.col("raw"))
+    got = frame.select(*[text_field(parsed, n).alias(n) for n in "abcefgh"]).first()
+    assert tuple(got) == ("x", '[1,"y"]', '{"d":null}', None, "2", "true", None)
+
+
+def test_empty_values_get_the_default(texts):
+    values = ["null", '""', "{}", "[]", "0", "0.0", "false", '"x"', '"false"', "[0]", "1", "true"]
+    frame = texts(['{"v":%s}' % v for v in values] + ["{}"])
+    column = or_default(member(parse_object(F.col("raw")), "v"), F.lit("d"))
+    assert one(frame, F.to_json(column)) == ['"d"'] * 7 + values[7:] + ['"d"']
+    assert one(texts(["", None, "a"]), or_default(F.col("raw"), F.lit("d"), kind="string")) == ["d", "d", "a"]
+
+
+def test_tags_are_cleaned_as_text(texts):
+    frame = texts(['["a b","v2","x-y","p,q","my_t"]', "[]", None])
+    assert one(frame, normalise_tags(F.col("raw"))) == [["ab", "v", "xy", "p", "q", "my_t"], [""], None]
+    assert one(frame, normalise_tags(F.col("raw"), typed=True)) == [
+        ["a b", "v2", "x-y", "p,q", "my_t"], [], None]
+
+
+def test_typed_lists(texts):
+    frame = texts([" a, b  c,,d ", "", None])
+    assert one(frame, parse_tag_list(F.col("raw"))) == [["a", "b", "c", "d"], [], None]
+    assert parse_list(" a, b  c,,d ") == ["a", "b", "c", "d"]
+    assert parse_list("My Query, other ", names=True) == ["My Query", "other"]
+    assert parse_list(None) == []
+
+
+def test_header(texts):
+    column = annotate_query(F.lit("n"), F.lit(3), F.lit(None), F.lit("2021"), F.col("raw"))
+    assert one(texts(["select 100%"]), column) == [
+        "/*\nName: n\nData source: 3\nCreated By: \nLast Updated At: 2021\n*/\nselect 100%"]
