@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on. They are spread over the cores when the scan
+    has fewer splits than there are cores, which is the case for one small file only."""
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -74,7 +82,7 @@ def queries(spark: SparkSession, sf_dir: str, hash_of: str = "o_orderkey") -> Da
         iso("o_orderdate").alias("updated_at"),
         _charts().alias("visualizations"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
+    return spread_table(spark, sf_dir, "orders").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
 
 
 def landed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +131,7 @@ def dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("2024-01-"), day, F.lit("T00:00:00.000Z")).alias("updated_at"),
         _widgets().alias("widgets"),
     )
-    return table(spark, sf_dir, "customer").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
+    return spread_table(spark, sf_dir, "customer").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

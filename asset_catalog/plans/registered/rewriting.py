@@ -45,22 +45,14 @@ WORDS = {
 }
 
 
-def _scan(spark, sf_dir, name):
-    """A table of long texts. Rows are spread over the cores when the scan has fewer splits
-    than there are cores, which is the case for one small file only."""
-    rows = derived.table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def replace_words(spark, sf_dir):
-    documents = _scan(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents")
     return documents.select("doc_id", multi_replace(F.col("text"), WORDS).alias("rewritten"))
 
 
 def replace_tokens(spark, sf_dir):
     """Whole words only, case kept."""
-    documents = _scan(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents")
     words = {"the": "<the>", "und": "&", "des": "$2"}
     rewritten = multi_replace(F.col("text"), words, match="token", preserve_case=True)
     return documents.select("doc_id", rewritten.alias("rewritten"))
@@ -128,7 +120,7 @@ def parsed_tag_list(spark, sf_dir):
 
 def json_roundtrip(spark, sf_dir):
     """Text of every event and document through JSON and back."""
-    documents = _scan(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents")
     raw = F.to_json(F.struct("doc_id", "text", F.struct("lang", "n_chars").alias("about")))
     again = documents.select(parse_object(raw).alias("parsed")).select(
         set_and_drop(F.col("parsed"), {}).alias("json")
