@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys can.
 HOT_SHARE = 1 / 1000
-# Rows of hot keys are spread over this many parts.
-HOT_PARTS = 4096
-# Columns of these types cannot be hashed.
-_NO_HASH = (T.VariantType, T.MapType)
 
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
@@ -25,38 +20,36 @@ def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 
 
 def join_each(
-    rows: DataFrame, unique: DataFrame, key: str, how: str = "left", share: float = HOT_SHARE
+    rows: DataFrame,
+    unique: DataFrame,
+    key: str,
+    how: str = "left",
+    *,
+    counted: DataFrame | None = None,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join ``rows`` to ``unique`` on ``key``; ``unique`` has no key twice.
 
-    ``how`` is 'left', 'inner' or 'left_semi'. Hot keys are answered from a broadcast table of
-    their matches, which has at most ``1 / share`` rows whatever the size of the data. In the
-    shuffled join that answers all other keys, rows already answered and rows without a key
-    have nothing to find, so they are spread by the hash of the whole row.
+    ``how`` is 'left', 'inner' or 'left_semi'. Rows of hot keys are joined where they are to a
+    broadcast table of their matches, which has at most ``1 / share`` rows whatever the size
+    of the data, and rows without a key need no join; only the rest is shuffled. However many
+    rows, or copies of one row, share a key, they never meet in one task.
+
+    ``counted`` may give the rows as they were before other joins or filters, where counting
+    their keys is cheaper.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join: {how!r}")
-    values = [c for c in unique.columns if c != key] if how != "left_semi" else []
-    known = unique.where(F.col(key).isNotNull()).select(key, *values, F.lit(True).alias("_found"))
-    hot = hot_keys(rows, key, share)
-    hot_known = known.join(F.broadcast(hot), key, "left_semi")
-    answers = hot.join(F.broadcast(hot_known), key, "left").select(
-        key,
-        F.lit(True).alias("_hot"),
-        F.struct(*values, "_found").alias("_answer"),
-    )
-    hashed = [f.name for f in rows.schema if not isinstance(f.dataType, _NO_HASH)]
-    spread = 1 + F.pmod(F.xxhash64(*hashed), F.lit(HOT_PARTS))
-    left = rows.join(F.broadcast(answers), key, "left").withColumn(
-        "_part", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
-    # Always 0, but not a constant to the optimizer, which would drop it from the join keys.
-    right = known.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(1)))
-    joined = left.join(right, [key, "_part"], "left")
-
-    def answer(name: str):
-        return F.when(F.col("_hot"), F.col("_answer")[name]).otherwise(F.col(name)).alias(name)
-
-    if how != "left":
-        joined = joined.where(answer("_found"))
-    return joined.select(*rows.columns, *[answer(v) for v in values])
+    hot = hot_keys(rows if counted is None else counted, key, share)
+    matches = unique.join(F.broadcast(hot), key, "left_semi")
+    if how == "left":
+        matches = hot.join(F.broadcast(matches), key, "left")
+    columns = list(dict.fromkeys([*rows.columns, *(unique.columns if how != "left_semi" else [])]))
+    held = rows.where(F.col(key).isNotNull())
+    at_hot = held.join(F.broadcast(matches), key, "inner" if how == "left" else how)
+    others = held.join(F.broadcast(hot), key, "left_anti").join(unique, key, how)
+    joined = at_hot.select(columns).unionByName(others.select(columns))
+    if how == "left":
+        keyless = rows.where(F.col(key).isNull())
+        joined = joined.unionByName(keyless, allowMissingColumns=True)
+    return joined

@@ -70,8 +70,9 @@ def widget_requests(
     widgets: DataFrame, dashboard_responses: DataFrame, id_map: DataFrame
 ) -> DataFrame:
     """Requests for the widgets of dashboards that were created, with the new chart ids."""
-    ready = attach_parent_id(widgets.where("widget IS NOT NULL"), dashboard_responses)
-    ready = remap_visualization_ids(ready, id_map)
+    present = widgets.where("widget IS NOT NULL")
+    ready = remap_visualization_ids(present, id_map)
+    ready = attach_parent_id(ready, dashboard_responses, counted=present)
     body = widget_payload(F.col("widget"), F.col("parent_id"), F.col("new_viz_id"))
     return _requests(ready, STEP_WIDGET, "widgets", body, child_key())
 
@@ -102,26 +103,25 @@ def write_outbox(outbox: DataFrame, path: str) -> None:
     outbox.select(OUTBOX.names).write.mode("overwrite").partitionBy("step").parquet(path)
 
 
+def _answers(responses: DataFrame, step: int) -> DataFrame:
+    """One answer per source key of a step: a success if there was any."""
+    best = F.max(F.struct(succeeded(F.col("status")).alias("good"), "new_id", "message"))
+    found = responses.where(F.col("step") == step).groupBy("source_key").agg(best.alias("best"))
+    return found.select("source_key", "best.good", "best.new_id", F.col("best.message").alias("why"))
+
+
 def push_messages(assets: DataFrame, responses: DataFrame, step: int) -> DataFrame:
     """What became of each asset that was sent: (asset_key, step, pos, message)."""
-    said = assets.select("asset_key", "name").join(
-        responses.where(F.col("step") == step).select(
-            F.col("source_key").alias("asset_key"), "status", "new_id", F.col("message").alias("why")
-        ),
-        "asset_key",
-    )
-    return _messages(said, step, F.lit(0), F.col("name"))
+    answers = _answers(responses, step).withColumnRenamed("source_key", "asset_key")
+    said = assets.select("asset_key", "name").join(answers, "asset_key")
+    return _messages(said, step, F.lit(0))
 
 
 def child_messages(children: DataFrame, responses: DataFrame, step: int) -> DataFrame:
     """The same for charts and widgets, which have a place in their parent."""
-    said = children.withColumn("source_key", child_key()).join(
-        responses.where(F.col("step") == step).select(
-            "source_key", "status", "new_id", F.col("message").alias("why")
-        ),
-        "source_key",
-    )
-    return _messages(said, step, F.col("pos"), F.col("name"))
+    sent = children.select("asset_key", "name", "pos", child_key().alias("source_key"))
+    said = sent.join(_answers(responses, step), "source_key")
+    return _messages(said, step, F.col("pos"))
 
 
 # What a step creates, for messages.
@@ -133,15 +133,15 @@ _NOUN = {
 }
 
 
-def _messages(said: DataFrame, step: int, pos: Column, name: Column) -> DataFrame:
-    what = F.concat(F.lit(_NOUN[step] + " "), F.coalesce(name, F.lit("")))
+def _messages(said: DataFrame, step: int, pos: Column) -> DataFrame:
+    what = F.concat(F.lit(_NOUN[step] + " "), F.coalesce("name", F.lit("")))
     good = F.concat(F.lit("created "), what, F.lit(" as "), F.coalesce("new_id", F.lit("?")))
     bad = F.concat(F.lit("failed "), what, F.lit(": "), F.coalesce("why", F.lit("no reason given")))
     return said.select(
         "asset_key",
         F.lit(step).alias("step"),
         pos.cast("int").alias("pos"),
-        F.when(succeeded(F.col("status")), good).otherwise(bad).alias("message"),
+        F.when(F.col("good"), good).otherwise(bad).alias("message"),
     )
 
 
@@ -159,11 +159,13 @@ def collect_status(messages: DataFrame, per_row: int = MESSAGES_PER_ROW) -> Data
     """Messages per asset in the order of steps, as (asset_key, part, messages).
 
     An asset has one row unless more than ``per_row`` children; their messages then go on in
-    further parts, so that no group grows with the size of an asset.
+    further parts, so that no group grows with the size of an asset. A message that comes
+    more than once, because an asset did, is kept once.
     """
     ordered = F.array_sort(F.collect_list(F.struct("step", "pos", "message")))
     return (
-        messages.withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
+        messages.distinct()
+        .withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
         .groupBy("asset_key", "part")
         .agg(F.transform(ordered, lambda said: said["message"]).alias("messages"))
     )

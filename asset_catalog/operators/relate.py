@@ -36,9 +36,12 @@ def explode_widgets(dashboards: DataFrame) -> DataFrame:
 
 
 def enrich_with_detail(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:
-    """The full object for each listed one; ``has_detail`` is false where none was landed."""
-    found = detail.select(key, F.col("raw").alias("_detail"))
-    joined = listing.join(found, key, "left")
+    """The full object for each listed one; ``has_detail`` is false where none was landed.
+
+    Of several landed details of a key one is taken, always the same.
+    """
+    one = latest_per_key(detail.select(key, F.col("raw").alias("_detail")), [key], ["_detail"])
+    joined = listing.join(one, key, "left")
     return joined.withColumn("has_detail", F.col("_detail").isNotNull()).withColumn(
         "raw", F.coalesce("_detail", "raw")
     ).drop("_detail")
@@ -49,6 +52,13 @@ def succeeded(status: Column) -> Column:
     return F.coalesce(status == 200, F.lit(False))
 
 
+def new_ids(responses: DataFrame) -> DataFrame:
+    """One new id for each source key that was answered with success, also when it was sent
+    again and so answered more than once."""
+    good = responses.where(succeeded(F.col("status")))
+    return good.groupBy("source_key").agg(F.max("new_id").alias("new_id"))
+
+
 def split_by_status(responses: DataFrame) -> DataFrame:
     return responses.withColumn(
         "outcome", F.when(succeeded(F.col("status")), "ok").otherwise("fail")
@@ -61,8 +71,8 @@ def build_id_map(charts: DataFrame, responses: DataFrame) -> DataFrame:
     ``charts`` has ``source_key``, ``old_viz_id`` and the order columns ``asset_key``, ``pos``;
     an old id that was sent twice maps to the last answer.
     """
-    answers = responses.where(succeeded(F.col("status"))).select("source_key", "new_id")
-    sent = charts.select("source_key", "old_viz_id", "asset_key", "pos").join(answers, "source_key")
+    sent = charts.select("source_key", "old_viz_id", "asset_key", "pos")
+    sent = sent.join(new_ids(responses), "source_key")
     last = latest_per_key(sent, ["old_viz_id"], ["asset_key", "pos", "source_key"])
     return last.select("old_viz_id", F.col("new_id").alias("new_viz_id"))
 
@@ -73,13 +83,16 @@ def remap_visualization_ids(widgets: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def attach_parent_id(
-    children: DataFrame, responses: DataFrame, parent_key: str = "asset_key"
+    children: DataFrame,
+    responses: DataFrame,
+    parent_key: str = "asset_key",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the new id of the parent; children of a parent that failed are left out."""
-    answers = responses.where(succeeded(F.col("status"))).select(
+    answers = new_ids(responses).select(
         F.col("source_key").alias(parent_key), F.col("new_id").alias("parent_id")
     )
-    return join_each(children, answers, parent_key, "inner")
+    return join_each(children, answers, parent_key, "inner", counted=counted)
 
 
 def resolve_endpoint(endpoints: DataFrame, name: str) -> DataFrame:

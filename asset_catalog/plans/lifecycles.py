@@ -160,75 +160,99 @@ def catalog_assets(spark: SparkSession, config: Config, kind: str | Kind) -> Dat
     return read_assets(rows.select(F.col(kind.object_column).alias("raw")), kind).drop("raw")
 
 
-@dataclass(frozen=True)
+def export_assets(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
+    """The objects of an export, raw or cleaned, as assets."""
+    return read_assets(read_keyed_json(spark, path).select("raw"), kind).drop("raw")
+
+
 class Upload:
     """Requests of an upload, step by step, each from the answers to the steps before.
 
-    ``data_source_id`` is the target data source all queries are moved to.
+    ``queries`` and ``dashboards`` are the assets to upload, from the catalog or an export and
+    chosen as wanted; queries go to the target data source ``data_source_id``. With a shared
+    folder ``scratch`` the charts and widgets are written there once, as every step needs them
+    and their keys are counted by joins; without, they are taken out of the JSON each time.
     """
 
-    spark: SparkSession
-    config: Config
-    data_source_id: str
-    mode: str = "ALL"
-    tags: Sequence[str] = ()
-    names: Sequence[str] = ()
-
-    def _chosen(self, kind: str) -> DataFrame:
-        assets = catalog_assets(self.spark, self.config, kind)
-        return select_for_upload(assets, self.mode, self.tags, self.names)
-
-    def charts(self) -> DataFrame:
-        return explode_visualizations(self._chosen("query"))
-
-    def widgets(self) -> DataFrame:
-        return explode_widgets(self._chosen("dashboard"))
+    def __init__(
+        self,
+        queries: DataFrame,
+        dashboards: DataFrame,
+        data_source_id: str,
+        marker_tag: str,
+        scratch: str | None = None,
+    ) -> None:
+        self.queries, self.dashboards = queries, dashboards
+        self.data_source_id, self.marker_tag = data_source_id, marker_tag
+        self.charts = explode_visualizations(queries)
+        self.widgets = explode_widgets(dashboards)
+        if scratch is not None:
+            run = f"{scratch}/{uuid.uuid4().hex}"
+            self.charts = stage(self.charts, "staged_charts", f"{run}/charts")
+            self.widgets = stage(self.widgets, "staged_widgets", f"{run}/widgets")
+
+    @classmethod
+    def from_catalog(
+        cls,
+        spark: SparkSession,
+        config: Config,
+        data_source_id: str,
+        mode: str = "ALL",
+        tags: Sequence[str] = (),
+        names: Sequence[str] = (),
+    ) -> Upload:
+        """Upload what is chosen from the catalog."""
+        chosen = [
+            select_for_upload(catalog_assets(spark, config, kind), mode, tags, names)
+            for kind in ("query", "dashboard")
+        ]
+        return cls(*chosen, data_source_id, config.marker_tag, f"{config.catalog_root}/staged/upload")
 
     def query_requests(self) -> DataFrame:
-        source = F.lit(self.data_source_id)
-        return outbox.query_requests(self._chosen("query"), source, self.config.marker_tag)
+        return outbox.query_requests(self.queries, F.lit(self.data_source_id), self.marker_tag)
 
     def chart_requests(self, responses: DataFrame) -> DataFrame:
-        return outbox.visualization_requests(self.charts(), _step(responses, STEP_QUERY))
+        return outbox.visualization_requests(self.charts, _step(responses, STEP_QUERY))
 
     def dashboard_requests(self) -> DataFrame:
-        return outbox.dashboard_requests(self._chosen("dashboard"), self.config.marker_tag)
+        return outbox.dashboard_requests(self.dashboards, self.marker_tag)
 
     def id_map(self, responses: DataFrame) -> DataFrame:
-        sent = self.charts().where("visualization IS NOT NULL")
+        sent = self.charts.where("visualization IS NOT NULL")
         sent = sent.withColumn("source_key", outbox.child_key())
         return build_id_map(sent, _step(responses, STEP_VISUALIZATION))
 
     def widget_requests(self, responses: DataFrame) -> DataFrame:
         created = _step(responses, STEP_DASHBOARD)
-        return outbox.widget_requests(self.widgets(), created, self.id_map(responses))
+        return outbox.widget_requests(self.widgets, created, self.id_map(responses))
 
     def status(self, responses: DataFrame) -> DataFrame:
         """Messages per asset in the order of steps."""
-        charts, widgets = self.charts(), self.widgets()
         said = [
-            outbox.push_messages(self._chosen("query"), responses, STEP_QUERY),
-            outbox.child_messages(charts, responses, STEP_VISUALIZATION),
-            outbox.no_chart_messages(charts),
-            outbox.push_messages(self._chosen("dashboard"), responses, STEP_DASHBOARD),
-            outbox.child_messages(widgets, responses, STEP_WIDGET),
+            outbox.push_messages(self.queries, responses, STEP_QUERY),
+            outbox.child_messages(self.charts, responses, STEP_VISUALIZATION),
+            outbox.no_chart_messages(self.charts),
+            outbox.push_messages(self.dashboards, responses, STEP_DASHBOARD),
+            outbox.child_messages(self.widgets, responses, STEP_WIDGET),
         ]
         return outbox.collect_status(outbox.build_outbox(*said))
 
-    def catalog_with_messages(self, kind: str, responses: DataFrame) -> DataFrame:
-        """Catalog rows with what became of them as ``upload_message``.
-
-        An asset has about as many messages as children in its own JSON text.
-        """
-        kind = kind_of(kind)
-        parts = F.array_sort(F.collect_list(F.struct("part", "messages")))
-        texts = F.flatten(F.transform(parts, lambda p: p["messages"]))
-        said = self.status(responses).groupBy("asset_key").agg(F.array_join(texts, "\n").alias("said"))
-        rows = read_catalog(self.spark, self.config, kind)
-        joined = rows.join(said, F.col(kind.key_column) == F.col("asset_key"), "left")
-        return joined.withColumn("upload_message", F.coalesce("said", "upload_message")).select(
-            rows.columns
-        )
+
+def catalog_with_messages(
+    spark: SparkSession, config: Config, kind: str | Kind, status: DataFrame
+) -> DataFrame:
+    """Catalog rows with what became of them as ``upload_message``.
+
+    An asset has about as many messages as children in its own JSON text.
+    """
+    kind = kind_of(kind)
+    parts = F.array_sort(F.collect_list(F.struct("part", "messages")))
+    texts = F.flatten(F.transform(parts, lambda p: p["messages"]))
+    said = status.groupBy("asset_key").agg(F.array_join(texts, "\n").alias("said"))
+    rows = read_catalog(spark, config, kind)
+    joined = rows.join(said, F.col(kind.key_column) == F.col("asset_key"), "left")
+    message = F.coalesce("said", "upload_message")
+    return joined.withColumn("upload_message", message).select(rows.columns)
 
 
 def _step(responses: DataFrame, step: int) -> DataFrame:

@@ -71,12 +71,14 @@ def _held_queries(spark, sf_dir):
         F.lit(BEFORE).alias("update_date_time"),
         F.lit(True).alias("is_migrated"),
         F.concat(F.lit("sent "), text("o_orderkey")).alias("upload_message"),
-    )
+    ).dropDuplicates(QUERY.merge_keys)
 
 
 def upsert_queries(spark, sf_dir):
-    pulled = read_assets(derived.queries(spark, sf_dir), "query").where("NOT array_contains(tags, 's_O')")
-    source = project_catalog(pulled, "query", F.lit(AS_OF))
+    pulled = read_assets(derived.queries(spark, sf_dir), "query").drop("raw")
+    pulled = pulled.where("NOT array_contains(tags, 's_O')")
+    last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
+    source = project_catalog(last, "query", F.lit(AS_OF))
     merged = upsert(_held_queries(spark, sf_dir), source, QUERY.merge_keys)
     return merged.select(
         "query_name",
@@ -99,11 +101,11 @@ def upsert_dashboards(spark, sf_dir):
         F.lit(BEFORE).alias("update_date_time"),
         F.lit(True).alias("is_migrated"),
         F.concat(F.lit("sent "), "c_mktsegment").alias("upload_message"),
-    )
-    pulled = read_assets(derived.dashboards(spark, sf_dir), "dashboard").where(
-        "updated_at >= '2024-01-10'"
-    )
-    source = project_catalog(pulled, "dashboard", F.lit(AS_OF))
+    ).dropDuplicates(DASHBOARD.merge_keys)
+    pulled = read_assets(derived.dashboards(spark, sf_dir), "dashboard").drop("raw")
+    pulled = pulled.where("updated_at >= '2024-01-10'")
+    last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
+    source = project_catalog(last, "dashboard", F.lit(AS_OF))
     merged = upsert(target, source, DASHBOARD.merge_keys)
     return merged.select(
         "dashboard_name",
@@ -129,7 +131,7 @@ _TAGS = """CASE WHEN NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P') THE
 
 ORACLES = {
     "import_lifecycle": f"""
-        SELECT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,
+        SELECT DISTINCT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,
                {_TAGS} AS tags, {NEW_QUERY} AS query, '{AS_OF}' AS update_date_time,
                false AS is_migrated
         FROM orders
@@ -146,7 +148,7 @@ ORACLES = {
                                    ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     # Untagged assets drop out of the pull: their tags are null, which is not "without s_O".
     "upsert_queries": f"""
-        SELECT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,
+        SELECT DISTINCT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,
                CASE WHEN pulled THEN {_TAGS} ELSE 'old' END AS tags,
                o_orderkey::VARCHAR AS object_id,
                CASE WHEN pulled THEN '{AS_OF}' ELSE '{BEFORE}' END AS update_date_time,
@@ -156,7 +158,7 @@ ORACLES = {
                         AND NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P') AS pulled
               FROM orders)""",
     "upsert_dashboards": f"""
-        SELECT c_name AS dashboard_name, 'c_' || c_custkey AS dashboard_slug,
+        SELECT DISTINCT c_name AS dashboard_name, 'c_' || c_custkey AS dashboard_slug,
                CASE WHEN c_nationkey >= 9 THEN c_mktsegment ELSE 'old' END AS tags,
                CASE WHEN c_nationkey >= 9 THEN c_custkey::VARCHAR END AS object_id,
                CASE WHEN c_nationkey >= 9 THEN '{AS_OF}' ELSE '{BEFORE}' END AS update_date_time,

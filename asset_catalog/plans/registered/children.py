@@ -48,7 +48,7 @@ def remap_ids(spark, sf_dir):
     id_map = derived.table(spark, sf_dir, "part").where("p_size > 10").select(
         F.concat(F.lit("p"), text("p_partkey")).alias("old_viz_id"),
         F.concat(F.lit("new-"), text("p_partkey")).alias("new_viz_id"),
-    )
+    ).distinct()
     return relate.remap_visualization_ids(widgets, id_map)
 
 
@@ -122,10 +122,11 @@ ORACLES = {
     "remap_ids": f"""
         SELECT {_LINE} AS widget, CASE WHEN l_returnflag <> 'R' THEN 'p' || l_partkey END AS old_viz_id,
                CASE WHEN l_returnflag <> 'R' AND p_size > 10 THEN 'new-' || p_partkey END AS new_viz_id
-        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+        FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey, 11 AS p_size FROM part WHERE p_size > 10)
+             ON p_partkey = l_partkey""",
     "attach_parent_id": f"""
         SELECT md5(l_orderkey::VARCHAR) AS asset_key, {_LINE} AS chart, 'n' || l_orderkey AS parent_id
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'""",
+        FROM lineitem SEMI JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'""",
     "build_id_map": f"""
         SELECT 'p' || l_partkey AS old_viz_id, 'c' || {_LINE} AS new_viz_id
         FROM lineitem WHERE l_returnflag <> 'R'

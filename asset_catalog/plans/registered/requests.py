@@ -173,7 +173,7 @@ ORACLES = {
         UNION ALL
         SELECT 4, 'POST', 'widgets', 'c_' || c_custkey || '#' || (j - 1), NULL, NULL, 'd' || c_custkey,
                CASE WHEN j <> 3 THEN
-                   (SELECT 'c-' || o_orderkey || '-' || j FROM orders
+                   (SELECT max('c-' || o_orderkey || '-' || j) FROM orders
                     WHERE o_orderkey = c_custkey AND o_orderpriority <> '5-LOW'
                       AND j <= left(o_orderpriority, 1)::INTEGER AND o_orderstatus <> 'P'
                       AND NOT (o_orderstatus = 'O' AND j = 2)) END
@@ -203,5 +203,5 @@ ORACLES = {
             FROM orders WHERE o_orderpriority = '5-LOW')
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, 0::INTEGER AS part,
                string_agg(message, ' | ' ORDER BY step, pos) AS messages
-        FROM said GROUP BY o_orderkey""",
+        FROM (SELECT DISTINCT * FROM said) GROUP BY o_orderkey""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from asset_catalog.operators.assets import quarantine, read_assets
+from asset_catalog.operators.assets import latest_per_key, quarantine, read_assets
 from asset_catalog.operators.catalog import project_catalog, stage
 from asset_catalog.operators.relate import enrich_with_detail
 from asset_catalog.plans import derived
@@ -126,9 +126,9 @@ def scan_inventory(spark, sf_dir):
 
 def export_keyed_json(spark, sf_dir):
     """Written as documents of about a million characters and read back."""
-    entries = read_assets(derived.dashboards(spark, sf_dir), "dashboard").select(
-        F.col("asset_key").alias("object_key"), "raw"
-    )
+    assets = read_assets(derived.dashboards(spark, sf_dir), "dashboard")
+    last = latest_per_key(assets.select("asset_key", "updated_at", "raw"), ["asset_key"], ["updated_at"])
+    entries = last.select(F.col("asset_key").alias("object_key"), "raw")
     documents = keyed_documents(entries, document_count(entries, 1_000_000))
     back = keyed_rows(documents.select(text("document").alias("source_file"), "value"))
     return back.select(
@@ -209,7 +209,7 @@ ORACLES = {
                o_orderpriority AS tags
         FROM orders, (VALUES (0), (1)) v(n)""",
     "export_keyed_json": """
-        SELECT 'c_' || c_custkey AS object_key, c_name AS name,
+        SELECT DISTINCT 'c_' || c_custkey AS object_key, c_name AS name,
                CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0
                     THEN (c_custkey * 100 + 1)::VARCHAR END AS first_widget
         FROM customer""",

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from asset_catalog.config import Config
 from asset_catalog.operators.outbox import build_outbox, collect_status, read_responses, write_outbox
 from asset_catalog.operators.relate import endpoint_ids
+from asset_catalog.operators.select import filter_names
 from asset_catalog.plans.lifecycles import (
     Choice,
     Mappings,
     Upload,
+    catalog_with_messages,
     clean_export,
+    export_assets,
     import_assets,
     land,
     remove_requests,
 )
 from asset_catalog.schemas import RESPONSES
-from asset_catalog.sources.landed import read_json_lines, read_keyed_json
+from asset_catalog.sources.landed import read_endpoints, read_json_lines, read_keyed_json
 from asset_catalog.sources.tables import commit_version, ensure_catalog, read_catalog
 from asset_catalog.streaming.landing import import_new
 from tests.conftest import dashboard, dumps, query, widget
@@ -102,10 +105,8 @@ def test_upload_and_remove(spark, config, tmp_path):
     for kind in ("query", "dashboard"):
         import_assets(spark, config, kind)
     put(tmp_path / "e.json", [{"id": "ds", "endpoint_id": "ep", "name": "main"}])
-    from asset_catalog.sources.landed import read_endpoints
-
     _, source = endpoint_ids(read_endpoints(spark, str(tmp_path / "e.json")), "main")
-    upload, h = Upload(spark, config, source), query()["query_hash"]
+    upload, h = Upload.from_catalog(spark, config, source), query()["query_hash"]
 
     first = upload.query_requests()
     body = bodies(first)[h]
@@ -152,7 +153,8 @@ def test_upload_and_remove(spark, config, tmp_path):
     assert said[h][0] == f"created query SampleQuery as new-{h}"
     assert said[h][4] == "failed chart of SampleQuery: refused" and len(said[h]) == 6
     assert said["empty"] == ["created dashboard Empty as new-empty"] and len(said["sampledash"]) == 5
-    commit_version(upload.catalog_with_messages("query", responses), config, "query")
+    noted = catalog_with_messages(spark, config, "query", upload.status(responses))
+    commit_version(noted, config, "query")
     messages = {r["query_hash"]: r["upload_message"] for r in read_catalog(spark, config, "query").collect()}
     assert messages["h3"] == "failed query bad: refused" and messages[h].count("\n") == 5
 
@@ -165,6 +167,18 @@ def test_upload_and_remove(spark, config, tmp_path):
     assert [(r["method"], r["path"], r["body"]) for r in gone.collect()] == [("DELETE", "dashboards/3", None)]
 
 
+def test_upload_of_an_export(spark, tmp_path):
+    put(tmp_path / "q.json", {"1": query(), "2": query(name="other", query_hash="h2")})
+    put(tmp_path / "d.json", {"sampledash": dashboard()})
+    queries = filter_names(export_assets(spark, str(tmp_path / "q.json"), "query"), "subset", ["other"])
+    dashboards = export_assets(spark, str(tmp_path / "d.json"), "dashboard")
+    upload = Upload(queries, dashboards, "ds", "moved")
+    assert [r["source_key"] for r in upload.query_requests().collect()] == ["h2"]
+    made = answer(upload.query_requests(), spark)
+    assert upload.chart_requests(made).count() == 5
+    assert [r["source_key"] for r in upload.dashboard_requests().collect()] == ["sampledash"]
+
+
 def test_messages_of_a_large_asset_come_in_parts(spark):
     rows = spark.range(2500).select(
         F.lit("k").alias("asset_key"), F.lit(2).alias("step"), F.col("id").cast("int").alias("pos"),
