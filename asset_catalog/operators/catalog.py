@@ -41,12 +41,8 @@ def project_catalog(
     )
 
 
-def stage(rows: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Register rows as a view. With a path they are written there first, so that the rewrite
-    is not computed again for every use; the path must be one that all executors share."""
-    if path is not None:
-        rows.write.mode("overwrite").parquet(path)
-        rows = rows.sparkSession.read.parquet(path)
+def stage(rows: DataFrame, name: str) -> DataFrame:
+    """Register rows as a view."""
     rows.createOrReplaceTempView(name)
     return rows
 

@@ -113,14 +113,14 @@ def _answers(responses: DataFrame, step: int) -> DataFrame:
 def push_messages(assets: DataFrame, responses: DataFrame, step: int) -> DataFrame:
     """What became of each asset that was sent: (asset_key, step, pos, message)."""
     answers = _answers(responses, step).withColumnRenamed("source_key", "asset_key")
-    said = assets.select("asset_key", "name").join(answers, "asset_key")
+    said = assets.select("asset_key", "name").distinct().join(answers, "asset_key")
     return _messages(said, step, F.lit(0))
 
 
 def child_messages(children: DataFrame, responses: DataFrame, step: int) -> DataFrame:
     """The same for charts and widgets, which have a place in their parent."""
     sent = children.select("asset_key", "name", "pos", child_key().alias("source_key"))
-    said = sent.join(_answers(responses, step), "source_key")
+    said = sent.distinct().join(_answers(responses, step), "source_key")
     return _messages(said, step, F.col("pos"))
 
 
@@ -162,10 +162,9 @@ def collect_status(messages: DataFrame, per_row: int = MESSAGES_PER_ROW) -> Data
     further parts, so that no group grows with the size of an asset. A message that comes
     more than once, because an asset did, is kept once.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("step", "pos", "message")))
+    ordered = F.array_sort(F.collect_set(F.struct("step", "pos", "message")))
     return (
-        messages.distinct()
-        .withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
+        messages.withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
         .groupBy("asset_key", "part")
         .agg(F.transform(ordered, lambda said: said["message"]).alias("messages"))
     )

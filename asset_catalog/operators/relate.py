@@ -71,7 +71,7 @@ def build_id_map(charts: DataFrame, responses: DataFrame) -> DataFrame:
     ``charts`` has ``source_key``, ``old_viz_id`` and the order columns ``asset_key``, ``pos``;
     an old id that was sent twice maps to the last answer.
     """
-    sent = charts.select("source_key", "old_viz_id", "asset_key", "pos")
+    sent = charts.select("source_key", "old_viz_id", "asset_key", "pos").distinct()
     sent = sent.join(new_ids(responses), "source_key")
     last = latest_per_key(sent, ["old_viz_id"], ["asset_key", "pos", "source_key"])
     return last.select("old_viz_id", F.col("new_id").alias("new_viz_id"))

@@ -44,6 +44,7 @@ from asset_catalog.schemas import (
 )
 from asset_catalog.sources.exports import write_asset_files, write_keyed_json
 from asset_catalog.sources.landed import read_json_lines, read_keyed_json
+from asset_catalog.sources.scratch import written_once
 from asset_catalog.sources.tables import read_catalog, upsert_catalog
 
 
@@ -132,8 +133,8 @@ def import_lines(
     rejected = f"{config.catalog_root}/rejected/{kind.collection}/{run}"
     rejected_rows(lines, kind, choice).write.parquet(rejected)
     rows = catalog_rows(lines, kind, choice, mappings, as_of)
-    staged = stage(rows, f"staged_{kind.table}", f"{config.catalog_root}/staged/{kind.collection}/{run}")
-    return upsert_catalog(staged, config, kind), rejected
+    staged = written_once(rows, f"staged-{kind.collection}", f"{config.catalog_root}/staged")
+    return upsert_catalog(stage(staged, f"staged_{kind.table}"), config, kind), rejected
 
 
 def clean_export(
@@ -169,9 +170,9 @@ class Upload:
     """Requests of an upload, step by step, each from the answers to the steps before.
 
     ``queries`` and ``dashboards`` are the assets to upload, from the catalog or an export and
-    chosen as wanted; queries go to the target data source ``data_source_id``. With a shared
-    folder ``scratch`` the charts and widgets are written there once, as every step needs them
-    and their keys are counted by joins; without, they are taken out of the JSON each time.
+    chosen as wanted; queries go to the target data source ``data_source_id``. Charts and
+    widgets are written to the shared folder once, as every step needs them and joins count
+    their keys: to the one the cluster names, else to ``scratch`` if given.
     """
 
     def __init__(
@@ -184,12 +185,8 @@ class Upload:
     ) -> None:
         self.queries, self.dashboards = queries, dashboards
         self.data_source_id, self.marker_tag = data_source_id, marker_tag
-        self.charts = explode_visualizations(queries)
-        self.widgets = explode_widgets(dashboards)
-        if scratch is not None:
-            run = f"{scratch}/{uuid.uuid4().hex}"
-            self.charts = stage(self.charts, "staged_charts", f"{run}/charts")
-            self.widgets = stage(self.widgets, "staged_widgets", f"{run}/widgets")
+        self.charts = written_once(explode_visualizations(queries), "charts", scratch)
+        self.widgets = written_once(explode_widgets(dashboards), "widgets", scratch)
 
     @classmethod
     def from_catalog(
@@ -206,7 +203,7 @@ class Upload:
             select_for_upload(catalog_assets(spark, config, kind), mode, tags, names)
             for kind in ("query", "dashboard")
         ]
-        return cls(*chosen, data_source_id, config.marker_tag, f"{config.catalog_root}/staged/upload")
+        return cls(*chosen, data_source_id, config.marker_tag, f"{config.catalog_root}/staged")
 
     def query_requests(self) -> DataFrame:
         return outbox.query_requests(self.queries, F.lit(self.data_source_id), self.marker_tag)

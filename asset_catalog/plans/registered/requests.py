@@ -10,6 +10,7 @@ from asset_catalog.operators.select import chosen_for_delete, expand_by_name
 from asset_catalog.plans import derived
 from asset_catalog.plans.derived import text
 from asset_catalog.plans.registered.rewriting import OLD_QUERY
+from asset_catalog.sources.scratch import written_once
 
 MARKER = "migrated"
 
@@ -70,7 +71,8 @@ def payload_widget(spark, sf_dir):
 def outbox_create(spark, sf_dir):
     """All four steps, each with the answers to the step before."""
     queries, dashboards = _queries(spark, sf_dir), _dashboards(spark, sf_dir)
-    charts = relate.explode_visualizations(queries)
+    charts = written_once(relate.explode_visualizations(queries), "charts")
+    widgets = written_once(relate.explode_widgets(dashboards), "widgets")
     sent = charts.where("visualization IS NOT NULL").withColumn("source_key", outbox.child_key())
     id_map = relate.build_id_map(
         sent.select("source_key", "old_viz_id", "asset_key", "pos"),
@@ -80,9 +82,7 @@ def outbox_create(spark, sf_dir):
         outbox.query_requests(queries, F.lit("ds1"), MARKER),
         outbox.visualization_requests(charts, derived.query_responses(spark, sf_dir)),
         outbox.dashboard_requests(dashboards, MARKER),
-        outbox.widget_requests(
-            relate.explode_widgets(dashboards), derived.dashboard_responses(spark, sf_dir), id_map
-        ),
+        outbox.widget_requests(widgets, derived.dashboard_responses(spark, sf_dir), id_map),
     )
     return requests.select(
         "step",
@@ -100,8 +100,8 @@ def outbox_delete(spark, sf_dir):
 
 
 def status_messages(spark, sf_dir):
-    queries = _queries(spark, sf_dir).select("asset_key", "name", "parsed")
-    charts = relate.explode_visualizations(queries)
+    queries = _queries(spark, sf_dir).drop("raw")
+    charts = written_once(relate.explode_visualizations(queries), "charts")
     created, drawn = derived.query_responses(spark, sf_dir), derived.chart_responses(spark, sf_dir)
     said = outbox.push_messages(queries, created, 1).unionByName(
         outbox.child_messages(charts.where("visualization IS NOT NULL"), drawn, 2)
