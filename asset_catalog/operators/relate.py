@@ -79,7 +79,8 @@ def build_id_map(charts: DataFrame, responses: DataFrame) -> DataFrame:
 
 def remap_visualization_ids(widgets: DataFrame, id_map: DataFrame) -> DataFrame:
     """Add the new chart id of each widget; null when its chart has none."""
-    return join_each(widgets, id_map, "old_viz_id", "left")
+    one = id_map.groupBy("old_viz_id").agg(F.max("new_viz_id").alias("new_viz_id"))
+    return join_each(widgets, one, "old_viz_id", "left")
 
 
 def attach_parent_id(

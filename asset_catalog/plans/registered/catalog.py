@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.mappings import FUNCTIONS
 from asset_catalog.operators.assets import latest_per_key as keep_latest
 from asset_catalog.operators.assets import read_assets
 from asset_catalog.operators.catalog import project_catalog, upsert
 from asset_catalog.operators.rewrite import rewrite_object, rewrite_query
 from asset_catalog.plans import derived
 from asset_catalog.plans.derived import text
-from asset_catalog.plans.registered.rewriting import FUNCTIONS, NEW_QUERY, OLD_QUERY, nation_mapping
+from asset_catalog.plans.registered.rewriting import NEW_QUERY, OLD_QUERY, nation_mapping
 from asset_catalog.plans.registered.scans import AS_OF, ISO
 from asset_catalog.schemas import DASHBOARD, QUERY
 

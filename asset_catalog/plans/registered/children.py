@@ -48,7 +48,7 @@ def remap_ids(spark, sf_dir):
     id_map = derived.table(spark, sf_dir, "part").where("p_size > 10").select(
         F.concat(F.lit("p"), text("p_partkey")).alias("old_viz_id"),
         F.concat(F.lit("new-"), text("p_partkey")).alias("new_viz_id"),
-    ).distinct()
+    )
     return relate.remap_visualization_ids(widgets, id_map)
 
 

@@ -12,6 +12,7 @@ from asset_catalog.functions.json_fields import (
     set_and_drop,
     text_field,
 )
+from asset_catalog.functions.mappings import FUNCTIONS
 from asset_catalog.functions.tags import normalise_tags, parse_tag_list
 from asset_catalog.functions.text import multi_replace
 from asset_catalog.operators.assets import read_assets
@@ -26,9 +27,6 @@ from asset_catalog.plans import derived
 from asset_catalog.plans.registered.scans import ISO
 from asset_catalog.sources.landed import load_mapping
 
-# Function names of the source dialect and what replaces them.
-FUNCTIONS = {"strpos": "instr", "from_iso8601_timestamp": "date"}
-
 # Keys that start alike, hold a sign with a meaning in patterns, or stand in another's value.
 WORDS = {
     "th": "TH",
