@@ -31,6 +31,11 @@ def text_field(parsed: Column, name: str) -> Column:
     return F.try_variant_get(parsed, f"$.{name}", "string")
 
 
+def text_fields(raw: Column, *names: str) -> Column:
+    """Some top-level fields of a JSON text as a struct of texts, read in one pass."""
+    return F.from_json(raw, ", ".join(f"`{name}` string" for name in names))
+
+
 def member(parsed: Column, name: str) -> Column:
     """A field with its type kept; null when absent."""
     return F.try_variant_get(parsed, f"$.{name}", "variant")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.json_fields import text_fields
 from asset_catalog.functions.mappings import FUNCTIONS
 from asset_catalog.operators.assets import latest_per_key as keep_latest
 from asset_catalog.operators.assets import read_assets
@@ -14,6 +15,7 @@ from asset_catalog.plans.derived import text
 from asset_catalog.plans.registered.rewriting import NEW_QUERY, OLD_QUERY, nation_mapping
 from asset_catalog.plans.registered.scans import AS_OF, ISO
 from asset_catalog.schemas import DASHBOARD, QUERY
+from asset_catalog.sources.scratch import written_once
 
 BEFORE = "2023-01-01 00:00:00"
 
@@ -41,12 +43,13 @@ def import_lifecycle(spark, sf_dir):
 def catalog_projection(spark, sf_dir):
     assets = read_assets(derived.queries(spark, sf_dir), "query")
     rows = project_catalog(assets, "query", F.lit(AS_OF))
+    rows = rows.withColumn("object", text_fields(F.col("query_object"), "id", "query"))
     return rows.select(
         "query_name",
         "query_hash",
         F.array_join("tags", "|").alias("tags"),
-        F.get_json_object("query_object", "$.id").alias("object_id"),
-        F.get_json_object("query_object", "$.query").alias("query"),
+        F.col("object.id").alias("object_id"),
+        "object.query",
         "update_date_time",
         "is_migrated",
     )
@@ -79,7 +82,7 @@ def upsert_queries(spark, sf_dir):
     pulled = read_assets(derived.queries(spark, sf_dir), "query").drop("raw")
     pulled = pulled.where("NOT array_contains(tags, 's_O')")
     last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
-    source = project_catalog(last, "query", F.lit(AS_OF))
+    source = written_once(project_catalog(last, "query", F.lit(AS_OF)), "pulled-queries")
     merged = upsert(_held_queries(spark, sf_dir), source, QUERY.merge_keys)
     return merged.select(
         "query_name",
@@ -106,7 +109,7 @@ def upsert_dashboards(spark, sf_dir):
     pulled = read_assets(derived.dashboards(spark, sf_dir), "dashboard").drop("raw")
     pulled = pulled.where("updated_at >= '2024-01-10'")
     last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
-    source = project_catalog(last, "dashboard", F.lit(AS_OF))
+    source = written_once(project_catalog(last, "dashboard", F.lit(AS_OF)), "pulled-dashboards")
     merged = upsert(target, source, DASHBOARD.merge_keys)
     return merged.select(
         "dashboard_name",

@@ -41,7 +41,7 @@ def _line_key():
 def remap_ids(spark, sf_dir):
     """A widget per line item that shows the chart of its part; returned ones show none."""
     chart = F.concat(F.lit("p"), text("l_partkey"))
-    widgets = derived.table(spark, sf_dir, "lineitem").select(
+    widgets = derived.spread_table(spark, sf_dir, "lineitem").select(
         _line_key().alias("widget"),
         F.when(F.col("l_returnflag") != "R", chart).alias("old_viz_id"),
     )
@@ -54,7 +54,7 @@ def remap_ids(spark, sf_dir):
 
 def attach_parent_id(spark, sf_dir):
     """A chart per line item; its query is the one of the order."""
-    charts = derived.table(spark, sf_dir, "lineitem").select(
+    charts = derived.spread_table(spark, sf_dir, "lineitem").select(
         F.md5(text("l_orderkey")).alias("asset_key"), _line_key().alias("chart")
     )
     return relate.attach_parent_id(charts, derived.query_responses(spark, sf_dir))
@@ -62,7 +62,7 @@ def attach_parent_id(spark, sf_dir):
 
 def build_id_map(spark, sf_dir):
     """Charts named by part, so an old id is sent many times and the last answer counts."""
-    lines = derived.table(spark, sf_dir, "lineitem")
+    lines = derived.spread_table(spark, sf_dir, "lineitem")
     charts = lines.select(
         _line_key().alias("source_key"),
         F.concat(F.lit("p"), text("l_partkey")).alias("old_viz_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.json_fields import text_fields
 from asset_catalog.operators import outbox, payloads, relate
 from asset_catalog.operators.assets import read_assets
 from asset_catalog.operators.select import chosen_for_delete, expand_by_name
@@ -23,18 +24,21 @@ def _dashboards(spark, sf_dir):
     return read_assets(derived.dashboards(spark, sf_dir), "dashboard")
 
 
-def _fields(body: str, *names: str):
-    return [F.get_json_object(body, f"$.{n}").alias(n.replace("[0].", "_")) for n in names]
+def _body_fields(rows, *names: str):
+    """The other columns of rows and some fields of their ``body`` as texts."""
+    others = [c for c in rows.columns if c != "body"]
+    return rows.select(*others, text_fields(F.col("body"), *names).alias("f")).select(*others, "f.*")
 
 
 def payload_query(spark, sf_dir):
     body = payloads.query_payload(F.col("parsed"), F.lit("ds1"), MARKER)
-    rows = _queries(spark, sf_dir).select("asset_key", body.alias("body"))
-    return rows.select(
-        "asset_key",
-        *_fields("body", "data_source_id", "query", "name", "description", "schedule", "options", "tags"),
-        F.get_json_object("body", "$.visualizations[0].id").alias("first_chart"),
+    rows = _body_fields(
+        _queries(spark, sf_dir).select("asset_key", body.alias("body")),
+        *["data_source_id", "query", "name", "description", "schedule", "options", "tags"],
+        "visualizations",
     )
+    first = F.get_json_object("visualizations", "$[0].id")
+    return rows.withColumn("first_chart", first).drop("visualizations")
 
 
 def payload_visualization(spark, sf_dir):
@@ -43,29 +47,23 @@ def payload_visualization(spark, sf_dir):
         F.col("visualization"), F.concat(F.lit("n"), F.col("asset_key"))
     )
     rows = charts.select("old_viz_id", body.alias("body"))
-    return rows.select(
-        "old_viz_id", *_fields("body", "name", "type", "description", "options", "query_id")
-    )
+    return _body_fields(rows, "name", "type", "description", "options", "query_id")
 
 
 def payload_dashboard(spark, sf_dir):
     body = payloads.dashboard_payload(F.col("parsed"), MARKER)
-    rows = _dashboards(spark, sf_dir).select("asset_key", body.alias("body"))
-    widgets = F.from_json(F.get_json_object("body", "$.widgets"), "array<string>")
-    return rows.select(
-        "asset_key",
-        *_fields("body", "name", "layout", "dashboard_filters_enabled", "is_trashed", "is_draft", "tags"),
-        F.size(widgets).alias("widgets"),
+    rows = _body_fields(
+        _dashboards(spark, sf_dir).select("asset_key", body.alias("body")),
+        *["name", "layout", "dashboard_filters_enabled", "is_trashed", "is_draft", "tags", "widgets"],
     )
+    return rows.withColumn("widgets", F.size(F.from_json("widgets", "array<string>")))
 
 
 def payload_widget(spark, sf_dir):
     widgets = relate.explode_widgets(_dashboards(spark, sf_dir)).where("widget IS NOT NULL")
     body = payloads.widget_payload(F.col("widget"), F.col("asset_key"), F.col("old_viz_id"))
     rows = widgets.select(F.col("pos").cast("int").alias("pos"), body.alias("body"))
-    return rows.select(
-        "pos", *_fields("body", "dashboard_id", "visualization_id", "text", "options", "width")
-    )
+    return _body_fields(rows, "dashboard_id", "visualization_id", "text", "options", "width")
 
 
 def outbox_create(spark, sf_dir):
@@ -84,13 +82,7 @@ def outbox_create(spark, sf_dir):
         outbox.dashboard_requests(dashboards, MARKER),
         outbox.widget_requests(widgets, derived.dashboard_responses(spark, sf_dir), id_map),
     )
-    return requests.select(
-        "step",
-        "method",
-        "path",
-        "source_key",
-        *_fields("body", "name", "query_id", "dashboard_id", "visualization_id"),
-    )
+    return _body_fields(requests, "name", "query_id", "dashboard_id", "visualization_id")
 
 
 def outbox_delete(spark, sf_dir):

@@ -11,6 +11,7 @@ from asset_catalog.functions.json_fields import (
     redact,
     set_and_drop,
     text_field,
+    text_fields,
 )
 from asset_catalog.functions.mappings import FUNCTIONS
 from asset_catalog.functions.tags import normalise_tags, parse_tag_list
@@ -75,18 +76,11 @@ def rewrite_queries(spark, sf_dir):
 
 def rewrite_objects(spark, sf_dir):
     """Fields of the JSON after the text was put back: values and types are kept."""
-    field = lambda name: F.get_json_object("object", f"$.{name}").alias(name.replace(".", "_"))
-    return rewrite_object(_rewritten(spark, sf_dir)).select(
-        "asset_key",
-        F.get_json_object("object", "$.query").alias("query"),
-        field("id"),
-        field("tags"),
-        field("schedule"),
-        field("description"),
-        F.get_json_object("object", "$.runtime").cast("double").alias("runtime"),
-        F.get_json_object("object", "$.visualizations[0].id").alias("first_chart"),
-        F.get_json_object("object", "$.api_key").alias("api_key"),
-    )
+    names = ["query", "id", "tags", "schedule", "description", "runtime", "api_key", "visualizations"]
+    rows = rewrite_object(_rewritten(spark, sf_dir))
+    fields = rows.select("asset_key", text_fields(F.col("object"), *names).alias("f")).select("asset_key", "f.*")
+    first = F.get_json_object("visualizations", "$[0].id").alias("first_chart")
+    return fields.select("*", first).withColumn("runtime", F.col("runtime").cast("double")).drop("visualizations")
 
 
 def rewrite_statuses(spark, sf_dir):
@@ -143,12 +137,9 @@ def defaults(spark, sf_dir):
 def redact_object(spark, sf_dir):
     assets = read_assets(derived.queries(spark, sf_dir), "query")
     clean = assets.select("asset_key", redact(F.col("parsed")).alias("json"))
-    return clean.select(
-        "asset_key",
-        F.col("json").contains("secret-").alias("leaks"),
-        F.get_json_object("json", "$.user.name").alias("user"),
-        F.get_json_object("json", "$.version").alias("version"),
-    )
+    fields = F.from_json("json", "user struct<name:string>, version string").alias("f")
+    clean = clean.select("asset_key", F.col("json").contains("secret-").alias("leaks"), fields)
+    return clean.select("asset_key", "leaks", F.col("f.user.name").alias("user"), "f.version")
 
 
 def annotated_query(spark, sf_dir):

@@ -23,14 +23,16 @@ AS_OF = "2024-01-01 00:00:00"
 
 def _pages(spark, sf_dir):
     """Listing pages of two queries each, one page per order."""
-    key = F.col("o_orderkey")
-    item = lambda n: F.struct(
-        (key * 2 + n).alias("id"),
-        F.concat(F.lit("q_"), text("o_custkey")).alias("name"),
-        F.array("o_orderpriority").alias("tags"),
-    )
+
+    def item(n):
+        return F.struct(
+            (F.col("o_orderkey") * 2 + n).alias("id"),
+            F.concat(F.lit("q_"), text("o_custkey")).alias("name"),
+            F.array("o_orderpriority").alias("tags"),
+        )
+
     page = F.struct(F.lit(2).alias("count"), F.array(item(0), item(1)).alias("results"))
-    return derived.table(spark, sf_dir, "orders").select(F.to_json(page).alias("value"))
+    return derived.spread_table(spark, sf_dir, "orders").select(F.to_json(page).alias("value"))
 
 
 def scan_listing(spark, sf_dir):
@@ -57,10 +59,12 @@ def enrich_detail(spark, sf_dir):
 
 def scan_keyed_json(spark, sf_dir):
     """Documents with a key given twice; customers come back in many documents."""
-    entry = lambda n: F.concat(
-        F.lit('"'), text("o_custkey"), F.lit('": {"order": '), text("o_orderkey"), F.lit(f', "n": {n}}}')
-    )
-    documents = derived.table(spark, sf_dir, "orders").select(
+
+    def entry(n):
+        order = F.concat(F.lit('": {"order": '), text("o_orderkey"), F.lit(f', "n": {n}}}'))
+        return F.concat(F.lit('"'), text("o_custkey"), order)
+
+    documents = derived.spread_table(spark, sf_dir, "orders").select(
         F.lpad(text("o_orderkey"), 12, "0").alias("source_file"),
         F.concat(F.lit("{"), entry(1), F.lit(", "), entry(2), F.lit("}")).alias("value"),
     )

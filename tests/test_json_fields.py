@@ -28,6 +28,15 @@ def test_only_one_whole_object_is_read(texts):
     assert got == ['{"a":1}', '{"a":1}'] + [None] * 11
 
 
+def test_a_key_given_twice_can_keep_its_last_value(spark, texts):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    try:
+        got = one(texts(['{"a":1,"b":{"c":1,"c":2},"a":3}']), F.to_json(parse_object(F.col("raw"))))
+    finally:
+        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    assert json.loads(got[0]) == {"a": 3, "b": {"c": 2}}
+
+
 def test_a_field_is_replaced_and_others_keep_their_types(texts):
     asset = query(
         number=12345678901234567890123, real=1.50, nothing=None, yes=True,
