@@ -147,7 +147,7 @@ def _messages(said: DataFrame, step: int, pos: Column) -> DataFrame:
 
 def no_chart_messages(charts: DataFrame) -> DataFrame:
     """A message for each query that has no charts; such queries are created all the same."""
-    return charts.where("visualization IS NULL").select(
+    return charts.where("pos IS NULL").select(
         "asset_key",
         F.lit(STEP_VISUALIZATION).alias("step"),
         F.lit(0).alias("pos"),

@@ -93,10 +93,11 @@ def outbox_delete(spark, sf_dir):
 
 def status_messages(spark, sf_dir):
     queries = _queries(spark, sf_dir).drop("raw")
-    charts = written_once(relate.explode_visualizations(queries), "charts")
+    charts = relate.explode_visualizations(queries).select("asset_key", "name", "pos")
+    charts = written_once(charts, "chart-places")
     created, drawn = derived.query_responses(spark, sf_dir), derived.chart_responses(spark, sf_dir)
     said = outbox.push_messages(queries, created, 1).unionByName(
-        outbox.child_messages(charts.where("visualization IS NOT NULL"), drawn, 2)
+        outbox.child_messages(charts.where("pos IS NOT NULL"), drawn, 2)
     )
     said = said.unionByName(outbox.no_chart_messages(charts))
     return outbox.collect_status(said).select(

@@ -88,8 +88,10 @@ def scan_quarantine(spark, sf_dir):
 
 
 def scan_mapping(spark, sf_dir):
+    """One mapping document per customer."""
+    pair = F.create_map("c_name", F.concat(F.lit("lake."), "c_mktsegment"))
     documents = derived.table(spark, sf_dir, "customer").select(
-        F.to_json(F.create_map("c_name", F.concat(F.lit("lake."), "c_mktsegment"))).alias("value")
+        F.lpad(text("c_custkey"), 12, "0").alias("source_file"), F.to_json(pair).alias("value")
     )
     return mapping_rows(documents)
 

@@ -54,11 +54,10 @@ def read_listing(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
     return listing_rows(read_documents(spark, path), kind)
 
 
-def keyed_rows(documents: DataFrame) -> DataFrame:
-    """One row per entry of export documents (key -> asset): ``object_key``, ``raw``.
+def _entries(documents: DataFrame) -> DataFrame:
+    """Entries of JSON objects, the last one of each key: (object_key, raw).
 
-    A key given twice keeps its last entry of the last document. ``documents`` has ``value``
-    and ``source_file``.
+    ``documents`` has ``value`` and ``source_file``; of two documents the later name counts.
     """
     entries = F.map_entries(F.from_json("value", "map<string,string>"))
     rows = documents.select("source_file", F.posexplode(entries).alias("pos", "entry"))
@@ -68,6 +67,14 @@ def keyed_rows(documents: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["object_key"], ["source_file", "pos"]).select("object_key", "raw")
 
 
+def keyed_rows(documents: DataFrame) -> DataFrame:
+    """One row per entry of export documents (key -> asset): ``object_key``, ``raw``.
+
+    A key given twice keeps its last entry of the last document.
+    """
+    return _entries(documents)
+
+
 def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
     """Entries of the export documents under a path; a file or a directory of documents."""
     try:
@@ -78,9 +85,8 @@ def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
 
 def mapping_rows(documents: DataFrame) -> DataFrame:
     """Pairs (old, new) of mapping documents, keys lower-cased, empty keys dropped."""
-    entries = F.explode(F.map_entries(F.from_json("value", "map<string,string>")))
-    pairs = documents.select(entries.alias("entry"))
-    pairs = pairs.select(F.lower("entry.key").alias("old"), F.col("entry.value").alias("new"))
+    pairs = _entries(documents)
+    pairs = pairs.select(F.lower("object_key").alias("old"), F.col("raw").alias("new"))
     return pairs.where("old != ''").distinct()
 
 

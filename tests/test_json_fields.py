@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from asset_catalog.functions.json_fields import (
@@ -47,6 +49,28 @@ def test_a_field_is_replaced_and_others_keep_their_types(texts):
     assert json.loads(got) == {**asset, "query": 'new "q"'}
 
 
+LEAVES = st.one_of(
+    st.none(), st.booleans(), st.integers(-(10**30), 10**30), st.text(max_size=8),
+    st.floats(allow_nan=False, allow_infinity=False, width=32),
+    st.decimals(-1000, 1000, places=2).map(float),
+)
+KEYS = st.text(min_size=1, max_size=5)
+VALUES = st.recursive(
+    LEAVES, lambda v: st.one_of(st.lists(v, max_size=3), st.dictionaries(KEYS, v, max_size=3)), max_leaves=8
+)
+
+
+@settings(max_examples=20, deadline=None)
+@given(assets=st.lists(st.dictionaries(KEYS, VALUES, max_size=5), min_size=1, max_size=20), new=st.text(max_size=9))
+def test_any_object_keeps_its_values(spark, assets, new):
+    clean = [{k: v for k, v in a.items() if k != "api_key"} for a in assets]
+    rows = [(n, json.dumps({**a, "query": "old", "api_key": "s"}, ensure_ascii=n % 2 == 0)) for n, a in enumerate(clean)]
+    frame = spark.createDataFrame(rows, "n int, raw string")
+    column = set_and_drop(parse_object(F.col("raw")), {"query": F.lit(new)}, ["api_key"])
+    got = [json.loads(r[0]) for r in frame.orderBy("n").select(column).collect()]
+    assert got == [{**a, "query": new} for a in clean]
+
+
 def test_secrets_are_dropped(texts):
     got = one(texts([dumps(query())]), redact(parse_object(F.col("raw"))))[0]
     expected = query()

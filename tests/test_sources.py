@@ -62,6 +62,8 @@ def test_mapping(spark, tmp_path):
         landed.load_mapping(pairs, max_keys=1)
     assert landed.read_mapping(spark, str(tmp_path / "none.json")) is None
     assert landed.load_mapping(None) is None
+    put(tmp_path / "twice.json", '{"a": "x", "a": "y"}')
+    assert landed.load_mapping(landed.read_mapping(spark, str(tmp_path / "twice.json"))) == {"a": "y"}
     put(tmp_path / "u.json", {"A": "x", "a": "y"})
     with pytest.raises(ConfigError):
         landed.load_mapping(landed.read_mapping(spark, str(tmp_path / "u.json")))
