@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows are costly to work on. They are spread over the cores when the scan
-    has fewer splits than there are cores, which is the case for one small file only."""
+    has few splits, which is the case for one small file only."""
     rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < 2 * cores else rows
 
 
 def text(column: str | Column) -> Column:
