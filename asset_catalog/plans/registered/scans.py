@@ -9,14 +9,22 @@ from asset_catalog.operators.catalog import project_catalog, stage
 from asset_catalog.operators.relate import enrich_with_detail
 from asset_catalog.plans import derived
 from asset_catalog.plans.derived import text
-from asset_catalog.sources.exports import asset_file_key, asset_files, document_count, keyed_documents
+from asset_catalog.sources.exports import (
+    asset_file_key,
+    asset_files,
+    document_count,
+    keyed_documents,
+    write_asset_files,
+)
 from asset_catalog.sources.landed import (
     endpoint_rows,
     inventory_rows,
     keyed_rows,
     listing_rows,
     mapping_rows,
+    read_json_lines,
 )
+from asset_catalog.sources.scratch import scratch_path
 
 AS_OF = "2024-01-01 00:00:00"
 
@@ -76,8 +84,13 @@ def scan_keyed_json(spark, sf_dir):
 
 
 def scan_json_lines(spark, sf_dir):
-    rows = read_assets(derived.landed_queries(spark, sf_dir), "query")
-    return rows.select(
+    """Lines written to text files and read back, where the cluster names a shared folder."""
+    lines = derived.landed_queries(spark, sf_dir)
+    path = scratch_path(spark, "landed-queries")
+    if path is not None:
+        lines.select(F.col("raw").alias("value")).write.text(path)
+        lines = read_json_lines(spark, path)
+    return read_assets(lines, "query").select(
         "asset_key", "name", F.array_join("tags", "|").alias("tags"), "updated_at"
     )
 
@@ -145,11 +158,18 @@ def export_keyed_json(spark, sf_dir):
 
 
 def export_asset_files(spark, sf_dir):
-    """Many orders share a file key here; the latest state of each file is written."""
+    """Many orders share a file key here; the latest state of each file is written. Where the
+    cluster names a shared folder the files are written there and read back."""
     assets = read_assets(derived.queries(spark, sf_dir, hash_of="o_custkey"), "query")
-    return asset_files(assets, 64).select(
-        "file_key", F.get_json_object("raw", "$.updated_at").alias("updated_at")
-    )
+    path = scratch_path(spark, "asset-files")
+    if path is None:
+        files = asset_files(assets, 64)
+    else:
+        write_asset_files(assets, path, 64)
+        files = read_json_lines(spark, path)
+    held = read_assets(files.select("raw"), "query")
+    key = asset_file_key(F.col("asset_key"), F.col("name"))
+    return held.select(key.alias("file_key"), "updated_at")
 
 
 def file_key(spark, sf_dir):

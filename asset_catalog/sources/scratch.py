@@ -12,14 +12,19 @@ def scratch_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str | None:
+    """A path of its own in the shared folder, or None when there is no such folder."""
+    folder = scratch_folder(spark) or folder
+    return folder and f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written_once(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The rows read back from the shared folder, so that later uses neither compute them again
     nor depend on the executors that did, and read only the columns they need. Without a
     folder the rows stay lazy."""
     spark = rows.sparkSession
-    folder = scratch_folder(spark) or folder
-    if folder is None:
+    path = scratch_path(spark, name, folder)
+    if path is None:
         return rows
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.parquet(path)

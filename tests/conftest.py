@@ -5,6 +5,7 @@ import os
 import sys
 
 import pytest
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -13,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
-    session = (
+    builder = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
@@ -22,9 +23,10 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
-        .config("spark.checkpoint.dir", str(home / "checkpoints"))
-        .getOrCreate()
     )
+    if not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", str(home / "checkpoints"))
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 from asset_catalog.plans.registered import all_oracles, all_queries
+from asset_catalog.sources import scratch
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -50,6 +51,15 @@ def test_same_as_sql(spark, duck, name):
     assert rows
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["scan_json_lines", "export_asset_files", "upsert_queries", "upsert_dashboards", "outbox_create", "status_messages"],
+)
+def test_same_without_a_shared_folder(spark, duck, monkeypatch, name):
+    monkeypatch.setattr(scratch, "scratch_folder", lambda spark: None)
+    test_same_as_sql(spark, duck, name)
+
+
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_python_in_the_plan(spark, name):
     plan = all_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
