@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 # The JSON texts of values that count as "nothing given".
 _EMPTY = ["null", '""', "{}", "[]", "0", "0.0", "-0.0", "false"]
 
-# Top-level fields that hold secrets.
+# Fields that hold secrets. Dashboards embed queries, so they occur inside too.
 SECRET_FIELDS = ("api_key",)
 
 
@@ -47,7 +48,10 @@ def elements(parsed: Column, name: str) -> Column:
 
 
 def set_and_drop(parsed: Column, new: Mapping[str, Column], drop: Iterable[str] = ()) -> Column:
-    """JSON text of the object with some fields replaced and some left out, types kept."""
+    """JSON text of the object with some fields replaced and some left out, types kept.
+
+    Fields to leave out are blanked in embedded objects.
+    """
     entries = F.map_entries(parsed.try_cast("map<string,variant>"))
     drop = list(drop)
     if drop:
@@ -61,11 +65,22 @@ def set_and_drop(parsed: Column, new: Mapping[str, Column], drop: Iterable[str]
 
     if new:
         entries = F.transform(entries, replaced)
-    return F.to_json(F.map_from_entries(entries))
+    return blank(F.to_json(F.map_from_entries(entries)), drop)
+
+
+def blank(json: Column, fields: Iterable[str]) -> Column:
+    """JSON text as Spark writes it, with null in place of the fields' values at any depth.
+
+    A quotation mark inside a text is written with a backslash, so only real fields match.
+    """
+    for field in fields:
+        value = r'(?:"(?:[^"\\]++|\\.)*+"|[-+0-9.eE]++|true|false)'
+        json = F.regexp_replace(json, rf'(?<!\\)"{re.escape(field)}":{value}', f'"{field}":null')
+    return json
 
 
 def redact(parsed: Column, secrets: Iterable[str] = SECRET_FIELDS) -> Column:
-    """JSON text of the object without its secret fields."""
+    """JSON text of the object without its secret fields, which embedded objects keep as null."""
     return set_and_drop(parsed, {}, secrets)
 
 

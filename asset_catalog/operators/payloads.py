@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from asset_catalog.functions.json_fields import member, or_default, text_field
+from asset_catalog.functions.json_fields import (
+    SECRET_FIELDS,
+    blank,
+    member,
+    or_default,
+    text_field,
+)
 
 # Nulls are part of the bodies.
 _WITH_NULLS = {"ignoreNullFields": "false"}
@@ -46,9 +52,9 @@ def visualization_payload(chart: Column, query_id: Column) -> Column:
 
 
 def dashboard_payload(parsed: Column, marker: str) -> Column:
-    """Body that creates a dashboard."""
+    """Body that creates a dashboard. Queries embedded in its widgets lose their secrets."""
     no_widgets = F.parse_json(F.lit("[]"))
-    return _body(
+    body = _body(
         text_field(parsed, "name").alias("name"),
         member(parsed, "layout").alias("layout"),
         member(parsed, "dashboard_filters_enabled").alias("dashboard_filters_enabled"),
@@ -57,6 +63,7 @@ def dashboard_payload(parsed: Column, marker: str) -> Column:
         member(parsed, "is_draft").alias("is_draft"),
         _marked_tags(F.try_variant_get(parsed, "$.tags", "array<string>"), marker).alias("tags"),
     )
+    return blank(body, SECRET_FIELDS)
 
 
 def widget_payload(widget: Column, dashboard_id: Column, visualization_id: Column) -> Column:

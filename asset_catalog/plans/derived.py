@@ -102,7 +102,12 @@ def landed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _widgets() -> Column:
     def widget(j: Column) -> Column:
-        chart = F.struct((F.col("c_custkey") * 10 + j).alias("id"), F.lit("TABLE").alias("type"))
+        key = F.concat(F.lit('secret-"'), text("c_custkey")).alias("api_key")
+        chart = F.struct(
+            (F.col("c_custkey") * 10 + j).alias("id"),
+            F.lit("TABLE").alias("type"),
+            F.struct(key, F.lit('{"api_key":"in a text"}').alias("query")).alias("query"),
+        )
         options = F.struct(F.lit(False).alias("isHidden"), F.struct(j.alias("col")).alias("position"))
         return F.struct(
             (F.col("c_custkey") * 100 + j).alias("id"),

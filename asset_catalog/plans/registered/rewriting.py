@@ -142,6 +142,18 @@ def redact_object(spark, sf_dir):
     return clean.select("asset_key", "leaks", F.col("f.user.name").alias("user"), "f.version")
 
 
+def redact_embedded(spark, sf_dir):
+    """Dashboards embed queries with secrets; a text that looks like one is left alone."""
+    assets = read_assets(derived.dashboards(spark, sf_dir), "dashboard")
+    clean = assets.select("asset_key", redact(F.col("parsed")).alias("json"))
+    return clean.select(
+        "asset_key",
+        F.col("json").contains("secret-").alias("leaks"),
+        F.get_json_object("json", "$.widgets[0].visualization.query.query").alias("query"),
+        F.get_json_object("json", "$.widgets[0].visualization.id").alias("chart"),
+    )
+
+
 def annotated_query(spark, sf_dir):
     assets = read_assets(derived.queries(spark, sf_dir), "query")
     parsed = F.col("parsed")
@@ -166,6 +178,7 @@ QUERIES = {
     "json_roundtrip": json_roundtrip,
     "or_default": defaults,
     "redact_object": redact_object,
+    "redact_embedded": redact_embedded,
     "annotate_query": annotated_query,
 }
 
@@ -263,6 +276,11 @@ ORACLES = {
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, false AS leaks, 'u_' || o_custkey AS user,
                '1' AS version
         FROM orders""",
+    "redact_embedded": """
+        SELECT 'c_' || c_custkey AS asset_key, false AS leaks,
+               CASE WHEN shown THEN '{"api_key":"in a text"}' END AS query,
+               CASE WHEN shown THEN (c_custkey * 10 + 1)::VARCHAR END AS chart
+        FROM (SELECT *, c_nationkey <> 24 AND c_nationkey % 5 > 0 AS shown FROM customer)""",
     "annotate_query": f"""
         SELECT md5(o_orderkey::VARCHAR) AS asset_key,
                '/*' || chr(10) || 'Name: q_' || o_custkey || chr(10) || 'Data source: 1' || chr(10)

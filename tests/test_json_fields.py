@@ -67,6 +67,7 @@ def test_any_object_keeps_its_values(spark, assets, new):
     rows = [(n, json.dumps({**a, "query": "old", "api_key": "s"}, ensure_ascii=n % 2 == 0)) for n, a in enumerate(clean)]
     frame = spark.createDataFrame(rows, "n int, raw string")
     column = set_and_drop(parse_object(F.col("raw")), {"query": F.lit(new)}, ["api_key"])
+    # Embedded fields of that name are blanked; none occurs in these assets.
     got = [json.loads(r[0]) for r in frame.orderBy("n").select(column).collect()]
     assert got == [{**a, "query": new} for a in clean]
 
@@ -78,6 +79,16 @@ def test_secrets_are_dropped(texts):
     assert json.loads(got) == expected
 
 
+def test_secrets_inside_are_blanked(texts):
+    inner = {"api_key": 'a"\\b', "n": 1, "text": '{"api_key":"kept"}', 'x"api_key': "kept", "api_keys": "kept"}
+    asset = {"api_key": "s", "a": [inner, {"b": {**inner, "api_key": -1.5}}, {"api_key": True}, {"api_key": None}]}
+    got = one(texts([dumps(asset)]), redact(parse_object(F.col("raw"))))[0]
+    hidden = {**inner, "api_key": None}
+    assert json.loads(got) == {"a": [hidden, {"b": hidden}, {"api_key": None}, {"api_key": None}]}
+    long = json.dumps({"a": {"api_key": "k\\" * 3000, "b": 1}})
+    assert json.loads(one(texts([long]), redact(parse_object(F.col("raw"))))[0]) == {"a": {"api_key": None, "b": 1}}
+
+
 def test_fields(texts):
     frame = texts(['{"a":"x","b":[1,"y"],"c":{"d":null},"e":null,"f":2,"g":true}'])
     parsed = parse_object(F.col("raw"))
