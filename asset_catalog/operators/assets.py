@@ -11,6 +11,10 @@ from asset_catalog.functions.json_fields import parse_object, text_field
 from asset_catalog.schemas import Kind, kind_of
 
 
+# Characters of one text inside JSON that Spark can read into a VARIANT.
+LONGEST_TEXT = 20_000_000
+
+
 def _usable(parsed: Column, kind: Kind) -> Column:
     return (
         parsed.isNotNull()
@@ -40,10 +44,12 @@ def read_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFram
 def quarantine(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
     """Rows that :func:`read_assets` leaves out, with the reason."""
     kind = kind_of(kind)
+    long = F.length(raw) > LONGEST_TEXT
 
     def reason(parsed: Column) -> Column:
         return (
-            F.when(parsed.isNull(), "not one JSON object")
+            F.when(parsed.isNull() & long, "not one JSON object or too long for one")
+            .when(parsed.isNull(), "not one JSON object")
             .when(text_field(parsed, "name").isNull(), "no name")
             .when(text_field(parsed, kind.key_field).isNull(), f"no {kind.key_field}")
         )

@@ -16,12 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A scan of at least this many splits is not shuffled for the sake of idle cores.
+_MANY_SPLITS = 64
+
+
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to work on. They are spread over the cores when the scan
-    has few splits, which is the case for one small file only."""
+    """A table whose rows are costly to work on. The rows of a small table, which are in one
+    file and so would be worked on by one core, are spread over the cores."""
     rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < 2 * cores else rows
+    few = rows.rdd.getNumPartitions() < min(2 * cores, _MANY_SPLITS)
+    return rows.repartition(cores) if few else rows
 
 
 def text(column: str | Column) -> Column:
