@@ -26,7 +26,7 @@ class Config:
             if not isinstance(value, str) or not value.strip():
                 raise ConfigError(f"{name} must be a non-empty text")
         for f in fields(self):
-            object.__setattr__(self, f.name, getattr(self, f.name).strip())
+            object.__setattr__(self, f.name, getattr(self, f.name).strip().rstrip("/"))
 
     @classmethod
     def from_json(cls, text: str) -> Config:

@@ -87,11 +87,15 @@ def catalog_rows(
     mappings: Mappings = Mappings(),
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Landed lines as catalog rows: the last state of each chosen asset, queries rewritten."""
+    """Landed lines as catalog rows: the last state of each chosen asset, queries rewritten.
+
+    Of states changed at the same time the one that landed last counts.
+    """
     kind = kind_of(kind)
-    tie = F.xxhash64("raw").alias("tie")
-    assets = choice.of(read_assets(lines.select("raw"), kind)).select("*", tie).drop("raw")
-    last = latest_per_key(assets, ["asset_key", "name"], ["updated_at", "tie"])
+    order = ["updated_at", *[c for c in ["landed_at"] if c in lines.columns], "tie"]
+    assets = choice.of(read_assets(lines, kind)).withColumn("tie", F.xxhash64("raw"))
+    columns = ["asset_key", "name", "parsed", *order]
+    last = latest_per_key(assets.select(columns), ["asset_key", "name"], order)
     if kind.name == "query":
         last = rewrite_object(rewrite_query(last, mappings.tables, mappings.functions))
     return project_catalog(last, kind, as_of)

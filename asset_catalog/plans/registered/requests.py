@@ -9,7 +9,6 @@ from asset_catalog.operators import outbox, payloads, relate
 from asset_catalog.operators.assets import read_assets
 from asset_catalog.operators.select import chosen_for_delete, expand_by_name
 from asset_catalog.plans import derived
-from asset_catalog.plans.derived import text
 from asset_catalog.plans.registered.rewriting import OLD_QUERY
 from asset_catalog.sources.scratch import written_once
 

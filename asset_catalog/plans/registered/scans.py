@@ -192,7 +192,9 @@ QUERIES = {
     "asset_file_key": file_key,
 }
 
-ISO = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.') || lpad((date_part('millisecond', o_orderdate)::BIGINT % 1000)::VARCHAR, 3, '0') || 'Z'"
+# A time as ISO text with milliseconds.
+ISO = """(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.')
+    || lpad((date_part('millisecond', o_orderdate)::BIGINT % 1000)::VARCHAR, 3, '0') || 'Z')"""
 
 ORACLES = {
     "scan_listing": """

@@ -26,9 +26,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line of the landed asset files, which hold one JSON object per line."""
-    lines = spark.read.format("text").load(path).selectExpr("value AS raw", _SOURCE)
-    return lines.where(F.trim("raw") != "")
+    """One row per line of the landed asset files, which hold one JSON object per line, with
+    the file and the time it landed."""
+    return line_rows(spark.read.format("text").load(path))
+
+
+def line_rows(files: DataFrame) -> DataFrame:
+    """The same of a read text source, which may be a stream."""
+    landed = "_metadata.file_modification_time AS landed_at"
+    return files.selectExpr("value AS raw", _SOURCE, landed).where(F.trim("raw") != "")
 
 
 def _array(value: Column, field: str | None) -> Column:

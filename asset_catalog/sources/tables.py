@@ -21,7 +21,7 @@ def table_name(config: Config, kind: str | Kind) -> str:
 
 
 def _version_path(config: Config, kind: Kind) -> str:
-    return f"{config.catalog_root.rstrip('/')}/{kind.table}/version={uuid.uuid4().hex}"
+    return f"{config.catalog_root}/{kind.table}/version={uuid.uuid4().hex}"
 
 
 def ensure_catalog(spark: SparkSession, config: Config) -> None:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from asset_catalog.config import Config
 from asset_catalog.plans.lifecycles import Choice, Mappings, import_lines
 from asset_catalog.schemas import Kind, kind_of
+from asset_catalog.sources.landed import line_rows
 
 
 def import_new(
@@ -25,14 +25,13 @@ def import_new(
     that is repeated after a failure puts the same rows in again, which changes nothing.
     """
     kind = kind_of(kind)
-    lines = spark.readStream.format("text").load(f"{config.landing}/{kind.collection}")
+    files = spark.readStream.format("text").load(f"{config.landing}/{kind.collection}")
 
     def put(batch: DataFrame, _: int) -> None:
-        import_lines(batch.select("raw"), config, kind, choice, mappings)
+        import_lines(batch, config, kind, choice, mappings)
 
     return (
-        lines.where(F.trim("value") != "")
-        .select(F.col("value").alias("raw"))
+        line_rows(files)
         .writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -85,7 +85,7 @@ def test_tables(spark, texts, config):
 
 def test_merge_needs_a_table_that_can(spark, texts, config):
     ensure_catalog(spark, config)
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="does not support MERGE"):
         merge_into(pull(texts, query()), table_name(config, "query"), QUERY.merge_keys)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,16 @@ def test_import(spark, config, tmp_path):
     assert spark.read.parquet(version).count() == 1
 
 
+def test_what_landed_last_counts(spark, config, tmp_path):
+    for number, text in enumerate(["b", "a", "c"]):
+        put(tmp_path / "landed" / "queries" / f"{text}.json", lines(query(query=text)))
+        os.utime(tmp_path / "landed" / "queries" / f"{text}.json", (10**9 + number, 10**9 + number))
+    os.utime(tmp_path / "landed" / "queries" / "a.json", (2 * 10**9, 2 * 10**9))
+    import_assets(spark, config, "query")
+    rows = read_catalog(spark, config, "query").collect()
+    assert [json.loads(r["query_object"])["query"] for r in rows] == ["a"]
+
+
 def test_rewritten_object(spark, config, tmp_path):
     put(tmp_path / "landed" / "queries" / "1.json", lines(query()))
     import_assets(spark, config, "query", mappings=MAPPINGS)
