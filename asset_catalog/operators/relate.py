@@ -38,10 +38,13 @@ def explode_widgets(dashboards: DataFrame) -> DataFrame:
 def enrich_with_detail(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:
     """The full object for each listed one; ``has_detail`` is false where none was landed.
 
-    Of several landed details of a key one is taken, always the same.
+    A key listed more than once, as when pages shift while they are read, is kept once; of
+    several details of a key one is taken, always the same. Both rankings leave their rows
+    where the join needs them.
     """
+    listed = latest_per_key(listing, [key], ["raw"])
     one = latest_per_key(detail.select(key, F.col("raw").alias("_detail")), [key], ["_detail"])
-    joined = listing.join(one, key, "left")
+    joined = listed.join(one, key, "left")
     return joined.withColumn("has_detail", F.col("_detail").isNotNull()).withColumn(
         "raw", F.coalesce("_detail", "raw")
     ).drop("_detail")

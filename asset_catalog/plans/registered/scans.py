@@ -201,7 +201,7 @@ ORACLES = {
         SELECT (o_orderkey * 2 + n)::VARCHAR AS object_key, 'q_' || o_custkey AS name
         FROM orders, (VALUES (0), (1)) v(n)""",
     "enrich_detail": """
-        SELECT o_orderkey::VARCHAR AS object_key, o_orderstatus <> 'P' AS has_detail,
+        SELECT DISTINCT o_orderkey::VARCHAR AS object_key, o_orderstatus <> 'P' AS has_detail,
                o_custkey::VARCHAR AS custkey,
                CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority
         FROM orders""",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.text import multi_replace
 from asset_catalog.operators.assets import read_assets
 from asset_catalog.operators.catalog import upsert
+from asset_catalog.operators.relate import enrich_with_detail
 from asset_catalog.operators.select import filter_tags
-from asset_catalog.functions.text import multi_replace
+from asset_catalog.plans.lifecycles import Mappings, catalog_rows
 from tests.conftest import dumps, query
 
 
@@ -28,6 +30,26 @@ def test_tables_are_read_by_column(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint,text:string>" in plan and "GreaterThan(id,3)" in plan
 
 
+def exchanges(spark, frame):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_of(frame.select("*")).count("Exchange hashpartitioning")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_an_import_is_shuffled_once(spark, texts):
+    rows = catalog_rows(texts([dumps(query())]), "query", mappings=Mappings({"a": "b"}, {"c": "d"}))
+    assert exchanges(spark, rows) == 1
+    assert plan_of(rows).count("parseJson") == 1
+
+
+def test_detail_is_joined_without_a_further_shuffle(spark):
+    rows = spark.createDataFrame([("1", "{}")], "object_key string, raw string")
+    assert exchanges(spark, enrich_with_detail(rows, rows, "object_key")) == 2
+
+
 def test_mapping_is_one_constant(texts):
     plan = plan_of(texts(["a"]).select(multi_replace(F.col("raw"), {"a": "b"})))
     assert "from_json" not in plan and "keys: [a], values: [b]" in plan

@@ -33,6 +33,8 @@ def test_listing(spark, tmp_path):
     detail = spark.createDataFrame([("1", '{"full":1}'), ("9", "{}")], "object_key string, raw string")
     full = {r["object_key"]: (r["raw"][:8], r["has_detail"]) for r in enrich_with_detail(rows, detail, "object_key").collect()}
     assert full["1"] == ('{"full":', True) and full["2"][1] is False and len(full) == 3
+    twice = enrich_with_detail(rows.union(rows), detail.union(detail), "object_key")
+    assert {r["object_key"]: (r["raw"][:8], r["has_detail"]) for r in twice.collect()} == full and twice.count() == 3
     broken = landed.unreadable(landed.read_documents(spark, str(tmp_path)))
     assert [r["value"] for r in broken.collect()] == ["{broken"]
 
