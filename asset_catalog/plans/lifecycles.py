@@ -228,12 +228,15 @@ class Upload:
         return outbox.widget_requests(self.widgets, created, self.id_map(responses))
 
     def status(self, responses: DataFrame) -> DataFrame:
-        """Messages per asset in the order of steps."""
+        """Messages per asset in the order of steps.
+
+        Charts and widgets name their parents, and a parent without any has a row as well.
+        """
         said = [
-            outbox.push_messages(self.queries, responses, STEP_QUERY),
+            outbox.push_messages(self.charts, responses, STEP_QUERY),
             outbox.child_messages(self.charts, responses, STEP_VISUALIZATION),
             outbox.no_chart_messages(self.charts),
-            outbox.push_messages(self.dashboards, responses, STEP_DASHBOARD),
+            outbox.push_messages(self.widgets, responses, STEP_DASHBOARD),
             outbox.child_messages(self.widgets, responses, STEP_WIDGET),
         ]
         return outbox.collect_status(outbox.build_outbox(*said))

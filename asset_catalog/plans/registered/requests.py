@@ -91,11 +91,11 @@ def outbox_delete(spark, sf_dir):
 
 
 def status_messages(spark, sf_dir):
-    queries = _queries(spark, sf_dir).drop("raw")
-    charts = relate.explode_visualizations(queries).select("asset_key", "name", "pos")
+    """Charts name their queries, and a query without charts has a row as well."""
+    charts = relate.explode_visualizations(_queries(spark, sf_dir)).select("asset_key", "name", "pos")
     charts = written_once(charts, "chart-places")
     created, drawn = derived.query_responses(spark, sf_dir), derived.chart_responses(spark, sf_dir)
-    said = outbox.push_messages(queries, created, 1).unionByName(
+    said = outbox.push_messages(charts, created, 1).unionByName(
         outbox.child_messages(charts.where("pos IS NOT NULL"), drawn, 2)
     )
     said = said.unionByName(outbox.no_chart_messages(charts))
