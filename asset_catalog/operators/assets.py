@@ -15,6 +15,12 @@ from asset_catalog.schemas import Kind, kind_of
 LONGEST_TEXT = 20_000_000
 
 
+def source_key(key: Column, name: Column) -> Column:
+    """What tells an asset from all others: its key is not enough, since queries of equal text
+    have equal hashes. A key holds no slash, so the first one ends it."""
+    return F.concat_ws("/", key, name)
+
+
 def _usable(parsed: Column, kind: Kind) -> Column:
     return (
         parsed.isNotNull()
@@ -26,16 +32,20 @@ def _usable(parsed: Column, kind: Kind) -> Column:
 def read_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
     """Rows with a readable object, its key fields as columns and the VARIANT ``parsed``.
 
+    ``source_key`` tells the asset from all others in requests and responses.
+
     Unreadable rows are left to :func:`quarantine`. Keeping the good ones is done by the
     generator, so each text is parsed once; a filter would be pushed below and parse again.
     """
     kind = kind_of(kind)
     kept = F.filter(F.array(parse_object(F.col(raw))), lambda parsed: _usable(parsed, kind))
     parsed = F.col("parsed")
+    key, name = text_field(parsed, kind.key_field), text_field(parsed, "name")
     return rows.withColumn("parsed", F.explode(kept)).select(
         "*",
-        text_field(parsed, kind.key_field).alias("asset_key"),
-        text_field(parsed, "name").alias("name"),
+        key.alias("asset_key"),
+        name.alias("name"),
+        source_key(key, name).alias("source_key"),
         F.try_variant_get(parsed, "$.tags", "array<string>").alias("tags"),
         text_field(parsed, "updated_at").alias("updated_at"),
     )

@@ -44,14 +44,14 @@ def _requests(rows: DataFrame, step: int, path: str, body: Column, source_key: C
     )
 
 
-def child_key(parent: str = "asset_key") -> Column:
-    """Key of a chart or widget: its parent's key and its place in it."""
-    return F.concat_ws("#", F.col(parent), F.col("pos").cast("string"))
+def child_key() -> Column:
+    """Source key of a chart or widget: its parent's and its place in it."""
+    return F.concat_ws("#", F.col("parent_key"), F.col("pos").cast("string"))
 
 
 def query_requests(queries: DataFrame, data_source_id: Column, marker: str) -> DataFrame:
     body = query_payload(F.col("parsed"), data_source_id, marker)
-    return _requests(queries, STEP_QUERY, "queries", body, F.col("asset_key"))
+    return _requests(queries, STEP_QUERY, "queries", body, F.col("source_key"))
 
 
 def visualization_requests(charts: DataFrame, query_responses: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def visualization_requests(charts: DataFrame, query_responses: DataFrame) -> Dat
 
 def dashboard_requests(dashboards: DataFrame, marker: str) -> DataFrame:
     body = dashboard_payload(F.col("parsed"), marker)
-    return _requests(dashboards, STEP_DASHBOARD, "dashboards", body, F.col("asset_key"))
+    return _requests(dashboards, STEP_DASHBOARD, "dashboards", body, F.col("source_key"))
 
 
 def widget_requests(
@@ -110,16 +110,19 @@ def _answers(responses: DataFrame, step: int) -> DataFrame:
     return found.select("source_key", "best.good", "best.new_id", F.col("best.message").alias("why"))
 
 
-def push_messages(assets: DataFrame, responses: DataFrame, step: int) -> DataFrame:
-    """What became of each asset that was sent: (asset_key, step, pos, message)."""
-    answers = _answers(responses, step).withColumnRenamed("source_key", "asset_key")
-    said = assets.select("asset_key", "name").distinct().join(answers, "asset_key")
+def push_messages(children: DataFrame, responses: DataFrame, step: int) -> DataFrame:
+    """What became of each asset that was sent: (parent_key, step, pos, message).
+
+    ``children`` are its charts or widgets; an asset without any has a row there as well.
+    """
+    answers = _answers(responses, step).withColumnRenamed("source_key", "parent_key")
+    said = children.select("parent_key", "name").distinct().join(answers, "parent_key")
     return _messages(said, step, F.lit(0))
 
 
 def child_messages(children: DataFrame, responses: DataFrame, step: int) -> DataFrame:
-    """The same for charts and widgets, which have a place in their parent."""
-    sent = children.select("asset_key", "name", "pos", child_key().alias("source_key"))
+    """The same for the charts and widgets themselves, which have a place in their parent."""
+    sent = children.select("parent_key", "name", "pos", child_key().alias("source_key"))
     said = sent.distinct().join(_answers(responses, step), "source_key")
     return _messages(said, step, F.col("pos"))
 
@@ -138,7 +141,7 @@ def _messages(said: DataFrame, step: int, pos: Column) -> DataFrame:
     good = F.concat(F.lit("created "), what, F.lit(" as "), F.coalesce("new_id", F.lit("?")))
     bad = F.concat(F.lit("failed "), what, F.lit(": "), F.coalesce("why", F.lit("no reason given")))
     return said.select(
-        "asset_key",
+        "parent_key",
         F.lit(step).alias("step"),
         pos.cast("int").alias("pos"),
         F.when(F.col("good"), good).otherwise(bad).alias("message"),
@@ -148,7 +151,7 @@ def _messages(said: DataFrame, step: int, pos: Column) -> DataFrame:
 def no_chart_messages(charts: DataFrame) -> DataFrame:
     """A message for each query that has no charts; such queries are created all the same."""
     return charts.where("pos IS NULL").select(
-        "asset_key",
+        "parent_key",
         F.lit(STEP_VISUALIZATION).alias("step"),
         F.lit(0).alias("pos"),
         F.concat(F.lit("no chart in query "), F.col("name")).alias("message"),
@@ -156,7 +159,7 @@ def no_chart_messages(charts: DataFrame) -> DataFrame:
 
 
 def collect_status(messages: DataFrame, per_row: int = MESSAGES_PER_ROW) -> DataFrame:
-    """Messages per asset in the order of steps, as (asset_key, part, messages).
+    """Messages per asset in the order of steps, as (source_key, part, messages).
 
     An asset has one row unless more than ``per_row`` children; their messages then go on in
     further parts, so that no group grows with the size of an asset. A message that comes
@@ -165,6 +168,6 @@ def collect_status(messages: DataFrame, per_row: int = MESSAGES_PER_ROW) -> Data
     ordered = F.array_sort(F.collect_set(F.struct("step", "pos", "message")))
     return (
         messages.withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
-        .groupBy("asset_key", "part")
+        .groupBy(F.col("parent_key").alias("source_key"), "part")
         .agg(F.transform(ordered, lambda said: said["message"]).alias("messages"))
     )

@@ -13,13 +13,17 @@ from asset_catalog.schemas import ConfigError
 
 def _children(assets: DataFrame, field: str, child: str) -> DataFrame:
     return assets.select(
-        *[c for c in assets.columns if c not in ("parsed", "raw")],
+        *[c for c in assets.columns if c not in ("parsed", "raw", "source_key")],
+        F.col("source_key").alias("parent_key"),
         F.posexplode_outer(elements(F.col("parsed"), field)).alias("pos", child),
     )
 
 
 def explode_visualizations(queries: DataFrame) -> DataFrame:
-    """One row per chart of a query, in order; a query without charts gives one row of nulls."""
+    """One row per chart of a query, in order; a query without charts gives one row of nulls.
+
+    ``parent_key`` is the source key of the query.
+    """
     charts = _children(queries, "visualizations", "visualization")
     return charts.withColumn("old_viz_id", text_field(F.col("visualization"), "id"))
 
@@ -71,12 +75,12 @@ def split_by_status(responses: DataFrame) -> DataFrame:
 def build_id_map(charts: DataFrame, responses: DataFrame) -> DataFrame:
     """New chart id per old one, from the answers to the charts' requests.
 
-    ``charts`` has ``source_key``, ``old_viz_id`` and the order columns ``asset_key``, ``pos``;
+    ``charts`` has ``source_key``, ``old_viz_id`` and the order columns ``parent_key``, ``pos``;
     an old id that was sent twice maps to the last answer.
     """
-    sent = charts.select("source_key", "old_viz_id", "asset_key", "pos").distinct()
+    sent = charts.select("source_key", "old_viz_id", "parent_key", "pos").distinct()
     sent = sent.join(new_ids(responses), "source_key")
-    last = latest_per_key(sent, ["old_viz_id"], ["asset_key", "pos", "source_key"])
+    last = latest_per_key(sent, ["old_viz_id"], ["parent_key", "pos", "source_key"])
     return last.select("old_viz_id", F.col("new_id").alias("new_viz_id"))
 
 
@@ -89,14 +93,13 @@ def remap_visualization_ids(widgets: DataFrame, id_map: DataFrame) -> DataFrame:
 def attach_parent_id(
     children: DataFrame,
     responses: DataFrame,
-    parent_key: str = "asset_key",
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the new id of the parent; children of a parent that failed are left out."""
     answers = new_ids(responses).select(
-        F.col("source_key").alias(parent_key), F.col("new_id").alias("parent_id")
+        F.col("source_key").alias("parent_key"), F.col("new_id").alias("parent_id")
     )
-    return join_each(children, answers, parent_key, "inner", counted=counted)
+    return join_each(children, answers, "parent_key", "inner", counted=counted)
 
 
 def resolve_endpoint(endpoints: DataFrame, name: str) -> DataFrame:

@@ -154,12 +154,16 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _query_key() -> Column:
+    return F.concat(F.md5(text("o_orderkey")), F.lit("/q_"), text("o_custkey"))
+
+
 def query_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers to the requests that create the queries of the orders; pending orders fail."""
     failed = F.col("o_orderstatus") == "P"
     return table(spark, sf_dir, "orders").select(
         F.lit(1).alias("step"),
-        F.md5(text("o_orderkey")).alias("source_key"),
+        _query_key().alias("source_key"),
         F.when(failed, 400).otherwise(200).alias("status"),
         F.when(~failed, F.concat(F.lit("n"), text("o_orderkey"))).alias("new_id"),
         F.when(failed, "quota").alias("message"),
@@ -171,12 +175,12 @@ def chart_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     charts = table(spark, sf_dir, "orders").where("o_orderpriority != '5-LOW'")
     count = F.substring("o_orderpriority", 1, 1).cast("int")
     charts = charts.select(
-        "o_orderkey", "o_orderstatus", F.posexplode(F.sequence(F.lit(1), count)).alias("pos", "i")
+        "o_orderkey", "o_custkey", "o_orderstatus", F.posexplode(F.sequence(F.lit(1), count)).alias("pos", "i")
     )
     failed = (F.col("o_orderstatus") == "O") & (F.col("i") == 2)
     return charts.where("o_orderstatus != 'P'").select(
         F.lit(2).alias("step"),
-        F.concat_ws("#", F.md5(text("o_orderkey")), text("pos")).alias("source_key"),
+        F.concat_ws("#", _query_key(), text("pos")).alias("source_key"),
         F.when(failed, 500).otherwise(200).alias("status"),
         F.when(~failed, F.concat_ws("-", F.lit("c"), text("o_orderkey"), text("i"))).alias("new_id"),
         F.when(failed, "busy").alias("message"),
@@ -188,7 +192,7 @@ def dashboard_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("c_mktsegment") == "MACHINERY"
     return table(spark, sf_dir, "customer").select(
         F.lit(3).alias("step"),
-        F.concat(F.lit("c_"), text("c_custkey")).alias("source_key"),
+        F.concat(F.lit("c_"), text("c_custkey"), F.lit("/"), "c_name").alias("source_key"),
         F.when(failed, 400).otherwise(200).alias("status"),
         F.when(~failed, F.concat(F.lit("d"), text("c_custkey"))).alias("new_id"),
         F.when(failed, "name taken").alias("message"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from asset_catalog.config import Config
 from asset_catalog.functions.json_fields import SECRET_FIELDS, parse_object
 from asset_catalog.operators import outbox
-from asset_catalog.operators.assets import latest_per_key, quarantine, read_assets
+from asset_catalog.operators.assets import latest_per_key, quarantine, read_assets, source_key
 from asset_catalog.operators.catalog import project_catalog, stage
 from asset_catalog.operators.relate import (
     build_id_map,
@@ -252,9 +252,11 @@ def catalog_with_messages(
     kind = kind_of(kind)
     parts = F.array_sort(F.collect_list(F.struct("part", "messages")))
     texts = F.flatten(F.transform(parts, lambda p: p["messages"]))
-    said = status.groupBy("asset_key").agg(F.array_join(texts, "\n").alias("said"))
+    said = status.groupBy("source_key").agg(F.array_join(texts, "\n").alias("said"))
     rows = read_catalog(spark, config, kind)
-    joined = rows.join(said, F.col(kind.key_column) == F.col("asset_key"), "left")
+    joined = rows.withColumn(
+        "source_key", source_key(F.col(kind.key_column), F.col(kind.name_column))
+    ).join(said, "source_key", "left")
     message = F.coalesce("said", "upload_message")
     return joined.withColumn("upload_message", message).select(rows.columns)
 

@@ -53,11 +53,13 @@ def remap_ids(spark, sf_dir):
 
 
 def attach_parent_id(spark, sf_dir):
-    """A chart per line item; its query is the one of the order."""
+    """A chart per line item; its query is the one of the order, known by its hash only."""
     charts = derived.spread_table(spark, sf_dir, "lineitem").select(
-        F.md5(text("l_orderkey")).alias("asset_key"), _line_key().alias("chart")
+        F.md5(text("l_orderkey")).alias("parent_key"), _line_key().alias("chart")
     )
-    return relate.attach_parent_id(charts, derived.query_responses(spark, sf_dir))
+    responses = derived.query_responses(spark, sf_dir)
+    by_hash = responses.withColumn("source_key", F.substring_index("source_key", "/", 1))
+    return relate.attach_parent_id(charts, by_hash)
 
 
 def build_id_map(spark, sf_dir):
@@ -66,7 +68,7 @@ def build_id_map(spark, sf_dir):
     charts = lines.select(
         _line_key().alias("source_key"),
         F.concat(F.lit("p"), text("l_partkey")).alias("old_viz_id"),
-        F.lpad(text("l_orderkey"), 12, "0").alias("asset_key"),
+        F.lpad(text("l_orderkey"), 12, "0").alias("parent_key"),
         F.col("l_linenumber").alias("pos"),
     )
     responses = lines.select(
@@ -125,7 +127,7 @@ ORACLES = {
         FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey, 11 AS p_size FROM part WHERE p_size > 10)
              ON p_partkey = l_partkey""",
     "attach_parent_id": f"""
-        SELECT md5(l_orderkey::VARCHAR) AS asset_key, {_LINE} AS chart, 'n' || l_orderkey AS parent_id
+        SELECT md5(l_orderkey::VARCHAR) AS parent_key, {_LINE} AS chart, 'n' || l_orderkey AS parent_id
         FROM lineitem SEMI JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'""",
     "build_id_map": f"""
         SELECT 'p' || l_partkey AS old_viz_id, 'c' || {_LINE} AS new_viz_id
@@ -136,7 +138,7 @@ ORACLES = {
         SELECT 'ep' || s_suppkey AS endpoint_id, 'ds' || s_suppkey AS data_source_id
         FROM supplier WHERE s_nationkey = 15 ORDER BY 'ds' || s_suppkey LIMIT 1""",
     "response_status": """
-        SELECT md5(o_orderkey::VARCHAR) AS source_key,
+        SELECT md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key,
                CASE WHEN o_orderstatus = 'P' THEN 400 ELSE 200 END::INTEGER AS status,
                CASE WHEN o_orderstatus = 'P' THEN 'fail' ELSE 'ok' END AS outcome
         FROM orders""",

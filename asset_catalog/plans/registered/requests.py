@@ -72,7 +72,7 @@ def outbox_create(spark, sf_dir):
     widgets = written_once(relate.explode_widgets(dashboards), "widgets")
     sent = charts.where("visualization IS NOT NULL").withColumn("source_key", outbox.child_key())
     id_map = relate.build_id_map(
-        sent.select("source_key", "old_viz_id", "asset_key", "pos"),
+        sent.select("source_key", "old_viz_id", "parent_key", "pos"),
         derived.chart_responses(spark, sf_dir),
     )
     requests = outbox.build_outbox(
@@ -92,7 +92,7 @@ def outbox_delete(spark, sf_dir):
 
 def status_messages(spark, sf_dir):
     """Charts name their queries, and a query without charts has a row as well."""
-    charts = relate.explode_visualizations(_queries(spark, sf_dir)).select("asset_key", "name", "pos")
+    charts = relate.explode_visualizations(_queries(spark, sf_dir)).select("parent_key", "name", "pos")
     charts = written_once(charts, "chart-places")
     created, drawn = derived.query_responses(spark, sf_dir), derived.chart_responses(spark, sf_dir)
     said = outbox.push_messages(charts, created, 1).unionByName(
@@ -100,7 +100,7 @@ def status_messages(spark, sf_dir):
     )
     said = said.unionByName(outbox.no_chart_messages(charts))
     return outbox.collect_status(said).select(
-        "asset_key", "part", F.array_join("messages", " | ").alias("messages")
+        "source_key", "part", F.array_join("messages", " | ").alias("messages")
     )
 
 
@@ -152,18 +152,21 @@ ORACLES = {
     # The chart of widget j of a customer has the id of chart j of the order of that number.
     "outbox_create": f"""
         SELECT 1::INTEGER AS step, 'POST' AS method, 'queries' AS path,
-               md5(o_orderkey::VARCHAR) AS source_key, 'q_' || o_custkey AS name,
+               md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key, 'q_' || o_custkey AS name,
                NULL::VARCHAR AS query_id, NULL::VARCHAR AS dashboard_id,
                NULL::VARCHAR AS visualization_id
         FROM orders
         UNION ALL
-        SELECT 2, 'POST', 'visualizations', md5(o_orderkey::VARCHAR) || '#' || (i - 1), 'v' || i,
+        SELECT 2, 'POST', 'visualizations',
+               md5(o_orderkey::VARCHAR) || '/q_' || o_custkey || '#' || (i - 1), 'v' || i,
                'n' || o_orderkey, NULL, NULL
         {_CHART} AND o_orderstatus <> 'P'
         UNION ALL
-        SELECT 3, 'POST', 'dashboards', 'c_' || c_custkey, c_name, NULL, NULL, NULL FROM customer
+        SELECT 3, 'POST', 'dashboards', 'c_' || c_custkey || '/' || c_name, c_name, NULL, NULL, NULL
+        FROM customer
         UNION ALL
-        SELECT 4, 'POST', 'widgets', 'c_' || c_custkey || '#' || (j - 1), NULL, NULL, 'd' || c_custkey,
+        SELECT 4, 'POST', 'widgets', 'c_' || c_custkey || '/' || c_name || '#' || (j - 1), NULL, NULL,
+               'd' || c_custkey,
                CASE WHEN j <> 3 THEN
                    (SELECT max('c-' || o_orderkey || '-' || j) FROM orders
                     WHERE o_orderkey = c_custkey AND o_orderpriority <> '5-LOW'
@@ -178,12 +181,12 @@ ORACLES = {
                             WHERE o_orderpriority = '1-URGENT' OR o_custkey = 7)""",
     "status_messages": """
         WITH said AS (
-            SELECT o_orderkey, 1 AS step, 0 AS pos,
+            SELECT o_orderkey, o_custkey, 1 AS step, 0 AS pos,
                    CASE WHEN o_orderstatus = 'P' THEN 'failed query q_' || o_custkey || ': quota'
                         ELSE 'created query q_' || o_custkey || ' as n' || o_orderkey END AS message
             FROM orders
             UNION ALL
-            SELECT o_orderkey, 2, i - 1,
+            SELECT o_orderkey, o_custkey, 2, i - 1,
                    CASE WHEN o_orderstatus = 'O' AND i = 2
                         THEN 'failed chart of q_' || o_custkey || ': busy'
                         ELSE 'created chart of q_' || o_custkey || ' as c-' || o_orderkey || '-' || i END
@@ -191,9 +194,9 @@ ORACLES = {
             WHERE o_orderpriority <> '5-LOW' AND i <= left(o_orderpriority, 1)::INTEGER
               AND o_orderstatus <> 'P'
             UNION ALL
-            SELECT o_orderkey, 2, 0, 'no chart in query q_' || o_custkey
+            SELECT o_orderkey, o_custkey, 2, 0, 'no chart in query q_' || o_custkey
             FROM orders WHERE o_orderpriority = '5-LOW')
-        SELECT md5(o_orderkey::VARCHAR) AS asset_key, 0::INTEGER AS part,
+        SELECT md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key, 0::INTEGER AS part,
                string_agg(message, ' | ' ORDER BY step, pos) AS messages
-        FROM (SELECT DISTINCT * FROM said) GROUP BY o_orderkey""",
+        FROM (SELECT DISTINCT * FROM said) GROUP BY o_orderkey, o_custkey""",
 }

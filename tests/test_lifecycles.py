@@ -110,14 +110,15 @@ def bodies(frame):
 def test_upload_and_remove(spark, config, tmp_path):
     put(tmp_path / "landed" / "queries" / "1.json", lines(
         query(tags=["x"]), query(name="bare", query_hash="h2", visualizations=None),
-        query(name="bad", query_hash="h3")))
+        query(name="bad"), query(name="same", visualizations=None)))  # of equal text, so of equal hash
     put(tmp_path / "landed" / "dashboards" / "1.json", lines(
         dashboard(), dashboard(slug="empty", name="Empty", widgets=None), dashboard(slug="no", name="No")))
     for kind in ("query", "dashboard"):
         import_assets(spark, config, kind)
     put(tmp_path / "e.json", [{"id": "ds", "endpoint_id": "ep", "name": "main"}])
     _, source = endpoint_ids(read_endpoints(spark, str(tmp_path / "e.json")), "main")
-    upload, h = Upload.from_catalog(spark, config, source), query()["query_hash"]
+    upload, h = Upload.from_catalog(spark, config, source), query()["query_hash"] + "/SampleQuery"
+    bad, bare, same = (f"{k}/{n}" for k, n in ((query()["query_hash"], "bad"), ("h2", "bare"), (query()["query_hash"], "same")))
 
     first = upload.query_requests()
     body = bodies(first)[h]
@@ -125,7 +126,7 @@ def test_upload_and_remove(spark, config, tmp_path):
         "data_source_id": "ds", "query": query()["query"], "name": "SampleQuery", "description": "",
         "schedule": None, "options": {"parameters": []}, "visualizations": query()["visualizations"],
         "tags": ["moved", "x"]}
-    made = answer(first, spark, fails=["h3"])
+    made = answer(first, spark, fails=[bad])
     second = upload.chart_requests(made)
     assert bodies(second)[f"{h}#2"] == {
         "name": "chart 2", "type": "COUNTER", "description": "", "query_id": f"new-{h}",
@@ -136,20 +137,20 @@ def test_upload_and_remove(spark, config, tmp_path):
         ("1", f"new-{h}#0"), ("4", f"new-{h}#1"), ("2", f"new-{h}#2"), ("5", f"new-{h}#4")}
 
     third = upload.dashboard_requests()
-    assert bodies(third)["empty"] == {
+    assert bodies(third)["empty/Empty"] == {
         "name": "Empty", "layout": [], "dashboard_filters_enabled": False, "widgets": [], "is_trashed": None,
         "is_draft": True, "tags": ["moved"]}
-    shown = answer(third, spark, fails=["no"])
+    shown = answer(third, spark, fails=["no/No"])
     fourth = upload.widget_requests(drawn.union(shown))
     position = widget(1, 2)["options"]
     assert bodies(fourth) == {
-        "sampledash#0": {"dashboard_id": "new-sampledash", "visualization_id": f"new-{h}#2", "text": "",
+        "sampledash/SampleDash#0": {"dashboard_id": "new-sampledash/SampleDash", "visualization_id": f"new-{h}#2", "text": "",
                          "options": position, "width": 1},
-        "sampledash#1": {"dashboard_id": "new-sampledash", "visualization_id": None, "text": "",
+        "sampledash/SampleDash#1": {"dashboard_id": "new-sampledash/SampleDash", "visualization_id": None, "text": "",
                          "options": position, "width": 1},
-        "sampledash#2": {"dashboard_id": "new-sampledash", "visualization_id": f"new-{h}#4", "text": "",
+        "sampledash/SampleDash#2": {"dashboard_id": "new-sampledash/SampleDash", "visualization_id": f"new-{h}#4", "text": "",
                          "options": "", "width": 1},
-        "sampledash#3": {"dashboard_id": "new-sampledash", "visualization_id": None, "text": "only text",
+        "sampledash/SampleDash#3": {"dashboard_id": "new-sampledash/SampleDash", "visualization_id": None, "text": "only text",
                          "options": position, "width": 2}}
     placed = answer(fourth, spark)
 
@@ -158,16 +159,18 @@ def test_upload_and_remove(spark, config, tmp_path):
     everything = made.union(drawn).union(shown).union(placed)
     everything.write.json(str(tmp_path / "responses"))
     responses = read_responses(spark, str(tmp_path / "responses"))
-    said = {r["asset_key"]: r["messages"] for r in upload.status(responses).collect()}
-    assert said["h2"] == ["created query bare as new-h2", "no chart in query bare"]
-    assert said["h3"] == ["failed query bad: refused"]
+    said = {r["source_key"]: r["messages"] for r in upload.status(responses).collect()}
+    assert said[bare] == [f"created query bare as new-{bare}", "no chart in query bare"]
+    assert said[bad] == ["failed query bad: refused"]
     assert said[h][0] == f"created query SampleQuery as new-{h}"
     assert said[h][4] == "failed chart of SampleQuery: refused" and len(said[h]) == 6
-    assert said["empty"] == ["created dashboard Empty as new-empty"] and len(said["sampledash"]) == 5
+    assert said["empty/Empty"] == ["created dashboard Empty as new-empty/Empty"]
+    assert len(said["sampledash/SampleDash"]) == 5
+    assert said[same] == [f"created query same as new-{same}", "no chart in query same"]
     noted = catalog_with_messages(spark, config, "query", upload.status(responses))
     commit_version(noted, config, "query")
-    messages = {r["query_hash"]: r["upload_message"] for r in read_catalog(spark, config, "query").collect()}
-    assert messages["h3"] == "failed query bad: refused" and messages[h].count("\n") == 5
+    messages = {r["query_name"]: r["upload_message"] for r in read_catalog(spark, config, "query").collect()}
+    assert messages["bad"] == "failed query bad: refused" and messages["SampleQuery"].count("\n") == 5
 
     inventory = spark.createDataFrame(
         [("query", "1", "a", ["moved"]), ("query", "2", "a", []), ("query", "3", "b", ["other"])],
@@ -184,15 +187,15 @@ def test_upload_of_an_export(spark, tmp_path):
     queries = filter_names(export_assets(spark, str(tmp_path / "q.json"), "query"), "subset", ["other"])
     dashboards = export_assets(spark, str(tmp_path / "d.json"), "dashboard")
     upload = Upload(queries, dashboards, "ds", "moved")
-    assert [r["source_key"] for r in upload.query_requests().collect()] == ["h2"]
+    assert [r["source_key"] for r in upload.query_requests().collect()] == ["h2/other"]
     made = answer(upload.query_requests(), spark)
     assert upload.chart_requests(made).count() == 5
-    assert [r["source_key"] for r in upload.dashboard_requests().collect()] == ["sampledash"]
+    assert [r["source_key"] for r in upload.dashboard_requests().collect()] == ["sampledash/SampleDash"]
 
 
 def test_messages_of_a_large_asset_come_in_parts(spark):
     rows = spark.range(2500).select(
-        F.lit("k").alias("asset_key"), F.lit(2).alias("step"), F.col("id").cast("int").alias("pos"),
+        F.lit("k").alias("parent_key"), F.lit(2).alias("step"), F.col("id").cast("int").alias("pos"),
         F.concat(F.lit("m"), F.col("id")).alias("message"))
     head = spark.createDataFrame([("k", 1, 0, "first")], rows.schema)
     got = {r["part"]: r["messages"] for r in collect_status(rows.union(head)).collect()}
