@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +82,40 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
             start, size = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def labelled(labels: DataFrame, label: str, most: int, seed: int, learn: Callable[[Column], Column]) -> DataFrame:
+    """(doc_id, label) of at most about `most` documents to learn from, small enough to broadcast.
+
+    A document that is labelled more than once counts once, with its highest label."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn(F.col("doc_id")))
+    return sampled(known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")), F.col("doc_id"), most, seed)
+
+
+def score_texts(documents: DataFrame, scorer: Callable[[pa.Array], list], results: str) -> DataFrame:
+    """doc_id of every row with what the scorer makes of its text, as columns `results`.
+
+    The scorer gets an array of strings, nulls included, and returns a list of arrays as long."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                made = [pa.array(x) for x in scorer(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], names=names)
+
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, {results}"
+    names = [field.split()[0] for field in schema.split(", ")]
+    return rows.mapInArrow(score, schema)
+
+
+def keep_texts(documents: DataFrame, keeps: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows, in all their columns, whose texts the function keeps. Nothing is shuffled."""
+    at = documents.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, at):
+                yield part.filter(pa.array(keeps(part.column(at)), pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)

@@ -3,21 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from asset_catalog.llm import mixing, simhash
-from asset_catalog.llm.common import table
+from asset_catalog.llm import mixing, quality, simhash, toxicity
+from asset_catalog.llm.common import fold, table
+
+
+def _judged(scored: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), modulus) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    machine = toxicity.learn(documents, table(spark, sf_dir, "labels"), modulus=5, held_out=0)
+    return _judged(toxicity.score_toxicity(documents, machine), 5, 0)
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.learn(documents, table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+    return _judged(quality.score_quality(documents, model), 3, 1)
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most_bits=2)
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
+    "op3_quality": op3_quality,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
