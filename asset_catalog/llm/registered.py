@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import mixing, quality, simhash, toxicity
+from asset_catalog.llm import langid, mixing, quality, simhash, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -34,6 +34,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score_quality(documents, model), 3, 1)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    named = langid.identify(documents, langid.learn(documents, modulus=5, held_out=0))
+    return named.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most_bits=2)
 
@@ -42,6 +48,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
     "op3_quality": op3_quality,
+    "op4_language": op4_language,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
