@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import langid, mixing, quality, simhash, toxicity
+from asset_catalog.llm import langid, mixing, quality, sentencepieces, simhash, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -44,12 +44,17 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most_bits=2)
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), sentencepieces.load())
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES = {
