@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import langid, mixing, quality, sentencepieces, simhash, toxicity
+from asset_catalog.llm import langid, lm_score, mixing, quality, sentencepieces, simhash, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -44,6 +46,14 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most_bits=2)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 7) == 2
+    scored = lm_score.score_all(table(spark, sf_dir, "documents"), ~held_out)
+    score = -F.col("bits") * F.lit(math.log10(2))
+    rows = scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", score.alias("score"), "n_bytes")
+    return rows.withColumn("bits_per_byte", -F.col("score") / F.lit(math.log10(2)) / (F.col("n_bytes") + 1))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), sentencepieces.load())
 
@@ -54,6 +64,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_lm_score": op9_lm_score,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
