@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import langid, lm_score, mixing, quality, sentencepieces, simhash, toxicity
+from asset_catalog.llm import langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -42,6 +42,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.count_tokens(table(spark, sf_dir, "documents"), token_scan.load())
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most_bits=2)
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_sentencepiece": op10_sentencepiece,
