@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
+from asset_catalog.llm import embed_dedup, langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -42,6 +42,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.count_tokens(table(spark, sf_dir, "documents"), token_scan.load())
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
@@ -109,4 +114,21 @@ ORACLES = {
                (size * turns + floor(size * CASE WHEN words = 0 THEN 0 ELSE
                    least(greatest(floor(target)::BIGINT - turns * source_size - start, 0), words)::DOUBLE / words END))::BIGINT AS taken
         FROM d JOIN b USING (source_key) JOIN p USING (source_key, mix_key)""",
+    "op5_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+              AND list_bool_or(list_transform(embedding, lambda x: x != 0))),
+        links AS (
+            SELECT a.vec_id, b.vec_id AS other FROM v a JOIN v b
+            ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id != b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reached AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION
+            SELECT r.vec_id, l.other FROM reached r JOIN links l ON l.vec_id = r.other),
+        found AS (SELECT vec_id, count(*) AS n FROM links GROUP BY vec_id)
+        SELECT r.vec_id, coalesce(any_value(f.n), 0)::BIGINT AS n_links, min(r.other) AS component_id,
+               r.vec_id = min(r.other) AS kept
+        FROM reached r LEFT JOIN found f ON f.vec_id = r.vec_id GROUP BY r.vec_id""",
 }
