@@ -187,10 +187,15 @@ def learn(documents: DataFrame, modulus: int = 5, held_out: int = 0, windows: in
     by hash as well."""
     known = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), modulus) != held_out))
     known = known.where(F.col("text").rlike(r"\p{L}"))
-    shares = known.groupBy(F.col("lang").cast("string").alias("language")).agg((F.lit(float(windows)) / F.count("*")).alias("part"))
+    known = known.withColumn("language", F.col("lang").cast("string"))
+    counts = {r.language: r.n for r in known.groupBy("language").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return build({})
+    # One row for each language, as the automata are: so texts are drawn where they are, without a join.
+    shares = F.create_map(*[F.lit(x) for language, n in sorted(counts.items()) for x in (language, min(1.0, windows / n))])
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - window)).cast("int") + 1
-    rows = known.withColumn("language", F.col("lang").cast("string")).join(shares, "language").where(drawn < F.col("part"))
+    rows = known.where(drawn < shares[F.col("language")])
     got = rows.select("language", F.substring("text", place, F.lit(window)).alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for row in got:
