@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import embed_dedup, langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
+from asset_catalog.llm import ann, embed_dedup, langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -46,6 +46,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, most=20)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.count_tokens(table(spark, sf_dir, "documents"), token_scan.load())
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_nearest": op6_nearest,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
