@@ -116,8 +116,8 @@ ORACLES = {
             SELECT *, (sum(words) OVER (PARTITION BY source_key ORDER BY mix_key) - words)::BIGINT AS start
             FROM g)
         SELECT doc_id, size, source_size, target,
-               (size * turns + floor(size * CASE WHEN words = 0 THEN 0 ELSE
-                   least(greatest(floor(target)::BIGINT - turns * source_size - start, 0), words)::DOUBLE / words END))::BIGINT AS taken
+               (size * turns + CASE WHEN words = 0 THEN 0 ELSE floor(
+                   size * least(greatest(floor(target)::BIGINT - turns * source_size - start, 0), words) / words) END)::BIGINT AS taken
         FROM d JOIN b USING (source_key) JOIN p USING (source_key, mix_key)""",
     "op5_embedding_dedup": """
         WITH RECURSIVE v AS (
