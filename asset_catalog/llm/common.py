@@ -71,13 +71,13 @@ def sampled(rows: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(most / count * (1 << 30)))
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch between rows into pieces of about SLICE_BYTES of the text column."""
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch between rows into pieces of about `most` bytes of the text column."""
     texts = batch.column(column)
     start = size = 0
     for i, length in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
         size += length
-        if size >= SLICE_BYTES:
+        if size >= most:
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
     if start < batch.num_rows:
