@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by inner product: a neighbour graph grown by NN-descent, and greedy search in it.
 
-Equal vectors are one node. Nodes get an extra component that brings all to one length, so the largest
-inner products are the smallest angles, and are kept as 8-bit codes with a scale; only the last ranking
-reads the vectors as they came.
+Equal vectors are one node. Nodes are kept as 8-bit codes with a scale; only the last ranking reads the
+vectors as they came. Neighbours are those of the largest inner product, so long vectors, which answer many
+queries, are neighbours of many nodes and found from everywhere.
 
 Grow: nodes fall into cells by random hyperplanes, and each takes its best partners within a cell as first
 neighbours, twice over. Then NN-descent: a neighbour's neighbour is likely a neighbour. Every round joins
@@ -72,26 +72,22 @@ def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, mark: np.ndar
 
 
 def encode(vectors: DataFrame) -> DataFrame:
-    """(node, code, scale) of (node, vector): brought to one length by an extra component, in 8 bits."""
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    longest = vectors.agg(F.max(norm)).first()[0] or 1.0
+    """(node, code, scale) of (node, vector): each component in 8 bits."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1) / longest
-            extra = np.sqrt(np.maximum(0, 1 - (rows**2).sum(axis=1)))
-            full = np.column_stack((rows, extra))
-            scale = np.abs(full).max(axis=1) / 127
-            small = np.rint(full / scale[:, None]).astype(np.int8)
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            scale = np.abs(rows).max(axis=1) / 127
+            small = np.rint(rows / scale[:, None]).astype(np.int8)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(scale.astype(np.float32))], names=["node", "code", "scale"])
 
     return vectors.select("node", "vector").mapInArrow(code, "node long, code binary, scale float")
 
 
 def first_neighbours(nodes: DataFrame, width: int, deal: int, cell_rows: int, kept: int) -> DataFrame:
-    """(node, others, scores): best partners within cells of random hyperplanes. width: bytes of a code."""
+    """(node, others, scores): best partners within cells of random hyperplanes. width: components."""
     count = nodes.count()
     planes = np.random.default_rng(100 + deal).normal(size=(width, max(0, int(np.ceil(np.log2(max(1, count) / cell_rows))))))
 
@@ -238,7 +234,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 vectors = plain(part.column(1), part.num_rows)
-                scores = vectors @ entry_vectors[:, : vectors.shape[1]].T
+                scores = vectors @ entry_vectors.T
                 most = min(expanded, scores.shape[1])
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
                 lengths = np.full(part.num_rows, most)
@@ -253,7 +249,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 sizes = np.diff(part.column(3).offsets.to_numpy())
                 near = part.column(3).flatten()
                 row = np.repeat(np.arange(part.num_rows), sizes)
-                coded = _decoded(near.field(1), near.field(2))[:, : vectors.shape[1]]
+                coded = _decoded(near.field(1), near.field(2))
                 scores = np.einsum("ij,ij->i", coded, vectors[row])
                 good = scores > least[row]
                 lengths = np.bincount(row[good], minlength=part.num_rows)
@@ -296,8 +292,10 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
     return beams.select("query", "ids", "scores")
 
 
-def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, **settings) -> DataFrame:
-    """(query_id, rank, vec_id, score): the `most` nearest found for every row where is_query holds."""
+def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, growing: dict | None = None, searching: dict | None = None, ranked: int = RANKED) -> DataFrame:
+    """(query_id, rank, vec_id, score): the `most` nearest found for every row where is_query holds.
+
+    growing and searching: settings of grow_graph and search; ranked: nodes of a beam that are ranked exactly."""
     one = embeddings.where(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("embedding").alias("vector"))
     able = stored(one.where(usable(F.col("vector"))).withColumn("length", F.size("vector")), "ann-vectors")
     lengths = able.groupBy("length").count().orderBy(F.desc("count"), "length").first()
@@ -307,11 +305,11 @@ def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, **settings)
     vectors = stored(nodes_of, "ann-nodes")
     nodes = stored(encode(vectors), "ann-codes")
     queries = stored(able.where(is_query).join(vectors, "vector").select(F.col("vec_id").alias("query"), "vector", F.col("node").alias("own")), "ann-queries")
-    state = grow_graph(nodes, length + 1, **settings)
-    beams = search(queries, nodes, adjacency(nodes, state))
+    state = grow_graph(nodes, length, **(growing or {}))
+    beams = search(queries, nodes, adjacency(nodes, state), **(searching or {}))
 
     # The nearest nodes in double precision, then the rows that share their vectors, `most` and the query's own at most.
-    best = F.slice(F.col("ids"), 1, RANKED)
+    best = F.slice(F.col("ids"), 1, ranked)
     pairs = beams.select("query", F.explode(best).alias("node")).join(queries.select("query", "vector"), "query")
     by_id = Window.partitionBy("vector").orderBy("vec_id")
     alike = able.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= most + 1).select("vec_id", "vector")
