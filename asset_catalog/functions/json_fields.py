@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The JSON texts of values that count as "nothing given".
@@ -19,8 +19,10 @@ def parse_object(raw: Column) -> Column:
     """The parsed text, or null when the text is not exactly one JSON object.
 
     Spark's parser stops after the first value. Wrapping the text in brackets makes anything
-    that follows an error or a second element.
+    that follows an error or a second element. Of a key given twice the last value counts, for
+    which the session's setting is changed.
     """
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
     values = F.array(F.try_variant_get(wrapped, "$", "array<variant>"))
     single = F.transform(values, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
@@ -71,14 +73,36 @@ def set_and_drop(parsed: Column, new: Mapping[str, Column], drop: Iterable[str]
 def blank(json: Column, fields: Iterable[str]) -> Column:
     """JSON text as Spark writes it, with null in place of the fields' values at any depth.
 
-    A quotation mark inside a text is written with a backslash, so only real fields match.
+    A quotation mark inside a text is written with a backslash, so only real fields match. Texts
+    that do not hold a field's name are not searched.
     """
     for field in fields:
         value = r'(?:"(?:[^"\\]++|\\.)*+"|[-+0-9.eE]++|true|false)'
-        json = F.regexp_replace(json, rf'(?<!\\)"{re.escape(field)}":{value}', f'"{field}":null')
+        plain = F.regexp_replace(json, rf'(?<!\\)"{re.escape(field)}":{value}', f'"{field}":null')
+        held = F.contains(json, F.lit(f'"{field}":'))
+        json = F.when(held, _blank_nested(plain, field)).otherwise(json)
     return json
 
 
+def _blank_nested(json: Column, field: str) -> Column:
+    """The same for values that are arrays or objects, which may hold the field again.
+
+    The text is cut behind each such field and put together from its end: what stands behind a
+    cut is then free of the field, and starts with the value. Parsing takes one value and
+    leaves what follows, so the length of the parsed value's text tells where the rest starts.
+    """
+    nested = rf'(?<!\\)"{re.escape(field)}":(?=[\[{{])'
+
+    def without_value(rest: Column, part: Column) -> Column:
+        text = F.concat(part, rest)
+        value = F.to_json(F.try_parse_json(text))
+        return F.concat(F.lit(f'"{field}":null'), F.substring(text, F.length(value) + 1, F.length(text)))
+
+    parts = F.split(json, nested)
+    tail = F.aggregate(F.reverse(F.slice(parts, F.lit(2), F.size(parts))), F.lit(""), without_value)
+    return F.when(json.rlike(nested), F.concat(F.get(parts, F.lit(0)), tail)).otherwise(json)
+
+
 def redact(parsed: Column, secrets: Iterable[str] = SECRET_FIELDS) -> Column:
     """JSON text of the object without its secret fields, which embedded objects keep as null."""
     return set_and_drop(parsed, {}, secrets)

@@ -13,8 +13,6 @@ from asset_catalog.schemas import ConfigError
 
 # Characters tried as the mark between pieces of a text; one that no key contains is used.
 _MARKS = [chr(code) for code in range(1, 9)]
-# Below this many keys a scan of one map is as fast as choosing a bucket first.
-_ONE_BUCKET = 256
 
 
 def clean_mapping(pairs: Mapping[str, str] | Iterable[tuple[str, str]] | None) -> dict[str, str]:
@@ -62,10 +60,8 @@ def _quoted(char: str) -> str:
 
 
 def _lookup(part: Column, mapping: dict[str, str]) -> Column:
-    """Value of ``part`` in the mapping. Map literals are searched linearly, so a large mapping
+    """Value of ``part`` in the mapping. Map literals are searched linearly, so the mapping
     is cut into many short maps and the one to search is chosen by checksum."""
-    if len(mapping) <= _ONE_BUCKET:
-        return F.element_at(F.from_json(F.lit(json.dumps(mapping)), "map<string,string>"), part)
     count = 2 * len(mapping)
     buckets: list[dict[str, str]] = [{} for _ in range(count)]
     for key, value in mapping.items():

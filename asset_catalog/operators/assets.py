@@ -21,6 +21,12 @@ def source_key(key: Column, name: Column) -> Column:
     return F.concat_ws("/", key, name)
 
 
+def changed_at(updated_at: Column) -> Column:
+    """The time in a text of any precision and offset; null when it is none. Texts cannot be
+    compared: a whole second sorts after its fractions, and offsets do not sort at all."""
+    return F.try_to_timestamp(updated_at)
+
+
 def _usable(parsed: Column, kind: Kind) -> Column:
     return (
         parsed.isNotNull()
@@ -39,32 +45,43 @@ def read_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFram
     """
     kind = kind_of(kind)
     kept = F.filter(F.array(parse_object(F.col(raw))), lambda parsed: _usable(parsed, kind))
+    return rows.withColumn("parsed", F.explode(kept)).select("*", *_fields(kind))
+
+
+def _fields(kind: Kind) -> list[Column]:
     parsed = F.col("parsed")
     key, name = text_field(parsed, kind.key_field), text_field(parsed, "name")
-    return rows.withColumn("parsed", F.explode(kept)).select(
-        "*",
+    return [
         key.alias("asset_key"),
         name.alias("name"),
         source_key(key, name).alias("source_key"),
         F.try_variant_get(parsed, "$.tags", "array<string>").alias("tags"),
         text_field(parsed, "updated_at").alias("updated_at"),
-    )
+    ]
 
 
-def quarantine(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
-    """Rows that :func:`read_assets` leaves out, with the reason."""
+def classify_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
+    """All rows, parsed once: the columns of :func:`read_assets`, and ``reason``, which is null for
+    readable ones and else what :func:`quarantine` says. To be written before it is filtered."""
     kind = kind_of(kind)
+    parsed = rows.withColumn("parsed", F.explode(F.array(parse_object(F.col(raw)))))
+    return parsed.select("*", *_fields(kind), _reason(F.col("parsed"), raw, kind).alias("reason"))
+
+
+def _reason(parsed: Column, raw: str, kind: Kind) -> Column:
     long = F.length(raw) > LONGEST_TEXT
+    return (
+        F.when(parsed.isNull() & long, "not one JSON object or too long for one")
+        .when(parsed.isNull(), "not one JSON object")
+        .when(text_field(parsed, "name").isNull(), "no name")
+        .when(text_field(parsed, kind.key_field).isNull(), f"no {kind.key_field}")
+    )
 
-    def reason(parsed: Column) -> Column:
-        return (
-            F.when(parsed.isNull() & long, "not one JSON object or too long for one")
-            .when(parsed.isNull(), "not one JSON object")
-            .when(text_field(parsed, "name").isNull(), "no name")
-            .when(text_field(parsed, kind.key_field).isNull(), f"no {kind.key_field}")
-        )
 
-    found = F.transform(F.array(parse_object(F.col(raw))), reason)
+def quarantine(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
+    """Rows that :func:`read_assets` leaves out, with the reason."""
+    kind = kind_of(kind)
+    found = F.transform(F.array(parse_object(F.col(raw))), lambda parsed: _reason(parsed, raw, kind))
     return rows.withColumn("reason", F.explode(F.filter(found, lambda why: why.isNotNull())))
 
 
@@ -90,8 +107,23 @@ def run_counts(rows: DataFrame, selected: Column) -> DataFrame:
     )
 
 
+def page_after(rows: DataFrame, order: Sequence[str], last: Sequence | None, size: int) -> DataFrame:
+    """The page that follows the row whose ``order`` columns are ``last``, the first one for None.
+
+    The rows before it are passed by in the scan, so a deep page costs no more than the first:
+    each task hands on ``size`` rows at most. ``order`` must tell rows apart and hold no nulls.
+    """
+    if last is not None:
+        beyond = F.lit(False)
+        for column, value in reversed(list(zip(order, last, strict=True))):
+            beyond = (F.col(column) > F.lit(value)) | ((F.col(column) == F.lit(value)) & beyond)
+        rows = rows.where(beyond)
+    return rows.orderBy(*order).limit(size)
+
+
 def page(rows: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
-    """Page ``number`` (from 1) of the rows in the given order."""
+    """Page ``number`` (from 1) of the rows in the given order, for the first few pages: all rows
+    before it meet in one task. ``page_after`` goes on from any row."""
     return rows.orderBy(*order).offset((number - 1) * size).limit(size)
 
 

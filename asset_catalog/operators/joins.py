@@ -3,53 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys can.
-HOT_SHARE = 1 / 1000
 
-
-def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: never more than ``1 / share`` keys.
-
-    Counting is partial before the shuffle, so the hot keys themselves cost nothing here.
-    """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows"))
-    return counts.where(F.col("_rows") > total.scalar() * share).select(key)
-
-
-def join_each(
-    rows: DataFrame,
-    unique: DataFrame,
-    key: str,
-    how: str = "left",
-    *,
-    counted: DataFrame | None = None,
-    share: float = HOT_SHARE,
-) -> DataFrame:
+def join_each(rows: DataFrame, unique: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join ``rows`` to ``unique`` on ``key``; ``unique`` has no key twice.
 
-    ``how`` is 'left', 'inner' or 'left_semi'. Rows of hot keys are joined where they are to a
-    broadcast table of their matches, which has at most ``1 / share`` rows whatever the size
-    of the data, and rows without a key need no join; only the rest is shuffled. However many
-    rows, or copies of one row, share a key, they never meet in one task.
-
-    ``counted`` may give the rows as they were before other joins or filters, where counting
-    their keys is cheaper.
+    ``how`` is 'left', 'inner' or 'left_semi'. Both sides are read and moved once. In these three
+    joins Spark may split the partition of a key that holds most of the rows, and it does so when
+    it has seen the partitions' sizes; rows without a key, which a left join keeps, are split alike.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join: {how!r}")
-    hot = hot_keys(rows if counted is None else counted, key, share)
-    matches = unique.join(F.broadcast(hot), key, "left_semi")
-    if how == "left":
-        matches = hot.join(F.broadcast(matches), key, "left")
-    columns = list(dict.fromkeys([*rows.columns, *(unique.columns if how != "left_semi" else [])]))
-    held = rows.where(F.col(key).isNotNull())
-    at_hot = held.join(F.broadcast(matches), key, "inner" if how == "left" else how)
-    others = held.join(F.broadcast(hot), key, "left_anti").join(unique, key, how)
-    joined = at_hot.select(columns).unionByName(others.select(columns))
-    if how == "left":
-        keyless = rows.where(F.col(key).isNull())
-        joined = joined.unionByName(keyless, allowMissingColumns=True)
-    return joined
+    return rows.join(unique, key, how)

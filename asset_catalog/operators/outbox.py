@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asset_catalog.operators.payloads import (
     dashboard_payload,
@@ -21,17 +22,15 @@ from asset_catalog.operators.payloads import (
 from asset_catalog.operators.relate import attach_parent_id, remap_visualization_ids, succeeded
 from asset_catalog.schemas import (
     OUTBOX,
+    KINDS,
     RESPONSES,
     STEP_DASHBOARD,
+    STEP_DELETE,
     STEP_QUERY,
     STEP_VISUALIZATION,
     STEP_WIDGET,
-    Kind,
-    kind_of,
 )
-
-# Messages of one asset put into one row by collect_status at most.
-MESSAGES_PER_ROW = 1000
+from asset_catalog.sources.landed import read_json_lines
 
 
 def _requests(rows: DataFrame, step: int, path: str, body: Column, source_key: Column) -> DataFrame:
@@ -72,7 +71,7 @@ def widget_requests(
     """Requests for the widgets of dashboards that were created, with the new chart ids."""
     present = widgets.where("widget IS NOT NULL")
     ready = remap_visualization_ids(present, id_map)
-    ready = attach_parent_id(ready, dashboard_responses, counted=present)
+    ready = attach_parent_id(ready, dashboard_responses)
     body = widget_payload(F.col("widget"), F.col("parent_id"), F.col("new_viz_id"))
     return _requests(ready, STEP_WIDGET, "widgets", body, child_key())
 
@@ -81,11 +80,19 @@ def build_outbox(*requests: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, requests)
 
 
-def build_delete_outbox(selected: DataFrame, kind: str | Kind) -> DataFrame:
-    """One DELETE per selected object of the target service."""
-    path = F.concat(F.lit(kind_of(kind).collection + "/"), F.col("id"))
-    return selected.select(
-        F.lit(1).alias("step"),
+def _by_kind(values: dict[str, object]) -> Column:
+    """The value for the row's kind; null for any other kind."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("kind")]
+
+
+def build_delete_outbox(selected: DataFrame) -> DataFrame:
+    """One DELETE per selected object of the target service, where its own ``kind`` says.
+
+    Rows of a kind that the service does not know are left out."""
+    known = selected.where(F.col("kind").isin(*KINDS))
+    path = F.concat_ws("/", _by_kind({name: kind.collection for name, kind in KINDS.items()}), "id")
+    return known.select(
+        _by_kind(STEP_DELETE).alias("step"),
         F.lit("DELETE").alias("method"),
         path.alias("path"),
         F.lit(None).cast("string").alias("body"),
@@ -93,9 +100,38 @@ def build_delete_outbox(selected: DataFrame, kind: str | Kind) -> DataFrame:
     )
 
 
+_BAD = "_bad"
+
+
+def _response(lines: DataFrame) -> DataFrame:
+    schema = T.StructType([*RESPONSES.fields, T.StructField(_BAD, T.StringType())])
+    parsed = F.from_json("raw", schema, {"columnNameOfCorruptRecord": _BAD})
+    return lines.withColumn("response", parsed)
+
+
+def _whole() -> Column:
+    found = F.col("response")
+    return F.coalesce(found[_BAD].isNull() & found["step"].isNotNull() & found["source_key"].isNotNull(), F.lit(False))
+
+
+def response_rows(lines: DataFrame) -> DataFrame:
+    """Responses of landed lines, with the time of their landing where lines tell it."""
+    landed = [c for c in ["landed_at"] if c in lines.columns]
+    good = _response(lines).where(_whole())
+    return good.select(*[F.col(f"response.{name}").alias(name) for name in RESPONSES.names], *landed)
+
+
+def rejected_responses(lines: DataFrame) -> DataFrame:
+    """Lines that are no response: cut ones, and those that do not say what they answer."""
+    bad = _response(lines).where(~_whole())
+    cut = F.col("response").isNull() | F.col(f"response.{_BAD}").isNotNull()
+    return bad.select("raw", F.when(cut, "not one JSON object").otherwise("no step or source key").alias("reason"))
+
+
 def read_responses(spark, path: str) -> DataFrame:
-    """Responses landed by the sender, one JSON object per line."""
-    return spark.read.schema(RESPONSES).json(path)
+    """Responses landed by the sender, one JSON object per line; what is none of them is in
+    ``rejected_responses`` of the same lines."""
+    return response_rows(read_json_lines(spark, path))
 
 
 def write_outbox(outbox: DataFrame, path: str) -> None:
@@ -104,8 +140,10 @@ def write_outbox(outbox: DataFrame, path: str) -> None:
 
 
 def _answers(responses: DataFrame, step: int) -> DataFrame:
-    """One answer per source key of a step: a success if there was any."""
-    best = F.max(F.struct(succeeded(F.col("status")).alias("good"), "new_id", "message"))
+    """One answer per source key of a step: a success if there was any, the last to land."""
+    landed = [c for c in ["landed_at"] if c in responses.columns]
+    good = succeeded(F.col("status")).alias("good")
+    best = F.max(F.struct(good, *landed, F.length("new_id").alias("digits"), "new_id", "message"))
     found = responses.where(F.col("step") == step).groupBy("source_key").agg(best.alias("best"))
     return found.select("source_key", "best.good", "best.new_id", F.col("best.message").alias("why"))
 
@@ -148,6 +186,29 @@ def _messages(said: DataFrame, step: int, pos: Column) -> DataFrame:
     )
 
 
+def delete_messages(selected: DataFrame, responses: DataFrame) -> DataFrame:
+    """What became of each object that was to be deleted: (source_key, step, pos, message)."""
+    known = selected.where(F.col("kind").isin(*KINDS))
+    asked = known.select(F.col("id").alias("source_key"), "kind", "name", _by_kind(STEP_DELETE).alias("step"))
+    good = F.bool_or(succeeded(F.col("status"))).alias("good")
+    answers = responses.groupBy("step", "source_key").agg(good, F.max("message").alias("why"))
+    what = F.concat_ws(" ", F.col("kind"), F.coalesce("name", F.lit("")), F.concat(F.lit("("), "source_key", F.lit(")")))
+    bad = F.concat(F.lit("failed to delete "), what, F.lit(": "), F.coalesce("why", F.lit("no reason given")))
+    return asked.distinct().join(answers, ["step", "source_key"]).select(
+        "source_key",
+        "step",
+        F.lit(0).alias("pos"),
+        F.when(F.col("good"), F.concat(F.lit("deleted "), what)).otherwise(bad).alias("message"),
+    )
+
+
+def answer_counts(responses: DataFrame) -> DataFrame:
+    """How many requests of each step were answered with success, and how many were not at all:
+    (step, succeeded, failed). A request that was sent again counts once."""
+    one = responses.groupBy("step", "source_key").agg(F.bool_or(succeeded(F.col("status"))).alias("good"))
+    return one.groupBy("step").agg(F.count_if("good").alias("succeeded"), F.count_if(~F.col("good")).alias("failed"))
+
+
 def no_chart_messages(charts: DataFrame) -> DataFrame:
     """A message for each query that has no charts; such queries are created all the same."""
     return charts.where("pos IS NULL").select(
@@ -158,16 +219,10 @@ def no_chart_messages(charts: DataFrame) -> DataFrame:
     )
 
 
-def collect_status(messages: DataFrame, per_row: int = MESSAGES_PER_ROW) -> DataFrame:
-    """Messages per asset in the order of steps, as (source_key, part, messages).
+def collect_status(messages: DataFrame) -> DataFrame:
+    """The messages of all assets, one row each: (source_key, step, pos, message).
 
-    An asset has one row unless more than ``per_row`` children; their messages then go on in
-    further parts, so that no group grows with the size of an asset. A message that comes
-    more than once, because an asset did, is kept once.
+    A message that comes more than once, because an asset did, is kept once. Rows stay rows, so
+    no asset's messages meet in one cell; ``step`` and ``pos`` give their order.
     """
-    ordered = F.array_sort(F.collect_set(F.struct("step", "pos", "message")))
-    return (
-        messages.withColumn("part", F.floor(F.col("pos") / per_row).cast("int"))
-        .groupBy(F.col("parent_key").alias("source_key"), "part")
-        .agg(F.transform(ordered, lambda said: said["message"]).alias("messages"))
-    )
+    return messages.select(F.col("parent_key").alias("source_key"), "step", "pos", "message").distinct()

@@ -18,7 +18,8 @@ _WITH_NULLS = {"ignoreNullFields": "false"}
 
 
 def _body(*fields: Column) -> Column:
-    return F.to_json(F.struct(*fields), _WITH_NULLS)
+    """The body without secrets, which an export's options and embedded objects may hold."""
+    return blank(F.to_json(F.struct(*fields), _WITH_NULLS), SECRET_FIELDS)
 
 
 def _marked_tags(tags: Column, marker: str) -> Column:
@@ -52,9 +53,9 @@ def visualization_payload(chart: Column, query_id: Column) -> Column:
 
 
 def dashboard_payload(parsed: Column, marker: str) -> Column:
-    """Body that creates a dashboard. Queries embedded in its widgets lose their secrets."""
+    """Body that creates a dashboard."""
     no_widgets = F.parse_json(F.lit("[]"))
-    body = _body(
+    return _body(
         text_field(parsed, "name").alias("name"),
         member(parsed, "layout").alias("layout"),
         member(parsed, "dashboard_filters_enabled").alias("dashboard_filters_enabled"),
@@ -63,7 +64,6 @@ def dashboard_payload(parsed: Column, marker: str) -> Column:
         member(parsed, "is_draft").alias("is_draft"),
         _marked_tags(F.try_variant_get(parsed, "$.tags", "array<string>"), marker).alias("tags"),
     )
-    return blank(body, SECRET_FIELDS)
 
 
 def widget_payload(widget: Column, dashboard_id: Column, visualization_id: Column) -> Column:

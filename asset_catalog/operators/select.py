@@ -43,20 +43,26 @@ def updated(column: str = "updated_at") -> Column:
     return F.when(text.rlike(_DATE_TIME), text.try_cast("timestamp_ntz"))
 
 
-def filter_modified_since(rows: DataFrame, date: str | None) -> DataFrame:
-    """Assets updated on or after midnight of the date; all assets when none is given."""
-    if not date:
-        return rows
+def modified_since(date: str) -> Column:
+    """Updated on or after midnight of the date; null where that cannot be told."""
     try:
         since = datetime.strptime(date, "%Y-%m-%d")
     except ValueError:
         raise ConfigError(f"date must look like 2021-11-01, not {date!r}") from None
-    return rows.where(updated() >= F.lit(since.isoformat()).cast("timestamp_ntz"))
+    return updated() >= F.lit(since.isoformat()).cast("timestamp_ntz")
+
+
+def filter_modified_since(rows: DataFrame, date: str | None) -> DataFrame:
+    """Assets updated on or after midnight of the date; all assets when none is given."""
+    return rows.where(modified_since(date)) if date else rows
+
+
+UNDATED = "no readable updated_at"
 
 
 def undated(rows: DataFrame) -> DataFrame:
     """Assets that a date filter cannot judge, with the reason."""
-    return rows.where(updated().isNull()).withColumn("reason", F.lit("no readable updated_at"))
+    return rows.where(updated().isNull()).withColumn("reason", F.lit(UNDATED))
 
 
 def filter_names(rows: DataFrame, mode: str, names: Sequence[str] | DataFrame = ()) -> DataFrame:
@@ -102,11 +108,12 @@ def select_all(rows: DataFrame, *, confirm: bool = False) -> DataFrame:
 
 
 def expand_by_name(rows: DataFrame, chosen: Column) -> DataFrame:
-    """Every object that shares its name with a chosen one.
+    """Every object that shares its name, and its kind where rows tell it, with a chosen one.
 
     Deletion goes by name, so objects that were not chosen themselves are included; they are
     marked ``collateral``.
     """
+    keys = [c for c in ["kind", "name"] if c in rows.columns]
     marked = rows.withColumn("collateral", ~F.coalesce(chosen, F.lit(False)))
-    names = marked.where(~F.col("collateral")).select("name").distinct()
-    return join_each(marked, names, "name", "left_semi")
+    names = marked.where(~F.col("collateral")).select(*keys).distinct()
+    return marked.join(names, keys, "left_semi")

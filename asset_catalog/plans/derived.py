@@ -6,6 +6,8 @@ from several rows, so no asset grows with a frequent key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# A scan of at least this many splits is not shuffled for the sake of idle cores.
-_MANY_SPLITS = 64
-
-
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to work on. The rows of a small table, which are in one
-    file and so would be worked on by one core, are spread over the cores."""
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    few = rows.rdd.getNumPartitions() < min(2 * cores, _MANY_SPLITS)
-    return rows.repartition(cores) if few else rows
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to work on, dealt by its key, whatever its files are like."""
+    return table(spark, sf_dir, name).repartition(F.col(key))
 
 
 def text(column: str | Column) -> Column:
@@ -40,7 +34,7 @@ def iso(time: str) -> Column:
 def query_text() -> Column:
     """SQL of the query of an order; its table may be one of NATION_0 to NATION_29."""
     return F.concat(
-        F.lit("SELECT Sum(Total) AS \"Größe\", strpos(Note, 'X')\nFROM Parquet_Parquet.OldTable t, NATION_"),
+        F.lit("SELECT Sum(Total) AS \"Größe\", strpos(Note, 'X')\nFROM Raw_Zone.OrdersV1 t, NATION_"),
         text(F.pmod("o_custkey", F.lit(30))),
         F.lit(" WHERE Key = "),
         text("o_custkey"),
@@ -62,8 +56,19 @@ def _charts() -> Column:
     return F.when(F.col("o_orderpriority") != "5-LOW", charts)
 
 
-def queries(spark: SparkSession, sf_dir: str, hash_of: str = "o_orderkey") -> DataFrame:
-    """One saved query per order as JSON text in ``raw``; ``hash_of`` is what identifies it."""
+def mixed_iso(time: str) -> Column:
+    """The same in several precisions and offsets: open orders in an offset of five hours,
+    finished ones in whole seconds."""
+    ahead = F.date_format(F.col(time) + F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSS'+05:00'")
+    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.when(F.col("o_orderstatus") == "O", ahead).when(F.col("o_orderstatus") == "F", whole).otherwise(iso(time))
+
+
+def queries(
+    spark: SparkSession, sf_dir: str, hash_of: str = "o_orderkey", written: Callable[[str], Column] = iso
+) -> DataFrame:
+    """One saved query per order as JSON text in ``raw``; ``hash_of`` is what identifies it, and
+    ``written`` how its time is written."""
     untagged = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
     textless = (F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "P")
     tags = F.array("o_orderpriority", F.concat(F.lit("s_"), "o_orderstatus"))
@@ -84,14 +89,14 @@ def queries(spark: SparkSession, sf_dir: str, hash_of: str = "o_orderkey") -> Da
         F.concat(F.lit("secret-"), text("o_orderkey")).alias("api_key"),
         F.col("o_totalprice").alias("runtime"),
         F.lit(False).alias("is_draft"),
-        iso("o_orderdate").alias("updated_at"),
+        written("o_orderdate").alias("updated_at"),
         _charts().alias("visualizations"),
     )
-    return spread_table(spark, sf_dir, "orders").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
+    return spread_table(spark, sf_dir, "orders", "o_orderkey").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
 
 
 def landed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with one line in some combinations cut short, nameless or given twice over."""
+    """The same with one line in some combinations cut short, without name or hash, or given twice over."""
     raw = F.col("raw")
     low = raw.contains('"5-LOW"')
     medium = raw.contains('"3-MEDIUM"')
@@ -99,6 +104,7 @@ def landed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = (
         F.when(low & finished, F.substring(raw, 1, 60))
         .when(medium & finished, F.regexp_replace(raw, '"name":"q_[0-9]+",', ""))
+        .when(raw.contains('"2-HIGH"') & finished, F.regexp_replace(raw, '"query_hash":"[0-9a-f]+",', ""))
         .when(raw.contains('"1-URGENT"') & finished, F.concat(raw, raw))
         .otherwise(raw)
     )
@@ -107,7 +113,10 @@ def landed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _widgets() -> Column:
     def widget(j: Column) -> Column:
-        key = F.concat(F.lit('secret-"'), text("c_custkey")).alias("api_key")
+        plain = F.concat(F.lit('secret-"'), text("c_custkey"))
+        listed = F.parse_json(F.to_json(F.array(plain, plain)))
+        nested = F.parse_json(F.to_json(F.struct(F.array(F.struct(plain.alias("api_key"))).alias("api_key"), plain.alias("k"))))
+        key = F.when(j == 2, listed).when(j == 4, nested).otherwise(plain.cast("variant")).alias("api_key")
         chart = F.struct(
             (F.col("c_custkey") * 10 + j).alias("id"),
             F.lit("TABLE").alias("type"),
@@ -141,7 +150,35 @@ def dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("2024-01-"), day, F.lit("T00:00:00.000Z")).alias("updated_at"),
         _widgets().alias("widgets"),
     )
-    return spread_table(spark, sf_dir, "customer").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
+    return spread_table(spark, sf_dir, "customer", "c_custkey").select(F.to_json(fields, _WITH_NULLS).alias("raw"))
+
+
+def whole_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of both kinds, with equal ids and names: a dashboard for each customer as well."""
+    dashboards = table(spark, sf_dir, "customer").select(
+        F.lit("dashboard").alias("kind"),
+        text("c_custkey").alias("id"),
+        F.concat(F.lit("q_"), text("c_custkey")).alias("name"),
+        F.array("c_mktsegment").alias("tags"),
+    )
+    return inventory(spark, sf_dir).unionByName(dashboards)
+
+
+def delete_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to the deletion of all of them; pending orders and one segment fail."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.lit(5).alias("step"), text("o_orderkey").alias("source_key"), (F.col("o_orderstatus") == "P").alias("bad")
+    )
+    customers = table(spark, sf_dir, "customer").select(
+        F.lit(6).alias("step"), text("c_custkey").alias("source_key"), (F.col("c_mktsegment") == "MACHINERY").alias("bad")
+    )
+    return orders.unionByName(customers).select(
+        "step",
+        "source_key",
+        F.when(F.col("bad"), 404).otherwise(200).alias("status"),
+        F.lit(None).cast("string").alias("new_id"),
+        F.when(F.col("bad"), "in use").alias("message"),
+    )
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,13 +11,20 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
 from asset_catalog.functions.json_fields import SECRET_FIELDS, parse_object
 from asset_catalog.operators import outbox
-from asset_catalog.operators.assets import latest_per_key, quarantine, read_assets, source_key
+from asset_catalog.operators.assets import (
+    changed_at,
+    classify_assets,
+    latest_per_key,
+    quarantine,
+    read_assets,
+    source_key,
+)
 from asset_catalog.operators.catalog import project_catalog, stage
 from asset_catalog.operators.relate import (
     build_id_map,
@@ -28,11 +35,15 @@ from asset_catalog.operators.relate import (
 from asset_catalog.operators.rewrite import rewrite_object, rewrite_query
 from asset_catalog.operators.select import (
     chosen_for_delete,
+    UNDATED,
     expand_by_name,
     filter_modified_since,
     filter_tags,
+    has_tag,
+    modified_since,
     select_for_upload,
     undated,
+    updated,
 )
 from asset_catalog.schemas import (
     STEP_DASHBOARD,
@@ -43,7 +54,13 @@ from asset_catalog.schemas import (
     kind_of,
 )
 from asset_catalog.sources.exports import write_asset_files, write_keyed_json
-from asset_catalog.sources.landed import read_json_lines, read_keyed_json
+from asset_catalog.sources.landed import (
+    keyed_rows,
+    read_export,
+    read_json_lines,
+    read_keyed_json,
+    unreadable_objects,
+)
 from asset_catalog.sources.scratch import written_once
 from asset_catalog.sources.tables import read_catalog, upsert_catalog
 
@@ -73,11 +90,17 @@ def land(
     kind: str | Kind,
     choice: Choice = Choice(),
     detail: DataFrame | None = None,
-) -> None:
-    """Chosen assets of a listing, with their full objects where given, as landed lines."""
+) -> str:
+    """Chosen assets of a listing, with their full objects where given, as landed lines.
+
+    Returns the path of what could not be read, (raw, reason), which is beside the landed ones."""
     if detail is not None:
         listing = enrich_with_detail(listing, detail, "object_key")
-    write_asset_files(choice.of(read_assets(listing, kind)), path)
+    found = written_once(classify_assets(listing.select("raw"), kind), "listed")
+    rejected = f"{path.rstrip('/')}-rejected/{uuid.uuid4().hex}"
+    found.where("reason IS NOT NULL").select("raw", "reason").write.parquet(rejected)
+    write_asset_files(choice.of(found.where("reason IS NULL")), path)
+    return rejected
 
 
 def catalog_rows(
@@ -85,15 +108,22 @@ def catalog_rows(
     kind: str | Kind,
     choice: Choice = Choice(),
     mappings: Mappings = Mappings(),
-    as_of: datetime | None = None,
+    as_of: datetime | Column | None = None,
 ) -> DataFrame:
     """Landed lines as catalog rows: the last state of each chosen asset, queries rewritten.
 
-    Of states changed at the same time the one that landed last counts.
+    The last is that of the latest ``updated_at`` as a time; of states changed at the same time
+    the one that landed last counts.
     """
-    kind = kind_of(kind)
-    order = ["updated_at", *[c for c in ["landed_at"] if c in lines.columns], "tie"]
     assets = choice.of(read_assets(lines, kind)).withColumn("tie", F.xxhash64("raw"))
+    return _catalog_rows(assets, kind_of(kind), mappings, as_of)
+
+
+def _catalog_rows(
+    assets: DataFrame, kind: Kind, mappings: Mappings, as_of: datetime | Column | None
+) -> DataFrame:
+    order = ["changed", *[c for c in ["landed_at"] if c in assets.columns], "tie"]
+    assets = assets.withColumn("changed", changed_at(F.col("updated_at")))
     columns = ["asset_key", "name", "parsed", *order]
     last = latest_per_key(assets.select(columns), ["asset_key", "name"], order)
     if kind.name == "query":
@@ -133,29 +163,59 @@ def import_lines(
     mappings: Mappings = Mappings(),
     as_of: datetime | None = None,
 ) -> tuple[str, str]:
+    """The same of lines. They are read and parsed once: what is found is written with the
+    reason against it, and good and rejected ones are then taken from there."""
     kind, run = kind_of(kind), uuid.uuid4().hex
+    scratch = f"{config.catalog_root}/staged"
+    found = classify_assets(lines, kind).withColumn("tie", F.xxhash64("raw"))
+    wanted = has_tag(choice.tags) if choice.tags else F.lit(True)
+    undatable = F.when(F.lit(bool(choice.since)) & wanted & updated().isNull(), UNDATED)
+    found = found.withColumn("reason", F.coalesce("reason", undatable))
+    kept_raw = F.when(F.col("reason").isNotNull(), F.col("raw"))
+    found = written_once(found.withColumn("raw", kept_raw), f"landed-{kind.collection}", scratch)
+
     rejected = f"{config.catalog_root}/rejected/{kind.collection}/{run}"
-    rejected_rows(lines, kind, choice).write.parquet(rejected)
-    rows = catalog_rows(lines, kind, choice, mappings, as_of)
-    staged = written_once(rows, f"staged-{kind.collection}", f"{config.catalog_root}/staged")
+    found.where("reason IS NOT NULL").select("raw", "reason").write.parquet(rejected)
+    rows = _catalog_rows(choice.of(found.where("reason IS NULL")), kind, mappings, as_of)
+    staged = written_once(rows, f"staged-{kind.collection}", scratch)
     return upsert_catalog(stage(staged, f"staged_{kind.table}"), config, kind), rejected
 
 
+def run_report(lines: DataFrame, kind: str | Kind, choice: Choice = Choice()) -> DataFrame:
+    """What a run over landed lines does, as (outcome, n): 'imported' for chosen assets, 'not
+    chosen' for the other readable ones, else the reason of the rejection. One pass."""
+    kind = kind_of(kind)
+    found = classify_assets(lines, kind)
+    wanted = has_tag(choice.tags) if choice.tags else F.lit(True)
+    undatable = F.when(F.lit(bool(choice.since)) & wanted & updated().isNull(), UNDATED)
+    since = modified_since(choice.since) if choice.since else F.lit(True)
+    chosen = F.when(wanted & F.coalesce(since, F.lit(False)), "imported").otherwise("not chosen")
+    outcome = F.coalesce("reason", undatable, chosen)
+    return found.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def clean_export(
     spark: SparkSession,
     source: str,
     path: str,
     mappings: Mappings,
     secrets: Iterable[str] = SECRET_FIELDS,
+    documents_out: int = 1,
 ) -> DataFrame:
-    """Rewrite the queries of an export and write it to another path; returns the entries
-    that are no JSON objects and so were left out."""
-    entries = read_keyed_json(spark, source)
-    parsed = F.explode(F.filter(F.array(parse_object(F.col("raw"))), lambda p: p.isNotNull()))
-    rows = entries.select("object_key", parsed.alias("parsed"))
+    """Rewrite the queries of an export and write it to another path; returns what was left out,
+    (object_key, raw): entries that are no JSON objects, and documents that are none, without key."""
+    documents = read_export(spark, source)
+    entries = keyed_rows(documents).withColumn("parsed", F.explode(F.array(parse_object(F.col("raw")))))
+    broken = unreadable_objects(documents).select(
+        F.lit(None).cast("string").alias("object_key"),
+        F.col("value").alias("raw"),
+        F.lit(None).cast("variant").alias("parsed"),
+    )
+    found = written_once(entries.select("object_key", "raw", "parsed").unionByName(broken), "export")
+    rows = found.where("parsed IS NOT NULL").drop("raw")
     moved = rewrite_object(rewrite_query(rows, mappings.tables, mappings.functions), drop=secrets)
-    write_keyed_json(moved.select("object_key", F.col("object").alias("raw")), path)
-    return entries.where(parse_object(F.col("raw")).isNull())
+    write_keyed_json(moved.select("object_key", F.col("object").alias("raw")), path, documents_out)
+    return found.where("parsed IS NULL").drop("parsed")
 
 
 def catalog_assets(spark: SparkSession, config: Config, kind: str | Kind) -> DataFrame:
@@ -200,12 +260,13 @@ class Upload:
         data_source_id: str,
         mode: str = "ALL",
         tags: Sequence[str] = (),
-        names: Sequence[str] = (),
+        query_names: Sequence[str] = (),
+        dashboard_names: Sequence[str] = (),
     ) -> Upload:
-        """Upload what is chosen from the catalog."""
+        """Upload what is chosen from the catalog; queries and dashboards have names of their own."""
         chosen = [
             select_for_upload(catalog_assets(spark, config, kind), mode, tags, names)
-            for kind in ("query", "dashboard")
+            for kind, names in (("query", query_names), ("dashboard", dashboard_names))
         ]
         return cls(*chosen, data_source_id, config.marker_tag, f"{config.catalog_root}/staged")
 
@@ -241,6 +302,10 @@ class Upload:
         ]
         return outbox.collect_status(outbox.build_outbox(*said))
 
+    def counts(self, responses: DataFrame) -> DataFrame:
+        """Requests of each step answered with success or failure: (step, succeeded, failed)."""
+        return outbox.answer_counts(responses)
+
 
 def catalog_with_messages(
     spark: SparkSession, config: Config, kind: str | Kind, status: DataFrame
@@ -250,8 +315,8 @@ def catalog_with_messages(
     An asset has about as many messages as children in its own JSON text.
     """
     kind = kind_of(kind)
-    parts = F.array_sort(F.collect_list(F.struct("part", "messages")))
-    texts = F.flatten(F.transform(parts, lambda p: p["messages"]))
+    ordered = F.array_sort(F.collect_list(F.struct("step", "pos", "message")))
+    texts = F.transform(ordered, lambda said: said["message"])
     said = status.groupBy("source_key").agg(F.array_join(texts, "\n").alias("said"))
     rows = read_catalog(spark, config, kind)
     joined = rows.withColumn(
@@ -265,18 +330,29 @@ def _step(responses: DataFrame, step: int) -> DataFrame:
     return responses.where(F.col("step") == step)
 
 
-def remove_requests(
+def removed_objects(
     inventory: DataFrame,
     kind: str | Kind,
     config: Config,
     tags: Sequence[str] | None = None,
     names: Sequence[str] = (),
 ) -> DataFrame:
-    """Deletion of the target's objects by tag or name, and of all that share their names.
+    """The target's objects of one kind by tag or name, and all of the kind that share their names.
 
-    Without tags or names it is for what earlier uploads created, by their marker tag.
+    Without tags or names it is what earlier uploads created, by their marker tag.
     """
     if tags is None:
         tags = () if names else (config.marker_tag,)
-    selected = expand_by_name(inventory, chosen_for_delete(tags, names))
-    return outbox.build_delete_outbox(selected, kind)
+    of_kind = inventory.where(F.col("kind") == kind_of(kind).name)
+    return expand_by_name(of_kind, chosen_for_delete(tags, names))
+
+
+def remove_requests(
+    inventory: DataFrame,
+    kind: str | Kind,
+    config: Config,
+    tags: Sequence[str] | None = None,
+    names: Sequence[str] = (),
+) -> DataFrame:
+    """Requests that delete the removed objects; what became of them: ``outbox.delete_messages``."""
+    return outbox.build_delete_outbox(removed_objects(inventory, kind, config, tags, names))

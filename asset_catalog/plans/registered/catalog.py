@@ -7,25 +7,24 @@ from pyspark.sql import functions as F
 from asset_catalog.functions.json_fields import text_fields
 from asset_catalog.functions.mappings import FUNCTIONS
 from asset_catalog.operators.assets import latest_per_key as keep_latest
-from asset_catalog.operators.assets import read_assets
-from asset_catalog.operators.catalog import project_catalog, upsert
-from asset_catalog.operators.rewrite import rewrite_object, rewrite_query
+from asset_catalog.operators.assets import changed_at, read_assets
+from asset_catalog.operators.catalog import project_catalog
 from asset_catalog.plans import derived
 from asset_catalog.plans.derived import text
+from asset_catalog.plans.lifecycles import Mappings, catalog_rows
 from asset_catalog.plans.registered.rewriting import NEW_QUERY, OLD_QUERY, nation_mapping
-from asset_catalog.plans.registered.scans import AS_OF, ISO
+from asset_catalog.plans.registered.scans import AS_OF, ISO, own_catalog
 from asset_catalog.schemas import DASHBOARD, QUERY
 from asset_catalog.sources.scratch import written_once
+from asset_catalog.sources.tables import commit_version, read_catalog, upsert_catalog
 
 BEFORE = "2023-01-01 00:00:00"
 
 
 def import_queries(spark, sf_dir):
     """Landed lines to catalog rows: read, keep the last state, rewrite, project."""
-    assets = read_assets(derived.landed_queries(spark, sf_dir), "query").drop("raw")
-    last = keep_latest(assets, ["asset_key", "name"], ["updated_at"])
-    moved = rewrite_object(rewrite_query(last, nation_mapping(spark, sf_dir), FUNCTIONS))
-    return project_catalog(moved, "query", F.lit(AS_OF))
+    mappings = Mappings(nation_mapping(spark, sf_dir), FUNCTIONS)
+    return catalog_rows(derived.landed_queries(spark, sf_dir), "query", mappings=mappings, as_of=F.lit(AS_OF))
 
 
 def import_lifecycle(spark, sf_dir):
@@ -56,12 +55,17 @@ def catalog_projection(spark, sf_dir):
 
 
 def latest_per_key(spark, sf_dir):
-    """Here a customer is the key, so that keys come back many times."""
-    assets = read_assets(derived.queries(spark, sf_dir, hash_of="o_custkey"), "query")
+    """Here a customer is the key, so that keys come back many times, and times are written in
+    several precisions and offsets."""
+    lines = derived.queries(spark, sf_dir, hash_of="o_custkey", written=derived.mixed_iso)
+    assets = read_assets(lines, "query")
     numbered = assets.select(
-        "asset_key", "updated_at", F.try_variant_get("parsed", "$.id", "bigint").alias("id")
+        "asset_key",
+        "updated_at",
+        F.try_variant_get("parsed", "$.id", "bigint").alias("id"),
+        changed_at(F.col("updated_at")).alias("changed"),
     )
-    return keep_latest(numbered, ["asset_key"], ["updated_at", "id"])
+    return keep_latest(numbered, ["asset_key"], ["changed", "id"]).drop("changed")
 
 
 def _held_queries(spark, sf_dir):
@@ -78,13 +82,20 @@ def _held_queries(spark, sf_dir):
     ).dropDuplicates(QUERY.merge_keys)
 
 
+def _upserted(spark, held, source, kind):
+    """A catalog table that holds rows of an earlier pull, after the upsert of another."""
+    config = own_catalog(spark)
+    commit_version(held, config, kind)
+    upsert_catalog(source, config, kind)
+    return read_catalog(spark, config, kind)
+
+
 def upsert_queries(spark, sf_dir):
     pulled = read_assets(derived.queries(spark, sf_dir), "query").drop("raw")
     pulled = pulled.where("NOT array_contains(tags, 's_O')")
     last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
     source = written_once(project_catalog(last, "query", F.lit(AS_OF)), "pulled-queries")
-    merged = upsert(_held_queries(spark, sf_dir), source, QUERY.merge_keys)
-    return merged.select(
+    return _upserted(spark, _held_queries(spark, sf_dir), source, "query").select(
         "query_name",
         "query_hash",
         F.array_join("tags", "|").alias("tags"),
@@ -110,8 +121,7 @@ def upsert_dashboards(spark, sf_dir):
     pulled = pulled.where("updated_at >= '2024-01-10'")
     last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
     source = written_once(project_catalog(last, "dashboard", F.lit(AS_OF)), "pulled-dashboards")
-    merged = upsert(target, source, DASHBOARD.merge_keys)
-    return merged.select(
+    return _upserted(spark, target, source, "dashboard").select(
         "dashboard_name",
         "dashboard_slug",
         F.array_join("tags", "|").alias("tags"),
@@ -139,17 +149,21 @@ ORACLES = {
                {_TAGS} AS tags, {NEW_QUERY} AS query, '{AS_OF}' AS update_date_time,
                false AS is_migrated
         FROM orders
-        WHERE NOT (o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '1-URGENT'))""",
+        WHERE NOT (o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '2-HIGH', '1-URGENT'))""",
     "catalog_projection": f"""
         SELECT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,
                {_TAGS} AS tags, o_orderkey::VARCHAR AS object_id, {OLD_QUERY} AS query,
                '{AS_OF}' AS update_date_time, false AS is_migrated
         FROM orders""",
     "latest_per_key": f"""
-        SELECT md5(o_custkey::VARCHAR) AS asset_key, {ISO} AS updated_at, o_orderkey AS id
+        SELECT md5(o_custkey::VARCHAR) AS asset_key, o_orderkey AS id,
+               CASE o_orderstatus
+                   WHEN 'O' THEN replace({ISO.replace("o_orderdate", "(o_orderdate + INTERVAL 5 HOURS)")}, 'Z', '+05:00')
+                   WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') ELSE {ISO} END AS updated_at
         FROM orders
-        QUALIFY row_number() OVER (PARTITION BY o_custkey
-                                   ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY
+            date_trunc(CASE o_orderstatus WHEN 'F' THEN 'second' ELSE 'millisecond' END, o_orderdate) DESC,
+            o_orderkey DESC) = 1""",
     # Untagged assets drop out of the pull: their tags are null, which is not "without s_O".
     "upsert_queries": f"""
         SELECT DISTINCT 'q_' || o_custkey AS query_name, md5(o_orderkey::VARCHAR) AS query_hash,

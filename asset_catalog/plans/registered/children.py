@@ -41,7 +41,7 @@ def _line_key():
 def remap_ids(spark, sf_dir):
     """A widget per line item that shows the chart of its part; returned ones show none."""
     chart = F.concat(F.lit("p"), text("l_partkey"))
-    widgets = derived.spread_table(spark, sf_dir, "lineitem").select(
+    widgets = derived.spread_table(spark, sf_dir, "lineitem", "l_orderkey").select(
         _line_key().alias("widget"),
         F.when(F.col("l_returnflag") != "R", chart).alias("old_viz_id"),
     )
@@ -54,7 +54,7 @@ def remap_ids(spark, sf_dir):
 
 def attach_parent_id(spark, sf_dir):
     """A chart per line item; its query is the one of the order, known by its hash only."""
-    charts = derived.spread_table(spark, sf_dir, "lineitem").select(
+    charts = derived.spread_table(spark, sf_dir, "lineitem", "l_orderkey").select(
         F.md5(text("l_orderkey")).alias("parent_key"), _line_key().alias("chart")
     )
     responses = derived.query_responses(spark, sf_dir)
@@ -63,8 +63,9 @@ def attach_parent_id(spark, sf_dir):
 
 
 def build_id_map(spark, sf_dir):
-    """Charts named by part, so an old id is sent many times and the last answer counts."""
-    lines = derived.spread_table(spark, sf_dir, "lineitem")
+    """Charts named by part, so an old id is sent many times and the last answer counts. All
+    requests were sent twice; the ids given out first are greater as texts."""
+    lines = derived.spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     charts = lines.select(
         _line_key().alias("source_key"),
         F.concat(F.lit("p"), text("l_partkey")).alias("old_viz_id"),
@@ -75,7 +76,12 @@ def build_id_map(spark, sf_dir):
         _line_key().alias("source_key"),
         F.when(F.col("l_returnflag") == "R", 400).otherwise(200).alias("status"),
         F.concat(F.lit("c"), _line_key()).alias("new_id"),
+        F.lit("2024-01-02 00:00:00").cast("timestamp").alias("landed_at"),
     )
+    first = responses.withColumn("new_id", F.concat(F.lit("z"), "new_id")).withColumn(
+        "landed_at", F.lit("2024-01-01 00:00:00").cast("timestamp")
+    )
+    responses = responses.unionByName(first)
     return relate.build_id_map(charts, responses)
 
 

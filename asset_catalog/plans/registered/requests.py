@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.config import Config
 from asset_catalog.functions.json_fields import text_fields
 from asset_catalog.operators import outbox, payloads, relate
 from asset_catalog.operators.assets import read_assets
+from asset_catalog.operators.catalog import project_catalog
 from asset_catalog.operators.select import chosen_for_delete, expand_by_name
 from asset_catalog.plans import derived
+from asset_catalog.plans.lifecycles import Upload, removed_objects
 from asset_catalog.plans.registered.rewriting import OLD_QUERY
+from asset_catalog.plans.registered.scans import AS_OF, own_catalog
+from asset_catalog.schemas import KINDS
 from asset_catalog.sources.scratch import written_once
+from asset_catalog.sources.tables import upsert_catalog
 
 MARKER = "migrated"
 
@@ -85,9 +91,36 @@ def outbox_create(spark, sf_dir):
 
 
 def outbox_delete(spark, sf_dir):
-    chosen = chosen_for_delete(["1-URGENT"], ["q_7"])
-    selected = expand_by_name(derived.inventory(spark, sf_dir), chosen)
-    return outbox.build_delete_outbox(selected, "query").select("step", "method", "path", "source_key")
+    """From an inventory of both kinds, which share ids and names."""
+    chosen = chosen_for_delete(["1-URGENT", "BUILDING"], ["q_7"])
+    selected = expand_by_name(derived.whole_inventory(spark, sf_dir), chosen)
+    return outbox.build_delete_outbox(selected).select("step", "method", "path", "source_key")
+
+
+def delete_messages(spark, sf_dir):
+    inventory = derived.whole_inventory(spark, sf_dir)
+    config = Config(landing="-", catalog_root="-")
+    gone = [removed_objects(inventory, kind, config, tags=["1-URGENT", "BUILDING"]) for kind in KINDS]
+    return outbox.delete_messages(gone[0].unionByName(gone[1]), derived.delete_responses(spark, sf_dir))
+
+
+def rejected_responses(spark, sf_dir):
+    """Lines cut short, and lines that do not say what they answer."""
+    answers = derived.query_responses(spark, sf_dir).withColumn("raw", F.to_json(F.struct("step", "source_key", "status", "message")))
+    failed = F.col("status") == 400
+    spoilt = F.when(failed, F.to_json(F.struct("step", "status", "message"))).otherwise(F.substring("raw", 1, 30))
+    return outbox.rejected_responses(answers.select(spoilt.alias("raw")))
+
+
+def upload_by_names(spark, sf_dir):
+    """Queries and dashboards from the catalog, each by names of their own."""
+    config = own_catalog(spark)
+    for kind, rows in (("query", _queries(spark, sf_dir)), ("dashboard", _dashboards(spark, sf_dir))):
+        found = project_catalog(rows, kind, F.lit(AS_OF)).dropDuplicates(KINDS[kind].merge_keys)
+        upsert_catalog(found, config, kind)
+    names = {"query_names": ["q_7", "q_70"], "dashboard_names": ["Customer#000000005", "Customer#000000011"]}
+    upload = Upload.from_catalog(spark, config, "ds1", "Query Name", **names)
+    return upload.query_requests().unionByName(upload.dashboard_requests()).select("step", "path", "source_key")
 
 
 def status_messages(spark, sf_dir):
@@ -99,9 +132,7 @@ def status_messages(spark, sf_dir):
         outbox.child_messages(charts.where("pos IS NOT NULL"), drawn, 2)
     )
     said = said.unionByName(outbox.no_chart_messages(charts))
-    return outbox.collect_status(said).select(
-        "source_key", "part", F.array_join("messages", " | ").alias("messages")
-    )
+    return outbox.collect_status(said)
 
 
 QUERIES = {
@@ -112,6 +143,9 @@ QUERIES = {
     "outbox_create": outbox_create,
     "outbox_delete": outbox_delete,
     "status_messages": status_messages,
+    "delete_messages": delete_messages,
+    "rejected_responses": rejected_responses,
+    "upload_by_names": upload_by_names,
 }
 
 _CHART = "FROM orders, range(1, 5) r(i) WHERE o_orderpriority <> '5-LOW' AND i <= left(o_orderpriority, 1)::INTEGER"
@@ -174,11 +208,34 @@ ORACLES = {
                       AND NOT (o_orderstatus = 'O' AND j = 2)) END
         {_WIDGET} AND c_mktsegment <> 'MACHINERY'""",
     "outbox_delete": """
-        SELECT 1::INTEGER AS step, 'DELETE' AS method, 'queries/' || o_orderkey AS path,
+        SELECT 5::INTEGER AS step, 'DELETE' AS method, 'queries/' || o_orderkey AS path,
                o_orderkey::VARCHAR AS source_key
         FROM orders
         WHERE o_custkey IN (SELECT o_custkey FROM orders
-                            WHERE o_orderpriority = '1-URGENT' OR o_custkey = 7)""",
+                            WHERE o_orderpriority = '1-URGENT' OR o_custkey = 7)
+        UNION ALL
+        SELECT 6, 'DELETE', 'dashboards/' || c_custkey, c_custkey::VARCHAR
+        FROM customer
+        WHERE c_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' OR c_custkey = 7)""",
+    "delete_messages": """
+        SELECT DISTINCT o_orderkey::VARCHAR AS source_key, 5::INTEGER AS step, 0::INTEGER AS pos,
+               CASE WHEN o_orderstatus = 'P' THEN 'failed to delete query q_' || o_custkey || ' (' || o_orderkey || '): in use'
+                    ELSE 'deleted query q_' || o_custkey || ' (' || o_orderkey || ')' END AS message
+        FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+        UNION ALL
+        SELECT DISTINCT c_custkey::VARCHAR, 6, 0, 'deleted dashboard q_' || c_custkey || ' (' || c_custkey || ')'
+        FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "rejected_responses": """
+        SELECT CASE WHEN o_orderstatus = 'P' THEN '{"step":1,"status":400,"message":"quota"}'
+                    ELSE left('{"step":1,"source_key":"' || md5(o_orderkey::VARCHAR), 30) END AS raw,
+               CASE WHEN o_orderstatus = 'P' THEN 'no step or source key' ELSE 'not one JSON object' END AS reason
+        FROM orders""",
+    "upload_by_names": """
+        SELECT DISTINCT 1::INTEGER AS step, 'queries' AS path, md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key
+        FROM orders WHERE o_custkey IN (7, 70)
+        UNION ALL
+        SELECT DISTINCT 3, 'dashboards', 'c_' || c_custkey || '/' || c_name
+        FROM customer WHERE c_name IN ('Customer#000000005', 'Customer#000000011')""",
     "status_messages": """
         WITH said AS (
             SELECT o_orderkey, o_custkey, 1 AS step, 0 AS pos,
@@ -196,7 +253,7 @@ ORACLES = {
             UNION ALL
             SELECT o_orderkey, o_custkey, 2, 0, 'no chart in query q_' || o_custkey
             FROM orders WHERE o_orderpriority = '5-LOW')
-        SELECT md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key, 0::INTEGER AS part,
-               string_agg(message, ' | ' ORDER BY step, pos) AS messages
-        FROM (SELECT DISTINCT * FROM said) GROUP BY o_orderkey, o_custkey""",
+        SELECT DISTINCT md5(o_orderkey::VARCHAR) || '/q_' || o_custkey AS source_key,
+               step::INTEGER AS step, pos::INTEGER AS pos, message
+        FROM said""",
 }

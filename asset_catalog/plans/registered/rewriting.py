@@ -45,13 +45,13 @@ WORDS = {
 
 
 def replace_words(spark, sf_dir):
-    documents = derived.spread_table(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents", "doc_id")
     return documents.select("doc_id", multi_replace(F.col("text"), WORDS).alias("rewritten"))
 
 
 def replace_tokens(spark, sf_dir):
     """Whole words only, case kept."""
-    documents = derived.spread_table(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents", "doc_id")
     words = {"the": "<the>", "und": "&", "des": "$2"}
     rewritten = multi_replace(F.col("text"), words, match="token", preserve_case=True)
     return documents.select("doc_id", rewritten.alias("rewritten"))
@@ -62,7 +62,7 @@ def nation_mapping(spark, sf_dir):
     nation = derived.table(spark, sf_dir, "nation")
     new = F.concat(F.lit("lake.n_"), derived.text("n_nationkey"))
     tables = load_mapping(nation.select(F.col("n_name").alias("old"), new.alias("new")))
-    return {**tables, "parquet_parquet": "lake.events", "oldtable": "newtable"}
+    return {**tables, "raw_zone": "lake.sales", "ordersv1": "orders_v2"}
 
 
 def _rewritten(spark, sf_dir):
@@ -112,7 +112,7 @@ def parsed_tag_list(spark, sf_dir):
 
 def json_roundtrip(spark, sf_dir):
     """Text of every event and document through JSON and back."""
-    documents = derived.spread_table(spark, sf_dir, "documents")
+    documents = derived.spread_table(spark, sf_dir, "documents", "doc_id")
     raw = F.to_json(F.struct("doc_id", "text", F.struct("lang", "n_chars").alias("about")))
     again = documents.select(parse_object(raw).alias("parsed")).select(
         set_and_drop(F.col("parsed"), {}).alias("json")
@@ -208,13 +208,13 @@ _UNTAGGED = "o_orderpriority = '5-LOW' AND o_orderstatus = 'P'"
 # The text of a derived query after the rewrite. NATION_25 to NATION_29 have no entry of
 # their own, so NATION_2 matches in them.
 NEW_QUERY = f"""CASE WHEN NOT ({_TEXTLESS}) THEN
-    'select sum(total) as "größe", instr(note, ''x'')' || chr(10) || 'from lake.events.newtable t, '
+    'select sum(total) as "größe", instr(note, ''x'')' || chr(10) || 'from lake.sales.orders_v2 t, '
     || CASE WHEN o_custkey % 30 < 25 THEN 'lake.n_' || (o_custkey % 30)
             ELSE 'lake.n_2' || (o_custkey % 10) END
     || ' where key = ' || o_custkey END"""
 
 OLD_QUERY = f"""CASE WHEN NOT ({_TEXTLESS}) THEN
-    'SELECT Sum(Total) AS "Größe", strpos(Note, ''X'')' || chr(10) || 'FROM Parquet_Parquet.OldTable t, NATION_'
+    'SELECT Sum(Total) AS "Größe", strpos(Note, ''X'')' || chr(10) || 'FROM Raw_Zone.OrdersV1 t, NATION_'
     || (o_custkey % 30) || ' WHERE Key = ' || o_custkey END"""
 
 ORACLES = {

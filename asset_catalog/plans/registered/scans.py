@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from asset_catalog.config import Config
 from asset_catalog.operators.assets import latest_per_key, quarantine, read_assets
 from asset_catalog.operators.catalog import project_catalog, stage
 from asset_catalog.operators.relate import enrich_with_detail
 from asset_catalog.plans import derived
 from asset_catalog.plans.derived import text
+from asset_catalog.plans.lifecycles import Choice, land, run_report
+from asset_catalog.schemas import DASHBOARD
 from asset_catalog.sources.exports import (
     asset_file_key,
-    asset_files,
-    document_count,
-    keyed_documents,
     write_asset_files,
+    write_entry_lines,
+    write_keyed_json,
 )
 from asset_catalog.sources.landed import (
     endpoint_rows,
@@ -22,25 +26,30 @@ from asset_catalog.sources.landed import (
     keyed_rows,
     listing_rows,
     mapping_rows,
+    read_entry_lines,
     read_json_lines,
+    read_keyed_json,
+    rejected_listing,
 )
 from asset_catalog.sources.scratch import scratch_path
+from asset_catalog.sources.tables import ensure_catalog, read_catalog, upsert_catalog
 
 AS_OF = "2024-01-01 00:00:00"
 
 
-def _pages(spark, sf_dir):
-    """Listing pages of two queries each, one page per order."""
+def _pages(spark, sf_dir, *more):
+    """Listing pages of two queries each, one page per order; ``more`` fields end each object."""
 
     def item(n):
         return F.struct(
             (F.col("o_orderkey") * 2 + n).alias("id"),
             F.concat(F.lit("q_"), text("o_custkey")).alias("name"),
             F.array("o_orderpriority").alias("tags"),
+            *more,
         )
 
     page = F.struct(F.lit(2).alias("count"), F.array(item(0), item(1)).alias("results"))
-    return derived.spread_table(spark, sf_dir, "orders").select(F.to_json(page).alias("value"))
+    return derived.spread_table(spark, sf_dir, "orders", "o_orderkey").select(F.to_json(page).alias("value"))
 
 
 def scan_listing(spark, sf_dir):
@@ -53,10 +62,14 @@ def enrich_detail(spark, sf_dir):
     listing = orders.select(
         text("o_orderkey").alias("object_key"), F.to_json(F.struct("o_custkey")).alias("raw")
     )
-    full = F.to_json(F.struct("o_custkey", "o_orderpriority"))
-    detail = orders.where("o_orderstatus != 'P'").select(
-        text("o_orderkey").alias("object_key"), full.alias("raw")
+    time = F.when(F.col("o_orderstatus") == "F", "2020-01-01T23:00:01Z").otherwise(F.lit("2020-01-02T05:00:01+05:00"))
+    full = F.to_json(F.struct("o_custkey", "o_orderpriority", time.alias("updated_at")))
+    detail = orders.where("o_orderstatus != 'P'")
+    stale = detail.select(
+        text("o_orderkey").alias("object_key"),
+        F.to_json(F.struct(F.lit("2020-01-01T23:00:00.5Z").alias("updated_at"), F.lit("z").alias("o_orderpriority"))).alias("raw"),
     )
+    detail = detail.select(text("o_orderkey").alias("object_key"), full.alias("raw")).unionByName(stale)
     return enrich_with_detail(listing, detail, "object_key").select(
         "object_key",
         "has_detail",
@@ -72,7 +85,7 @@ def scan_keyed_json(spark, sf_dir):
         order = F.concat(F.lit('": {"order": '), text("o_orderkey"), F.lit(f', "n": {n}}}'))
         return F.concat(F.lit('"'), text("o_custkey"), order)
 
-    documents = derived.spread_table(spark, sf_dir, "orders").select(
+    documents = derived.spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         F.lpad(text("o_orderkey"), 12, "0").alias("source_file"),
         F.concat(F.lit("{"), entry(1), F.lit(", "), entry(2), F.lit("}")).alias("value"),
     )
@@ -84,13 +97,10 @@ def scan_keyed_json(spark, sf_dir):
 
 
 def scan_json_lines(spark, sf_dir):
-    """Lines written to text files and read back, where the cluster names a shared folder."""
-    lines = derived.landed_queries(spark, sf_dir)
+    """Lines written to text files and read back."""
     path = scratch_path(spark, "landed-queries")
-    if path is not None:
-        lines.select(F.col("raw").alias("value")).write.text(path)
-        lines = read_json_lines(spark, path)
-    return read_assets(lines, "query").select(
+    derived.landed_queries(spark, sf_dir).select(F.col("raw").alias("value")).write.text(path)
+    return read_assets(read_json_lines(spark, path), "query").select(
         "asset_key", "name", F.array_join("tags", "|").alias("tags"), "updated_at"
     )
 
@@ -109,10 +119,42 @@ def scan_mapping(spark, sf_dir):
     return mapping_rows(documents)
 
 
+def own_catalog(spark):
+    """An empty catalog of its own for a query."""
+    root = scratch_path(spark, "catalog")
+    config = Config(landing=f"{root}/landed", catalog_root=root, database=f"own_{uuid.uuid4().hex}")
+    ensure_catalog(spark, config)
+    return config
+
+
+def scan_rejected_documents(spark, sf_dir):
+    """Pages cut short, and pages whose objects have no id."""
+    value, status = F.col("value"), F.get_json_object("value", "$.results[0].status")
+    pages = _pages(spark, sf_dir, F.col("o_orderstatus").alias("status"))
+    spoilt = F.when(status == "F", F.substring(value, 1, 40)).when(status == "P", F.regexp_replace(value, '"id":[0-9]+,', ""))
+    return rejected_listing(pages.select(F.coalesce(spoilt, value).alias("value")), "query")
+
+
+def land_rejected(spark, sf_dir):
+    """A listing is landed; what it could not read is beside the landed files."""
+    path = f"{scratch_path(spark, 'listed')}/queries"
+    rejected = land(derived.landed_queries(spark, sf_dir), path, "query")
+    landed = read_json_lines(spark, path).select(F.lit("landed").alias("outcome"))
+    rows = spark.read.parquet(rejected).select(F.col("reason").alias("outcome")).unionByName(landed)
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def report_of_run(spark, sf_dir):
+    lines = derived.landed_queries(spark, sf_dir)
+    return run_report(lines, "query", Choice(["1-URGENT", "s_P"], "1996-01-01"))
+
+
 def scan_catalog(spark, sf_dir):
+    """A catalog table is made, filled and read."""
     rows = project_catalog(read_assets(derived.dashboards(spark, sf_dir), "dashboard"), "dashboard", F.lit(AS_OF))
-    stage(rows, "staged_dashboards")
-    return spark.table("staged_dashboards").select(
+    config = own_catalog(spark)
+    upsert_catalog(stage(rows.dropDuplicates(DASHBOARD.merge_keys), "staged_dashboards"), config, "dashboard")
+    return read_catalog(spark, config, "dashboard").select(
         "dashboard_name",
         "dashboard_slug",
         F.array_join("tags", "|").alias("tags"),
@@ -144,12 +186,26 @@ def scan_inventory(spark, sf_dir):
 
 
 def export_keyed_json(spark, sf_dir):
-    """Written as documents of about a million characters and read back."""
+    """Written as sixteen documents and read back."""
+    path = scratch_path(spark, "documents")
+    write_keyed_json(_export_entries(spark, sf_dir), path, 16)
+    return _entry_fields(read_keyed_json(spark, path))
+
+
+def export_entry_lines(spark, sf_dir):
+    """Written as lines of one entry and read back."""
+    path = scratch_path(spark, "entries")
+    write_entry_lines(_export_entries(spark, sf_dir), path)
+    return _entry_fields(read_entry_lines(spark, path))
+
+
+def _export_entries(spark, sf_dir):
     assets = read_assets(derived.dashboards(spark, sf_dir), "dashboard")
     last = latest_per_key(assets.select("asset_key", "updated_at", "raw"), ["asset_key"], ["updated_at"])
-    entries = last.select(F.col("asset_key").alias("object_key"), "raw")
-    documents = keyed_documents(entries, document_count(entries, 1_000_000))
-    back = keyed_rows(documents.select(text("document").alias("source_file"), "value"))
+    return last.select(F.col("asset_key").alias("object_key"), "raw")
+
+
+def _entry_fields(back):
     return back.select(
         "object_key",
         F.get_json_object("raw", "$.name").alias("name"),
@@ -158,16 +214,11 @@ def export_keyed_json(spark, sf_dir):
 
 
 def export_asset_files(spark, sf_dir):
-    """Many orders share a file key here; the latest state of each file is written. Where the
-    cluster names a shared folder the files are written there and read back."""
+    """Many orders share a file key here; the latest state of each file is written and read back."""
     assets = read_assets(derived.queries(spark, sf_dir, hash_of="o_custkey"), "query")
     path = scratch_path(spark, "asset-files")
-    if path is None:
-        files = asset_files(assets, 64)
-    else:
-        write_asset_files(assets, path, 64)
-        files = read_json_lines(spark, path)
-    held = read_assets(files.select("raw"), "query")
+    write_asset_files(assets, path, 64)
+    held = read_assets(read_json_lines(spark, path).select("raw"), "query")
     key = asset_file_key(F.col("asset_key"), F.col("name"))
     return held.select(key.alias("file_key"), "updated_at")
 
@@ -188,7 +239,11 @@ QUERIES = {
     "scan_endpoints": scan_endpoints,
     "scan_inventory": scan_inventory,
     "export_keyed_json": export_keyed_json,
+    "export_entry_lines": export_entry_lines,
     "export_asset_files": export_asset_files,
+    "scan_rejected_documents": scan_rejected_documents,
+    "land_rejected": land_rejected,
+    "run_report": report_of_run,
     "asset_file_key": file_key,
 }
 
@@ -214,13 +269,13 @@ ORACLES = {
                     THEN o_orderpriority || '|s_' || o_orderstatus END AS tags,
                {ISO} AS updated_at
         FROM orders
-        WHERE NOT (o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '1-URGENT'))""",
+        WHERE NOT (o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '2-HIGH', '1-URGENT'))""",
     "scan_quarantine": """
-        SELECT CASE o_orderpriority WHEN '3-MEDIUM' THEN 'no name'
+        SELECT CASE o_orderpriority WHEN '3-MEDIUM' THEN 'no name' WHEN '2-HIGH' THEN 'no query_hash'
                                     ELSE 'not one JSON object' END AS reason,
                count(*)::BIGINT AS n
         FROM orders
-        WHERE o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '1-URGENT')
+        WHERE o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '3-MEDIUM', '2-HIGH', '1-URGENT')
         GROUP BY 1""",
     "scan_mapping": """
         SELECT DISTINCT lower(c_name) AS old, 'lake.' || c_mktsegment AS new FROM customer""",
@@ -241,10 +296,38 @@ ORACLES = {
                CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0
                     THEN (c_custkey * 100 + 1)::VARCHAR END AS first_widget
         FROM customer""",
+    "export_entry_lines": """
+        SELECT DISTINCT 'c_' || c_custkey AS object_key, c_name AS name,
+               CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0
+                    THEN (c_custkey * 100 + 1)::VARCHAR END AS first_widget
+        FROM customer""",
     "export_asset_files": f"""
         SELECT md5(o_custkey::VARCHAR) || '_q_' || o_custkey || '.json' AS file_key,
                max({ISO}) AS updated_at
         FROM orders GROUP BY o_custkey""",
+    "scan_rejected_documents": """
+        SELECT left('{"count":2,"results":[{"id":' || o_orderkey * 2 || ',"name":"q_' || o_custkey || '","tags":["', 40)
+                   AS raw, 'not a page' AS reason
+        FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL
+        SELECT '{"name":"q_' || o_custkey || '","tags":["' || o_orderpriority || '"],"status":"P"}', 'no key'
+        FROM orders, (VALUES (0), (1)) v(n) WHERE o_orderstatus = 'P'""",
+    "land_rejected": """
+        SELECT CASE WHEN o_orderstatus <> 'F' OR o_orderpriority = '4-NOT SPECIFIED' THEN 'landed'
+                    WHEN o_orderpriority = '3-MEDIUM' THEN 'no name'
+                    WHEN o_orderpriority = '2-HIGH' THEN 'no query_hash'
+                    ELSE 'not one JSON object' END AS outcome,
+               count(*)::BIGINT AS n
+        FROM orders GROUP BY 1""",
+    "run_report": """
+        SELECT CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'no name'
+                    WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'no query_hash'
+                    WHEN o_orderstatus = 'F' AND o_orderpriority IN ('5-LOW', '1-URGENT') THEN 'not one JSON object'
+                    WHEN (o_orderpriority = '1-URGENT' OR o_orderstatus = 'P' AND o_orderpriority <> '5-LOW')
+                         AND o_orderdate >= TIMESTAMP '1996-01-01' THEN 'imported'
+                    ELSE 'not chosen' END AS outcome,
+               count(*)::BIGINT AS n
+        FROM orders GROUP BY 1""",
     "asset_file_key": """
         SELECT 'c_' || c_custkey AS asset_key,
                'c_' || c_custkey || '_' || replace(c_name, '#', '%23') || '.json' AS file_key

@@ -77,6 +77,12 @@ def page_listing(spark, sf_dir):
     return ops.page(rows, ["n"], 3, 250).select("id", "name")
 
 
+def page_deep(spark, sf_dir):
+    """The page after a given row, which passes by all rows before it."""
+    rows = derived.inventory(spark, sf_dir).withColumn("n", F.col("id").cast("bigint"))
+    return ops.page_after(rows, ["n"], [900], 250).select("id", "name")
+
+
 def preview_first(spark, sf_dir):
     return ops.preview(_assets(spark, sf_dir), ["updated_at", "asset_key"]).select(
         "asset_key", "name", "updated_at"
@@ -99,6 +105,7 @@ QUERIES = {
     "distinct_names": distinct_names,
     "run_counts": run_counts,
     "page_listing": page_listing,
+    "page_deep": page_deep,
     "preview_first": preview_first,
 }
 
@@ -135,6 +142,7 @@ ORACLES = {
         SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE {_TAG} OR {_NAME})::BIGINT AS selected
         FROM orders""",
     "page_listing": f"{_IDS} ORDER BY o_orderkey LIMIT 250 OFFSET 500",
+    "page_deep": f"{_IDS} WHERE o_orderkey > 900 ORDER BY o_orderkey LIMIT 250",
     "preview_first": f"""
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, 'q_' || o_custkey AS name, {ISO} AS updated_at
         FROM orders ORDER BY updated_at, asset_key LIMIT 1""",

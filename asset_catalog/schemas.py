@@ -58,6 +58,8 @@ KINDS = {"query": QUERY, "dashboard": DASHBOARD}
 
 # Order in which requests must be answered: each step needs ids given out by an earlier one.
 STEP_QUERY, STEP_VISUALIZATION, STEP_DASHBOARD, STEP_WIDGET = 1, 2, 3, 4
+# Deletions have steps of their own, so that no answer to one is taken for a creation's.
+STEP_DELETE = {"query": 5, "dashboard": 6}
 
 OUTBOX = T.StructType([
     T.StructField("step", T.IntegerType()),

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asset_catalog.operators.assets import latest_per_key
+from asset_catalog.operators.assets import changed_at, latest_per_key
 
-# Characters of one export document when a large catalog is cut into several.
-DOCUMENT_CHARS = 64 * 1024 * 1024
-
-
-def document_count(entries: DataFrame, chars: int = DOCUMENT_CHARS) -> int:
-    """How many documents keep each near the given size."""
-    total = entries.agg(F.sum(F.length("raw") + F.length("object_key"))).first()[0] or 0
-    return max(1, -(-total // chars))
+def _entry() -> Column:
+    """An entry of a JSON object, key and raw value."""
+    entry = F.concat(F.to_json(F.array("object_key")), F.lit(":"), F.col("raw"))
+    # ["key"] becomes "key" for use as the name of the entry.
+    return F.regexp_replace(entry, r'^\["((?:[^"\\]|\\.)*)"\]:', '"$1":')
 
 
 def keyed_documents(entries: DataFrame, documents: int) -> DataFrame:
@@ -23,24 +20,34 @@ def keyed_documents(entries: DataFrame, documents: int) -> DataFrame:
     ``entries`` holds each ``object_key`` once, so hashing spreads them evenly and no document
     grows beyond its share. Together the documents hold every entry exactly once.
     """
-    entry = F.concat(F.to_json(F.array("object_key")), F.lit(":"), F.col("raw"))
-    # ["key"] becomes "key" for use as the name of the entry.
-    entry = F.regexp_replace(entry, r'^\["((?:[^"\\]|\\.)*)"\]:', '"$1":')
     body = F.array_join(F.array_sort(F.collect_list("entry")), ",")
     return (
         entries.select(
             F.pmod(F.xxhash64("object_key"), F.lit(documents)).alias("document"),
-            entry.alias("entry"),
+            _entry().alias("entry"),
         )
         .groupBy("document")
         .agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
     )
 
 
-def write_keyed_json(entries: DataFrame, path: str, chars: int = DOCUMENT_CHARS) -> None:
-    """Write the catalog as export documents, one per file, a single one unless it is large."""
-    documents = keyed_documents(entries, document_count(entries, chars)).select("value")
-    documents.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+def write_keyed_json(entries: DataFrame, path: str, documents: int = 1) -> None:
+    """Write the catalog as so many export documents, one per file. A document is made and read by
+    one task and holds 2 GB at most; ``write_entry_lines`` knows no such limit."""
+    rows = keyed_documents(entries, documents).select("value")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def entry_lines(entries: DataFrame) -> DataFrame:
+    """Export lines, each a JSON object of one entry: (value). Raw values come onto one line;
+    line breaks can stand between the parts of a JSON text only."""
+    entry = F.regexp_replace(_entry(), r"[\r\n]+", " ")
+    return entries.select(F.concat(F.lit("{"), entry, F.lit("}")).alias("value"))
+
+
+def write_entry_lines(entries: DataFrame, path: str) -> None:
+    """Write an export that many tasks write and read: files are cut between lines anywhere."""
+    entry_lines(entries).write.mode("overwrite").text(path)
 
 
 def asset_file_key(key: Column, name: Column) -> Column:
@@ -57,12 +64,12 @@ def asset_files(assets: DataFrame, buckets: int) -> DataFrame:
     last = latest_per_key(
         assets.select(
             asset_file_key(F.col("asset_key"), F.col("name")).alias("file_key"),
-            "updated_at",
+            changed_at(F.col("updated_at")).alias("changed"),
             F.xxhash64("raw").alias("tie"),
             line.alias("raw"),
         ),
         ["file_key"],
-        ["updated_at", "tie"],
+        ["changed", "tie"],
     )
     bucket = F.pmod(F.xxhash64("file_key"), F.lit(buckets)).cast("int")
     return last.select(bucket.alias("bucket"), "file_key", "raw")

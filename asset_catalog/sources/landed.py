@@ -10,12 +10,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.json_fields import parse_object
 from asset_catalog.functions.text import clean_mapping
 from asset_catalog.operators.assets import latest_per_key
 from asset_catalog.schemas import ConfigError, Kind, kind_of
 
-# Keys of a mapping that the driver takes in unless told otherwise.
-MAX_MAPPING_KEYS = 200_000
+# Bytes of a mapping that the driver takes in unless told otherwise: it builds a pattern of them.
+MAX_MAPPING_BYTES = 64 << 20
 
 _SOURCE = "_metadata.file_path AS source_file"
 
@@ -49,6 +50,27 @@ def unreadable(documents: DataFrame, field: str | None = "results") -> DataFrame
     return documents.where(_array(F.col("value"), field).isNull())
 
 
+def unreadable_objects(documents: DataFrame) -> DataFrame:
+    """Documents that are not one JSON object: cut ones, for instance."""
+    return documents.where(parse_object(F.col("value")).isNull())
+
+
+def rejected_listing(pages: DataFrame, kind: str | Kind) -> DataFrame:
+    """What :func:`listing_rows` cannot use: whole pages and objects without a key, as
+    (raw, reason)."""
+    broken = unreadable(pages).select(F.col("value").alias("raw"), F.lit("not a page").alias("reason"))
+    listed = listing_rows(pages, kind).where("object_key IS NULL")
+    return broken.unionByName(listed.select("raw", F.lit("no key").alias("reason")))
+
+
+def _all_read(documents: DataFrame, broken: DataFrame, what: str) -> DataFrame:
+    """The documents, if none is broken: what builds on them must not work on a part."""
+    first = broken.select("source_file").head(1)
+    if first:
+        raise ConfigError(f"{what} cannot be read: {first[0]['source_file']}")
+    return documents
+
+
 def listing_rows(pages: DataFrame, kind: str | Kind) -> DataFrame:
     """One row per object listed on landed pages: ``object_key`` (id or slug) and ``raw``."""
     field = kind_of(kind).listing_field
@@ -73,6 +95,20 @@ def _entries(documents: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["object_key"], ["source_file", "pos"]).select("object_key", "raw")
 
 
+def line_entries(lines: DataFrame) -> DataFrame:
+    """Entries of export lines, the last one of each key: (object_key, raw).
+
+    ``lines`` has ``raw``, a JSON object with any number of entries, and ``source_file``; of two
+    files the later name counts. Files are read by many tasks.
+    """
+    return _entries(lines.withColumnRenamed("raw", "value"))
+
+
+def read_entry_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of an export written line by line."""
+    return line_entries(read_json_lines(spark, path))
+
+
 def keyed_rows(documents: DataFrame) -> DataFrame:
     """One row per entry of export documents (key -> asset): ``object_key``, ``raw``.
 
@@ -81,14 +117,20 @@ def keyed_rows(documents: DataFrame) -> DataFrame:
     return _entries(documents)
 
 
-def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of the export documents under a path; a file or a directory of documents."""
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """The export documents under a path; a file or a directory of documents."""
     try:
-        return keyed_rows(read_documents(spark, path))
+        return read_documents(spark, path)
     except AnalysisException as error:
         raise ConfigError(f"no export to read at {path}") from error
 
 
+def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the export documents under a path. Documents that are no JSON object give none;
+    :func:`unreadable_objects` of the same documents finds them."""
+    return keyed_rows(read_export(spark, path))
+
+
 def mapping_rows(documents: DataFrame) -> DataFrame:
     """Pairs (old, new) of mapping documents, keys lower-cased, empty keys dropped."""
     pairs = _entries(documents)
@@ -97,9 +139,11 @@ def mapping_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame | None:
-    """Pairs (old, new) of a mapping file, or None when there is no file."""
+    """Pairs (old, new) of a mapping file, or None when there is no file. A file that is no
+    JSON object is refused; taken for an empty mapping it would leave every text as it is."""
     try:
-        return mapping_rows(read_documents(spark, path))
+        documents = read_documents(spark, path)
+        return mapping_rows(_all_read(documents, unreadable_objects(documents), "the mapping"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -107,15 +151,17 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def load_mapping(
-    pairs: DataFrame | None, max_keys: int = MAX_MAPPING_KEYS
+    pairs: DataFrame | None, max_bytes: int = MAX_MAPPING_BYTES
 ) -> dict[str, str] | None:
-    """The mapping on the driver, where its pattern is built. Its size is checked on the way;
-    a larger one is refused, never cut, and ``max_keys`` can be raised to fit it."""
+    """The mapping on the driver, where its pattern is built: every key is part of one regular
+    expression, which is the limit of this form. Its size is checked before; a
+    larger one is refused, never cut, and ``max_bytes`` can be raised to fit it."""
     if pairs is None:
         return None
-    rows = pairs.select("old", "new").limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise ConfigError(f"mapping has more than {max_keys} keys")
+    size = pairs.agg(F.sum(F.octet_length("old") + F.coalesce(F.octet_length("new"), F.lit(0)))).first()[0]
+    if (size or 0) > max_bytes:
+        raise ConfigError(f"mapping has {size} bytes, more than {max_bytes}")
+    rows = pairs.select("old", "new").collect()
     return clean_mapping((row["old"], row["new"]) for row in rows)
 
 
@@ -127,7 +173,8 @@ def endpoint_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_endpoints(spark: SparkSession, path: str) -> DataFrame:
-    return endpoint_rows(read_documents(spark, path))
+    documents = read_documents(spark, path)
+    return endpoint_rows(_all_read(documents, unreadable(documents, None), "the list of endpoints"))
 
 
 def inventory_rows(pages: DataFrame, kind: str | Kind) -> DataFrame:
@@ -140,4 +187,6 @@ def inventory_rows(pages: DataFrame, kind: str | Kind) -> DataFrame:
 
 
 def read_target_inventory(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
-    return inventory_rows(read_documents(spark, path), kind)
+    """All landed pages; one that cannot be read is refused, since deletion builds on them."""
+    pages = read_documents(spark, path)
+    return inventory_rows(_all_read(pages, unreadable(pages), "a page of the inventory"), kind)

@@ -12,19 +12,21 @@ def scratch_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str | None:
-    """A path of its own in the shared folder, or None when there is no such folder."""
-    folder = scratch_folder(spark) or folder
-    return folder and f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path of its own in the shared folder: the one for checkpoints, else the given one, else
+    the warehouse, which a cluster shares as well. What is written there goes when the
+    application ends."""
+    folder = scratch_folder(spark) or folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    held = jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(held)
+    return path
 
 
 def written_once(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The rows read back from the shared folder, so that later uses neither compute them again
-    nor depend on the executors that did, and read only the columns they need. Without a
-    folder the rows stay lazy."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, name, folder)
-    if path is None:
-        return rows
+    nor depend on the executors that did, and read only the columns they need."""
+    path = scratch_path(rows.sparkSession, name, folder)
     rows.write.parquet(path)
-    return spark.read.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

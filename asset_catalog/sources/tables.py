@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asset_catalog.config import Config
 from asset_catalog.operators.catalog import upsert
-from asset_catalog.schemas import KINDS, Kind, kind_of
+from asset_catalog.schemas import KINDS, ConfigError, Kind, kind_of
 
 
 def table_name(config: Config, kind: str | Kind) -> str:
-    return f"{config.database}.{kind_of(kind).table}"
+    return f"`{config.database.replace('`', '``')}`.{kind_of(kind).table}"
 
 
 def _version_path(config: Config, kind: Kind) -> str:
@@ -26,7 +26,7 @@ def _version_path(config: Config, kind: Kind) -> str:
 
 def ensure_catalog(spark: SparkSession, config: Config) -> None:
     """Create the database and the two tables unless they are there."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {config.database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{config.database.replace('`', '``')}`")
     for kind in KINDS.values():
         name = table_name(config, kind)
         if not spark.catalog.tableExists(name):
@@ -42,19 +42,40 @@ def read_catalog(spark: SparkSession, config: Config, kind: str | Kind) -> DataF
     return spark.table(name)
 
 
-def commit_version(rows: DataFrame, config: Config, kind: str | Kind) -> str:
-    """Write rows as the next version of a table and move the table to it."""
+def current_version(spark: SparkSession, config: Config, kind: str | Kind) -> str:
+    """The directory that the table points at now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(config, kind)}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def commit_version(
+    rows: DataFrame, config: Config, kind: str | Kind, built_on: str | None = None
+) -> str:
+    """Write rows as the next version of a table and move the table to it.
+
+    ``built_on`` is the version that the rows were made from. If the table has moved on since,
+    it stays where it is and the run is refused, as it would drop what the other one put in.
+    """
     kind, spark = kind_of(kind), rows.sparkSession
     path = _version_path(config, kind)
     rows.select(kind.catalog_schema.names).write.parquet(path)
     name = table_name(config, kind)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    now = current_version(spark, config, kind)
+    if built_on is not None and now != built_on:
+        raise ConfigError(f"{name} was changed by another run, from {built_on} to {now}; run again")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
     spark.catalog.refreshTable(name)
     return path
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def upsert_catalog(source: DataFrame, config: Config, kind: str | Kind) -> str:
     """Put catalog rows into their table; returns the path of the new version."""
     kind = kind_of(kind)
+    version = current_version(source.sparkSession, config, kind)
     target = read_catalog(source.sparkSession, config, kind)
-    return commit_version(upsert(target, source, kind.merge_keys), config, kind)
+    return commit_version(upsert(target, source, kind.merge_keys), config, kind, version)
