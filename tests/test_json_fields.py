@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from asset_catalog.functions.json_fields import (
+    blank,
     member,
     or_default,
     parse_object,
@@ -27,7 +28,7 @@ def test_only_one_whole_object_is_read(texts):
     values = ['{"a":1}', ' {"a":1}\n', '{"a":1} x', '{"a":1', "[1]", "null", "", None, '"}"',
               '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}] x', '{"a":1,"a":2}']
     got = one(texts(values), F.to_json(parse_object(F.col("raw"))))
-    assert got == ['{"a":1}', '{"a":1}'] + [None] * 11
+    assert got == ['{"a":1}', '{"a":1}'] + [None] * 10 + ['{"a":2}']  # the last value of a key counts
 
 
 def test_a_key_given_twice_can_keep_its_last_value(spark, texts):
@@ -79,6 +80,34 @@ def test_secrets_are_dropped(texts):
     assert json.loads(got) == expected
 
 
+def without_secrets(value):
+    if isinstance(value, dict):
+        return {k: None if k == "api_key" else without_secrets(v) for k, v in value.items()}
+    return [without_secrets(v) for v in value] if isinstance(value, list) else value
+
+
+SECRETS = st.recursive(
+    st.none() | st.booleans() | st.integers(-9, 9) | st.sampled_from(["x", 's3"cret', '"api_key":[1', "\\", "é{"]),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["api_key", "a", "b"]), inner, max_size=3),
+    max_leaves=12,
+)
+
+
+def test_secrets_of_all_types_at_any_depth_are_blanked(texts):
+    values = []
+
+    @settings(max_examples=300, deadline=None, database=None)
+    @given(st.dictionaries(st.sampled_from(["api_key", "a", "b"]), SECRETS, max_size=3))
+    def collect(value):
+        values.append(value)
+
+    collect()
+    values.append({"api_key": {"api_key": [{"api_key": {"x": ["s"]}}, 1]}, "a": [{"api_key": [[]], "b": {"api_key": {}}}]})
+    column = blank(F.to_json(parse_object(F.col("raw"))), ["api_key"])
+    got = one(texts([json.dumps(v, ensure_ascii=False) for v in values]), column)
+    assert [json.loads(g) for g in got] == [without_secrets(v) for v in values]
+
+
 def test_secrets_inside_are_blanked(texts):
     inner = {"api_key": 'a"\\b', "n": 1, "text": '{"api_key":"kept"}', 'x"api_key': "kept", "api_keys": "kept"}
     asset = {"api_key": "s", "a": [inner, {"b": {**inner, "api_key": -1.5}}, {"api_key": True}, {"api_key": None}]}

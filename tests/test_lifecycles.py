@@ -2,14 +2,23 @@ from __future__ import annotations
 
 import json
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
-from asset_catalog.operators.outbox import build_outbox, collect_status, read_responses, write_outbox
-from asset_catalog.operators.relate import endpoint_ids
-from asset_catalog.operators.select import filter_names
+from asset_catalog.operators.outbox import (
+    build_delete_outbox,
+    build_outbox,
+    collect_status,
+    delete_messages,
+    read_responses,
+    rejected_responses,
+    write_outbox,
+)
+from asset_catalog.operators.relate import endpoint_ids, new_ids
+from asset_catalog.operators.select import chosen_for_delete, expand_by_name, filter_names
 from asset_catalog.plans.lifecycles import (
     Choice,
     Mappings,
@@ -20,15 +29,16 @@ from asset_catalog.plans.lifecycles import (
     import_assets,
     land,
     remove_requests,
+    run_report,
 )
-from asset_catalog.schemas import RESPONSES
+from asset_catalog.schemas import RESPONSES, ConfigError
 from asset_catalog.sources.landed import read_endpoints, read_json_lines, read_keyed_json
-from asset_catalog.sources.tables import commit_version, ensure_catalog, read_catalog
+from asset_catalog.sources.tables import commit_version, current_version, ensure_catalog, read_catalog
 from asset_catalog.streaming.landing import import_new
 from tests.conftest import dashboard, dumps, query, widget
 from tests.test_sources import put
 
-MAPPINGS = Mappings({"parquet_parquet": "lake.c_event", "OldTable": "newtable"}, {"strpos": "instr"})
+MAPPINGS = Mappings({"raw_zone": "lake.sales", "OrdersV1": "orders_v2"}, {"strpos": "instr"})
 
 
 @pytest.fixture
@@ -70,7 +80,7 @@ def test_rewritten_object(spark, config, tmp_path):
     put(tmp_path / "landed" / "queries" / "1.json", lines(query()))
     import_assets(spark, config, "query", mappings=MAPPINGS)
     got = json.loads(read_catalog(spark, config, "query").first()["query_object"])
-    expected = query(query="select \n1 as a,\n instr('x','y') as b from lake.c_event.newtable")
+    expected = query(query="select \n1 as a,\n instr('x','y') as b from lake.sales.orders_v2")
     del expected["api_key"]
     assert got == expected
 
@@ -89,7 +99,7 @@ def test_clean_export(spark, tmp_path):
     rejected = clean_export(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), MAPPINGS, secrets=())
     assert [r["object_key"] for r in rejected.collect()] == ["3"]
     got = {r["object_key"]: json.loads(r["raw"]) for r in read_keyed_json(spark, str(tmp_path / "clean")).collect()}
-    new = "select \n1 as a,\n instr('x','y') as b from lake.c_event.newtable"
+    new = "select \n1 as a,\n instr('x','y') as b from lake.sales.orders_v2"
     assert got == {"1": query(query=new), "2": query(query=None, name=None)}
 
 
@@ -159,7 +169,11 @@ def test_upload_and_remove(spark, config, tmp_path):
     everything = made.union(drawn).union(shown).union(placed)
     everything.write.json(str(tmp_path / "responses"))
     responses = read_responses(spark, str(tmp_path / "responses"))
-    said = {r["source_key"]: r["messages"] for r in upload.status(responses).collect()}
+    said = {}
+    for r in sorted(upload.status(responses).collect(), key=lambda r: (r["step"], r["pos"], r["message"])):
+        said.setdefault(r["source_key"], []).append(r["message"])
+    counts = {r["step"]: (r["succeeded"], r["failed"]) for r in upload.counts(responses).collect()}
+    assert counts == {1: (3, 1), 2: (4, 1), 3: (2, 1), 4: (4, 0)}
     assert said[bare] == [f"created query bare as new-{bare}", "no chart in query bare"]
     assert said[bad] == ["failed query bad: refused"]
     assert said[h][0] == f"created query SampleQuery as new-{h}"
@@ -172,13 +186,30 @@ def test_upload_and_remove(spark, config, tmp_path):
     messages = {r["query_name"]: r["upload_message"] for r in read_catalog(spark, config, "query").collect()}
     assert messages["bad"] == "failed query bad: refused" and messages["SampleQuery"].count("\n") == 5
 
+
+
+def test_only_objects_of_the_kind_are_removed(spark, config):
     inventory = spark.createDataFrame(
-        [("query", "1", "a", ["moved"]), ("query", "2", "a", []), ("query", "3", "b", ["other"])],
+        [("query", "1", "a", ["moved"]), ("query", "2", "a", []), ("query", "3", "b", ["other"]),
+         ("dashboard", "1", "a", []), ("dashboard", "9", "b", ["moved"]), ("folder", "7", "a", ["moved"])],
         "kind string, id string, name string, tags array<string>")
     gone = remove_requests(inventory, "query", config)
-    assert sorted(r["path"] for r in gone.collect()) == ["queries/1", "queries/2"]
+    assert sorted((r["step"], r["path"]) for r in gone.collect()) == [(5, "queries/1"), (5, "queries/2")]
     gone = remove_requests(inventory, "dashboard", config, names=["b"])
-    assert [(r["method"], r["path"], r["body"]) for r in gone.collect()] == [("DELETE", "dashboards/3", None)]
+    assert [(r["step"], r["method"], r["path"], r["body"]) for r in gone.collect()] == [(6, "DELETE", "dashboards/9", None)]
+    both = build_delete_outbox(expand_by_name(inventory, chosen_for_delete(["moved"])))
+    assert sorted(r["path"] for r in both.collect()) == ["dashboards/9", "queries/1", "queries/2"]
+
+
+def test_messages_of_deletions(spark, config):
+    selected = spark.createDataFrame(
+        [("query", "1", "a"), ("query", "2", None), ("dashboard", "1", "d"), ("query", "5", "unanswered")],
+        "kind string, id string, name string")
+    responses = spark.createDataFrame(
+        [(5, "1", 200, None, None), (5, "2", 404, None, "gone"), (6, "1", 500, None, None), (6, "1", 200, None, None),
+         (1, "5", 200, "n", None)], RESPONSES)
+    said = {(r["step"], r["source_key"]): r["message"] for r in delete_messages(selected, responses).collect()}
+    assert said == {(5, "1"): "deleted query a (1)", (5, "2"): "failed to delete query  (2): gone", (6, "1"): "deleted dashboard d (1)"}
 
 
 def test_upload_of_an_export(spark, tmp_path):
@@ -193,14 +224,76 @@ def test_upload_of_an_export(spark, tmp_path):
     assert [r["source_key"] for r in upload.dashboard_requests().collect()] == ["sampledash/SampleDash"]
 
 
-def test_messages_of_a_large_asset_come_in_parts(spark):
+def test_messages_stay_rows(spark):
     rows = spark.range(2500).select(
         F.lit("k").alias("parent_key"), F.lit(2).alias("step"), F.col("id").cast("int").alias("pos"),
         F.concat(F.lit("m"), F.col("id")).alias("message"))
-    head = spark.createDataFrame([("k", 1, 0, "first")], rows.schema)
-    got = {r["part"]: r["messages"] for r in collect_status(rows.union(head)).collect()}
-    assert sum(got.values(), []) and [len(got[p]) for p in sorted(got)] == [1001, 1000, 500]
-    assert sum((got[p] for p in sorted(got)), []) == ["first"] + [f"m{n}" for n in range(2500)]
+    got = collect_status(rows.union(rows))
+    assert got.count() == 2500 and got.columns == ["source_key", "step", "pos", "message"]
+
+
+def test_what_is_rejected_is_written(spark, config, texts, tmp_path):
+    rows = texts([dumps(query(name="a")), '{"cut', dumps(query(query_hash=None))])
+    rejected = land(rows, f"{config.landing}/queries", "query")
+    assert {r["reason"] for r in spark.read.parquet(rejected).collect()} == {"not one JSON object", "no query_hash"}
+    assert read_json_lines(spark, f"{config.landing}/queries").count() == 1
+    put(tmp_path / "raw" / "a.json", {"1": query()})
+    put(tmp_path / "raw" / "b.json", '{"2": {"name"')
+    left = clean_export(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), MAPPINGS)
+    assert [tuple(r) for r in left.collect()] == [(None, '{"2": {"name"')]
+
+
+def test_cut_responses_are_rejected(spark, tmp_path):
+    put(tmp_path / "r" / "1.json", '{"step": 1, "source_key": "a", "status": 200, "new_id": "9"}\n{"step": 1, "sour\n{"status": 200}\n')
+    lines = read_json_lines(spark, str(tmp_path / "r"))
+    assert [r["source_key"] for r in read_responses(spark, str(tmp_path / "r")).collect()] == ["a"]
+    assert {r["reason"] for r in rejected_responses(lines).collect()} == {"not one JSON object", "no step or source key"}
+
+
+def test_the_later_answer_counts(spark):
+    schema = "step int, source_key string, status int, new_id string, message string, landed_at timestamp"
+    rows = [(1, "a", 200, "9", None, datetime(2024, 1, 1)), (1, "a", 200, "10", None, datetime(2024, 1, 2)),
+            (1, "b", 200, "9", None, None), (1, "b", 200, "10", None, None), (1, "a", 400, "99", None, datetime(2024, 1, 3))]
+    assert {tuple(r) for r in new_ids(spark.createDataFrame(rows, schema)).collect()} == {("a", "10"), ("b", "10")}
+
+
+def test_the_latest_state_is_that_of_the_latest_time(spark, config, tmp_path):
+    times = {"late": "2021-01-01T12:00:05.900Z", "early": "2021-01-01T12:00:05Z", "offset": "2021-01-01T15:00:00+05:00"}
+    put(tmp_path / "landed" / "queries" / "1.json", lines(*[query(query=q, updated_at=t) for q, t in times.items()]))
+    import_assets(spark, config, "query")
+    assert json.loads(read_catalog(spark, config, "query").first()["query_object"])["query"] == "late"
+
+
+def test_a_key_given_twice_keeps_its_last_value(spark, config, tmp_path):
+    twice = dumps(query(query="x"))[:-1] + ', "query": "y"}'
+    put(tmp_path / "landed" / "queries" / "1.json", lines(twice))
+    import_assets(spark, config, "query")
+    assert json.loads(read_catalog(spark, config, "query").first()["query_object"])["query"] == "y"
+
+
+def test_a_concurrent_import_is_not_dropped(spark, config, tmp_path):
+    built_on = current_version(spark, config, "query")
+    put(tmp_path / "landed" / "queries" / "1.json", lines(query()))
+    import_assets(spark, config, "query")
+    with pytest.raises(ConfigError):
+        commit_version(read_catalog(spark, config, "query").where("false"), config, "query", built_on)
+    assert read_catalog(spark, config, "query").count() == 1
+
+
+def test_names_are_chosen_by_kind(spark, config, tmp_path):
+    put(tmp_path / "landed" / "queries" / "1.json", lines(query(name="a"), query(name="b")))
+    put(tmp_path / "landed" / "dashboards" / "1.json", lines(dashboard(slug="a", name="a"), dashboard(slug="d", name="d")))
+    for kind in ("query", "dashboard"):
+        import_assets(spark, config, kind)
+    upload = Upload.from_catalog(spark, config, "ds", "Query Name", query_names=["a"], dashboard_names=["d"])
+    assert [r["name"] for r in upload.queries.collect()] == ["a"]
+    assert [r["name"] for r in upload.dashboards.collect()] == ["d"]
+
+
+def test_run_report(spark, texts):
+    rows = texts([dumps(query(tags=["t"])), dumps(query(tags=["t"], updated_at=None)), dumps(query(tags=["u"], updated_at=None)), "[]"])
+    got = {r["outcome"]: r["n"] for r in run_report(rows, "query", Choice(["t"], "2021-01-01")).collect()}
+    assert got == {"imported": 1, "no readable updated_at": 1, "not chosen": 1, "not one JSON object": 1}
 
 
 def test_stream_takes_in_what_is_new(spark, config, tmp_path):

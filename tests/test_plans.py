@@ -42,7 +42,7 @@ def exchanges(spark, frame):
 def test_an_import_is_shuffled_once(spark, texts):
     rows = catalog_rows(texts([dumps(query())]), "query", mappings=Mappings({"a": "b"}, {"c": "d"}))
     assert exchanges(spark, rows) == 1
-    assert plan_of(rows).count("parseJson") == 1
+    assert plan_of(rows).count("parseJson(concat([, raw") == 1
 
 
 def test_detail_is_joined_without_a_further_shuffle(spark):
@@ -52,7 +52,7 @@ def test_detail_is_joined_without_a_further_shuffle(spark):
 
 def test_mapping_is_one_constant(texts):
     plan = plan_of(texts(["a"]).select(multi_replace(F.col("raw"), {"a": "b"})))
-    assert "from_json" not in plan and "keys: [a], values: [b]" in plan
+    assert plan.count('{"a": "b"}') == 1
 
 
 def test_small_pulls_do_not_move_the_catalog(spark, tmp_path):

@@ -11,9 +11,9 @@ from asset_catalog.schemas import ConfigError
 from asset_catalog.sources import landed
 from asset_catalog.sources.exports import (
     asset_file_key,
-    document_count,
     keyed_documents,
     write_asset_files,
+    write_entry_lines,
     write_keyed_json,
 )
 from tests.conftest import dumps, query
@@ -57,11 +57,11 @@ def test_lines(spark, tmp_path):
 
 
 def test_mapping(spark, tmp_path):
-    put(tmp_path / "t.json", {"OldTable": "new", "": "x", "a.b": ""})
+    put(tmp_path / "t.json", {"OrdersV1": "new", "": "x", "a.b": ""})
     pairs = landed.read_mapping(spark, str(tmp_path / "t.json"))
-    assert landed.load_mapping(pairs) == {"oldtable": "new", "a.b": ""}
+    assert landed.load_mapping(pairs) == {"ordersv1": "new", "a.b": ""}
     with pytest.raises(ConfigError):
-        landed.load_mapping(pairs, max_keys=1)
+        landed.load_mapping(pairs, max_bytes=10)
     assert landed.read_mapping(spark, str(tmp_path / "none.json")) is None
     assert landed.load_mapping(None) is None
     put(tmp_path / "twice.json", '{"a": "x", "a": "y"}')
@@ -88,13 +88,13 @@ def test_inventory(spark, tmp_path):
     assert tuple(rows.where("id = '3'").first()) == ("dashboard", "3", "q3", ["t"])
 
 
-@pytest.mark.parametrize("chars", [10, 10**6])
-def test_export_documents_hold_every_entry(spark, tmp_path, chars):
+@pytest.mark.parametrize("documents", [1, 7])
+def test_export_documents_hold_every_entry(spark, tmp_path, documents):
     assets = {f'k"\\{n}é:': {"name": f"a{n}", "tags": [], "x": None, "n": 1.5} for n in range(50)}
     rows = [(k, json.dumps(v)) for k, v in assets.items()]
     entries = spark.createDataFrame(rows, "object_key string, raw string")
-    assert (document_count(entries, chars) == 1) == (chars == 10**6)
-    write_keyed_json(entries, str(tmp_path / "out"), chars)
+    write_keyed_json(entries, str(tmp_path / "out"), documents)
+    assert spark.read.text(str(tmp_path / "out")).count() == documents
     held = {}
     for line in spark.read.text(str(tmp_path / "out")).collect():
         held.update(json.loads(line[0]))
@@ -102,6 +102,26 @@ def test_export_documents_hold_every_entry(spark, tmp_path, chars):
     back = landed.read_keyed_json(spark, str(tmp_path / "out"))
     assert {r["object_key"]: json.loads(r["raw"]) for r in back.collect()} == assets
     assert keyed_documents(entries.limit(0), 1).count() == 0
+    write_entry_lines(entries, str(tmp_path / "lines"))
+    assert spark.read.text(str(tmp_path / "lines")).count() == len(assets)
+    back = landed.read_entry_lines(spark, str(tmp_path / "lines"))
+    assert {r["object_key"]: json.loads(r["raw"]) for r in back.collect()} == assets
+
+
+def test_broken_documents_are_not_passed_over(spark, tmp_path):
+    put(tmp_path / "m.json", '{"a": "x"')
+    put(tmp_path / "i" / "1.json", {"results": [{"id": 1, "name": "q"}]})
+    put(tmp_path / "i" / "2.json", '{"results": [{"id": 2')
+    put(tmp_path / "e.json", '[{"id": 1}')
+    for read in (
+        lambda: landed.read_mapping(spark, str(tmp_path / "m.json")),
+        lambda: landed.read_target_inventory(spark, str(tmp_path / "i"), "query"),
+        lambda: landed.read_endpoints(spark, str(tmp_path / "e.json")),
+    ):
+        with pytest.raises(ConfigError):
+            read()
+    rejected = landed.rejected_listing(landed.read_documents(spark, str(tmp_path / "i")), "dashboard")
+    assert sorted(r["reason"] for r in rejected.collect()) == ["no key", "not a page"]
 
 
 def test_asset_files(spark, tmp_path, texts):

@@ -16,7 +16,7 @@ from asset_catalog.functions.text import (
 )
 from asset_catalog.schemas import ConfigError
 
-TABLES = {"parquet_parquet": "lake.c_event", "oldtable": "newtable"}
+TABLES = {"raw_zone": "lake.sales", "ordersv1": "orders_v2"}
 
 
 def scan(text, mapping):
@@ -38,8 +38,8 @@ def run(frame, column):
 
 
 def test_golden_pair(texts):
-    before = "SELECT strpos(13002101) AS A, 'Below Target' AS S FROM parquet_parquet.OldTable"
-    after = "select instr(13002101) as a, 'below target' as s from lake.c_event.newtable"
+    before = "SELECT strpos(title) AS A, 'Too Late' AS S FROM raw_zone.OrdersV1"
+    after = "select instr(title) as a, 'too late' as s from lake.sales.orders_v2"
     assert run(texts([before]), rewrite_text(F.col("raw"), TABLES, FUNCTIONS)) == [after]
 
 
@@ -122,9 +122,9 @@ def test_whole_words_only(texts):
 
 
 def test_case_kept(texts):
-    column = multi_replace(F.col("raw"), {"OldTable": "newTable"}, preserve_case=True)
-    values = ["SELECT 'Below' FROM OLDTABLE, oldTable", None]
-    assert run(texts(values), column) == ["SELECT 'Below' FROM newTable, newTable", None]
+    column = multi_replace(F.col("raw"), {"OrdersV1": "ordersV2"}, preserve_case=True)
+    values = ["SELECT 'Above' FROM ORDERSV1, ordersv1", None]
+    assert run(texts(values), column) == ["SELECT 'Above' FROM ordersV2, ordersV2", None]
 
 
 def test_mapping_is_cleaned():
