@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: what is removed from stored tags.
+_NOT_KEPT = "[^A-Za-z,_]"
+
+
 def normalise_tags(tags_json: Column, *, typed: bool = False) -> Column:
     """Tags of a JSON array text.
 
@@ -17,7 +21,7 @@ def normalise_tags(tags_json: Column, *, typed: bool = False) -> Column:
     """
     if typed:
         return F.from_json(tags_json, "array<string>")
-    return F.split(F.regexp_replace(tags_json, "[^A-Za-z,_]", ""), ",")
+    return F.split(F.regexp_replace(tags_json, _NOT_KEPT, ""), ",")
 
 
 def parse_tag_list(text: Column, *, separators: str = r"[,\s]+") -> Column:

@@ -68,7 +68,8 @@ def upsert(
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """The same by MERGE, for table formats that can change rows in place."""
+    """The same by MERGE, for table formats that can change rows in place. Untried: no such format
+    is at hand, and parquet refuses it."""
     target = table.rsplit(".", 1)[-1]
     match = [F.col(f"source.{k}") == F.col(f"{target}.{k}") for k in keys]
     condition = match[0]

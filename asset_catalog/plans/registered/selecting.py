@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from asset_catalog.functions.tags import parse_list
 from asset_catalog.operators import assets as ops
 from asset_catalog.operators import select
 from asset_catalog.operators.assets import read_assets
@@ -35,6 +36,12 @@ def filter_names(spark, sf_dir):
     return _keys(select.filter_names(_assets(spark, sf_dir), "subset", NAMES))
 
 
+def typed_names(spark, sf_dir):
+    """Names as a user types them into a setting."""
+    names = parse_list(" q_7 , q_70,, q_Q ", names=True)
+    return _keys(select.filter_names(_assets(spark, sf_dir), "subset", names))
+
+
 def filter_names_table(spark, sf_dir):
     """Names from a table of any size."""
     names = derived.table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
@@ -93,6 +100,7 @@ QUERIES = {
     "filter_tags": filter_tags,
     "filter_modified_since": filter_modified_since,
     "filter_names": filter_names,
+    "parse_list": typed_names,
     "filter_names_table": filter_names_table,
     "select_upload_tags": _upload("Tags"),
     "select_upload_name": _upload("Query Name"),
@@ -122,6 +130,7 @@ ORACLES = {
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, {ISO} AS updated_at
         FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
     "filter_names": f"{_KEYS} WHERE {_NAME}",
+    "parse_list": f"{_KEYS} WHERE {_NAME}",
     "filter_names_table": f"""{_IDS}
         WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "select_upload_tags": f"{_KEYS} WHERE {_TAG}",
