@@ -52,6 +52,14 @@ def test_matches_brute_force(spark, leaf_rows, block_rows):
     assert len(got) == len(rows) and answers(got) == expected
 
 
+def test_any_number_of_labels(spark):
+    draw = np.random.default_rng(9)
+    rows = [(i, v, i % 150 if i % 3 else -1) for i, v, _ in clustered(draw, 40, 20, 0.05)]
+    got = embed_dedup.link_vectors(spark.createDataFrame([(*r, "own") for r in rows], SCHEMA).repartition(3), 0.98, 10, 6).collect()
+    expected = brute(rows, 0.98)
+    assert sum(e[0] for e in expected.values()) > 50 and answers(got) == expected
+
+
 def test_tree_is_nested_and_covers():
     sample = embed_dedup.unit(np.random.default_rng(1).normal(size=(200, 6)))
     tree = embed_dedup.grow(sample)

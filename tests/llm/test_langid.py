@@ -57,6 +57,15 @@ def test_long_texts_are_read_whole():
     assert names == ["y", "x"]
 
 
+def test_long_texts_are_parsed_in_parts(monkeypatch):
+    automata = langid.build({"x": ["abcabc abd"], "y": ["xyzxyz xy"]})
+    texts = pa.array(["abc abd " * 50 + "xyz", None, "", "xyz " * 60, "12"])
+    expected = automata(texts)
+    monkeypatch.setattr(langid, "PART", 64)
+    names, scores = automata(texts)
+    assert names == expected[0] == ["x", "und", "und", "y", "und"] and np.allclose(scores, expected[1], atol=0.05)
+
+
 def test_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     named = langid.identify(docs, langid.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()

@@ -31,6 +31,15 @@ def test_pairs_of_every_passage():
     assert not encoded[2:].any()
 
 
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    texts = pa.array(["word " * 700, "", "A|b " * 900, None, "end"])
+    expected = quality.encode(texts)
+    monkeypatch.setattr(quality, "PART", 2 * quality.PASSAGE_BYTES)
+    found = quality.encode(texts)
+    assert (found[1] == expected[1]).all()
+    assert np.abs(found[0].astype(int) - expected[0].astype(int)).sum() == 0
+
+
 def test_slopes_are_those_of_the_loss():
     draw = np.random.default_rng(4)
     x, passages, good = draw.random((7, quality.INPUTS)), np.array([3, 1, 3]), np.array([1.0, 0.0, 1.0])

@@ -70,6 +70,15 @@ def test_round_trip(texts, seed):
 VOCABULARY = sp.load()
 
 
+def test_long_texts_in_parts_get_the_same_pieces(monkeypatch):
+    text = "The quick fox, ▁ and so on\n\n" * 200 + "x" * 900 + " end"
+    keys = sp.row_keys([7, 8], 0)
+    whole = sp.Sampler(VOCABULARY).encode([text, "short"], keys)
+    monkeypatch.setattr(sp, "AT_ONCE", 400)
+    parts = sp.Sampler(VOCABULARY).encode([text, "short"], keys)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True)) and len(whole[0]) > 1000
+
+
 def test_most_likely_piece_wins_when_sharp():
     sharp = sp.load(sharpness=3.0)
     sampler = sp.Sampler(sharp)

@@ -47,6 +47,14 @@ def test_matches_brute_force(real):
         assert r.component_id == components[r.doc_id]
 
 
+def test_long_texts_are_cut_between_words(monkeypatch):
+    texts = ["One two  three four\tfive six " * 9, "one", "one two", " a b c ", "", "x" * 50 + " y z w"]
+    for part in (1, 7, 1 << 20):
+        monkeypatch.setattr(simhash, "_PART", part)
+        for shingle in (1, 3, 5):
+            assert [simhash.fingerprint(t.encode(), shingle) for t in texts] == [brute_print(t, shingle) for t in texts]
+
+
 def test_tree_of_many_shards_finds_every_pair(spark):
     draw = random.Random(5)
     seeds = [draw.getrandbits(64) for _ in range(60)]
