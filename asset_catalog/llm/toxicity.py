@@ -50,10 +50,10 @@ class Machine:
 
     def logits(self, rows: np.ndarray, places: np.ndarray, count: int) -> np.ndarray:
         """Scores of `count` texts from pairs of text and place."""
-        total = np.bincount(rows, self.weights[places], count)
+        total = np.zeros(count) + np.bincount(rows, self.weights[places], count)
         for column in self.vectors.T:
             seen = column[places]
-            total += 0.5 * (np.bincount(rows, seen, count) ** 2 - np.bincount(rows, seen * seen, count))
+            total += 0.5 * (np.bincount(rows, seen, count).astype(float) ** 2 - np.bincount(rows, seen * seen, count))
         return self.bias + total
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
@@ -73,8 +73,8 @@ def fit(
     labels: np.ndarray,
     factors: int = 8,
     least_texts: int = 4,
-    least_gain: float = 15.0,
-    steps: int = 400,
+    least_gain: float = 20.0,
+    steps: int = 250,
     rate: float = 0.05,
     decay: float = 1e-4,
     seed: int = 3,
@@ -133,7 +133,7 @@ def fit(
 
 
 def learn(
-    documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, sample_rows: int = 30_000
+    documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, sample_rows: int = 15_000
 ) -> Machine:
     """The machine fitted on at most about sample_rows labelled documents outside the held-out fold."""
     known = labelled(labels, "toxic", sample_rows, 1, lambda key: fold(key, modulus) != held_out)
