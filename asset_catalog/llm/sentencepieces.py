@@ -40,6 +40,9 @@ MARK = "▁"
 #: Stands for that mark where a text holds it itself; no valid text holds half a surrogate pair.
 _OWN_MARK = "\ud800"
 
+#: Bytes of text that are segmented at once: a task's memory is some 200 times as much.
+AT_ONCE = 3 << 19
+
 #: Units of at most so many characters are filtered side by side; longer ones are rare, and one by one.
 _SHORT = 40
 
@@ -239,6 +242,10 @@ def load(path: str = MODEL, ranked: bool = True, sharpness: float = 1.0) -> Voca
     return Vocabulary(weights, ids, raw, bytes_at, float(np.exp(sharpness * lowest)), units)
 
 
+def _marked(text: str) -> str:
+    return MARK + text.replace(MARK, _OWN_MARK).replace(" ", MARK)
+
+
 class Sampler:
     """Samples and decodes batches of texts."""
 
@@ -247,19 +254,41 @@ class Sampler:
         self.units = re.compile(vocabulary.units)
 
     def encode(self, texts: list[str | None], keys: np.ndarray) -> list[np.ndarray | None]:
-        """The ids of each text."""
-        found = [self.units.findall(MARK + t.replace(MARK, _OWN_MARK).replace(" ", MARK)) if t else [] for t in texts]
+        """The ids of each text. Texts longer than AT_ONCE are cut between units, which changes nothing."""
+        out: list[np.ndarray | None] = [None if t is None else np.empty(0, np.int32) for t in texts]
+        short = [k for k, t in enumerate(texts) if t and len(t) <= AT_ONCE]
+        found = [self.units.findall(_marked(texts[k])) for k in short]
+        for k, ids in zip(short, self._sample(found, keys[short], np.zeros(len(short), np.int64)), strict=True):
+            out[k] = ids
+        for k, text in enumerate(texts):
+            if text and len(text) > AT_ONCE:
+                out[k] = np.concatenate(list(self._in_parts(text, keys[k : k + 1])))
+        return out
+
+    def _in_parts(self, text: str, key: np.ndarray) -> Iterator[np.ndarray]:
+        part, start, size = [], 0, 0
+        for unit in self.units.finditer(_marked(text)):
+            part.append(unit[0])
+            size += len(unit[0])
+            if size >= AT_ONCE // 4:
+                yield self._sample([part], key, np.array([start]))[0]
+                part, start, size = [], start + size, 0
+        yield self._sample([part], key, np.array([start]))[0]
+
+    def _sample(self, found: list[list[str]], keys: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """The ids of each list of units; starts: where in its text the first one stands."""
         per_text = np.fromiter(map(len, found), np.int64, len(found))
+        if not per_text.sum():
+            return [np.empty(0, np.int32) for _ in found]
         index: dict[str, int] = {}
         unit = np.array([index.setdefault(u, len(index)) for f in found for u in f], np.int64)
-        del found
         net = lattice(list(index), self.vocabulary)
 
-        text = np.repeat(np.arange(len(texts)), per_text)
+        text = np.repeat(np.arange(len(found)), per_text)
         size = net.lengths[unit]
         first_unit = np.repeat(np.cumsum(per_text) - per_text, per_text)
         before = np.cumsum(size) - size
-        shift = before - before[first_unit] - net.base[unit]  # from a position here to one in the text
+        shift = starts[text] + before - before[first_unit] - net.base[unit]  # from a position here to one in the text
         bottom = net.base[unit]
         at = bottom + size
         drawn = keys[text]
@@ -297,8 +326,8 @@ class Sampler:
             for byte, i in enumerate(spelling):
                 ids[start + byte] = i
         per_unit = np.bincount(np.repeat(np.arange(len(unit)), steps), width, len(unit))
-        bounds = np.cumsum(np.bincount(text, per_unit, len(texts)).astype(np.int64))[:-1]
-        return [None if t is None else i for t, i in zip(texts, np.split(ids, bounds), strict=True)]
+        bounds = np.cumsum(np.bincount(text, per_unit, len(found)).astype(np.int64))[:-1]
+        return np.split(ids, bounds)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 text of the ids, without the space that encoding puts before it."""
@@ -316,7 +345,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, seed: int = 0) -> DataF
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, AT_ONCE):
                 ids = sampler.encode(part.column(1).to_pylist(), row_keys(part.column(0).to_pylist(), seed))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -347,7 +376,7 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary, seed: int = 0) -> D
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, AT_ONCE):
                 texts = part.column(1).to_pylist()
                 rows = []
                 for text, ids in zip(texts, sampler.encode(texts, row_keys(part.column(0).to_pylist(), seed)), strict=True):
