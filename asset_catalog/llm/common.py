@@ -42,7 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(held)
+    return path
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

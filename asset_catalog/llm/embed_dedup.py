@@ -13,7 +13,8 @@ A block pair returns for each vector how many links it found, and the smallest v
 links between thousands of copies are counted, never written out. Components come from those reaches.
 
 Leaves hold about leaf_rows vectors, as the sample follows the density, and are cut into blocks by hash
-where they hold more; so no task depends on a cluster's size.
+where they hold more; so no task depends on a cluster's size. Labels with fewer vectors are one leaf, without
+a tree, so any number of labels may occur.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and those with a null label or
 id, link with nothing and are a component of their own; vectors of different lengths never link; rows that share an
@@ -175,52 +176,62 @@ def link_vectors(embeddings: DataFrame, least: float = 0.98, leaf_rows: int = LE
     linkable = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     able = rows.where(linkable).withColumn("family", F.concat_ws("/", F.col("label").cast("string"), F.size("embedding").cast("string")))
 
-    total = able.count()
+    # Families larger than a leaf, of which there are MOST_LEAVES at most, get a tree; the others are a leaf each.
+    sizes = able.groupBy("family").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     per_leaf = max(leaf_rows, total / MOST_LEAVES)
-    drawn = F.pmod(F.xxhash64("vec_id", F.lit(6)), F.lit(1 << 30)) < int(min(1.0, 1 / per_leaf) * (1 << 30))
-    first = able.groupBy("family").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    large = [r.family for r in sizes.where(F.col("n") > F.lit(per_leaf)).select("family").collect()]
+    of_large = able.where(F.col("family").isin(large)) if large else able.where("false")
+    drawn = F.pmod(F.xxhash64("vec_id", F.lit(6)), F.lit(1 << 30)) < int(1 / per_leaf * (1 << 30))
+    first = of_large.groupBy("family").agg(F.min_by("embedding", "vec_id").alias("embedding"))
     samples: dict[str, list] = {}
-    for row in [*able.where(drawn).select("family", "embedding").collect(), *first.collect()]:
+    for row in [*of_large.where(drawn).select("family", "embedding").collect(), *first.collect()]:
         samples.setdefault(row.family, []).append(row.embedding)
     trees = {family: grow(unit(np.array(vectors, np.float64))) for family, vectors in sorted(samples.items())}
-    offsets = dict(zip(trees, np.cumsum([0, *[len(t.centres) for t in trees.values()]]).tolist(), strict=False))
     centres = {family: tree.centres for family, tree in trees.items()}
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             families = batch.column(0).to_numpy(zero_copy_only=False)
-            for family in sorted(set(families)):
-                part = batch.take(pa.array(np.flatnonzero(families == family)))
-                vectors = unit(_matrix(part.column(2)))
-                near = vectors @ centres[family].T
-                leaf = near.argmax(axis=1)
-                gap = np.sqrt(((vectors - centres[family][leaf]) ** 2).sum(axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array((leaf + offsets[family]).astype(np.int32)), pa.array(gap), part.column(1), part.column(2)], names=["leaf", "gap", "vec_id", "embedding"])
+            leaf, gap = np.full(batch.num_rows, -1, np.int32), np.zeros(batch.num_rows)
+            for family in sorted(set(families) & set(centres)):
+                rows = np.flatnonzero(families == family)
+                vectors = unit(_matrix(batch.column(2).take(pa.array(rows))))
+                leaf[rows] = (vectors @ centres[family].T).argmax(axis=1)
+                gap[rows] = np.sqrt(((vectors - centres[family][leaf[rows]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(leaf), pa.array(gap), batch.column(1), batch.column(2)], names=names)
 
     kinds = dict(able.dtypes)
-    assigned = able.select("family", "vec_id", "embedding").mapInArrow(assign, f"leaf int, gap double, vec_id {kinds['vec_id']}, embedding {kinds['embedding']}")
-    homes = stored(assigned, "vector-leaves")
-    of_leaves = {r.leaf: (r.n, r.radius) for r in homes.groupBy("leaf").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()}
-
+    names = ["family", "leaf", "gap", "vec_id", "embedding"]
+    schema = f"family string, leaf int, gap double, vec_id {kinds['vec_id']}, embedding {kinds['embedding']}"
+    homes = stored(able.select("family", "vec_id", "embedding").mapInArrow(assign, schema), "vector-leaves")
+    cuts = F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("cuts")
+    leaves = stored(homes.groupBy("family", "leaf").agg(cuts, F.max("gap").alias("radius")), "vector-leaf-sizes")
+
+    of_trees: dict[str, dict[int, tuple]] = {family: {} for family in trees}
+    for r in leaves.where("leaf >= 0").collect():
+        of_trees[r.family][r.leaf] = (r.cuts, r.radius)
     pairs = []
     for family, tree in trees.items():
-        start = offsets[family]
-        radii = np.array([of_leaves.get(start + k, (0, 0.0))[1] for k in range(len(tree.centres))])
-        found = tree.pairs(radii, float(np.sqrt(2 - 2 * least))) + start
-        pairs += [(int(a), int(b)) for a, b in found if a in of_leaves and b in of_leaves]
-    cuts = {leaf: -(-n // block_rows) for leaf, (n, _) in of_leaves.items()}
-    sides = spark.createDataFrame([(a, cuts[a], b, cuts[b]) for a, b in pairs], "a int, a_cuts int, b int, b_cuts int")
+        held = of_trees[family]
+        radii = np.array([held.get(k, (0, 0.0))[1] for k in range(len(tree.centres))])
+        for a, b in tree.pairs(radii, float(np.sqrt(2 - 2 * least))).tolist():
+            if a in held and b in held:
+                pairs.append((family, a, held[a][0], b, held[b][0]))
+    sides = spark.createDataFrame(pairs, "family string, a int, a_cuts int, b int, b_cuts int")
     sides = sides.repartition(max(1, min(len(pairs) // 1000, 1000)))
-    blocks = sides.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("a_cuts") - 1)).alias("x"), "b_cuts")
-    blocks = blocks.select("a", "b", "x", F.explode(F.sequence(F.lit(0), F.col("b_cuts") - 1)).alias("y"))
+    small = leaves.where("leaf < 0").select("family", F.col("leaf").alias("a"), F.col("cuts").alias("a_cuts"), F.col("leaf").alias("b"), F.col("cuts").alias("b_cuts"))
+    blocks = sides.unionByName(small)
+    blocks = blocks.select("family", "a", "b", F.explode(F.sequence(F.lit(0), F.col("a_cuts") - 1)).alias("x"), "b_cuts")
+    blocks = blocks.select("family", "a", "b", "x", F.explode(F.sequence(F.lit(0), F.col("b_cuts") - 1)).alias("y"))
     blocks = blocks.where("a != b or x <= y")
-    pair = F.struct("a", "x", "b", "y").alias("pair")
-    left = blocks.select(pair, F.col("a").alias("leaf"), F.col("x").alias("cut"), F.lit(False).alias("second"))
-    right = blocks.where("a != b or x != y").select(pair, F.col("b").alias("leaf"), F.col("y").alias("cut"), F.lit(True).alias("second"))
+    pair = F.struct("family", "a", "x", "b", "y").alias("pair")
+    left = blocks.select(pair, "family", F.col("a").alias("leaf"), F.col("x").alias("cut"), F.lit(False).alias("second"))
+    right = blocks.where("a != b or x != y").select(pair, "family", F.col("b").alias("leaf"), F.col("y").alias("cut"), F.lit(True).alias("second"))
 
-    leaf_cuts = spark.createDataFrame(list(cuts.items()), "leaf int, cuts int")
-    placed = homes.join(F.broadcast(leaf_cuts), "leaf").withColumn("cut", F.pmod(F.xxhash64("vec_id"), F.col("cuts")).cast("int"))
-    work = placed.join(left.unionByName(right), ["leaf", "cut"]).select("pair", "second", "vec_id", "embedding")
+    placed = homes.join(leaves.select("family", "leaf", "cuts"), ["family", "leaf"])
+    placed = placed.withColumn("cut", F.pmod(F.xxhash64("vec_id"), F.col("cuts")).cast("int"))
+    work = placed.join(left.unionByName(right), ["family", "leaf", "cut"]).select("pair", "second", "vec_id", "embedding")
 
     def compare(block: pa.Table) -> pa.Table:
         pair, second = block.column("pair")[0].as_py(), block.column("second").to_numpy()

@@ -33,6 +33,9 @@ from asset_catalog.llm.common import fold, score_texts, slices
 UNKNOWN = "und"
 BLOCK = 1024
 
+#: Characters of a text that are read at once; a longer text is parsed in parts.
+PART = 1 << 20
+
 #: Symbols: 0 is what stands between letters, 1 a letter that no sample holds, then the letters.
 _GAP, _OTHER = 0, 1
 
@@ -73,11 +76,13 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
 
 
 def steps(table: np.ndarray) -> np.ndarray:
-    """The transitions for parsing, flat: a state is its row's start; where a phrase ends, the bits of
-    the state that the symbol leads to from the root are inverted."""
+    """The transitions for parsing, flat: a state is its row's start. Where a phrase ends and the symbol
+    starts the next, the bits of the state that it leads to from the root are inverted. In the last row every
+    symbol starts a phrase: there parsing begins, and goes on after a symbol that the sample does not hold."""
     states, alphabet = table.shape
-    restart = np.where(table[0] >= 0, table[0], 0)
-    return np.where(table >= 0, table * alphabet, ~(restart * alphabet)).astype(np.int32).reshape(-1)
+    restart = np.where(table[0] >= 0, table[0], states)
+    rows = np.vstack((table, np.full(alphabet, -1)))
+    return np.where(rows >= 0, rows * alphabet, ~(restart * alphabet)).astype(np.int32).reshape(-1)
 
 
 def _letters() -> np.ndarray:
@@ -90,6 +95,20 @@ def _letters() -> np.ndarray:
     return codes
 
 
+def _parts(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts in parts, some at a time, with the numbers of the texts that they belong to."""
+    owners, parts, size = [], [], 0
+    for owner, text in enumerate(texts):
+        for at in range(0, len(text or ""), PART):
+            owners.append(owner)
+            parts.append(text[at : at + PART])
+            size += len(parts[-1])
+            if size >= 4 * PART:
+                yield owners, parts
+                owners, parts, size = [], [], 0
+    yield owners, parts
+
+
 @dataclass
 class Automata:
     """symbols: for each code point; tables: the steps of each language; bits: of a phrase in each."""
@@ -103,6 +122,8 @@ class Automata:
     def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of all texts in one array, and how many each has; gaps are one symbol."""
         raw = [(t or "").encode("utf-32-le", "surrogatepass") for t in texts.to_pylist()]
+        if not raw:
+            return np.empty(0, self.symbols.dtype), np.empty(0, np.int64)
         sizes = np.array([len(r) // 4 for r in raw], np.int64)
         found = self.symbols[np.frombuffer(b"".join(raw), np.uint32)]
         text = np.repeat(np.arange(len(raw)), sizes)
@@ -125,34 +146,40 @@ class Automata:
         if not len(owner):
             return counts
         alive = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")
-        ends = np.ones((len(self.tables), len(owner)), np.int32)  # the last phrase ends with the block
-        states = np.zeros((len(self.tables), len(owner)), np.int32)
+        begun = np.zeros((len(self.tables), len(owner)), np.int32)
+        states = np.repeat(np.array([[len(t) - self.alphabet] for t in self.tables], np.int32), len(owner), axis=1)
         for step in range(length[0]):
             live = alive[step]
             symbol = found[start[:live] + step].astype(np.int32)
             for k, table in enumerate(self.tables):
                 to = table[states[k, :live] + symbol]
-                ended = to >> 31
-                ends[k, :live] -= ended
-                states[k, :live] = to ^ ended
+                starts = to >> 31
+                begun[k, :live] -= starts
+                states[k, :live] = to ^ starts
         for k in range(len(self.tables)):
-            counts[:, k] = np.bincount(owner, ends[k], len(sizes))
+            counts[:, k] = np.bincount(owner, begun[k], len(sizes))
         return counts
 
     def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. The score is how far the runner-up's entropy lies above the
         best, as a share of their sum: 0 if both explain the text alike; 1 for the only language."""
-        found, sizes = self.read(texts)
-        letters = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found != _GAP, len(sizes)) > 0
+        count = len(texts)
         if not self.languages:
-            return [UNKNOWN] * len(sizes), np.zeros(len(sizes))
-        entropy = self.phrases(found, sizes) * self.bits / np.maximum(1, sizes)[:, None]
+            return [UNKNOWN] * count, np.zeros(count)
+        sizes, letters, phrases = np.zeros(count), np.zeros(count), np.zeros((count, len(self.tables)))
+        for owners, parts in _parts(texts.to_pylist()):
+            found, read = self.read(pa.array(parts, pa.string()))
+            np.add.at(sizes, owners, read)
+            np.add.at(letters, owners, np.bincount(np.repeat(np.arange(len(read)), read), found != _GAP, len(read)))
+            np.add.at(phrases, owners, self.phrases(found, read))
+        letters = letters > 0
+        entropy = phrases * self.bits / np.maximum(1, sizes)[:, None]
         best = entropy.argmin(axis=1)
         if len(self.languages) > 1:
             two = np.partition(entropy, 1, axis=1)[:, :2]
             score = (two[:, 1] - two[:, 0]) / np.maximum(two.sum(axis=1), 1e-12)
         else:
-            score = np.ones(len(sizes))
+            score = np.ones(count)
         names = [self.languages[b] if known else UNKNOWN for b, known in zip(best, letters, strict=True)]
         return names, np.where(letters, score, 0.0)
 

@@ -38,9 +38,28 @@ WINDOW, SLOTS = 6, 2048
 INPUTS = PAIRS + 2
 
 
+#: Bytes of a text that are encoded at once; a multiple of a passage.
+PART = PASSAGE_BYTES << 12
+
+
 def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Counts of pairs and of different windows for each passage, and the number of passages of each text."""
     raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+    encoded, some = [], []
+    for text in raw:
+        if len(text) <= PART:
+            some.append(text)
+            continue
+        encoded += [_encode(some)] if some else []
+        encoded += [np.concatenate([_encode([text[at : at + PART]]) for at in range(0, len(text), PART)])]
+        some = []
+    encoded += [_encode(some)] if some else []
+    passages = np.array([max(1, -(-len(t) // PASSAGE_BYTES)) for t in raw], np.int64)
+    return np.concatenate([np.empty((0, PAIRS + 1), np.uint16), *encoded]), passages
+
+
+def _encode(raw: list[bytes]) -> np.ndarray:
+    """Counts of pairs and of different windows for each passage."""
     sizes = np.array([len(t) for t in raw], np.int64)
     passages = np.maximum(1, -(-sizes // PASSAGE_BYTES))
     codes = np.frombuffer(b"".join(raw), np.uint8)
@@ -58,7 +77,7 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         window = window * np.uint32(0x01000193) + codes[full - back]
     seen = np.zeros((total, SLOTS), bool)
     seen.reshape(-1)[passage[full] * SLOTS + (window * np.uint32(2654435769) >> np.uint32(21))] = True
-    return np.column_stack((counts, seen.sum(axis=1))).astype(np.uint16), passages
+    return np.column_stack((counts, seen.sum(axis=1))).astype(np.uint16)
 
 
 def inputs(encoded: np.ndarray) -> np.ndarray:

@@ -15,6 +15,7 @@ fingerprint's other rows, null if there are none; equal rows are returned as oft
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,10 @@ from asset_catalog.llm.graph import connected_components
 
 SEED = 42
 
-#: Shingles whose bits are summed at once.
+#: Shingles whose bits are summed at once, and bytes of a text that are cut into words at once.
 _AT_ONCE = 1 << 16
+_PART = 4 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 #: Pairs that are compared at once.
 _BLOCK = 1 << 20
@@ -38,21 +41,38 @@ _BLOCK = 1 << 20
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
     """The 64-bit SimHash of a UTF-8 text; bytes.split() cuts at space and tab to carriage return."""
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
+    ones, count, words = np.zeros(64, np.int64), 0, []
+    for more in _words(text or b""):
+        words += more
+        if len(words) >= shingle:
+            hashes = _hashes(words, shingle)
+            count += len(hashes)
+            for at in range(0, len(hashes), _AT_ONCE):
+                bits = np.unpackbits(hashes[at : at + _AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                ones += bits.sum(axis=0, dtype=np.int64)
+            words = words[len(words) - shingle + 1 :]
+    if not count:
+        return int(_hashes(words, len(words))[0]) if words else 0
+    return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
+
+
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The lower-cased words, part by part; a part ends with a word."""
+    at = 0
+    while at < len(text):
+        end = _SPACE.search(text, at + _PART)
+        stop = end.start() if end else len(text)
+        yield text[at:stop].lower().split()
+        at = stop
+
+
+def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     flat = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    width = min(shingle, len(words))
-    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
+    spans = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(flat[s:e], SEED) for s, e in spans], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), _AT_ONCE):
-        bits = np.unpackbits(hashes[at : at + _AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+    return np.array([digest(flat[s:e], SEED) for s, e in spans], np.uint64)
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
