@@ -211,7 +211,7 @@ def learn(documents: DataFrame, modulus: int = 5, held_out: int = 0, windows: in
     """Automata from about `windows` windows of each language, outside the held-out fold.
 
     Documents are drawn by hash, as many of each language whatever its share; the window of a document is drawn
-    by hash as well."""
+    by hash as well. Where a language has fewer documents than windows, their windows are longer."""
     known = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), modulus) != held_out))
     known = known.where(F.col("text").rlike(r"\p{L}"))
     known = known.withColumn("language", F.col("lang").cast("string"))
@@ -221,9 +221,10 @@ def learn(documents: DataFrame, modulus: int = 5, held_out: int = 0, windows: in
     # One row for each language, as the automata are: so texts are drawn where they are, without a join.
     shares = F.create_map(*[F.lit(x) for language, n in sorted(counts.items()) for x in (language, min(1.0, windows / n))])
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - window)).cast("int") + 1
-    rows = known.where(drawn < shares[F.col("language")])
-    got = rows.select("language", F.substring("text", place, F.lit(window)).alias("text")).collect()
+    place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - F.col("width"))).cast("int") + 1
+    widths = F.create_map(*[F.lit(x) for language, n in sorted(counts.items()) for x in (language, -(-window * windows // min(n, windows)))])
+    rows = known.where(drawn < shares[F.col("language")]).withColumn("width", widths[F.col("language")])
+    got = rows.select("language", F.substring("text", place, F.col("width")).alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for row in got:
         samples.setdefault(row.language, []).append(row.text)
