@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # The JSON texts of values that count as "nothing given".
 _EMPTY = ["null", '""', "{}", "[]", "0", "0.0", "-0.0", "false"]
 
+# Characters of one text that Spark's JSON parser takes unless told otherwise.
+LONGEST_TEXT = 20_000_000
+
 # Fields that hold secrets. Dashboards embed queries, so they occur inside too.
 SECRET_FIELDS = ("api_key",)
 
@@ -23,7 +26,9 @@ def parse_object(raw: Column) -> Column:
     which the session's setting is changed.
     """
     SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    text = F.concat(F.lit("["), raw, F.lit("]"))
+    long = F.from_json(text, "variant", {"maxStringLen": str(2**31 - 1)})  # up to a VARIANT's 128 MiB
+    wrapped = F.coalesce(F.try_parse_json(text), F.when(F.length(raw) > LONGEST_TEXT, long))
     values = F.array(F.try_variant_get(wrapped, "$", "array<variant>"))
     single = F.transform(values, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
     return F.when(F.rtrim(raw, F.lit(" \t\r\n")).endswith("}"), F.get(single, F.lit(0)))

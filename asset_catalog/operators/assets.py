@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asset_catalog.functions.json_fields import parse_object, text_field
+from asset_catalog.functions.json_fields import LONGEST_TEXT, parse_object, text_field
 from asset_catalog.schemas import Kind, kind_of
 
 
-# Characters of one text inside JSON that Spark can read into a VARIANT.
-LONGEST_TEXT = 20_000_000
-
-
 def source_key(key: Column, name: Column) -> Column:
     """What tells an asset from all others: its key is not enough, since queries of equal text
     have equal hashes. A key holds no slash, so the first one ends it."""

@@ -108,6 +108,14 @@ def test_secrets_of_all_types_at_any_depth_are_blanked(texts):
     assert [json.loads(g) for g in got] == [without_secrets(v) for v in values]
 
 
+def test_a_very_long_text_is_read(spark):
+    raw = F.concat(F.lit('{"name":"n","query":"'), F.repeat(F.lit("select x "), 2_300_000), F.lit('"}'))
+    rows = spark.range(1).select(raw.alias("raw"))
+    got = rows.select(F.length(text_field(parse_object(F.col("raw")), "query"))).first()[0]
+    assert got == 9 * 2_300_000
+    assert one(rows.withColumn("raw", F.concat("raw", F.lit("x"))), parse_object(F.col("raw")).isNull()) == [True]
+
+
 def test_secrets_inside_are_blanked(texts):
     inner = {"api_key": 'a"\\b', "n": 1, "text": '{"api_key":"kept"}', 'x"api_key': "kept", "api_keys": "kept"}
     asset = {"api_key": "s", "a": [inner, {"b": {**inner, "api_key": -1.5}}, {"api_key": True}, {"api_key": None}]}
