@@ -37,8 +37,7 @@ def test_small_table_is_searched_exactly(spark):
         assert np.allclose([r.score for r in own], [b[1] for b in best])
 
 
-@pytest.mark.parametrize("longest", [1, 4])
-def test_recall_of_a_grown_graph(spark, longest):
+def test_recall_of_a_grown_graph(spark, longest=3):
     """Small cells, entries and beams, so that descent and search have to find the way."""
     searching = {"entries": 50, "beam": 128, "expanded": 12, "steps": 8}
     draw = np.random.default_rng(2)
