@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -81,14 +81,26 @@ def blank(json: Column, fields: Iterable[str]) -> Column:
     A quotation mark inside a text is written with a backslash, so only real fields match. Texts
     that do not hold a field's name are not searched.
     """
+    def without(field: str) -> Callable[[Column], Column]:
+        return lambda text: _blank(text, field)
+
     for field in fields:
-        value = r'(?:"(?:[^"\\]++|\\.)*+"|[-+0-9.eE]++|true|false)'
-        plain = F.regexp_replace(json, rf'(?<!\\)"{re.escape(field)}":{value}', f'"{field}":null')
-        held = F.contains(json, F.lit(f'"{field}":'))
-        json = F.when(held, _blank_nested(plain, field)).otherwise(json)
+        json = _once(json, without(field))
     return json
 
 
+def _once(value: Column, function: Callable[[Column], Column]) -> Column:
+    """The function of a value that it uses several times and that is computed once."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
+def _blank(json: Column, field: str) -> Column:
+    value = r'(?:"(?:[^"\\]++|\\.)*+"|[-+0-9.eE]++|true|false)'
+    plain = F.regexp_replace(json, rf'(?<!\\)"{re.escape(field)}":{value}', f'"{field}":null')
+    held = F.contains(json, F.lit(f'"{field}":'))
+    return F.when(held, _once(plain, lambda text: _blank_nested(text, field))).otherwise(json)
+
+
 def _blank_nested(json: Column, field: str) -> Column:
     """The same for values that are arrays or objects, which may hold the field again.
 
@@ -99,13 +111,17 @@ def _blank_nested(json: Column, field: str) -> Column:
     nested = rf'(?<!\\)"{re.escape(field)}":(?=[\[{{])'
 
     def without_value(rest: Column, part: Column) -> Column:
-        text = F.concat(part, rest)
-        value = F.to_json(F.try_parse_json(text))
-        return F.concat(F.lit(f'"{field}":null'), F.substring(text, F.length(value) + 1, F.length(text)))
+        def after(text: Column) -> Column:
+            value = F.to_json(F.try_parse_json(text))
+            return F.concat(F.lit(f'"{field}":null'), F.substring(text, F.length(value) + 1, F.length(text)))
+
+        return _once(F.concat(part, rest), after)
+
+    def joined(parts: Column) -> Column:
+        tail = F.aggregate(F.reverse(F.slice(parts, F.lit(2), F.size(parts))), F.lit(""), without_value)
+        return F.concat(F.get(parts, F.lit(0)), tail)
 
-    parts = F.split(json, nested)
-    tail = F.aggregate(F.reverse(F.slice(parts, F.lit(2), F.size(parts))), F.lit(""), without_value)
-    return F.when(json.rlike(nested), F.concat(F.get(parts, F.lit(0)), tail)).otherwise(json)
+    return F.when(json.rlike(nested), _once(F.split(json, nested), joined)).otherwise(json)
 
 
 def redact(parsed: Column, secrets: Iterable[str] = SECRET_FIELDS) -> Column:
