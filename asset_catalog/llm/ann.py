@@ -8,8 +8,10 @@ Grow: nodes fall into cells by random hyperplanes, and each takes its best partn
 neighbours, twice over. Then NN-descent: a neighbour's neighbour is likely a neighbour. Every round joins
 each node's neighbours, and those that have it as one, with their codes; among those that meet at a node,
 pairs with a newcomer are compared, and whoever finds a partner better than its last neighbour takes it.
-Rounds end when few lists still change. Search: every query starts at the best of a set of entry nodes, keeps a beam
-of the best nodes met, and each round expands the best that are not expanded yet: a join with their adjacency rows.
+Rounds end when hardly any list still changes. Search: every query starts at the best of a set of entry nodes, keeps a
+beam of the best nodes met, and each round expands the best that are not expanded yet: a join with their adjacency rows.
+It ends when every node of every beam is expanded. Both come to an end by themselves: lists and full beams only take
+what is better than their last. A limit to the rounds can be given; one that cuts them short is warned of.
 
 Rows, not tasks, grow with the data: lists, beams, entries and cells have fixed sizes, and the number of
 members that a node's neighbourhood takes from its reverse side is bounded, as is usual for the method.
@@ -21,6 +23,8 @@ smallest by components; equal scores go to the smaller id."""
 
 from __future__ import annotations
 
+import itertools
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +37,14 @@ from asset_catalog.llm.embed_dedup import usable
 
 #: Neighbours that a node keeps, and reverse ones that join them.
 KEPT, REVERSE = 24, 16
-#: Partners that a node takes from one meeting.
-TAKEN = 6
+#: Partners that a node takes from one meeting: as many as it could keep.
+TAKEN = KEPT
 #: Nodes of a first cell, and how often nodes are dealt into cells.
 CELL_ROWS, DEALS = 4096, 2
-#: Descent ends when less than this share of all neighbours is new, or after so many rounds.
-SETTLED, ROUNDS = 0.1, 4
-#: Search: entry nodes, beam, nodes expanded each round, rounds, and how many are ranked exactly.
-ENTRIES, BEAM, EXPANDED, STEPS, RANKED = 1024, 512, 48, 10, 100
+#: Descent ends when less than this share of all neighbours is new.
+SETTLED = 0.001
+#: Search: entry nodes, beam, nodes expanded each round, and how many are ranked exactly.
+ENTRIES, BEAM, EXPANDED, RANKED = 1024, 512, 48, 100
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -195,17 +199,20 @@ def descend(nodes: DataFrame, state: DataFrame, kept: int, reverse: int, taken:
     return meetings.select("members").mapInArrow(compare, "node long, others array<long>, scores array<float>")
 
 
-def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = REVERSE, taken: int = TAKEN, cell_rows: int = CELL_ROWS, deals: int = DEALS, rounds: int = ROUNDS) -> DataFrame:
-    """(node, others): the neighbour graph of (node, code, scale)."""
+def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = REVERSE, taken: int = TAKEN, cell_rows: int = CELL_ROWS, deals: int = DEALS, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
+    """(node, others): the neighbour graph of (node, code, scale). rounds: at most so many, None for no limit."""
     dealt = [first_neighbours(nodes, width, deal, cell_rows, kept) for deal in range(deals)]
     candidates = dealt[0]
     for more in dealt[1:]:
         candidates = candidates.unionByName(more)
     state = checkpointed(_merged(candidates, None, kept))
-    for _ in range(rounds):
+    for done in itertools.count():
+        if done == rounds:
+            warnings.warn(f"the graph had not settled after {rounds} rounds", stacklevel=2)
+            break
         state = checkpointed(_merged(descend(nodes, state, kept, reverse, taken), state, kept))
         new, all_of_them = state.agg(F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("others"))).first()
-        if not all_of_them or new < SETTLED * all_of_them:
+        if not all_of_them or new < settled * all_of_them:
             break
     return state
 
@@ -218,8 +225,9 @@ def adjacency(nodes: DataFrame, state: DataFrame, reverse: int = REVERSE) -> Dat
     return checkpointed(rows)
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, expanded: int = EXPANDED, steps: int = STEPS, entries: int = ENTRIES) -> DataFrame:
-    """(query, ids, scores): the beam of each query. queries: (query, vector); graph: of adjacency."""
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, expanded: int = EXPANDED, steps: int | None = None, entries: int = ENTRIES) -> DataFrame:
+    """(query, ids, scores): the beam of each query. queries: (query, vector); graph: of adjacency; steps: at most
+    so many rounds, None for no limit."""
     drawn = sampled(nodes, F.col("node"), entries, 8).orderBy("node").toArrow().combine_chunks()
     entry_ids = drawn.column("node").to_numpy()
     entry_vectors = _decoded(drawn.column("code"), drawn.column("scale")) if len(entry_ids) else np.zeros((0, 1), np.float32)
@@ -277,7 +285,12 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _listed(ids[rows], lengths), _listed(scores[rows], lengths), _listed(done[rows], lengths)], names=names)
 
     beams = checkpointed(queries.select("query", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(enter, schema))
-    for _ in range(steps):
+    for step in itertools.count():
+        if not beams.where(F.exists("done", lambda d: ~d)).limit(1).count():
+            break
+        if step == steps:
+            warnings.warn(f"beams had open nodes after {steps} rounds", stacklevel=2)
+            break
         triples = F.arrays_zip("ids", "scores", "done")
         still = F.filter(triples, lambda t: ~t["done"])  # lists are in order, best first
         least = F.when(F.size("scores") >= beam, F.array_min("scores")).otherwise(F.lit(float("-inf"))).cast("float")
@@ -287,8 +300,6 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
         nothing = F.array().cast("array<long>"), F.array().cast("array<float>")
         joined = beams.join(per_query, "query", "left").select(*names, F.coalesce("found", nothing[0]).alias("found"), F.coalesce("found_scores", nothing[1]).alias("found_scores"))
         beams = checkpointed(joined.mapInArrow(merge, schema))
-        if not beams.where(F.exists("done", lambda d: ~d)).limit(1).count():
-            break
     return beams.select("query", "ids", "scores")
 
 

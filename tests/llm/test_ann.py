@@ -73,3 +73,29 @@ def test_messy_rows(spark):
 @pytest.mark.parametrize("vectors", [[], [None, None], [[1.0, 1.0]]])
 def test_without_candidates(spark, vectors):
     assert ann.nearest(table(spark, range(len(vectors)), vectors), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def coded(spark, vectors):
+    return ann.encode(spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "node long, vector array<float>")).repartition(2)
+
+
+def test_search_goes_on_while_nodes_are_open(spark):
+    """A chain that leads to the best node one step a round."""
+    vectors = [[1.0, 1.0 + i] for i in range(40)]
+    nodes = coded(spark, vectors)
+    links = spark.createDataFrame([(i, i + 1) for i in range(39)], "node long, member long")
+    graph = links.join(nodes.withColumnRenamed("node", "member"), "member").groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near"))
+    queries = spark.createDataFrame([(7, [0.0, 1.0])], "query long, vector array<float>")
+    chain = {"beam": 4, "expanded": 1, "entries": 4}
+    assert ann.search(queries, nodes, graph, **chain).first().ids[0] == 39
+    with pytest.warns(UserWarning, match="open nodes after 2 rounds"):
+        assert ann.search(queries, nodes, graph, **chain, steps=2).first().ids[0] < 39
+
+
+def test_descent_goes_on_until_lists_settle(spark):
+    nodes = coded(spark, np.random.default_rng(3).normal(size=(1500, 16)))
+    state = ann.grow_graph(nodes, 16, cell_rows=100)
+    new, total = state.agg(F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("others"))).first()
+    assert new < 0.001 * total
+    with pytest.warns(UserWarning, match="not settled after 1 rounds"):
+        ann.grow_graph(nodes, 16, cell_rows=100, rounds=1)
