@@ -242,11 +242,12 @@ def identify(documents: DataFrame, automata: Automata) -> DataFrame:
 
 
 def drop_unexplained(documents: DataFrame, automata: Automata, contradicted: float = 0.2) -> DataFrame:
-    """The rows whose text is in a learned language, in all their columns.
+    """The rows whose text has a letter and does not contradict its given language, in all their columns.
 
     Rejected are texts without a letter, and texts whose given language is a learned one but not the
     predicted, if the prediction scores `contradicted` or more. The given language decides
-    only here; the prediction does not see it. Nothing is shuffled."""
+    only here; the prediction does not see it. A text in a language that was not learned is kept if its
+    given language is null or not a learned one. Nothing is shuffled."""
     text, given = documents.columns.index("text"), documents.columns.index("lang")
     known = set(automata.languages)
 

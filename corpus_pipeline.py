@@ -1,5 +1,5 @@
-"""From raw documents to training pieces: toxic documents go, then those in no known language, then near
-copies; what is left is mixed to the sources' weights and cut into pieces.
+"""From raw documents to training pieces: toxic documents go, then those without a letter or in
+another language than the given one, then near copies; what is left is mixed to the sources' weights and cut into pieces.
 
 Every stage takes (spark, docs, sf_dir), works on all that the one before it kept, and returns the
 columns of documents, but for the last. run() writes each result to the shared folder and reads it again."""
