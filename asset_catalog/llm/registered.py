@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import ann, embed_dedup, langid, lm_score, mixing, quality, sentencepieces, simhash, token_scan, toxicity
+from asset_catalog.llm import ann, embed_dedup, langid, lm_score, merkle, mixing, quality, sentencepieces, simhash, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -70,6 +70,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), sentencepieces.load())
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, letters = F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(chosen, F.translate(text, letters, letters.lower())).otherwise(text)
+    proofs = merkle.prove(merkle.build(table(spark, sf_dir, "documents"), claims={"text": tampered}))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
@@ -81,6 +97,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES = {
@@ -136,4 +153,54 @@ ORACLES = {
         SELECT r.vec_id, coalesce(any_value(f.n), 0)::BIGINT AS n_links, min(r.other) AS component_id,
                r.vec_id = min(r.other) AS kept
         FROM reached r LEFT JOIN found f ON f.vec_id = r.vec_id GROUP BY r.vec_id""",
+    "op13_merkle": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS tree, text,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                       || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))::BIGINT[],
+                       lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END,
+                       4294967295::BIGINT) AS crc
+            FROM documents),
+        c AS (
+            SELECT *, CASE WHEN xor(crc, 4294967295) % 5 = 0
+                      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed
+            FROM d),
+        l AS (
+            SELECT row, doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS claimed
+            FROM c),
+        p AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+            FROM l),
+        up AS (
+            SELECT 0 AS level, tree, pos, n, leaf AS digest FROM p
+            UNION ALL
+            SELECT level + 1, tree, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM up WHERE n > 1 GROUP BY level, tree, pos // 16),
+        subroots AS (
+            SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS sources
+            FROM up WHERE n = 1),
+        top AS (
+            SELECT 0 AS level, '>' AS tree, place AS pos, sources AS n, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT level + 1, tree, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM top WHERE n > 1 GROUP BY level, tree, pos // 16),
+        nodes AS (
+            SELECT level, tree, pos, n,
+                   coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+                   coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+            FROM (FROM up UNION ALL FROM top) WINDOW run AS (PARTITION BY level, tree, pos // 16 ORDER BY pos)),
+        climb AS (
+            SELECT row, 0 AS level, tree, pos, claimed AS folded, '' AS proof, false AS arrived FROM p
+            UNION ALL
+            SELECT c.row, CASE WHEN k.n > 1 THEN c.level + 1 ELSE 0 END, CASE WHEN k.n > 1 THEN c.tree ELSE '>' END,
+                   CASE WHEN k.n > 1 THEN c.pos // 16 ELSE s.place END,
+                   CASE WHEN k.n > 1 THEN sha256(lefts || folded || rights) ELSE folded END,
+                   CASE WHEN k.n > 1 THEN proof || lefts || rights ELSE proof END,
+                   k.n = 1 AND c.tree = '>'
+            FROM climb c JOIN nodes k USING (level, tree, pos) LEFT JOIN subroots s ON s.tree = c.tree
+            WHERE NOT arrived)
+        SELECT p.doc_id, p.leaf, s.subroot, r.digest AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = r.digest AS verified
+        FROM p JOIN climb c ON c.row = p.row AND c.arrived JOIN subroots s ON s.tree = p.tree, (SELECT digest FROM top WHERE n = 1) r""",
 }
