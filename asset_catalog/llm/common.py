@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,21 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def bucketed(rows: DataFrame, key: str, number: int, name: str) -> DataFrame:
+    """The rows written to the shared folder as a table in buckets of the key and read back: joins and
+    groups by the key find them in place, however often, and only what they meet is shuffled."""
+    spark = rows.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = rows.write.format("parquet").option("compression", "zstd").option("path", shared_path(spark, name))
+    writer.bucketBy(number, key).saveAsTable(table)
+    return spark.table(table)
+
+
+def bucket_number(spark: SparkSession, size: int, at_once: int = 32 << 20) -> int:
+    """Buckets for so many bytes: some 32 MB each, no fewer than there are cores, no more than Spark takes."""
+    return max(spark.sparkContext.defaultParallelism, min(-(-size // at_once), 100_000))
+
+
 def checkpointed(rows: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; Spark removes it with the last reference to it."""
     if rows.sparkSession.sparkContext.getCheckpointDir() is None:
@@ -88,6 +104,15 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
+def chunk_ids(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of a task's rows, each with a number that no other slice of any task has."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in slices(batch, column, most):
+            yield chunk, part
+            chunk += 1
+
+
 def labelled(labels: DataFrame, label: str, most: int, seed: int, learn: Callable[[Column], Column]) -> DataFrame:
     """(doc_id, label) of at most about `most` documents to learn from, small enough to broadcast.
 

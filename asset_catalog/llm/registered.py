@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import ann, embed_dedup, langid, lm_score, merkle, mixing, quality, sentencepieces, simhash, token_scan, toxicity
+from asset_catalog.llm import ann, embed_dedup, langid, lm_score, merkle, mixing, quality, sentencepieces, simhash, substring_dedup, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -70,6 +70,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), sentencepieces.load())
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, letters = F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_merkle": op13_merkle,
 }
 
@@ -153,6 +159,20 @@ ORACLES = {
         SELECT r.vec_id, coalesce(any_value(f.n), 0)::BIGINT AS n_links, min(r.other) AS component_id,
                r.vec_id = min(r.other) AS kept
         FROM reached r LEFT JOIN found f ON f.vec_id = r.vec_id GROUP BY r.vec_id""",
+    "op12_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+        w AS (
+            SELECT row, place, hash(passage) AS key, passage
+            FROM (SELECT row, place, array_to_string(words[place:place + 34], ' ') AS passage
+                  FROM (SELECT row, words, unnest(generate_series(1, len(words) - 34)) AS place FROM d))),
+        again AS (SELECT row, place AS first FROM w QUALIFY count(*) OVER (PARTITION BY key, passage) > 1),
+        gone AS (SELECT DISTINCT row, unnest(generate_series(first, first + 34)) AS place FROM again),
+        held AS (SELECT row, list(place) AS places FROM gone GROUP BY row)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+               sha256(array_to_string(CASE WHEN places IS NULL THEN words
+                   ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+        FROM d LEFT JOIN held USING (row)""",
     "op13_merkle": r"""
         WITH RECURSIVE d AS (
             SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS tree, text,
