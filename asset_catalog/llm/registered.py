@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.llm import ann, embed_dedup, langid, lm_score, merkle, mixing, quality, sentencepieces, simhash, substring_dedup, token_scan, toxicity
+from asset_catalog.llm import alignment, ann, embed_dedup, langid, lm_score, merkle, mixing, quality, sentencepieces, simhash, substring_dedup, token_scan, toxicity
 from asset_catalog.llm.common import fold, table
 
 
@@ -70,6 +70,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), sentencepieces.load())
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    aligned = alignment.align(documents, alignment.load(), keep=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_alignment": op11_alignment,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_merkle": op13_merkle,
 }

@@ -100,6 +100,7 @@ EXPECTED = {
     "op8_simhash_dedup": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op9_lm_score": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double", "n_bytes": "bigint", "bits_per_byte": "double"},
     "op10_sentencepiece": {"doc_id": "bigint", "n_pieces": "bigint", "ids_md5": "string", "text_md5": "string", "lossless": "boolean"},
+    "op11_alignment": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
     "op12_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
     "op13_merkle": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
 }
