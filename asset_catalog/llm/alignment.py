@@ -8,7 +8,7 @@ between two neighbouring ends of either lies in one token of A and one of B, and
 
 A text is cut into units at spaces between two characters that are not white space. Neither tokenizer has a token across such a cut (A's
 pattern starts a word there, no piece of B continues after a space; both are checked when the files are read, and where they
-do not hold a text is one unit), so a unit is encoded once for a chunk of documents, side by side with
+do not hold a text is one unit), so a unit is encoded once for many documents, side by side with
 others, and the tokens of a text are those of its units. Links are counted for each chunk by pair of ids, added up
 by a shuffle of these counts, and return to the chunk as the totals of its pairs. Documents wait in a table in
 buckets of chunks and are not shuffled.
@@ -19,6 +19,7 @@ row's id may be null."""
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -38,8 +39,11 @@ BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Bytes of text in a chunk, and of units that are encoded as one text.
-CHUNK_BYTES = 8 << 20
-JOINED_BYTES = 1 << 16
+CHUNK_BYTES = 3 << 20
+JOINED_BYTES = 1 << 14
+
+#: Units that a task remembers; beyond, it goes on with those of the latest chunk.
+REMEMBERED = 300_000
 
 #: Stands for a space in pieces.
 MARK = "▁"
@@ -83,6 +87,20 @@ class Aligned:
     links: np.ndarray
     ends: np.ndarray
 
+    def some(self, at: np.ndarray) -> Aligned:
+        """The units at the places, in that order."""
+        sizes = np.diff(self.ends, prepend=0)[at]
+        ends = np.cumsum(sizes)
+        links = self.links[np.repeat(self.ends[at] - ends, sizes) + np.arange(int(sizes.sum()))]
+        written = [self.written[k] for k in at.tolist()]
+        return Aligned(self.n_a[at], self.n_b[at], self.n_groups[at], written, self.valid[at], links, ends)
+
+    def and_more(self, other: Aligned) -> Aligned:
+        pairs = ((self.n_a, other.n_a), (self.n_b, other.n_b), (self.n_groups, other.n_groups))
+        counts = (np.concatenate(pair) for pair in pairs)
+        ends = np.concatenate([self.ends, other.ends + len(self.links)])
+        return Aligned(*counts, self.written + other.written, np.concatenate([self.valid, other.valid]), np.concatenate([self.links, other.links]), ends)
+
 
 def refined(coarse: np.ndarray, exact: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Ends of tokens: the coarse ones where they are exact, else the decoded bytes since the last exact one."""
@@ -116,6 +134,8 @@ class Aligner:
         self.cuts = bool(starts_words) and not any(MARK in p.lstrip(MARK) for p in names)
         #: Ids as they are written, by the sign before them.
         self.signs = [[f"{sign}{i}" for i in range(max(len(self.a_bytes), len(names)))] for sign in ("", ",", ";", "|")]
+        self.places: dict[str, int] = {}
+        self.remembered = self.align([])
 
     def units(self, text: str) -> list[str]:
         if not text:
@@ -201,6 +221,17 @@ class Aligner:
             np.cumsum(np.bincount(unit_of(cuts), minlength=count)),
         )
 
+    def look_up(self, units: list[str]) -> Aligned:
+        """As align, but units that earlier chunks of the task had are remembered."""
+        places = self.places
+        new = [u for u in units if u not in places]
+        self.remembered = self.remembered.and_more(self.align(new))
+        places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
+        found = self.remembered.some(np.fromiter(map(places.__getitem__, units), np.int64, len(units)))
+        if len(places) > REMEMBERED:
+            self.places, self.remembered = dict(zip(units, range(len(units)), strict=True)), found
+        return found
+
     def _written(self, number, ends, a, a_ends, b, b_ends, common, count) -> list[str]:
         """The groups of each unit: ids of A, a bar, ids of B; groups are parted by semicolons."""
         group = np.concatenate([np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)])
@@ -234,6 +265,7 @@ def align(documents: DataFrame, files: Files, keep: Callable[[Column], Column] =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(files)
+        gc.disable()  # nothing here is cyclic, and each collection would walk through all that is remembered
         for chunk, part in chunk_ids(batches, 1, CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays(_encoded(aligner, chunk, part), names=names)
 
@@ -263,7 +295,7 @@ def _encoded(aligner: Aligner, chunk: int, part: pa.RecordBatch) -> list[pa.Arra
     """A row for each document, and one more with what the chunk's units link."""
     known: dict[str, int] = {}
     cut = [[known.setdefault(u, len(known)) for u in aligner.units(text or "")] for text in part.column(1).to_pylist()]
-    found = aligner.align(list(known))
+    found = aligner.look_up(list(known))
     sizes = np.fromiter(map(len, cut), np.int64, len(cut))
     flat = np.fromiter(chain.from_iterable(cut), np.int64, int(sizes.sum()))
     row = np.repeat(np.arange(len(cut)), sizes)
