@@ -10,8 +10,9 @@ any number of tasks, and a row's place follows from its place in its range and t
 
 The levels are stored as rows that name their parent: a node holds the digests of its children
 side by side, the id of the node above it and its slot in that node. A recursive query then climbs from the leaves:
-each step joins the node above, appends the siblings to the proof and folds the digest. The leaves of a run
-have all siblings above the run in common, so they climb as one row, each with a digest of its own.
+each step joins the node above, appends it and the slot (which name the siblings) and folds the digest. The leaves of a run
+have all siblings above the run in common, so they climb as one row, with a digest for each claim that folds to another; the
+siblings' digests are put in where the path is known.
 
 Defined cases: ids and sources may be null (first); equal ids are ordered by digest; a repeated row is a
 leaf of its own; a lone leaf is its source's subroot, a lone subroot the root, and their proofs are empty; an empty table
@@ -161,19 +162,29 @@ def build(documents: DataFrame, claims: Mapping[str, Column] | None = None) -> M
     return Manifest(_linked_runs(runs, from_source), stored(_linked_nodes(below, top, from_source), "merkle-linked"), head and head["digest"])
 
 
+#: What each leaf's claim folds to with the siblings in its run.
+_FIRST_FOLDS = f"""
+    CASE WHEN n = 1 THEN transform(leaves, e -> e.claimed)
+         ELSE transform(leaves, (e, i) -> sha2(concat(substring(digests, 1, i * {WIDTH}), e.claimed,
+                                                      substring(digests, (i + 1) * {WIDTH} + 1)), 256)) END"""
+
+
 def _linked_runs(runs: DataFrame, from_source: DataFrame) -> DataFrame:
-    """Runs with the node above what they become: that of their own node, or of the subroot if they are one."""
+    """Runs with the node above what they become: that of their own node, or of the subroot if they are one. `folds` has the
+    distinct digests that the leaves' claims fold to, `fold_of` says which is whose: unchanged leaves share one."""
     top = F.col("n") <= RUN
     own = _id(F.lit(2), _run(F.col("pos")), F.col("tree"))
-    return runs.join(from_source, "tree").select(
+    linked = runs.join(from_source, "tree").select(
         _id(F.lit(1), F.col("pos"), F.col("tree")).alias("run"),
-        "n",
         "leaves",
         "digests",
         F.when(top, F.col("top_parent")).otherwise(own).alias("parent"),
         F.when(top, F.col("top_slot")).otherwise((F.col("pos") % RUN).cast("int")).alias("slot"),
         "subroot",
+        F.expr(_FIRST_FOLDS).alias("all_folds"),
     )
+    linked = linked.withColumn("folds", F.array_distinct("all_folds"))
+    return linked.withColumn("fold_of", F.expr("transform(all_folds, f -> array_position(folds, f))")).drop("all_folds")
 
 
 def _linked_nodes(below: DataFrame, top: DataFrame, from_source: DataFrame) -> DataFrame:
@@ -189,38 +200,40 @@ def _linked_nodes(below: DataFrame, top: DataFrame, from_source: DataFrame) -> D
     )
 
 
-#: A climbing row is a run: `above` is the proof beyond the run, `folds` has a digest for each of its leaves.
+#: A climbing row is a run; `path` has the nodes above with the run's slot in each, `folds` the digests of its leaves' claims.
 _CLIMB = f"""
     WITH RECURSIVE climb AS (
-        SELECT run, parent, slot, '' AS above,
-               CASE WHEN n = 1 THEN transform(leaves, e -> e.claimed)
-                    ELSE transform(leaves, (e, i) -> sha2(concat(substring(digests, 1, i * {WIDTH}), e.claimed,
-                                                                 substring(digests, (i + 1) * {WIDTH} + 1)), 256)) END AS folds
-        FROM {{runs}}
+        SELECT run, parent, slot, folds, CAST(array() AS array<struct<id: string, slot: int>>) AS path FROM {{runs}}
         UNION ALL
         SELECT c.run, n.parent, n.slot,
-               concat(c.above, substring(n.digests, 1, c.slot * {WIDTH}), substring(n.digests, (c.slot + 1) * {WIDTH} + 1)),
                transform(c.folds, f -> sha2(concat(substring(n.digests, 1, c.slot * {WIDTH}), f,
-                                                   substring(n.digests, (c.slot + 1) * {WIDTH} + 1)), 256))
+                                                   substring(n.digests, (c.slot + 1) * {WIDTH} + 1)), 256)),
+               concat(c.path, array(struct(n.id, c.slot)))
         FROM climb c JOIN {{nodes}} n ON n.id = c.parent)
-    SELECT run, above, folds FROM (SELECT * FROM climb LIMIT ALL) WHERE parent IS NULL"""
+    SELECT run, folds, path FROM (SELECT * FROM climb LIMIT ALL) WHERE parent IS NULL"""
+
+
+def _beside(digests: str, slot: Column) -> Column:
+    """The digests of a node without that in the slot."""
+    return F.concat(F.substring(digests, F.lit(1), slot * WIDTH), F.substring(digests, (slot + 1) * WIDTH + 1, F.lit(RUN * WIDTH)))
 
 
 def prove(manifest: Manifest) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof, folded_root) of every leaf: the siblings from its run up to the root, and what
     its claimed digest folds to with them."""
     spark = manifest.runs.sparkSession
-    arrived = spark.sql(_CLIMB, runs=manifest.runs, nodes=manifest.nodes)
-    rows = manifest.runs.join(arrived, "run").select("digests", "subroot", "above", "folds", F.posexplode("leaves").alias("place", "e"))
-    beside = F.concat(
-        F.substring("digests", F.lit(1), F.col("place") * WIDTH),
-        F.substring("digests", (F.col("place") + 1) * WIDTH + 1, F.lit(RUN * WIDTH)),
-    )
+    arrived = stored(spark.sql(_CLIMB, runs=manifest.runs.select("run", "parent", "slot", "folds"), nodes=manifest.nodes), "merkle-climbed")
+    steps = arrived.select("run", F.posexplode("path").alias("step", "at")).select("run", "step", "at.id", "at.slot")
+    siblings = steps.join(manifest.nodes.select("id", "digests"), "id").select("run", F.struct("step", _beside("digests", F.col("slot")).alias("siblings")).alias("s"))
+    above = siblings.groupBy("run").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["siblings"]), "").alias("above"))
+    runs = manifest.runs.drop("folds", "parent", "slot")
+    rows = runs.join(arrived.select("run", "folds"), "run").join(above, "run", "left")
+    rows = rows.select("digests", "subroot", "above", "folds", "fold_of", F.posexplode("leaves").alias("place", "e"))
     return rows.select(
         F.col("e.doc_id").alias("doc_id"),
         F.col("e.leaf").alias("leaf"),
         "subroot",
         F.lit(manifest.root).cast("string").alias("root"),
-        F.concat(beside, "above").alias("proof"),
-        F.element_at("folds", F.col("place") + 1).alias("folded_root"),
+        F.concat(_beside("digests", F.col("place")), F.coalesce("above", F.lit(""))).alias("proof"),
+        F.element_at("folds", F.element_at("fold_of", F.col("place") + 1).cast("int")).alias("folded_root"),
     )
