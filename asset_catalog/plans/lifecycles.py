@@ -55,11 +55,9 @@ from asset_catalog.schemas import (
 )
 from asset_catalog.sources.exports import write_asset_files, write_keyed_json
 from asset_catalog.sources.landed import (
-    keyed_rows,
-    read_export,
+    read_export_entries,
     read_json_lines,
     read_keyed_json,
-    unreadable_objects,
 )
 from asset_catalog.sources.scratch import written_once
 from asset_catalog.sources.tables import read_catalog, upsert_catalog
@@ -203,12 +201,13 @@ def clean_export(
     documents_out: int = 1,
 ) -> DataFrame:
     """Rewrite the queries of an export and write it to another path; returns what was left out,
-    (object_key, raw): entries that are no JSON objects, and documents that are none, without key."""
-    documents = read_export(spark, source)
-    entries = keyed_rows(documents).withColumn("parsed", F.explode(F.array(parse_object(F.col("raw")))))
-    broken = unreadable_objects(documents).select(
+    (object_key, raw): entries that are no JSON objects, and documents that are none, without key.
+    Documents too large for a cell are named by their path instead."""
+    entries, unread = read_export_entries(spark, source)
+    entries = entries.withColumn("parsed", F.explode(F.array(parse_object(F.col("raw")))))
+    broken = unread.select(
         F.lit(None).cast("string").alias("object_key"),
-        F.col("value").alias("raw"),
+        F.coalesce("value", "source_file").alias("raw"),
         F.lit(None).cast("variant").alias("parsed"),
     )
     found = written_once(entries.select("object_key", "raw", "parsed").unionByName(broken), "export")

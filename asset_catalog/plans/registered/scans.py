@@ -192,6 +192,22 @@ def export_keyed_json(spark, sf_dir):
     return _entry_fields(read_keyed_json(spark, path))
 
 
+def scan_large_document(spark, sf_dir):
+    """One document with an entry for each order, read in pieces; notes hold what looks like JSON."""
+    note = F.concat(F.lit('}{ "'), "o_orderpriority", F.lit('\\" ]['), text("o_custkey"))
+    parts = F.array(F.struct("o_orderstatus"), F.struct(F.lit("x").alias("o_orderstatus")))
+    entries = derived.spread_table(spark, sf_dir, "orders", "o_orderkey").select(
+        text("o_orderkey").alias("object_key"), F.to_json(F.struct(note.alias("note"), parts.alias("parts"))).alias("raw")
+    )
+    path = scratch_path(spark, "document")
+    write_keyed_json(entries, path, 1)
+    return read_keyed_json(spark, path, larger_than=0).select(
+        "object_key",
+        F.get_json_object("raw", "$.note").alias("note"),
+        F.get_json_object("raw", "$.parts[0].o_orderstatus").alias("status"),
+    )
+
+
 def export_entry_lines(spark, sf_dir):
     """Written as lines of one entry and read back."""
     path = scratch_path(spark, "entries")
@@ -239,6 +255,7 @@ QUERIES = {
     "scan_endpoints": scan_endpoints,
     "scan_inventory": scan_inventory,
     "export_keyed_json": export_keyed_json,
+    "scan_large_document": scan_large_document,
     "export_entry_lines": export_entry_lines,
     "export_asset_files": export_asset_files,
     "scan_rejected_documents": scan_rejected_documents,
@@ -296,6 +313,9 @@ ORACLES = {
                CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0
                     THEN (c_custkey * 100 + 1)::VARCHAR END AS first_widget
         FROM customer""",
+    "scan_large_document": r"""
+        SELECT o_orderkey::VARCHAR AS object_key, '}{ "' || o_orderpriority || '\" ][' || o_custkey AS note, o_orderstatus AS status
+        FROM orders""",
     "export_entry_lines": """
         SELECT DISTINCT 'c_' || c_custkey AS object_key, c_name AS name,
                CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0

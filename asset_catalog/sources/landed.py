@@ -14,6 +14,7 @@ from asset_catalog.functions.json_fields import parse_object
 from asset_catalog.functions.text import clean_mapping
 from asset_catalog.operators.assets import latest_per_key
 from asset_catalog.schemas import ConfigError, Kind, kind_of
+from asset_catalog.sources.documents import LARGE_DOCUMENT, document_entries, has_large, read_pieces
 
 # Bytes of a mapping that the driver takes in unless told otherwise: it builds a pattern of them.
 MAX_MAPPING_BYTES = 64 << 20
@@ -82,16 +83,21 @@ def read_listing(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
     return listing_rows(read_documents(spark, path), kind)
 
 
+def _placed_entries(documents: DataFrame) -> DataFrame:
+    """Entries of JSON objects with their place: (source_file, pos, object_key, raw)."""
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+    rows = documents.select("source_file", F.posexplode(entries).alias("pos", "entry"))
+    return rows.select(
+        "source_file", "pos", F.col("entry.key").alias("object_key"), F.col("entry.value").alias("raw")
+    )
+
+
 def _entries(documents: DataFrame) -> DataFrame:
     """Entries of JSON objects, the last one of each key: (object_key, raw).
 
     ``documents`` has ``value`` and ``source_file``; of two documents the later name counts.
     """
-    entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    rows = documents.select("source_file", F.posexplode(entries).alias("pos", "entry"))
-    rows = rows.select(
-        "source_file", "pos", F.col("entry.key").alias("object_key"), F.col("entry.value").alias("raw")
-    )
+    rows = _placed_entries(documents)
     return latest_per_key(rows, ["object_key"], ["source_file", "pos"]).select("object_key", "raw")
 
 
@@ -118,17 +124,36 @@ def keyed_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """The export documents under a path; a file or a directory of documents."""
+    """The export documents under a path, a file or a directory of documents, with their size in bytes."""
     try:
-        return read_documents(spark, path)
+        documents = spark.read.text(path, wholetext=True)
+        return documents.selectExpr("value", _SOURCE, "_metadata.file_size AS file_size")
     except AnalysisException as error:
         raise ConfigError(f"no export to read at {path}") from error
 
 
-def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
+def read_export_entries(
+    spark: SparkSession, path: str, larger_than: int = LARGE_DOCUMENT
+) -> tuple[DataFrame, DataFrame]:
+    """Entries (object_key, raw) of the export documents under a path, the last one of each key, and
+    the documents that are no JSON object, (source_file, value). Of documents of more than
+    ``larger_than`` bytes, which are read in pieces, ``value`` is null."""
+    documents = read_export(spark, path).where(F.col("file_size") <= larger_than)
+    rows = _placed_entries(documents).select("*", F.lit(0).cast("long").alias("part"))
+    unread = unreadable_objects(documents).select("source_file", "value")
+    if has_large(spark, path, larger_than):
+        large, broken = document_entries(read_pieces(spark, path, larger_than))
+        rows, unread = rows.unionByName(large), unread.unionByName(broken, allowMissingColumns=True)
+    entries = latest_per_key(rows, ["object_key"], ["source_file", "part", "pos"])
+    return entries.select("object_key", "raw"), unread
+
+
+def read_keyed_json(
+    spark: SparkSession, path: str, larger_than: int = LARGE_DOCUMENT
+) -> DataFrame:
     """Entries of the export documents under a path. Documents that are no JSON object give none;
-    :func:`unreadable_objects` of the same documents finds them."""
-    return keyed_rows(read_export(spark, path))
+    :func:`read_export_entries` finds them as well. A document of any size is read by many tasks."""
+    return read_export_entries(spark, path, larger_than)[0]
 
 
 def mapping_rows(documents: DataFrame) -> DataFrame:
