@@ -19,14 +19,24 @@ class Config:
     # Tag put on every created object and selected by default on removal. Set it to the tag
     # that earlier runs used when their objects must still be found.
     marker_tag: str = "migrated"
+    # Where positive, the catalog tables are cut into so many parts by their keys, each in so many
+    # buckets: an upsert then moves and writes only what the pull touches.
+    catalog_parts: int = 0
+    catalog_buckets: int = 32
 
     def __post_init__(self) -> None:
         for name in ("landing", "catalog_root", "database", "marker_tag"):
             value = getattr(self, name)
             if not isinstance(value, str) or not value.strip():
                 raise ConfigError(f"{name} must be a non-empty text")
+        for name, least in (("catalog_parts", 0), ("catalog_buckets", 1)):
+            value = getattr(self, name)
+            if not isinstance(value, int) or value < least:
+                raise ConfigError(f"{name} must be a number of {least} or more")
         for f in fields(self):
-            object.__setattr__(self, f.name, getattr(self, f.name).strip().rstrip("/"))
+            value = getattr(self, f.name)
+            if isinstance(value, str):
+                object.__setattr__(self, f.name, value.strip().rstrip("/"))
 
     @classmethod
     def from_json(cls, text: str) -> Config:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asset_catalog.functions.json_fields import LONGEST_TEXT, parse_object, text_field
+from asset_catalog.functions.json_fields import LONGEST_TEXT, parse_rows, text_field
 from asset_catalog.schemas import Kind, kind_of
 
 
@@ -40,7 +40,7 @@ def read_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFram
     generator, so each text is parsed once; a filter would be pushed below and parse again.
     """
     kind = kind_of(kind)
-    kept = F.filter(F.array(parse_object(F.col(raw))), lambda parsed: _usable(parsed, kind))
+    kept = F.filter(F.array(parse_rows(rows, raw)), lambda parsed: _usable(parsed, kind))
     return rows.withColumn("parsed", F.explode(kept)).select("*", *_fields(kind))
 
 
@@ -60,7 +60,7 @@ def classify_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> Data
     """All rows, parsed once: the columns of :func:`read_assets`, and ``reason``, which is null for
     readable ones and else what :func:`quarantine` says. To be written before it is filtered."""
     kind = kind_of(kind)
-    parsed = rows.withColumn("parsed", F.explode(F.array(parse_object(F.col(raw)))))
+    parsed = rows.withColumn("parsed", F.explode(F.array(parse_rows(rows, raw))))
     return parsed.select("*", *_fields(kind), _reason(F.col("parsed"), raw, kind).alias("reason"))
 
 
@@ -77,7 +77,7 @@ def _reason(parsed: Column, raw: str, kind: Kind) -> Column:
 def quarantine(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
     """Rows that :func:`read_assets` leaves out, with the reason."""
     kind = kind_of(kind)
-    found = F.transform(F.array(parse_object(F.col(raw))), lambda parsed: _reason(parsed, raw, kind))
+    found = F.transform(F.array(parse_rows(rows, raw)), lambda parsed: _reason(parsed, raw, kind))
     return rows.withColumn("reason", F.explode(F.filter(found, lambda why: why.isNotNull())))
 
 

@@ -52,6 +52,7 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     keep: Sequence[str] = ("upload_message",),
+    come_by: tuple[str, int] | None = None,
 ) -> DataFrame:
     """The target with every source row put in: replacing the row with equal keys, or added.
 
@@ -60,10 +61,13 @@ def upsert(
 
     Two joins instead of a full outer one: neither moves the target when the source is small
     enough for Spark to broadcast, and the second reads only keys and kept columns of it.
+    ``come_by`` deals the source's rows by a column into so many tasks, so that they write few files.
     """
     keys = list(keys)
     stay = target.join(source.select(keys), keys, "left_anti")
     come = source.join(target.select(*keys, *keep), keys, "left").select(target.columns)
+    if come_by:
+        come = come.repartition(come_by[1], come_by[0])
     return stay.unionByName(come)
 
 

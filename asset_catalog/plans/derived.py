@@ -19,8 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table whose rows are costly to work on, dealt by its key, whatever its files are like."""
-    return table(spark, sf_dir, name).repartition(F.col(key))
+    """A table whose rows are costly to work on, dealt by its key, whatever its files are like. The number
+    of parts is given, as Spark would join parts by the bytes of the compact rows, not by what is made of them."""
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, sf_dir, name).repartition(parts, F.col(key))
 
 
 def text(column: str | Column) -> Column:

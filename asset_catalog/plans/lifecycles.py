@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
-from asset_catalog.functions.json_fields import SECRET_FIELDS, parse_object
+from asset_catalog.functions.json_fields import SECRET_FIELDS, parse_rows
 from asset_catalog.operators import outbox
 from asset_catalog.operators.assets import (
     changed_at,
@@ -204,7 +204,7 @@ def clean_export(
     (object_key, raw): entries that are no JSON objects, and documents that are none, without key.
     Documents too large for a cell are named by their path instead."""
     entries, unread = read_export_entries(spark, source)
-    entries = entries.withColumn("parsed", F.explode(F.array(parse_object(F.col("raw")))))
+    entries = entries.withColumn("parsed", F.explode(F.array(parse_rows(entries))))
     broken = unread.select(
         F.lit(None).cast("string").alias("object_key"),
         F.coalesce("value", "source_file").alias("raw"),

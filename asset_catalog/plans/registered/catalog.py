@@ -82,20 +82,20 @@ def _held_queries(spark, sf_dir):
     ).dropDuplicates(QUERY.merge_keys)
 
 
-def _upserted(spark, held, source, kind):
+def _upserted(spark, held, source, kind, **settings):
     """A catalog table that holds rows of an earlier pull, after the upsert of another."""
-    config = own_catalog(spark)
+    config = own_catalog(spark, **settings)
     commit_version(held, config, kind)
     upsert_catalog(source, config, kind)
     return read_catalog(spark, config, kind)
 
 
-def upsert_queries(spark, sf_dir):
+def upsert_queries(spark, sf_dir, **settings):
     pulled = read_assets(derived.queries(spark, sf_dir), "query").drop("raw")
     pulled = pulled.where("NOT array_contains(tags, 's_O')")
     last = keep_latest(pulled, ["asset_key", "name"], ["updated_at"])
     source = written_once(project_catalog(last, "query", F.lit(AS_OF)), "pulled-queries")
-    return _upserted(spark, _held_queries(spark, sf_dir), source, "query").select(
+    return _upserted(spark, _held_queries(spark, sf_dir), source, "query", **settings).select(
         "query_name",
         "query_hash",
         F.array_join("tags", "|").alias("tags"),
@@ -106,6 +106,11 @@ def upsert_queries(spark, sf_dir):
     )
 
 
+def upsert_parts(spark, sf_dir):
+    """The same in a table cut into parts and buckets by its keys."""
+    return upsert_queries(spark, sf_dir, catalog_parts=16, catalog_buckets=4)
+
+
 def upsert_dashboards(spark, sf_dir):
     customer = derived.table(spark, sf_dir, "customer")
     target = customer.where("c_nationkey < 15").select(
@@ -137,6 +142,7 @@ QUERIES = {
     "catalog_projection": catalog_projection,
     "latest_per_key": latest_per_key,
     "upsert_queries": upsert_queries,
+    "upsert_parts": upsert_parts,
     "upsert_dashboards": upsert_dashboards,
 }
 
@@ -184,3 +190,5 @@ ORACLES = {
                CASE WHEN c_nationkey < 15 THEN 'sent ' || c_mktsegment END AS upload_message
         FROM customer""",
 }
+
+ORACLES["upsert_parts"] = ORACLES["upsert_queries"]

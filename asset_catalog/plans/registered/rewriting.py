@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from asset_catalog.functions.json_fields import (
     member,
     or_default,
-    parse_object,
+    parse_rows,
     redact,
     set_and_drop,
     text_field,
@@ -125,7 +125,8 @@ def json_roundtrip(spark, sf_dir):
     """Every document through JSON and back."""
     documents = derived.spread_table(spark, sf_dir, "documents", "doc_id")
     raw = F.to_json(F.struct("doc_id", "text", F.struct("lang", "n_chars").alias("about")))
-    again = documents.select(parse_object(raw).alias("parsed")).select(
+    texts = documents.select(raw.alias("raw"))
+    again = texts.select(parse_rows(texts).alias("parsed")).select(
         set_and_drop(F.col("parsed"), {}).alias("json")
     )
     fields = F.from_json("json", "doc_id bigint, text string, about struct<lang:string,n_chars:bigint>")

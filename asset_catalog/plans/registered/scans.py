@@ -119,10 +119,10 @@ def scan_mapping(spark, sf_dir):
     return mapping_rows(documents)
 
 
-def own_catalog(spark):
+def own_catalog(spark, **settings):
     """An empty catalog of its own for a query."""
     root = scratch_path(spark, "catalog")
-    config = Config(landing=f"{root}/landed", catalog_root=root, database=f"own_{uuid.uuid4().hex}")
+    config = Config(landing=f"{root}/landed", catalog_root=root, database=f"own_{uuid.uuid4().hex}", **settings)
     ensure_catalog(spark, config)
     return config
 

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.functions.json_fields import parse_object
+from asset_catalog.functions.json_fields import parse_rows
 from asset_catalog.functions.text import clean_mapping
 from asset_catalog.operators.assets import latest_per_key
 from asset_catalog.schemas import ConfigError, Kind, kind_of
@@ -53,7 +53,7 @@ def unreadable(documents: DataFrame, field: str | None = "results") -> DataFrame
 
 def unreadable_objects(documents: DataFrame) -> DataFrame:
     """Documents that are not one JSON object: cut ones, for instance."""
-    return documents.where(parse_object(F.col("value")).isNull())
+    return documents.where(parse_rows(documents, "value").isNull())
 
 
 def rejected_listing(pages: DataFrame, kind: str | Kind) -> DataFrame:

@@ -1,8 +1,15 @@
-"""The two catalog tables.
-
-A table points at a directory that holds one complete version of it. An upsert writes the next
-version beside it and then moves the table over, so readers never see half a version and the
-version being read is never overwritten.
+"""The two catalog tables, in one of two layouts.
+
+By versions: a table points at a directory that holds one complete version of it. An upsert writes the
+next version beside it and then moves the table over, so readers never see half a version and
+the version being read is never overwritten. The check that no other run has moved the table and the move
+are two steps, so runs must not overlap.
+
+By parts (``Config.catalog_parts``): a table is partitioned by a hash of its keys and bucketed by the
+keys. An upsert reads and writes the parts that the pull touches, and joins them where they
+lie, whatever the size of the pull. Spark writes them beside the table and moves them in when all are
+written: a failed run changes nothing, a run that is repeated puts the same rows in again, but a reader may meet
+some parts from before an upsert and some from after it. Runs must not overlap.
 """
 
 from __future__ import annotations
@@ -10,6 +17,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
 from asset_catalog.operators.catalog import upsert
@@ -29,17 +37,61 @@ def ensure_catalog(spark: SparkSession, config: Config) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{config.database.replace('`', '``')}`")
     for kind in KINDS.values():
         name = table_name(config, kind)
-        if not spark.catalog.tableExists(name):
+        if config.catalog_parts:
+            _create_in_parts(spark, config, kind)
+        elif not spark.catalog.tableExists(name):
             spark.catalog.createTable(
                 name, path=_version_path(config, kind), source="parquet", schema=kind.catalog_schema
             )
 
 
+def _create_in_parts(spark: SparkSession, config: Config, kind: Kind) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.catalog_schema)
+    keys = ", ".join(f"`{key}`" for key in kind.merge_keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table_name(config, kind)} ({columns}, part INT) USING parquet"
+        f" OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (part)"
+        f" CLUSTERED BY ({keys}) INTO {config.catalog_buckets} BUCKETS"
+        f" LOCATION {_quoted(f'{config.catalog_root}/{kind.table}/parts={config.catalog_parts}')}"
+    )
+
+
+def _with_part(rows: DataFrame, config: Config, kind: Kind) -> DataFrame:
+    return rows.withColumn("part", F.pmod(F.xxhash64(*kind.merge_keys), F.lit(config.catalog_parts)).cast("int"))
+
+
+def upserted_parts(source: DataFrame, config: Config, kind: str | Kind) -> DataFrame:
+    """All rows of the parts that the source touches, after the upsert. The table's buckets are those
+    of the joins, so only the source is moved; a list of at most ``catalog_parts`` numbers comes to the driver."""
+    kind, spark = kind_of(kind), source.sparkSession
+    name = table_name(config, kind)
+    spark.catalog.refreshTable(name)
+    placed = _with_part(source, config, kind)
+    touched = [row["part"] for row in placed.select("part").distinct().collect()]
+    target = spark.table(name).where(F.col("part").isin(touched))
+    come_parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism))
+    return upsert(target, placed, kind.merge_keys, come_by=("part", come_parts)).select(target.columns)
+
+
+def _commit_parts(rows: DataFrame, config: Config, kind: Kind) -> str:
+    """Make the rows the whole table: parts without rows are dropped."""
+    spark, name = rows.sparkSession, table_name(config, kind)
+    placed = _with_part(rows.select(kind.catalog_schema.names), config, kind)
+    come_parts = max(1, min(config.catalog_parts, spark.sparkContext.defaultParallelism))
+    placed.repartition(come_parts, "part").select(spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    spark.catalog.refreshTable(name)
+    held = {row["part"] for row in spark.table(name).select("part").distinct().collect()}
+    filled = {row["part"] for row in placed.select("part").distinct().collect()}
+    for part in sorted(held - filled):
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION (part = {part})")
+    return current_version(spark, config, kind)
+
+
 def read_catalog(spark: SparkSession, config: Config, kind: str | Kind) -> DataFrame:
     """The current version, also when another session has moved the table to it."""
     name = table_name(config, kind)
     spark.catalog.refreshTable(name)
-    return spark.table(name)
+    return spark.table(name).select(kind_of(kind).catalog_schema.names)
 
 
 def current_version(spark: SparkSession, config: Config, kind: str | Kind) -> str:
@@ -57,6 +109,8 @@ def commit_version(
     it stays where it is and the run is refused, as it would drop what the other one put in.
     """
     kind, spark = kind_of(kind), rows.sparkSession
+    if config.catalog_parts:
+        return _commit_parts(rows, config, kind)
     path = _version_path(config, kind)
     rows.select(kind.catalog_schema.names).write.parquet(path)
     name = table_name(config, kind)
@@ -74,8 +128,14 @@ def _quoted(text: str) -> str:
 
 
 def upsert_catalog(source: DataFrame, config: Config, kind: str | Kind) -> str:
-    """Put catalog rows into their table; returns the path of the new version."""
+    """Put catalog rows into their table; returns the path of the new version, or of the table's parts.
+
+    ``source`` is used more than once; it should be a written table."""
     kind = kind_of(kind)
+    if config.catalog_parts:
+        upserted_parts(source, config, kind).write.mode("overwrite").insertInto(table_name(config, kind))
+        source.sparkSession.catalog.refreshTable(table_name(config, kind))
+        return current_version(source.sparkSession, config, kind)
     version = current_version(source.sparkSession, config, kind)
     target = read_catalog(source.sparkSession, config, kind)
     return commit_version(upsert(target, source, kind.merge_keys), config, kind, version)

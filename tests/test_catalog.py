@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from asset_catalog.sources.tables import (
     read_catalog,
     table_name,
     upsert_catalog,
+    upserted_parts,
 )
 from tests.conftest import dashboard, dumps, query
 
@@ -98,3 +101,68 @@ def test_settings():
             Config.from_json(bad)
     with pytest.raises(ConfigError):
         kind_of("alert")
+
+
+@pytest.fixture
+def in_parts(config):
+    return dataclasses.replace(config, catalog_parts=16, catalog_buckets=2)
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def many(texts, numbers, at):
+    return pull(texts, *[query(name=f"n{k}") for k in numbers], at=at)
+
+
+def test_parts_hold_the_same_as_versions(spark, texts, config, in_parts, tmp_path):
+    pulls = [many(texts, range(40), "1"), many(texts, [3, 50, 51], "2"), many(texts, [], "3"), many(texts, range(30, 60), "4")]
+    expected = held(many(texts, range(0, 90, 9), "0"), "sent")
+    ensure_catalog(spark, in_parts)
+    ensure_catalog(spark, in_parts)
+    commit_version(expected, in_parts, "query")
+    for source in pulls:
+        expected = upsert(expected, source, QUERY.merge_keys)
+        upsert_catalog(source, in_parts, "query")
+        now = read_catalog(spark, in_parts, "query")
+        assert rows_of(now) == rows_of(expected) and now.schema == QUERY.catalog_schema
+    commit_version(held(many(texts, [1], "9"), "m"), in_parts, "query")
+    assert rows_of(read_catalog(spark, in_parts, "query")) == [("n1", query()["query_hash"], "9", True, "m")]
+
+
+def test_an_upsert_writes_only_the_parts_it_touches(spark, texts, in_parts, tmp_path):
+    ensure_catalog(spark, in_parts)
+    upsert_catalog(many(texts, range(200), "1"), in_parts, "query")
+    folder = tmp_path / "catalog"
+    before = files_of(folder)
+    assert len({f.split("/")[2] for f in before}) == 16
+    upsert_catalog(many(texts, [7, 8, 500], "2"), in_parts, "query")
+    after = files_of(folder)
+    touched = {f.split("/")[2] for f in before.items() ^ after.items() for f in f[:1]}
+    assert 1 <= len(touched) <= 3
+    assert read_catalog(spark, in_parts, "query").count() == 201
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_the_table_is_not_moved(spark, texts, in_parts, limit):
+    """Neither a pull too large to broadcast nor a small one shuffles the target."""
+    ensure_catalog(spark, in_parts)
+    upsert_catalog(many(texts, range(50), "1"), in_parts, "query")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        merged = upserted_parts(many(texts, range(40, 60), "2"), in_parts, "query")
+        plan = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    scans = [k for k, line in enumerate(plan) if "FileScan parquet" in line]
+    assert len(scans) >= 2
+    for k in scans:
+        above, level = [], depth(plan[k])
+        for line in reversed(plan[:k]):
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        moved = [line for line in above if "Exchange hashpartitioning(query_hash" in line or ("Exchange" in line and "ENSURE" in line)]
+        assert not moved, "\n".join(plan)

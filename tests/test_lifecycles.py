@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 from datetime import datetime
@@ -19,6 +20,7 @@ from asset_catalog.operators.outbox import (
 )
 from asset_catalog.operators.relate import endpoint_ids, new_ids
 from asset_catalog.operators.select import chosen_for_delete, expand_by_name, filter_names
+from asset_catalog.plans import derived
 from asset_catalog.plans.lifecycles import (
     Choice,
     Mappings,
@@ -306,3 +308,32 @@ def test_stream_takes_in_what_is_new(spark, config, tmp_path):
     import_new(spark, config, "query", str(tmp_path / "progress"), mappings=MAPPINGS).awaitTermination()
     rows = {r["query_name"]: json.loads(r["query_object"])["query"] for r in read_catalog(spark, config, "query").collect()}
     assert sorted(rows) == ["a", "b", "c"] and rows["b"] == "instr"
+
+
+def test_stream_of_a_fresh_session_takes_keys_given_twice(spark, config, tmp_path):
+    """The batches of a stream run in a session of their own, whose settings are those the readers give it."""
+    fresh = spark.newSession()
+    assert fresh.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+    twice = dumps(query(name="b", query="x"))[:-1] + ', "query": "y", "options": {"a": 1, "a": 2}}'
+    put(tmp_path / "landed" / "queries" / "1.json", lines(query(name="a"), twice))
+    import_new(fresh, config, "query", str(tmp_path / "progress")).awaitTermination()
+    rows = {r["query_name"]: json.loads(r["query_object"]) for r in read_catalog(spark, config, "query").collect()}
+    assert sorted(rows) == ["a", "b"] and rows["b"]["query"] == "y" and rows["b"]["options"] == {"a": 2}
+
+
+def test_import_into_a_table_in_parts(spark, config, tmp_path):
+    parts = dataclasses.replace(config, database=config.database + "_p", catalog_root=config.catalog_root + "_p", catalog_parts=4, catalog_buckets=2)
+    ensure_catalog(spark, parts)
+    put(tmp_path / "landed" / "queries" / "1.json", lines(query(name="a"), query(name="b"), '{"cut'))
+    _, rejected = import_assets(spark, parts, "query", mappings=MAPPINGS)
+    put(tmp_path / "landed" / "queries" / "2.json", lines(query(name="b", query="strpos", updated_at="2030-01-01T00:00:00Z"), query(name="c")))
+    import_assets(spark, parts, "query", mappings=MAPPINGS)
+    rows = {r["query_name"]: json.loads(r["query_object"])["query"] for r in read_catalog(spark, parts, "query").collect()}
+    assert sorted(rows) == ["a", "b", "c"] and rows["b"] == "instr"
+    assert spark.read.parquet(rejected).count() == 1
+
+
+def test_costly_rows_are_dealt_over_all_cores(spark, tmp_path):
+    """Adaptive execution joins small parts again unless their number is given."""
+    derived.spread_table(spark, "/root/testdata/sf0.001", "orders", "o_orderkey").write.parquet(str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.parquet"))) == 4
