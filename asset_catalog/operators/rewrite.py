@@ -8,24 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asset_catalog.functions.json_fields import SECRET_FIELDS, set_and_drop, text_field
-from asset_catalog.functions.text import clean_mapping, rewrite_text
+from asset_catalog.functions.text import clean_mapping, multi_replace, rewrite_text
+from asset_catalog.operators.tokens import replace_tokens
+from asset_catalog.schemas import ConfigError
 
 
 def rewrite_query(
     rows: DataFrame,
-    tables: Mapping[str, str] | None,
-    functions: Mapping[str, str] | None,
+    tables: Mapping[str, str] | DataFrame | None,
+    functions: Mapping[str, str] | DataFrame | None,
     **options,
 ) -> DataFrame:
     """Add ``query`` and ``new_query``: the text of ``parsed`` before and after the rewrite.
 
     Without any mapping the two are equal, and not lower-cased. A mapping of functions works
-    without one of tables.
+    without one of tables. A mapping that is a table (old, new) may have any size; its keys are
+    whole identifiers.
     """
     query = text_field(F.col("parsed"), "query")
-    return rows.withColumn("query", query).withColumn(
-        "new_query", rewrite_text(F.col("query"), tables, functions, **options)
-    )
+    rows = rows.withColumn("query", query)
+    if not isinstance(tables, DataFrame) and not isinstance(functions, DataFrame):
+        return rows.withColumn("new_query", rewrite_text(F.col("query"), tables, functions, **options))
+    rows = rows.withColumn("new_query", F.col("query"))
+    for mapping in (tables, functions):
+        if isinstance(mapping, DataFrame):
+            rest = dict(options)
+            if rest.pop("match", "token") != "token":
+                raise ConfigError("a mapping that is a table replaces whole identifiers only")
+            rows = replace_tokens(rows.withColumnRenamed("new_query", "_moved"), "_moved", mapping, "new_query", **rest).drop("_moved")
+        else:
+            rows = rows.withColumn("new_query", multi_replace(F.col("new_query"), mapping, **options))
+    return rows
 
 
 def rewrite_object(

@@ -76,10 +76,13 @@ class Choice:
 
 @dataclass(frozen=True)
 class Mappings:
-    """Old to new names of tables and functions; None where there is no such mapping."""
+    """Old to new names of tables and functions; None where there is no such mapping.
 
-    tables: Mapping[str, str] | None = None
-    functions: Mapping[str, str] | None = None
+    A mapping too large for the driver is a table (old, new), as ``read_mapping`` returns it, and then
+    replaces whole identifiers only."""
+
+    tables: Mapping[str, str] | DataFrame | None = None
+    functions: Mapping[str, str] | DataFrame | None = None
 
 
 def land(

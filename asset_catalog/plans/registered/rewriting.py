@@ -24,7 +24,9 @@ from asset_catalog.operators.rewrite import (
     rewrite_query,
     rewrite_status,
 )
+from asset_catalog.operators.tokens import replace_tokens as replace_tokens_by
 from asset_catalog.plans import derived
+from asset_catalog.plans.derived import text
 from asset_catalog.plans.registered.scans import ISO
 from asset_catalog.sources.landed import load_mapping
 
@@ -121,6 +123,16 @@ def parsed_tag_list(spark, sf_dir):
     )
 
 
+def replace_by_table(spark, sf_dir):
+    """A mapping with a key for each customer, of three pieces each, which stays a table."""
+    customer = derived.table(spark, sf_dir, "customer")
+    pairs = customer.select(F.col("c_name").alias("old"), F.concat(F.lit("lake."), "c_mktsegment").alias("new"))
+    name = F.concat(F.lit("Customer#"), F.lpad(text("o_custkey"), 9, "0"))
+    noted = F.concat(F.lit("SELECT * FROM "), name, F.lit(" JOIN "), name, F.lit("x WHERE y."), name, F.lit(" = "), "o_orderpriority")
+    orders = derived.spread_table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", noted.alias("note"))
+    return replace_tokens_by(orders, "note", pairs, "rewritten").select("o_orderkey", "rewritten")
+
+
 def json_roundtrip(spark, sf_dir):
     """Every document through JSON and back."""
     documents = derived.spread_table(spark, sf_dir, "documents", "doc_id")
@@ -182,6 +194,7 @@ def annotated_query(spark, sf_dir):
 QUERIES = {
     "multi_replace": replace_words,
     "multi_replace_token": replace_tokens,
+    "replace_by_table": replace_by_table,
     "rewrite_queries": rewrite_queries,
     "rewrite_object": rewrite_objects,
     "rewrite_status": rewrite_statuses,
@@ -243,6 +256,11 @@ ORACLES = {
                                    WHEN lower(hits[i]) = 'des' THEN '$2'
                                    ELSE hits[i] END), '') AS rewritten
         FROM cut""",
+    "replace_by_table": """
+        SELECT o_orderkey, 'select * from ' || coalesce('lake.' || c_mktsegment, name) || ' join ' || name || 'x where y.'
+               || coalesce('lake.' || c_mktsegment, name) || ' = ' || lower(o_orderpriority) AS rewritten
+        FROM (SELECT *, 'customer#' || lpad(o_custkey::VARCHAR, 9, '0') AS name FROM orders)
+        LEFT JOIN customer ON lower(c_name) = name""",
     "rewrite_queries": f"""
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, {NEW_QUERY} AS new_query FROM orders""",
     "rewrite_object": f"""
