@@ -21,6 +21,9 @@ from asset_catalog.sources.scratch import written_once
 # Documents of more bytes are read in pieces; a smaller one is one cell, which costs no shuffle.
 LARGE_DOCUMENT = 64 << 20
 
+# Pieces of a block, as a power of two: what one task scans at once.
+BLOCK_ROWS_LOG2 = 14
+
 _BLOCK = ["source_file", "block"]
 
 
@@ -39,18 +42,26 @@ def _opened(text: Column) -> Column:
 
 
 def read_pieces(spark: SparkSession, path: str, larger_than: int = LARGE_DOCUMENT) -> DataFrame:
-    """Pieces of the large documents under a path: text up to a closing brace, in the order of block and row.
+    """Pieces of the large documents under a path: text up to a closing brace, in the order of block and row. A
+    block is a run of pieces of one part of a file that a task reads.
 
     ``quotes`` counts the quotation marks that start or end a string, ``outside`` and ``inside``
     what the piece opens if it starts outside of a string or inside of one."""
     files = spark.read.option("lineSep", "}").text(path)
     bare = F.regexp_replace("value", r"(?s)\\.", "")
     strings = r'"[^"]*+(?:"|\z)'
-    return files.where(F.col("_metadata.file_size") > larger_than).select(
+    large = files.where(F.col("_metadata.file_size") > larger_than).select(
+        "value",
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_start").alias("start"),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("row"),
+    )
+    return large.select(
+        "source_file",
+        F.struct("start", F.shiftright("row", BLOCK_ROWS_LOG2).alias("run")).alias("block"),
+        "file_size",
+        "row",
         _count(bare, '"').alias("quotes"),
         _opened(F.regexp_replace(bare, strings, "")).alias("outside"),
         _opened(F.regexp_replace(F.regexp_replace(bare, r'\A[^"]*+(?:"|\z)', ""), strings, "")).alias("inside"),

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 
+from asset_catalog.sources import documents
 from asset_catalog.sources.documents import document_entries, read_pieces
 from asset_catalog.sources.landed import keyed_rows, read_documents, read_keyed_json
 
@@ -28,17 +29,18 @@ def document(draw, entries):
 
 
 @pytest.fixture
-def small_blocks(spark):
+def small_blocks(spark, monkeypatch):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    monkeypatch.setattr(documents, "BLOCK_ROWS_LOG2", 3)
     yield
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def write(folder: Path, documents):
+def write(folder: Path, texts):
     folder.mkdir()
-    for name, text in documents.items():
+    for name, text in texts.items():
         (folder / f"{name}.json").write_bytes(text if isinstance(text, bytes) else text.encode())
     return str(folder)
 
@@ -52,14 +54,14 @@ def read(spark, path):
 
 def test_same_entries_as_of_whole_documents(spark, tmp_path, small_blocks):
     draw = random.Random(5)
-    documents = {f"d{k}": document(draw, n) for k, n in enumerate((0, 1, 2, 30, 90))}
-    documents["twice"] = '{"a": {"n": 1}, "b": 5, "a": {"n": 2}}\n \n'
-    documents["marked"] = b"\xef\xbb\xbf" + b'{"a": {"n": [1, {"x": "}"}]}, "z": "}"}'
-    documents["flat"] = ' {"a": "1", "b": [{"x": {}}, 2], "c": null} '
-    path = write(tmp_path / "in", documents)
+    held = {f"d{k}": document(draw, n) for k, n in enumerate((0, 1, 2, 30, 90))}
+    held["twice"] = '{"a": {"n": 1}, "b": 5, "a": {"n": 2}}\n \n'
+    held["marked"] = b"\xef\xbb\xbf" + b'{"a": {"n": [1, {"x": "}"}]}, "z": "}"}'
+    held["flat"] = ' {"a": "1", "b": [{"x": {}}, 2], "c": null} '
+    path = write(tmp_path / "in", held)
     found, broken = read(spark, path)
     assert broken == []
-    for name, text in documents.items():
+    for name, text in held.items():
         expected = spark.createDataFrame([(text.decode("utf-8-sig") if isinstance(text, bytes) else text,)], "value string")
         rows = expected.selectExpr("posexplode(map_entries(from_json(value, 'map<string,string>'))) AS (pos, e)").orderBy("pos").collect()
         assert [(k, v) for n, k, v in found if n == name] == [(r.e.key, r.e.value) for r in rows], name
