@@ -119,7 +119,7 @@ def page_after(rows: DataFrame, order: Sequence[str], last: Sequence | None, siz
 
 def page(rows: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
     """Page ``number`` (from 1) of the rows in the given order, for the first few pages: all rows
-    before it meet in one task. ``page_after`` goes on from any row."""
+    before it meet in one task. ``page_after`` goes on from any row, ``Pages`` finds pages of any number."""
     return rows.orderBy(*order).offset((number - 1) * size).limit(size)
 
 

@@ -8,6 +8,7 @@ from asset_catalog.functions.tags import parse_list
 from asset_catalog.operators import assets as ops
 from asset_catalog.operators import select
 from asset_catalog.operators.assets import read_assets
+from asset_catalog.operators.pages import Pages
 from asset_catalog.plans import derived
 from asset_catalog.plans.registered.scans import ISO
 
@@ -84,6 +85,12 @@ def page_listing(spark, sf_dir):
     return ops.page(rows, ["n"], 3, 250).select("id", "name")
 
 
+def page_by_number(spark, sf_dir):
+    """A page by its number, which reads none of the rows before it."""
+    rows = derived.inventory(spark, sf_dir).withColumn("n", F.col("id").cast("bigint"))
+    return Pages(rows, ["n"]).page(5, 250).select("id", "name")
+
+
 def page_deep(spark, sf_dir):
     """The page after a given row, which passes by all rows before it."""
     rows = derived.inventory(spark, sf_dir).withColumn("n", F.col("id").cast("bigint"))
@@ -113,6 +120,7 @@ QUERIES = {
     "distinct_names": distinct_names,
     "run_counts": run_counts,
     "page_listing": page_listing,
+    "page_by_number": page_by_number,
     "page_deep": page_deep,
     "preview_first": preview_first,
 }
@@ -151,6 +159,7 @@ ORACLES = {
         SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE {_TAG} OR {_NAME})::BIGINT AS selected
         FROM orders""",
     "page_listing": f"{_IDS} ORDER BY o_orderkey LIMIT 250 OFFSET 500",
+    "page_by_number": f"{_IDS} ORDER BY o_orderkey LIMIT 250 OFFSET 1000",
     "page_deep": f"{_IDS} WHERE o_orderkey > 900 ORDER BY o_orderkey LIMIT 250",
     "preview_first": f"""
         SELECT md5(o_orderkey::VARCHAR) AS asset_key, 'q_' || o_custkey AS name, {ISO} AS updated_at
