@@ -16,6 +16,8 @@ from asset_catalog.plans.lifecycles import Choice, land, run_report
 from asset_catalog.schemas import DASHBOARD
 from asset_catalog.sources.exports import (
     asset_file_key,
+    compact_landing,
+    read_asset,
     write_asset_files,
     write_entry_lines,
     write_keyed_json,
@@ -192,6 +194,24 @@ def export_keyed_json(spark, sf_dir):
     return _entry_fields(read_keyed_json(spark, path))
 
 
+def compacted_landing(spark, sf_dir):
+    """Three landings of states of customers' assets, compacted to the last of each."""
+    path = scratch_path(spark, "landing")
+    assets = read_assets(derived.dashboards(spark, sf_dir), "dashboard")
+    for year in (2021, 2023, 2022):
+        raw = F.regexp_replace("raw", r"\}\s*$", f', "updated_at": "{year}-01-01T00:00:00Z"}}')
+        write_asset_files(assets.withColumns({"raw": raw, "updated_at": F.lit(f"{year}-01-01T00:00:00Z")}), path, 8)
+    compact_landing(spark, path, "dashboard")
+    return read_assets(read_json_lines(spark, path), "dashboard").select("asset_key", "name", "updated_at")
+
+
+def one_asset(spark, sf_dir):
+    """One landed asset, whose directory alone is read."""
+    path = scratch_path(spark, "landing")
+    write_asset_files(read_assets(derived.dashboards(spark, sf_dir), "dashboard"), path, 8)
+    return read_asset(spark, path, "dashboard", "c_7", "Customer#000000007", 8).select("asset_key", "name")
+
+
 def scan_large_document(spark, sf_dir):
     """One document with an entry for each order, read in pieces; notes hold what looks like JSON."""
     note = F.concat(F.lit('}{ "'), "o_orderpriority", F.lit('\\" ]['), text("o_custkey"))
@@ -255,6 +275,8 @@ QUERIES = {
     "scan_endpoints": scan_endpoints,
     "scan_inventory": scan_inventory,
     "export_keyed_json": export_keyed_json,
+    "compact_landing": compacted_landing,
+    "read_asset": one_asset,
     "scan_large_document": scan_large_document,
     "export_entry_lines": export_entry_lines,
     "export_asset_files": export_asset_files,
@@ -313,6 +335,10 @@ ORACLES = {
                CASE WHEN c_nationkey <> 24 AND c_nationkey % 5 > 0
                     THEN (c_custkey * 100 + 1)::VARCHAR END AS first_widget
         FROM customer""",
+    "compact_landing": """
+        SELECT DISTINCT 'c_' || c_custkey AS asset_key, c_name AS name, '2023-01-01T00:00:00Z' AS updated_at FROM customer""",
+    "read_asset": """
+        SELECT DISTINCT 'c_' || c_custkey AS asset_key, c_name AS name FROM customer WHERE c_custkey = 7""",
     "scan_large_document": r"""
         SELECT o_orderkey::VARCHAR AS object_key, '}{ "' || o_orderpriority || '\" ][' || o_custkey AS note, o_orderstatus AS status
         FROM orders""",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asset_catalog.operators.assets import changed_at, latest_per_key
+from asset_catalog.operators.assets import changed_at, classify_assets, latest_per_key, read_assets
+from asset_catalog.schemas import Kind
+from asset_catalog.sources.landed import line_rows
 
 def _entry() -> Column:
     """An entry of a JSON object, key and raw value."""
@@ -71,11 +73,18 @@ def asset_files(assets: DataFrame, buckets: int) -> DataFrame:
         ["file_key"],
         ["changed", "tie"],
     )
-    bucket = F.pmod(F.xxhash64("file_key"), F.lit(buckets)).cast("int")
-    return last.select(bucket.alias("bucket"), "file_key", "raw")
+    return last.select(_bucket(F.col("file_key"), buckets).alias("bucket"), "file_key", "raw")
 
 
-def write_asset_files(assets: DataFrame, path: str, buckets: int = 64) -> None:
+def _bucket(file_key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(file_key), F.lit(buckets)).cast("int")
+
+
+#: Directories that assets land in.
+BUCKETS = 64
+
+
+def write_asset_files(assets: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Land assets, one JSON line each, in directories by the hash of their file key.
 
     A file per asset would be millions of tiny files. A later landing is put beside an earlier
@@ -90,3 +99,60 @@ def write_asset_files(assets: DataFrame, path: str, buckets: int = 64) -> None:
         .partitionBy("bucket")
         .text(path)
     )
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed lines with their bucket."""
+    return line_rows(spark.read.text(path), "bucket")
+
+
+def read_asset(
+    spark: SparkSession, path: str, kind: str | Kind, key: str, name: str, buckets: int = BUCKETS
+) -> DataFrame:
+    """The last state of one landed asset, as of :func:`read_assets`; no row if it has not landed. Only the
+    directory that the asset lands in is listed and read; ``buckets`` must be that of the landing."""
+    file_key = asset_file_key(F.lit(key), F.lit(name))
+    bucket = spark.range(1).select(_bucket(file_key, buckets)).first()[0]
+    assets = read_assets(_landed(spark, path).where(F.col("bucket") == bucket).drop("bucket"), kind)
+    found = assets.where((F.col("asset_key") == key) & (F.col("name") == name))
+    found = found.withColumns({"changed": changed_at(F.col("updated_at")), "tie": F.xxhash64("raw")})
+    return latest_per_key(found, ["asset_key", "name"], ["changed", "landed_at", "tie"]).drop("changed", "tie")
+
+
+def last_states(lines: DataFrame, kind: str | Kind) -> DataFrame:
+    """What of landed lines an import would use: (bucket, raw), the last state of each asset. Lines that
+    cannot be read stay, once each, so that an import still reports them."""
+    found = classify_assets(lines, kind)
+    good = F.col("reason").isNull()
+    unread = F.sha2("raw", 256)
+    rows = found.select(
+        "bucket",
+        good.alias("good"),
+        F.when(good, F.col("asset_key")).otherwise(unread).alias("key"),
+        F.when(good, F.col("name")).otherwise("").alias("name"),
+        changed_at(F.col("updated_at")).alias("changed"),
+        "landed_at",
+        F.xxhash64("raw").alias("tie"),
+        "raw",
+    )
+    last = latest_per_key(rows, ["bucket", "good", "key", "name"], ["changed", "landed_at", "tie"])
+    return last.select("bucket", "raw")
+
+
+def compact_landing(spark: SparkSession, path: str, kind: str | Kind) -> None:
+    """Replace what landed by the last state of each asset, bucket by bucket.
+
+    An import then reads these only, and gives the same catalog. Spark writes the new files beside the
+    directories and moves them in when all are written, so a failed run changes nothing. Nothing may land
+    meanwhile: a file that lands between reading and moving would go. To a stream the new files are
+    new, so it takes the last states in once more.
+    """
+    (
+        last_states(_landed(spark, path), kind)
+        .select("bucket", F.col("raw").alias("value"))
+        .hint("rebalance", F.col("bucket"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .text(path)
+    )

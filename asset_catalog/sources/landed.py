@@ -33,10 +33,10 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return line_rows(spark.read.format("text").load(path))
 
 
-def line_rows(files: DataFrame) -> DataFrame:
-    """The same of a read text source, which may be a stream."""
+def line_rows(files: DataFrame, *columns: str) -> DataFrame:
+    """The same of a read text source, which may be a stream, with some of its own columns."""
     landed = "_metadata.file_modification_time AS landed_at"
-    return files.selectExpr("value AS raw", _SOURCE, landed).where(F.trim("raw") != "")
+    return files.selectExpr(*columns, "value AS raw", _SOURCE, landed).where(F.trim("raw") != "")
 
 
 def _array(value: Column, field: str | None) -> Column:
