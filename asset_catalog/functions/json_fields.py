@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The JSON texts of values that count as "nothing given".
@@ -22,9 +22,19 @@ def parse_object(raw: Column) -> Column:
     """The parsed text, or null when the text is not exactly one JSON object.
 
     Spark's parser stops after the first value. Wrapping the text in brackets makes anything
-    that follows an error or a second element. Of a key given twice the last value counts if the
-    session allows such keys, as :func:`parse_rows` sees to; else the text is not readable.
+    that follows an error or a second element. Of a key given twice the last value counts, for
+    which the active session's setting is changed; where the rows are known, :func:`parse_rows`
+    changes that of their own session instead.
     """
+    _take_equal_keys(SparkSession.active())
+    return _parsed(raw)
+
+
+def _take_equal_keys(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def _parsed(raw: Column) -> Column:
     text = F.concat(F.lit("["), raw, F.lit("]"))
     long = F.from_json(text, "variant", {"maxStringLen": str(2**31 - 1)})  # up to a VARIANT's 128 MiB
     wrapped = F.coalesce(F.try_parse_json(text), F.when(F.length(raw) > LONGEST_TEXT, long))
@@ -38,8 +48,8 @@ def parse_rows(rows: DataFrame, raw: str = "raw") -> Column:
 
     Whether Spark takes such keys is a setting of the session that runs the rows. It is set there: a
     stream hands its batches over in a session of its own, which is not the active one."""
-    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return parse_object(F.col(raw))
+    _take_equal_keys(rows.sparkSession)
+    return _parsed(F.col(raw))
 
 
 def text_field(parsed: Column, name: str) -> Column:
