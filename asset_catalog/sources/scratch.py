@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from asset_catalog.schemas import ConfigError
+
 
 def scratch_folder(spark: SparkSession) -> str | None:
     """The shared folder that the cluster names for checkpoints, if it names one."""
@@ -13,10 +15,14 @@ def scratch_folder(spark: SparkSession) -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """A path of its own in the shared folder: the one for checkpoints, else the given one, else
-    the warehouse, which a cluster shares as well. What is written there goes when the
-    application ends."""
-    folder = scratch_folder(spark) or folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    """A path of its own in the shared folder: the one for checkpoints, else the given one. Without
+    either a local session takes its warehouse; a cluster is refused, as the warehouse may be a folder of the
+    driver's alone. What is written there goes when the application ends."""
+    folder = scratch_folder(spark) or folder
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     held = jvm.org.apache.hadoop.fs.Path(path)
