@@ -10,19 +10,20 @@ with homes and visitors, by rings around further vantage points, which prune by
 linked pair is found exactly once, in the home shard of one of its ends.
 
 Defined cases: null and empty texts have no words and fingerprint zero, which links like any
-other; rows without an id get a fingerprint, are no smallest id, and have the component of their
-fingerprint's other rows, null if there are none; equal rows are returned as often as they occur."""
+other; rows without an id get a fingerprint, link like any other and are no smallest id: a component of
+only such rows has a null id; equal rows are returned as often as they occur."""
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asset_catalog.llm.common import sampled, slices, stored
@@ -75,17 +76,19 @@ def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     return np.array([digest(flat[s:e], SEED) for s, e in spans], np.uint64)
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, bits): the fingerprint of each row as a signed 64-bit number."""
+def fingerprints(documents: DataFrame, shingle: int = 3, beside: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, bits): the fingerprint of each row as a signed 64-bit number, with the columns beside."""
+    rows = documents.select("doc_id", *beside, F.col("text").cast("binary").alias("text"))
+    at, names = len(beside) + 1, ["doc_id", *beside, "bits"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                bits = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
+            for part in slices(batch, at):
+                bits = np.array([fingerprint(t, shingle) for t in part.column(at).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(bits.view(np.int64))], names=names)
 
-    rows = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(score, f"doc_id {dict(rows.dtypes)['doc_id']}, bits long")
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(score, ", ".join([*(f"{name} {kinds[name]}" for name in names[:-1]), "bits long"]))
 
 
 @dataclass
@@ -208,22 +211,49 @@ def hamming_pairs(classes: DataFrame, most_bits: int = 2, shard_rows: int = 8192
     return routed.groupBy("shard").applyInArrow(compare, "a long, b long")
 
 
+def _components(prints: DataFrame, most_bits: int) -> DataFrame:
+    """(bits, component): for every fingerprint the smallest that its links reach, as a number."""
+    classes = stored(prints.select("bits").distinct(), "simhash-classes")
+    linked = hamming_pairs(classes.withColumn("class_id", F.col("bits")), most_bits)
+    reached = connected_components(linked, "a", "b")
+    return classes.join(reached, classes["bits"] == reached["node"], "left").select("bits", F.coalesce("component", "bits").alias("component"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = 3, most_bits: int = 2) -> DataFrame:
     """(doc_id, fingerprint, component_id): component_id is the smallest id that links reach."""
     prints = stored(fingerprints(documents, shingle), "simhash-prints")
-    classes = stored(prints.groupBy("bits").agg(F.min(F.col("doc_id").cast("long")).alias("class_id")), "simhash-classes")
-    linked = hamming_pairs(classes.where("class_id is not null"), most_bits)
-    reached = connected_components(linked, "a", "b")
-    named = classes.join(reached, classes["class_id"] == reached["node"], "left").select(
-        "bits", F.coalesce("component", "class_id").alias("component_id")
-    )
+    held = prints.groupBy("bits").agg(F.min(F.col("doc_id").cast("long")).alias("least"))
+    members = stored(_components(prints, most_bits).join(held, "bits"), "simhash-members")
+    smallest = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = members.join(smallest, "component").select("bits", "component_id")
     hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return prints.join(named, "bits").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
-def kept_documents(documents: DataFrame, **settings) -> DataFrame:
-    """The rows of one document of each group: that with the smallest id, once; its columns stay."""
-    groups = near_duplicates(documents, **settings)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    without_id = documents.where("doc_id is null")
-    return documents.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(without_id)
+def _row_key(documents: DataFrame) -> list[Column]:
+    """Two hashes of 64 bits over all columns: rows that differ anywhere have different keys."""
+    plain = [
+        F.to_json(F.struct(F.col(f"`{name}`"))) if "map<" in kind or "variant" in kind else F.col(f"`{name}`")
+        for name, kind in documents.dtypes
+    ]
+    # A hash leaves nulls out, so which columns are null is hashed too.
+    nulls = F.concat(*(F.col(f"`{name}`").isNull().cast("int").cast("string") for name in documents.columns))
+    return [F.xxhash64(F.lit(seed), nulls, *plain) for seed in (1, 2)]
+
+
+def kept_documents(documents: DataFrame, shingle: int = 3, most_bits: int = 2) -> DataFrame:
+    """One row of each group of linked rows; its columns stay.
+
+    The row with the smallest id stays, rows without an id come last, and among rows of one id the smallest
+    fingerprint, then the smallest hash of the row decides. Rows, not ids, are kept: rows of one id whose texts
+    are no copies of each other all stay, and of equal rows one stays."""
+    first, second = _row_key(documents)
+    rows = documents.select("doc_id", "text", first.alias("first"), second.alias("second"))
+    prints = stored(fingerprints(rows, shingle, beside=("first", "second")), "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "bits", "first", "second")
+    leaders = prints.groupBy("bits").agg(F.min(order).alias("leader")).join(_components(prints, most_bits), "bits")
+    chosen = leaders.groupBy("component").agg(F.min("leader").alias("leader"))
+    names = [f"row_key_{uuid.uuid4().hex}_{k}" for k in range(2)]  # no column of the table is called so
+    keep = chosen.select(F.col("leader.first").alias(names[0]), F.col("leader.second").alias(names[1]))
+    keyed = documents.withColumns(dict(zip(names, (first, second), strict=True)))
+    return keyed.join(keep, names, "left_semi").dropDuplicates(names).select(*(F.col(f"`{name}`") for name in documents.columns))

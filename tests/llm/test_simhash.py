@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -116,3 +117,50 @@ def test_copies_leave_one(documents):
     found = simhash.near_duplicates(rows)
     assert found.where(F.col("component_id") == 5).count() == 20
     assert sorted(r.doc_id for r in simhash.kept_documents(rows).collect()) == [5, 100]
+
+
+def brute_kept(rows):
+    """Fingerprints of all that stay, with their ids, by comparing all with all."""
+    prints = {k: brute_print(r[1]) for k, r in enumerate(rows)}
+    groups = {}
+    for k, component in brute_components(prints).items():
+        groups.setdefault(component, []).append((rows[k][0] is None, rows[k][0], prints[k]))
+    return sorted((min(group, key=lambda m: (m[0], m[1] or 0, m[2]))[1:] for group in groups.values()), key=str)
+
+
+def some_text(seed, words=60, changed=None):
+    made = [f"w{(seed * 7919 + k * 104729) % 9973}" for k in range(words)]
+    return " ".join([*made[:-1], changed] if changed else made)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_rows_stay_not_ids(spark, documents, parts):
+    """Two texts of id 1 that are no copies both stay; copies without an id go with the document they copy."""
+    rows = [
+        (1, some_text(1), "en", "s"),
+        (1, some_text(2), "en", "s"),
+        (5, some_text(3), "en", "s"),
+        (None, some_text(3), "en", "s"),
+        (None, some_text(3), "en", "t"),
+        (None, some_text(4), "en", "s"),
+        (None, some_text(4), "en", "s"),
+        (None, some_text(4), None, "s"),
+        (7, some_text(5), "en", "s"),
+        (7, some_text(5), "en", "s"),
+        (8, some_text(5), "en", "s"),
+    ]
+    table = documents(rows).repartition(parts)
+    kept = simhash.kept_documents(table).collect()
+    got = sorted(((r.doc_id, brute_print(r.text)) for r in kept), key=str)
+    assert got == brute_kept(rows)
+    assert got == sorted([(1, brute_print(some_text(1))), (1, brute_print(some_text(2))), (5, brute_print(some_text(3))), (None, brute_print(some_text(4))), (7, brute_print(some_text(5)))], key=str)
+    again = simhash.kept_documents(documents(rows[::-1])).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_rows_without_an_id_pass_links_on(spark, monkeypatch):
+    """9 and 4 are two bits each from a fingerprint that only a row without an id holds."""
+    prints = spark.createDataFrame([(9, 0b0), (None, 0b11), (4, 0b1111), (None, 0b111 << 40)], "doc_id long, bits long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: prints)
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(prints).collect()}
+    assert found == {(9, f"{0:016x}"): 4, (None, f"{3:016x}"): 4, (4, f"{15:016x}"): 4, (None, f"{7 << 40:016x}"): None}
