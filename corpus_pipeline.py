@@ -25,7 +25,7 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps one row of each group of near copies: that with the smallest id, rows without one last."""
     return simhash.kept_documents(docs, shingle=3, most_bits=2)
 
 
