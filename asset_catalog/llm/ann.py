@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: a neighbour graph grown by NN-descent, and greedy search in it.
 
-Equal vectors are one node. Nodes are kept as 8-bit codes with a scale; only the last ranking reads the
-vectors as they came. Neighbours are those of the largest inner product, so long vectors, which answer many
+Equal vectors are one node. Nodes are kept as 16-bit codes with a scale, which tell near copies apart; only the
+last ranking reads the vectors as they came. Neighbours are those of the largest inner product, so long vectors, which answer many
 queries, are neighbours of many nodes and found from everywhere.
 
 Grow: nodes fall into cells by random hyperplanes, and each takes its best partners within a cell as first
@@ -9,20 +9,24 @@ neighbours, twice over. Then NN-descent: a neighbour's neighbour is likely a nei
 each node's neighbours, and those that have it as one, with their codes; among those that meet at a node,
 pairs with a newcomer are compared, and whoever finds a partner better than its last neighbour takes it.
 Rounds end when hardly any list still changes. Search: every query starts at the best of a set of entry nodes, keeps a
-beam of the best nodes met, and each round expands the best that are not expanded yet: a join with their adjacency rows.
-It ends when every node of every beam is expanded. Both come to an end by themselves: lists and full beams only take
-what is better than their last. A limit to the rounds can be given; one that cuts them short is warned of.
-
-Rows, not tasks, grow with the data: lists, beams, entries and cells have fixed sizes, and the number of
-members that a node's neighbourhood takes from its reverse side is bounded, as is usual for the method.
+beam of the best nodes met, and each round expands all that are not expanded yet: a join with their adjacency rows.
+A query leaves the rounds when every node of its beam is expanded. Both come to an end by themselves: lists and full
+beams only take what is better than their last. A limit to the rounds can be given; one that cuts them short is warned of.
+Last, all of a beam that the codes' rounding leaves in the running are ranked by their vectors.
+
+Rows, not tasks, grow with the data: lists, beams, entries and cells have fixed sizes, and a meeting has at most as
+many members as a list and the reverse side that joins it. A node that very many have as a neighbour goes to all their
+meetings: adaptive execution splits that join, and what such a node is offered is cut to its best before the shuffle.
 The graph holds every vector; what it costs is recall, which tests measure against brute force.
 
 Defined cases: null, empty and zero vectors and those with null or non-finite components are neither queries nor
-candidates, nor are rows with a null id or a length other than the most common; rows that share an id are one, the
-smallest by components; equal scores go to the smaller id."""
+candidates, nor are rows with a null id; vectors of different lengths have no product, so each length has a graph
+of its own and answers its own queries; rows that share an id are one, the smallest by components; equal scores go
+to the smaller id."""
 
 from __future__ import annotations
 
+import functools
 import itertools
 import warnings
 from collections.abc import Iterator
@@ -37,14 +41,16 @@ from asset_catalog.llm.embed_dedup import usable
 
 #: Neighbours that a node keeps, and reverse ones that join them.
 KEPT, REVERSE = 24, 16
+#: A node that is offered partners at so many of the meetings worked on at once gets the best of them only.
+MANY = 16
 #: Partners that a node takes from one meeting: as many as it could keep.
 TAKEN = KEPT
 #: Nodes of a first cell, and how often nodes are dealt into cells.
 CELL_ROWS, DEALS = 4096, 2
 #: Descent ends when less than this share of all neighbours is new.
 SETTLED = 0.001
-#: Search: entry nodes, beam, nodes expanded each round, and how many are ranked exactly.
-ENTRIES, BEAM, EXPANDED, RANKED = 1024, 512, 48, 100
+#: Search: entry nodes, how many of them a beam starts with, and the beam.
+ENTRIES, ENTERED, BEAM = 1024, 48, 512
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +64,7 @@ def _listed(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
 
 def _decoded(codes: pa.Array, scales: pa.Array) -> np.ndarray:
     """Vectors of fixed-length binary codes."""
-    flat = np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(len(codes), -1)
+    flat = np.frombuffer(b"".join(codes.to_pylist()), np.int16).reshape(len(codes), -1)
     return flat.astype(np.float32) * scales.to_numpy()[:, None]
 
 
@@ -75,16 +81,22 @@ def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, mark: np.ndar
     return order[rank < most]
 
 
+def _cut(owner: np.ndarray, others: np.ndarray, scores: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The `most` best offers of each owner, in order of owners."""
+    rows = _best(owner, others, scores, np.zeros(len(owner)), most)
+    return owner[rows], others[rows], scores[rows]
+
+
 def encode(vectors: DataFrame) -> DataFrame:
-    """(node, code, scale) of (node, vector): each component in 8 bits."""
+    """(node, code, scale) of (node, vector): each component in 16 bits."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-            scale = np.abs(rows).max(axis=1) / 127
-            small = np.rint(rows / scale[:, None]).astype(np.int8)
+            scale = np.abs(rows).max(axis=1) / 32767
+            small = np.rint(rows / scale[:, None]).astype(np.int16)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(scale.astype(np.float32))], names=["node", "code", "scale"])
 
     return vectors.select("node", "vector").mapInArrow(code, "node long, code binary, scale float")
@@ -124,12 +136,13 @@ def first_neighbours(nodes: DataFrame, width: int, deal: int, cell_rows: int, ke
     return dealt.groupBy("cell", "part").applyInArrow(best, "node long, others array<long>, scores array<float>")
 
 
-def _merged(candidates: DataFrame, old: DataFrame | None, kept: int) -> DataFrame:
-    """(node, others, scores, fresh): each node's best of its candidates and old neighbours."""
-    met = candidates.select("node", "others", "scores", F.lit(True).alias("new"))
-    if old is not None:
-        met = met.unionByName(old.select("node", "others", "scores", F.lit(False).alias("new")))
+def _merged(candidates: DataFrame, old: DataFrame, kept: int) -> DataFrame:
+    """(node, code, scale, others, scores, fresh): each node's best of its candidates and old neighbours."""
+    met = candidates.select("node", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("scale"), "others", "scores", F.lit(True).alias("new"))
+    met = met.unionByName(old.select("node", "code", "scale", "others", "scores", F.lit(False).alias("new")))
     grouped = met.groupBy("node").agg(
+        F.max("code").alias("code"),
+        F.max("scale").alias("scale"),
         F.flatten(F.collect_list("others")).alias("others"),
         F.flatten(F.collect_list("scores")).alias("scores"),
         F.flatten(F.collect_list(F.transform("others", lambda _: F.col("new")))).alias("fresh"),
@@ -139,34 +152,36 @@ def _merged(candidates: DataFrame, old: DataFrame | None, kept: int) -> DataFram
         for batch in batches:
             if not batch.num_rows:
                 continue
-            others, lengths = _lists(batch.column(1))
-            scores, fresh = _lists(batch.column(2))[0], _lists(batch.column(3))[0]
+            others, lengths = _lists(batch.column(3))
+            scores, fresh = _lists(batch.column(4))[0], _lists(batch.column(5))[0]
             owner = np.repeat(np.arange(batch.num_rows), lengths)
             rows = _best(owner, others, scores, fresh, kept)
             lengths = np.bincount(owner[rows], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _listed(others[rows], lengths), _listed(scores[rows], lengths), _listed(fresh[rows], lengths)], names=["node", "others", "scores", "fresh"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _listed(others[rows], lengths), _listed(scores[rows], lengths), _listed(fresh[rows], lengths)], names=names)
 
-    return grouped.mapInArrow(merge, "node long, others array<long>, scores array<float>, fresh array<boolean>")
+    names = ["node", "code", "scale", "others", "scores", "fresh"]
+    return grouped.mapInArrow(merge, "node long, code binary, scale float, others array<long>, scores array<float>, fresh array<boolean>")
 
 
 def _members(state: DataFrame, reverse: int) -> DataFrame:
-    """(place, member, fresh): who meets at each node: its neighbours, and some that have it as a neighbour."""
+    """(place, member, fresh): who meets at each node: its neighbours, and up to `reverse` that have it as one."""
     edges = state.select("node", F.explode(F.arrays_zip("others", "fresh")).alias("edge")).select("node", "edge.others", "edge.fresh")
+    luck = F.row_number().over(Window.partitionBy("others").orderBy(F.xxhash64("node", "others"), "node"))
     forward = edges.select(F.col("node").alias("place"), F.col("others").alias("member"), "fresh")
-    by_luck = Window.partitionBy("others").orderBy(F.xxhash64("node", "others"), "node")
-    backward = edges.withColumn("rank", F.row_number().over(by_luck)).where(F.col("rank") <= reverse)
+    backward = edges.withColumn("rank", luck).where(F.col("rank") <= reverse)
     return forward.unionByName(backward.select(F.col("others").alias("place"), F.col("node").alias("member"), "fresh"))
 
 
-def descend(nodes: DataFrame, state: DataFrame, kept: int, reverse: int, taken: int) -> DataFrame:
+def descend(state: DataFrame, kept: int, reverse: int, taken: int) -> DataFrame:
     """One round: (node, others, scores), partners that nodes found where they met."""
     last = F.when(F.size("scores") < kept, F.lit(float("-inf"))).otherwise(F.array_min("scores")).cast("float")
-    known = nodes.join(state.select("node", last.alias("last")), "node").withColumnRenamed("node", "member")
+    known = state.select(F.col("node").alias("member"), "code", "scale", last.alias("last"))
     met = _members(state, reverse).join(known, "member")
     meetings = met.groupBy("place").agg(F.collect_list(F.struct("member", "fresh", "code", "scale", "last")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            often = []
             for at in range(0, batch.num_rows, 512):
                 part = batch.column(0).slice(at, 512)
                 sizes = np.diff(part.offsets.to_numpy())
@@ -190,44 +205,58 @@ def descend(nodes: DataFrame, state: DataFrame, kept: int, reverse: int, taken:
                 scores = np.take_along_axis(near, some, axis=1)
                 good = scores > -np.inf
                 lengths = good.sum(axis=1)
+                _, same, times = np.unique(ids, return_inverse=True, return_counts=True)
+                many = times[same] >= MANY
+                if many.any():
+                    there_of = np.take_along_axis(there[row], some, axis=1)
+                    hubs = good & many[:, None]
+                    often.append(_cut(np.repeat(ids, hubs.sum(axis=1)), there_of[hubs], scores[hubs], kept))
+                    good &= ~many[:, None]
+                    lengths = good.sum(axis=1)
                 keep = lengths > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[keep]), _listed(np.take_along_axis(there[row], some, axis=1)[good], lengths[keep]), _listed(scores[good], lengths[keep])],
-                    names=["node", "others", "scores"],
-                )
+                yield offers(ids[keep], np.take_along_axis(there[row], some, axis=1)[good], scores[good], lengths[keep])
+            if often:
+                owner, others, scores = _cut(*map(np.concatenate, zip(*often, strict=True)), kept)
+                each, lengths = np.unique(owner, return_counts=True)
+                yield offers(each, others, scores, lengths)
+
+    def offers(ids: np.ndarray, others: np.ndarray, scores: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids), _listed(others, lengths), _listed(scores, lengths)], names=["node", "others", "scores"])
 
     return meetings.select("members").mapInArrow(compare, "node long, others array<long>, scores array<float>")
 
 
 def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = REVERSE, taken: int = TAKEN, cell_rows: int = CELL_ROWS, deals: int = DEALS, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
-    """(node, others): the neighbour graph of (node, code, scale). rounds: at most so many, None for no limit."""
+    """(node, code, scale, others, scores, fresh): the neighbour graph of (node, code, scale).
+
+    rounds: at most so many, None for no limit."""
     dealt = [first_neighbours(nodes, width, deal, cell_rows, kept) for deal in range(deals)]
     candidates = dealt[0]
     for more in dealt[1:]:
         candidates = candidates.unionByName(more)
-    state = checkpointed(_merged(candidates, None, kept))
+    alone = nodes.select("*", F.array().cast("array<long>").alias("others"), F.array().cast("array<float>").alias("scores"))
+    state = checkpointed(_merged(candidates, alone, kept))
     for done in itertools.count():
         if done == rounds:
             warnings.warn(f"the graph had not settled after {rounds} rounds", stacklevel=2)
             break
-        state = checkpointed(_merged(descend(nodes, state, kept, reverse, taken), state, kept))
+        state = checkpointed(_merged(descend(state, kept, reverse, taken), state, kept))
         new, all_of_them = state.agg(F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("others"))).first()
         if not all_of_them or new < settled * all_of_them:
             break
     return state
 
 
-def adjacency(nodes: DataFrame, state: DataFrame, reverse: int = REVERSE) -> DataFrame:
+def adjacency(state: DataFrame, reverse: int = REVERSE) -> DataFrame:
     """(node, ids, codes, scales): each node's neighbours and some reverse ones, with their codes, dealt by node."""
-    links = _members(state, reverse).select("place", "member").distinct()
-    coded = links.join(nodes.withColumnRenamed("node", "member"), "member")
-    rows = coded.groupBy(F.col("place").alias("node")).agg(F.collect_list(F.struct("member", "code", "scale")).alias("near"))
-    return checkpointed(rows)
+    links = _members(state, reverse).select(F.col("place").alias("node"), "member").distinct()
+    coded = links.join(state.select(F.col("node").alias("member"), "code", "scale"), "member")
+    return checkpointed(coded.groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near")))
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, expanded: int = EXPANDED, steps: int | None = None, entries: int = ENTRIES) -> DataFrame:
-    """(query, ids, scores): the beam of each query. queries: (query, vector); graph: of adjacency; steps: at most
-    so many rounds, None for no limit."""
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, entered: int = ENTERED, steps: int | None = None, entries: int = ENTRIES) -> DataFrame:
+    """(query, ids, scores): the beam of each query, best first. queries: (query, vector); graph: of adjacency; steps:
+    at most so many rounds, None for no limit."""
     drawn = sampled(nodes, F.col("node"), entries, 8).orderBy("node").toArrow().combine_chunks()
     entry_ids = drawn.column("node").to_numpy()
     entry_vectors = _decoded(drawn.column("code"), drawn.column("scale")) if len(entry_ids) else np.zeros((0, 1), np.float32)
@@ -243,7 +272,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 part = batch.slice(at, 1024)
                 vectors = plain(part.column(1), part.num_rows)
                 scores = vectors @ entry_vectors.T
-                most = min(expanded, scores.shape[1])
+                most = min(entered, beam, scores.shape[1])
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
                 lengths = np.full(part.num_rows, most)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _listed(entry_ids[best].reshape(-1), lengths), _listed(np.take_along_axis(scores, best, axis=1).reshape(-1).astype(np.float32), lengths), _listed(np.zeros(best.size, bool), lengths)], names=names)
@@ -269,59 +298,72 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 part = batch.slice(at, 256)
                 count = part.num_rows
                 ids, lengths = _lists(part.column(2))
-                scores, done = _lists(part.column(3))[0], _lists(part.column(4))[0].astype(bool)
+                scores = _lists(part.column(3))[0]
                 found, more = _lists(part.column(5))
                 found_scores = _lists(part.column(6))[0]
                 owner = np.concatenate((np.repeat(np.arange(count), lengths), np.repeat(np.arange(count), more)))
-                # What was open in the last round has been expanded by now: the best `expanded` of each beam.
-                opened = np.flatnonzero(~done)
-                open_rank = _best(np.repeat(np.arange(count), lengths)[opened], ids[opened], scores[opened], np.zeros(len(opened)), expanded)
-                done = done.copy()
-                done[opened[open_rank]] = True
                 ids, scores = np.concatenate((ids, found)), np.concatenate((scores, found_scores))
-                done = np.concatenate((done, np.zeros(len(found), bool)))
+                # What was open in the last round has been expanded by now.
+                done = np.concatenate((np.ones(lengths.sum(), bool), np.zeros(len(found), bool)))
                 rows = _best(owner, ids, scores, ~done, beam)
                 lengths = np.bincount(owner[rows], minlength=count)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _listed(ids[rows], lengths), _listed(scores[rows], lengths), _listed(done[rows], lengths)], names=names)
 
     beams = checkpointed(queries.select("query", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(enter, schema))
+    ended = []
     for step in itertools.count():
-        if not beams.where(F.exists("done", lambda d: ~d)).limit(1).count():
+        is_open = F.exists("done", lambda d: ~d)
+        ended.append(beams.where(~is_open))
+        beams = beams.where(is_open)
+        if beams.isEmpty():
             break
         if step == steps:
             warnings.warn(f"beams had open nodes after {steps} rounds", stacklevel=2)
+            ended.append(beams)
             break
-        triples = F.arrays_zip("ids", "scores", "done")
-        still = F.filter(triples, lambda t: ~t["done"])  # lists are in order, best first
+        still = F.filter(F.arrays_zip("ids", "done"), lambda t: ~t["done"])
         least = F.when(F.size("scores") >= beam, F.array_min("scores")).otherwise(F.lit(float("-inf"))).cast("float")
-        front = beams.select("query", "vector", least.alias("least"), F.explode(F.slice(still, 1, expanded)).alias("at")).select("query", "vector", "least", F.col("at.ids").alias("node"))
+        front = beams.select("query", "vector", least.alias("least"), F.explode(still).alias("at")).select("query", "vector", "least", F.col("at.ids").alias("node"))
         found = front.join(graph, "node").select("query", "vector", "least", "near").mapInArrow(score, "query long, ids array<long>, scores array<float>")
         per_query = found.groupBy("query").agg(F.flatten(F.collect_list("ids")).alias("found"), F.flatten(F.collect_list("scores")).alias("found_scores"))
         nothing = F.array().cast("array<long>"), F.array().cast("array<float>")
         joined = beams.join(per_query, "query", "left").select(*names, F.coalesce("found", nothing[0]).alias("found"), F.coalesce("found_scores", nothing[1]).alias("found_scores"))
         beams = checkpointed(joined.mapInArrow(merge, schema))
-    return beams.select("query", "ids", "scores")
+    return functools.reduce(DataFrame.unionByName, ended).select("query", "ids", "scores")
 
 
-def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, growing: dict | None = None, searching: dict | None = None, ranked: int = RANKED) -> DataFrame:
+def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, growing: dict | None = None, searching: dict | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the `most` nearest found for every row where is_query holds.
 
-    growing and searching: settings of grow_graph and search; ranked: nodes of a beam that are ranked exactly."""
+    growing and searching: settings of grow_graph and search. Each length of vectors has a graph of its own, one
+    after the other: a table has a few."""
     one = embeddings.where(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("embedding").alias("vector"))
-    able = stored(one.where(usable(F.col("vector"))).withColumn("length", F.size("vector")), "ann-vectors")
-    lengths = able.groupBy("length").count().orderBy(F.desc("count"), "length").first()
-    length = lengths.length if lengths else 0
-    able = able.where(F.col("length") == length)
-    nodes_of = able.groupBy("vector").agg(F.min("vec_id").alias("node"))
-    vectors = stored(nodes_of, "ann-nodes")
+    able = stored(one.where(usable(F.col("vector"))).select("*", F.size("vector").alias("length"), is_query.alias("asked")), "ann-vectors")
+    lengths = able.groupBy("length").agg(F.max("asked").alias("asked")).where("asked").orderBy("length")
+    found = [_nearest(able.where(F.col("length") == r.length), r.length, most, growing or {}, searching or {}) for r in lengths.collect()]
+    nothing = embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, found) if found else nothing
+
+
+def _nearest(able: DataFrame, length: int, most: int, growing: dict, searching: dict) -> DataFrame:
+    """nearest of (vec_id, vector, asked), vectors of one length."""
+    vectors = stored(able.groupBy("vector").agg(F.min("vec_id").alias("node")), "ann-nodes")
     nodes = stored(encode(vectors), "ann-codes")
-    queries = stored(able.where(is_query).join(vectors, "vector").select(F.col("vec_id").alias("query"), "vector", F.col("node").alias("own")), "ann-queries")
-    state = grow_graph(nodes, length, **(growing or {}))
-    beams = search(queries, nodes, adjacency(nodes, state), **(searching or {}))
+    queries = stored(able.where("asked").select(F.col("vec_id").alias("query"), "vector"), "ann-queries")
+    state = grow_graph(nodes, length, **growing)
+    beams = search(queries, nodes, adjacency(state), **searching)
+
+    # A code differs from its vector by half a scale in each component, so a score by no more than `off` (the small
+    # part is for sums in 32 bits). What scores less than the best `most` beside the query's own by twice that is out.
+    widest = nodes.agg(F.max("scale")).first()[0] or 0.0
+    size = F.aggregate("vector", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double")))
+    off = size * F.lit(float(widest) * (0.5 + 32767 * 2.0**-23 * (length + 2)))
+    least = F.when(F.size("scores") > most, F.element_at("scores", most + 1).cast("double") - 2 * off).otherwise(F.lit(float("-inf")))
+    running = beams.join(queries, "query").withColumn("least", least)
+    running = running.select("query", "vector", F.explode(F.filter(F.arrays_zip("ids", "scores"), lambda t: t["scores"] >= F.col("least"))).alias("at"))
+    pairs = running.select("query", "vector", F.col("at.ids").alias("node"))
 
     # The nearest nodes in double precision, then the rows that share their vectors, `most` and the query's own at most.
-    best = F.slice(F.col("ids"), 1, ranked)
-    pairs = beams.select("query", F.explode(best).alias("node")).join(queries.select("query", "vector"), "query")
     by_id = Window.partitionBy("vector").orderBy("vec_id")
     alike = able.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= most + 1).select("vec_id", "vector")
     candidates = alike.join(vectors, "vector").select("node", "vec_id", F.col("vector").alias("other"))
@@ -331,4 +373,4 @@ def nearest(embeddings: DataFrame, is_query: Column, most: int = 20, growing: di
     scored = pairs.join(candidates, "node").where(F.col("vec_id") != F.col("query")).select("query", "vec_id", product.alias("score"))
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= most)
-    return ranked.select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").cast("long").alias("vec_id"), "score")
+    return ranked.select(F.col("query").cast("long").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").cast("long").alias("vec_id"), "score")
