@@ -42,7 +42,9 @@ def connected_components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     edges = checkpointed(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("high != low").distinct())
 
     def state(rows: DataFrame) -> tuple:
-        return tuple(rows.agg(F.count("*"), F.sum("high").cast("string"), F.sum("low").cast("string")).first())
+        # Nodes may be any 64-bit numbers, so their sums need more.
+        high, low = (F.sum(F.col(end).cast("decimal(20,0)")).cast("string") for end in ("high", "low"))
+        return tuple(rows.agg(F.count("*"), high, low).first())
 
     seen = state(edges)
     while seen[0]:

@@ -164,3 +164,11 @@ def test_rows_without_an_id_pass_links_on(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: prints)
     found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(prints).collect()}
     assert found == {(9, f"{0:016x}"): 4, (None, f"{3:016x}"): 4, (4, f"{15:016x}"): 4, (None, f"{7 << 40:016x}"): None}
+
+
+def test_nodes_of_any_64_bits_are_linked(spark):
+    """Fingerprints are nodes, so their sum may leave 64 bits."""
+    top = (1 << 63) - 1
+    pairs = spark.createDataFrame([(top, top - 1), (top - 2, top - 1), (top - 8, top - 9), (-top, -top - 1)], "a long, b long")
+    found = {tuple(r) for r in simhash.connected_components(pairs, "a", "b").collect()}
+    assert found == {(top, top - 2), (top - 1, top - 2), (top - 8, top - 9), (-top, -top - 1)}
