@@ -6,8 +6,9 @@ together: what is harmless alone, such as naming a group, can count beside an in
 sum of the vectors, less the squares, adds up all pairs in one pass over the terms.
 
 Fitting takes a bounded sample of the labelled documents (`sample_rows`, by hash). Only buckets whose
-presence goes with the label beyond chance enter the machine; so a long text does not add up the
-noise of thousands of rare words. Scoring reads every text whole.
+presence goes with the label beyond chance enter the machine, or that do so together with another one: pairs
+are tried among the commonest buckets of the sample. So a long text does not add up the noise of thousands
+of rare words, and a term that tells nothing alone takes part. Scoring reads every text whole.
 
 Defined cases: null and empty texts have no terms and get the machine's bias; without labels of both
 kinds every score is the share of toxic labels, 0 without any; a term counts once per text."""
@@ -68,19 +69,56 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * np.asarray(x, float)))
 
 
+def likelihood_gain(seen: np.ndarray, with_label: np.ndarray, count: int, positive: float) -> np.ndarray:
+    """Likelihood ratio of presence against the label, from how many texts have it and how many of these the label."""
+
+    def part(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return observed * np.log(np.maximum(observed, 1e-12) / np.maximum(expected, 1e-12))
+
+    share = positive / count
+    return 2 * (
+        part(with_label, seen * share)
+        + part(seen - with_label, seen * (1 - share))
+        + part(positive - with_label, (count - seen) * share)
+        + part(count - seen - positive + with_label, (count - seen) * (1 - share))
+    )
+
+
+def telling_pairs(rows: np.ndarray, flat: np.ndarray, toxic: np.ndarray, common: np.ndarray, gain: np.ndarray, least: float) -> np.ndarray:
+    """Those of the `common` buckets that together with another one gain `least` more than either does alone.
+
+    rows and flat: pairs of text and bucket, in order of texts; gain: of every bucket alone."""
+    column = np.full(BUCKETS, -1)
+    column[common] = np.arange(len(common))
+    both, toxic_both = np.zeros((2, len(common), len(common)))
+    for at in range(0, len(toxic), 4096):
+        start, end = np.searchsorted(rows, (at, at + 4096))
+        held = column[flat[start:end]]
+        has = np.zeros((min(4096, len(toxic) - at), len(common)), np.float32)
+        has[rows[start:end][held >= 0] - at, held[held >= 0]] = 1
+        both += has.T @ has
+        toxic_both += (has * toxic[at : at + 4096, None].astype(np.float32)).T @ has
+    more = likelihood_gain(both, toxic_both, len(toxic), toxic.sum()) - np.maximum(gain[common][:, None], gain[common])
+    np.fill_diagonal(more, 0)
+    return common[(more >= least).any(axis=1)]
+
+
 def fit(
     terms: list[np.ndarray],
     labels: np.ndarray,
     factors: int = 8,
     least_texts: int = 4,
-    least_gain: float = 20.0,
+    least_gain: float = 15.0,
+    paired: int = 1024,
+    least_pair_gain: float = 30.0,
     steps: int = 250,
     rate: float = 0.05,
     decay: float = 1e-4,
     seed: int = 3,
 ) -> Machine:
     """Fits by Adam on the log loss. A bucket takes part if it occurs in least_texts texts and its
-    likelihood ratio against the label is at least least_gain."""
+    likelihood ratio against the label is at least least_gain, or if it is one of the `paired` commonest and
+    the ratio of a pair with another of these is higher by least_pair_gain than that of either alone."""
     toxic = labels.astype(float)
     count, positive = len(toxic), toxic.sum()
     place = np.full(BUCKETS, -1, np.int32)
@@ -93,17 +131,11 @@ def fit(
     seen = np.bincount(flat, minlength=BUCKETS).astype(float)
     with_label = np.bincount(flat, toxic[rows], BUCKETS)
 
-    def part(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return observed * np.log(np.maximum(observed, 1e-12) / np.maximum(expected, 1e-12))
-
     share = positive / count
-    gain = 2 * (
-        part(with_label, seen * share)
-        + part(seen - with_label, seen * (1 - share))
-        + part(positive - with_label, (count - seen) * share)
-        + part(count - seen - positive + with_label, (count - seen) * (1 - share))
-    )
-    chosen = np.flatnonzero((seen >= least_texts) & (gain >= least_gain))
+    gain = likelihood_gain(seen, with_label, count, positive)
+    often = np.argsort(-seen, kind="stable")[:paired]
+    pairs = telling_pairs(rows, flat, toxic, often[seen[often] >= least_texts], gain, least_pair_gain)
+    chosen = np.union1d(np.flatnonzero((seen >= least_texts) & (gain >= least_gain)), pairs)
     place[chosen] = np.arange(len(chosen))
     places = place[flat]
     rows, places = rows[places >= 0], places[places >= 0].astype(np.int64)

@@ -42,6 +42,40 @@ def test_learns_what_only_pairs_tell():
     assert ((machine(pa.array(texts[900:])) >= 0.5) == np.array(labels[900:])).mean() > 0.98
 
 
+def right(draw, label, words=("harsh", "group", "slur")):
+    """Share of new texts judged rightly, where label(has) tells by which of the words a text has."""
+    texts, labels = [], []
+    for _ in range(1600):
+        has = draw.random(len(words)) < 0.5
+        texts.append(" ".join([*draw.choice([f"filler{k}" for k in range(30)], 6), *np.array(words)[has]]))
+        labels.append(int(label(has)))
+    machine = toxicity.fit(bags(texts[:1200]), np.array(labels[:1200]))
+    return ((machine(pa.array(texts[1200:])) >= 0.5) == np.array(labels[1200:])).mean()
+
+
+def test_learns_terms_that_tell_nothing_alone():
+    assert right(np.random.default_rng(3), lambda has: has[0] != has[1]) > 0.98
+    assert right(np.random.default_rng(4), lambda has: has[0] if has[1] else has[2]) > 0.98
+
+
+def test_learns_a_rare_insult():
+    draw = np.random.default_rng(5)
+    texts = [" ".join(draw.choice([f"filler{k}" for k in range(40)], 8)) for _ in range(2000)]
+    labels = np.arange(2000) % 10 == 0
+    texts = [f"{t} {'vermin' if k < 40 else 'fool'}" if labels[k] else t for k, t in enumerate(texts)]
+    machine = toxicity.fit(bags(texts), labels.astype(int))
+    assert (machine(pa.array(["filler1 filler2 vermin", "filler1 filler2"])) >= 0.5).tolist() == [True, False]
+
+
+def test_pairs_gain_what_counting_says():
+    draw = np.random.default_rng(6)
+    has, toxic = draw.random((5000, 6)) < 0.3, draw.random(5000) < 0.2
+    toxic |= has[:, 1] & has[:, 4]
+    rows, flat = np.nonzero(has)
+    gain = toxicity.likelihood_gain(has.sum(axis=0).astype(float), has[toxic].sum(axis=0).astype(float), 5000, toxic.sum())
+    assert toxicity.telling_pairs(rows, flat, toxic.astype(float), np.arange(6), gain, 30.0).tolist() == [1, 4]
+
+
 def test_without_both_labels():
     assert np.allclose(toxicity.fit(bags(["a", "b"]), np.array([0, 0]))(pa.array(["a", None])), 0, atol=1e-6)
     assert np.allclose(toxicity.fit(bags(["a", "b"]), np.array([1, 1]))(pa.array(["c"])), 1, atol=1e-6)
