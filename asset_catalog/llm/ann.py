@@ -62,10 +62,13 @@ def _listed(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), pa.array(values))
 
 
-def _decoded(codes: pa.Array, scales: pa.Array) -> np.ndarray:
-    """Vectors of fixed-length binary codes."""
-    flat = np.frombuffer(b"".join(codes.to_pylist()), np.int16).reshape(len(codes), -1)
-    return flat.astype(np.float32) * scales.to_numpy()[:, None]
+def _decoded(codes: pa.Array | pa.ChunkedArray, scales: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of fixed-length binary codes; a value may hold the codes of several vectors."""
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
+    ends = np.frombuffer(codes.buffers()[1], np.int32)[codes.offset : codes.offset + len(codes) + 1]
+    flat = np.frombuffer(codes.buffers()[2], np.int16, (ends[-1] - ends[0]) // 2, ends[0]).reshape(len(scales), -1)
+    return flat * scales.to_numpy()[:, None]
 
 
 def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, mark: np.ndarray, most: int) -> np.ndarray:
@@ -248,10 +251,25 @@ def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = RE
 
 
 def adjacency(state: DataFrame, reverse: int = REVERSE) -> DataFrame:
-    """(node, ids, codes, scales): each node's neighbours and some reverse ones, with their codes, dealt by node."""
+    """(node, ids, codes, scales): each node's neighbours and some reverse ones, their codes in one value."""
     links = _members(state, reverse).select(F.col("place").alias("node"), "member").distinct()
     coded = links.join(state.select(F.col("node").alias("member"), "code", "scale"), "member")
-    return checkpointed(coded.groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near")))
+    return checkpointed(packed(coded.groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near"))))
+
+
+def packed(graph: DataFrame) -> DataFrame:
+    """(node, ids, codes, scales) of (node, near): what a search moves once for each query that comes by."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy()
+            near = batch.column(1).flatten()
+            codes = near.field(1).to_pylist()
+            joined = [b"".join(codes[a:b]) for a, b in itertools.pairwise(ends - ends[0])]
+            lengths = np.diff(ends)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _listed(near.field(0).to_numpy(), lengths), pa.array(joined, pa.binary()), _listed(near.field(2).to_numpy(), lengths)], names=["node", "ids", "codes", "scales"])
+
+    return graph.mapInArrow(pack, "node long, ids array<long>, codes binary, scales array<float>")
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, entered: int = ENTERED, steps: int | None = None, entries: int = ENTRIES) -> DataFrame:
@@ -283,14 +301,13 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 part = batch.slice(at, 512)
                 vectors = plain(part.column(1), part.num_rows)
                 least = part.column(2).to_numpy()
-                sizes = np.diff(part.column(3).offsets.to_numpy())
-                near = part.column(3).flatten()
+                ids, sizes = _lists(part.column(3))
                 row = np.repeat(np.arange(part.num_rows), sizes)
-                coded = _decoded(near.field(1), near.field(2))
+                coded = _decoded(part.column(4), part.column(5).flatten())
                 scores = np.einsum("ij,ij->i", coded, vectors[row])
                 good = scores > least[row]
                 lengths = np.bincount(row[good], minlength=part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column(0), _listed(near.field(0).to_numpy()[good], lengths), _listed(scores[good].astype(np.float32), lengths)], names=["query", "ids", "scores"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _listed(ids[good], lengths), _listed(scores[good].astype(np.float32), lengths)], names=["query", "ids", "scores"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +341,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
         still = F.filter(F.arrays_zip("ids", "done"), lambda t: ~t["done"])
         least = F.when(F.size("scores") >= beam, F.array_min("scores")).otherwise(F.lit(float("-inf"))).cast("float")
         front = beams.select("query", "vector", least.alias("least"), F.explode(still).alias("at")).select("query", "vector", "least", F.col("at.ids").alias("node"))
-        found = front.join(graph, "node").select("query", "vector", "least", "near").mapInArrow(score, "query long, ids array<long>, scores array<float>")
+        found = front.join(graph, "node").select("query", "vector", "least", "ids", "codes", "scales").mapInArrow(score, "query long, ids array<long>, scores array<float>")
         per_query = found.groupBy("query").agg(F.flatten(F.collect_list("ids")).alias("found"), F.flatten(F.collect_list("scores")).alias("found_scores"))
         nothing = F.array().cast("array<long>"), F.array().cast("array<float>")
         joined = beams.join(per_query, "query", "left").select(*names, F.coalesce("found", nothing[0]).alias("found"), F.coalesce("found_scores", nothing[1]).alias("found_scores"))

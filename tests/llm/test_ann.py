@@ -119,7 +119,7 @@ def test_search_goes_on_while_nodes_are_open(spark):
     vectors = [[1.0, 1.0 + i] for i in range(40)]
     nodes = coded(spark, vectors)
     links = spark.createDataFrame([(i, i + 1) for i in range(39)], "node long, member long")
-    graph = links.join(nodes.withColumnRenamed("node", "member"), "member").groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near"))
+    graph = ann.packed(links.join(nodes.withColumnRenamed("node", "member"), "member").groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near")))
     queries = spark.createDataFrame([(7, [0.0, 1.0])], "query long, vector array<float>")
     chain = {"beam": 4, "entered": 1, "entries": 4}
     assert ann.search(queries, nodes, graph, **chain).first().ids[0] == 39
