@@ -173,7 +173,8 @@ def document_entries(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = ~F.col("nothing") & F.col("entries").isNull()
     whole = (F.max(bad.cast("int")) == 0) & (F.sum(F.coalesce(F.col("ends"), F.lit(False)).cast("int")) == 1)
     state = found.groupBy("source_file").agg(whole.alias("whole"))
-    rows = found.join(state.where("whole").select("source_file"), "source_file", "left_semi")
+    # A row for each large document; without the hint all entries of a document may meet in one task.
+    rows = found.join(F.broadcast(state.where("whole").select("source_file")), "source_file", "left_semi")
     rows = rows.select("source_file", "part", F.posexplode(F.map_entries("entries")).alias("pos", "entry"))
     entries = rows.select("source_file", "part", "pos", F.col("entry.key").alias("object_key"), F.col("entry.value").alias("raw"))
     return entries, state.where("NOT whole").select("source_file")

@@ -17,27 +17,27 @@ def _entry() -> Column:
 
 
 def keyed_documents(entries: DataFrame, documents: int) -> DataFrame:
-    """Export documents, JSON objects key -> asset, cut by the hash of the key.
+    """Export documents, JSON objects key -> asset, cut by the hash of the key: (document, value).
 
     ``entries`` holds each ``object_key`` once, so hashing spreads them evenly and no document
-    grows beyond its share. Together the documents hold every entry exactly once.
+    grows beyond its share. Together the documents hold every entry exactly once. A document is a
+    partition of its own, whose rows in their order, sorted by Spark, are its text; it is never one cell.
     """
-    body = F.array_join(F.array_sort(F.collect_list("entry")), ",")
-    return (
-        entries.select(
-            F.pmod(F.xxhash64("object_key"), F.lit(documents)).alias("document"),
-            _entry().alias("entry"),
-        )
-        .groupBy("document")
-        .agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
-    )
+    document = F.pmod(F.xxhash64("object_key"), F.lit(documents)).cast("int").alias("document")
+    body = entries.select(document, F.lit(False).alias("ends"), _entry().alias("entry"))
+    ends = entries.select(document).distinct().select("document", F.lit(True).alias("ends"), F.lit("}").alias("entry"))
+    rows = body.unionByName(ends).repartitionById(documents, F.col("document")).sortWithinPartitions("ends", "entry")
+    # Below its upper bits, which number the partitions, the id counts a partition's rows.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    opening = F.when(F.col("ends"), "").when(first, "{").otherwise(",")
+    return rows.select("document", F.concat(opening, "entry").alias("value"))
 
 
 def write_keyed_json(entries: DataFrame, path: str, documents: int = 1) -> None:
-    """Write the catalog as so many export documents, one per file. A document is made and read by
-    one task and holds 2 GB at most; ``write_entry_lines`` knows no such limit."""
+    """Write the catalog as so many export documents, one per file and line, of any size. A document is
+    written by one task, entry by entry; ``write_entry_lines`` writes with many."""
     rows = keyed_documents(entries, documents).select("value")
-    rows.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    rows.write.mode("overwrite").option("lineSep", " ").text(path)
 
 
 def entry_lines(entries: DataFrame) -> DataFrame:

@@ -109,3 +109,12 @@ def test_no_task_holds_a_document(spark, tmp_path, small_blocks):
     entries, broken = document_entries(pieces)
     assert entries.count() == 400 and broken.count() == 0
     assert pieces.selectExpr("max(length(value))").first()[0] < 500
+
+
+def test_entries_of_one_document_stay_in_many_tasks(spark, tmp_path):
+    """Entries meet the list of whole documents where they are, not in one task for each document."""
+    (tmp_path / "a.json").write_text(json.dumps({f"k{n}": {"n": n} for n in range(50)}))
+    entries, _ = document_entries(read_pieces(spark, str(tmp_path), 0))
+    assert entries.count() == 50
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

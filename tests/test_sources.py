@@ -137,3 +137,17 @@ def test_asset_files(spark, tmp_path, texts):
         ("a/b c", query()["updated_at"]), ("x", "2022-01-01")]
     write_asset_files(read_assets(texts([dumps(query(name="x", updated_at="2023-01-01"))]), "query"), path, 3)
     assert landed.read_json_lines(spark, path).count() == 3
+
+
+def test_an_export_document_is_never_one_cell(spark, tmp_path):
+    """Entries are sorted and written one by one; a document may be larger than a cell or a task's memory."""
+    entries = spark.range(2000).select(F.concat(F.lit('k}"'), "id").alias("object_key"), F.concat(F.lit('{"n": '), "id", F.lit("}")).alias("raw"))
+    parts = keyed_documents(entries, 3)
+    assert parts.agg(F.max(F.length("value"))).first()[0] < 40
+    assert "collect_list" not in parts._jdf.queryExecution().toString()
+    write_keyed_json(entries, str(tmp_path / "out"), 3)
+    files = [json.loads(f.read_text()) for f in (tmp_path / "out").glob("part-*")]
+    assert len(files) == 3 and sum(map(len, files)) == 2000
+    for larger_than in (0, 1 << 20):
+        back = landed.read_keyed_json(spark, str(tmp_path / "out"), larger_than=larger_than)
+        assert sorted(json.loads(r["raw"])["n"] for r in back.collect()) == list(range(2000))
