@@ -47,12 +47,23 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     return rows
 
 
+# Rows of a side of a join that Spark may still send to every executor by way of the driver.
+BROADCAST_ROWS = 50_000
+
+
+def _side(rows: DataFrame, count: int | None) -> DataFrame:
+    """A side of a join, which is not broadcast if it is known to have many rows: Spark guesses the bytes of
+    rows from the files that they come from, where they may be a tenth."""
+    return rows if count is None or count <= BROADCAST_ROWS else rows.hint("merge")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     keep: Sequence[str] = ("upload_message",),
-    come_by: tuple[str, int] | None = None,
+    come_by: tuple[int, Sequence[Column]] | None = None,
+    counts: tuple[int | None, int | None] = (None, None),
 ) -> DataFrame:
     """The target with every source row put in: replacing the row with equal keys, or added.
 
@@ -61,13 +72,14 @@ def upsert(
 
     Two joins instead of a full outer one: neither moves the target when the source is small
     enough for Spark to broadcast, and the second reads only keys and kept columns of it.
-    ``come_by`` deals the source's rows by a column into so many tasks, so that they write few files.
+    ``come_by`` deals the source's rows into so many tasks by some columns, so that they write few files.
+    ``counts`` are the rows of target and source, where known; many are never broadcast.
     """
     keys = list(keys)
-    stay = target.join(source.select(keys), keys, "left_anti")
-    come = source.join(target.select(*keys, *keep), keys, "left").select(target.columns)
+    stay = target.join(_side(source.select(keys), counts[1]), keys, "left_anti")
+    come = source.join(_side(target.select(*keys, *keep), counts[0]), keys, "left").select(target.columns)
     if come_by:
-        come = come.repartition(come_by[1], come_by[0])
+        come = come.repartition(come_by[0], *come_by[1])
     return stay.unionByName(come)
 
 

@@ -117,7 +117,7 @@ def upload_by_names(spark, sf_dir):
     config = own_catalog(spark)
     for kind, rows in (("query", _queries(spark, sf_dir)), ("dashboard", _dashboards(spark, sf_dir))):
         found = project_catalog(rows, kind, F.lit(AS_OF)).dropDuplicates(KINDS[kind].merge_keys)
-        upsert_catalog(found, config, kind)
+        upsert_catalog(written_once(found, "pulled"), config, kind)
     names = {"query_names": ["q_7", "q_70"], "dashboard_names": ["Customer#000000005", "Customer#000000011"]}
     upload = Upload.from_catalog(spark, config, "ds1", "Query Name", **names)
     return upload.query_requests().unionByName(upload.dashboard_requests()).select("step", "path", "source_key")

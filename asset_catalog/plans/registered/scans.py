@@ -33,7 +33,7 @@ from asset_catalog.sources.landed import (
     read_keyed_json,
     rejected_listing,
 )
-from asset_catalog.sources.scratch import scratch_path
+from asset_catalog.sources.scratch import scratch_path, written_once
 from asset_catalog.sources.tables import ensure_catalog, read_catalog, upsert_catalog
 
 AS_OF = "2024-01-01 00:00:00"
@@ -155,7 +155,8 @@ def scan_catalog(spark, sf_dir):
     """A catalog table is made, filled and read."""
     rows = project_catalog(read_assets(derived.dashboards(spark, sf_dir), "dashboard"), "dashboard", F.lit(AS_OF))
     config = own_catalog(spark)
-    upsert_catalog(stage(rows.dropDuplicates(DASHBOARD.merge_keys), "staged_dashboards"), config, "dashboard")
+    pulled = written_once(rows.dropDuplicates(DASHBOARD.merge_keys), "pulled-dashboards")
+    upsert_catalog(stage(pulled, "staged_dashboards"), config, "dashboard")
     return read_catalog(spark, config, "dashboard").select(
         "dashboard_name",
         "dashboard_slug",

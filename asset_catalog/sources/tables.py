@@ -15,13 +15,15 @@ some parts from before an upsert and some from after it. Runs must not overlap.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
 from asset_catalog.operators.catalog import upsert
 from asset_catalog.schemas import KINDS, ConfigError, Kind, kind_of
+from asset_catalog.sources.scratch import scratch_path
 
 
 def table_name(config: Config, kind: str | Kind) -> str:
@@ -60,25 +62,73 @@ def _with_part(rows: DataFrame, config: Config, kind: Kind) -> DataFrame:
     return rows.withColumn("part", F.pmod(F.xxhash64(*kind.merge_keys), F.lit(config.catalog_parts)).cast("int"))
 
 
+# Rows of a bucket that one task joins and sorts.
+BUCKET_ROWS = 250_000
+
+
+def _part_counts(rows: DataFrame) -> dict[int, int]:
+    return {row["part"]: row["count"] for row in rows.groupBy("part").count().collect()}
+
+
+def _part_groups(counts: dict[int, int], most: int) -> list[list[int]]:
+    """Parts in groups of at most so many rows; a larger part is a group of its own."""
+    groups, held = [], 0
+    for part, count in sorted(counts.items()):
+        if not groups or held + count > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(part)
+        held += count
+    return groups
+
+
 def upserted_parts(source: DataFrame, config: Config, kind: str | Kind) -> DataFrame:
     """All rows of the parts that the source touches, after the upsert. The table's buckets are those
-    of the joins, so only the source is moved; a list of at most ``catalog_parts`` numbers comes to the driver."""
+    of the joins, so only the source is moved; two lists of at most ``catalog_parts`` numbers come to the driver.
+
+    A join has a task for each bucket, whatever the size of the table. So parts of many rows are joined
+    group by group, each with tasks of its own; the source is then written by part first."""
     kind, spark = kind_of(kind), source.sparkSession
     name = table_name(config, kind)
     spark.catalog.refreshTable(name)
     placed = _with_part(source, config, kind)
-    touched = [row["part"] for row in placed.select("part").distinct().collect()]
-    target = spark.table(name).where(F.col("part").isin(touched))
-    come_parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism))
-    return upsert(target, placed, kind.merge_keys, come_by=("part", come_parts)).select(target.columns)
+    come_counts = _part_counts(placed)
+    if not come_counts:
+        return spark.table(name).limit(0)
+    held_counts = _part_counts(spark.table(name).where(F.col("part").isin(list(come_counts))))
+    both = {part: count + held_counts.get(part, 0) for part, count in come_counts.items()}
+    groups = _part_groups(both, BUCKET_ROWS * config.catalog_buckets)
+    if len(groups) > 1:
+        path = scratch_path(spark, "placed", f"{config.catalog_root}/staged")
+        placed.hint("rebalance", F.col("part")).write.partitionBy("part").parquet(path)
+        placed = spark.read.schema(placed.schema).parquet(path)
+    return reduce(DataFrame.unionByName, [
+        _upserted_group(placed, name, group, config, kind, [sum(n.get(p, 0) for p in group) for n in (held_counts, come_counts)])
+        for group in groups
+    ])
+
+
+def _upserted_group(placed: DataFrame, name: str, group: list[int], config: Config, kind: Kind, counts: list[int]) -> DataFrame:
+    """The same of some parts. Rows that come are dealt by part and bucket, so that a file has one writer."""
+    chosen = F.col("part").isin(group)
+    target = placed.sparkSession.table(name).where(chosen)
+    come_by = _dealt_by(placed.sparkSession, config, kind, len(group))
+    return upsert(target, placed.where(chosen), kind.merge_keys, come_by=come_by, counts=tuple(counts)).select(target.columns)
+
+
+def _dealt_by(spark: SparkSession, config: Config, kind: Kind, parts: int) -> tuple[int, list[Column]]:
+    """How rows of so many parts are dealt, each file's to one task."""
+    usual = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bucket = F.pmod(F.hash(*kind.merge_keys), F.lit(config.catalog_buckets))
+    return max(1, min(parts * config.catalog_buckets, usual)), [F.col("part"), bucket]
 
 
 def _commit_parts(rows: DataFrame, config: Config, kind: Kind) -> str:
     """Make the rows the whole table: parts without rows are dropped."""
     spark, name = rows.sparkSession, table_name(config, kind)
     placed = _with_part(rows.select(kind.catalog_schema.names), config, kind)
-    come_parts = max(1, min(config.catalog_parts, spark.sparkContext.defaultParallelism))
-    placed.repartition(come_parts, "part").select(spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    tasks, columns = _dealt_by(spark, config, kind, config.catalog_parts)
+    placed.repartition(tasks, *columns).select(spark.table(name).columns).write.mode("overwrite").insertInto(name)
     spark.catalog.refreshTable(name)
     held = {row["part"] for row in spark.table(name).select("part").distinct().collect()}
     filled = {row["part"] for row in placed.select("part").distinct().collect()}
@@ -130,7 +180,7 @@ def _quoted(text: str) -> str:
 def upsert_catalog(source: DataFrame, config: Config, kind: str | Kind) -> str:
     """Put catalog rows into their table; returns the path of the new version, or of the table's parts.
 
-    ``source`` is used more than once; it should be a written table."""
+    ``source`` is used more than once, and its rows are counted; it should be a written table."""
     kind = kind_of(kind)
     if config.catalog_parts:
         upserted_parts(source, config, kind).write.mode("overwrite").insertInto(table_name(config, kind))
@@ -138,4 +188,5 @@ def upsert_catalog(source: DataFrame, config: Config, kind: str | Kind) -> str:
         return current_version(source.sparkSession, config, kind)
     version = current_version(source.sparkSession, config, kind)
     target = read_catalog(source.sparkSession, config, kind)
-    return commit_version(upsert(target, source, kind.merge_keys), config, kind, version)
+    merged = upsert(target, source, kind.merge_keys, counts=(target.count(), source.count()))
+    return commit_version(merged, config, kind, version)

@@ -7,9 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from asset_catalog.config import Config
+from asset_catalog.operators import catalog as catalog_operators
 from asset_catalog.operators.assets import read_assets
 from asset_catalog.operators.catalog import merge_into, project_catalog, upsert
 from asset_catalog.schemas import DASHBOARD, QUERY, ConfigError, kind_of
+from asset_catalog.sources import tables
 from asset_catalog.sources.tables import (
     commit_version,
     ensure_catalog,
@@ -166,3 +168,34 @@ def test_the_table_is_not_moved(spark, texts, in_parts, limit):
                 level = depth(line)
         moved = [line for line in above if "Exchange hashpartitioning(query_hash" in line or ("Exchange" in line and "ENSURE" in line)]
         assert not moved, "\n".join(plan)
+
+
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_many_rows_are_not_broadcast(spark, texts, config, monkeypatch, tmp_path, limit):
+    """Spark guesses too little for keys taken out of JSON; known counts keep them off the driver."""
+    monkeypatch.setattr(catalog_operators, "BROADCAST_ROWS", limit)
+    for name, rows in (("target", held(many(texts, range(40), "0"), "sent")), ("source", many(texts, range(20, 60), "1"))):
+        rows.write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    merged = upsert(target, source, QUERY.merge_keys, counts=(40, 40))
+    assert ("BroadcastHashJoin" in merged._jdf.queryExecution().executedPlan().toString()) == (limit > 40)
+    assert rows_of(merged) == rows_of(upsert(target, source, QUERY.merge_keys))
+    ensure_catalog(spark, config)
+    upsert_catalog(source, config, "query")
+    assert read_catalog(spark, config, "query").count() == 40
+
+
+def test_parts_of_many_rows_are_joined_in_groups(spark, texts, in_parts, monkeypatch):
+    """Each group of parts has a task for each bucket, so that tasks do not grow with the table."""
+    ensure_catalog(spark, in_parts)
+    upsert_catalog(many(texts, range(120), "1"), in_parts, "query")
+    source = many(texts, range(60, 160), "2")
+    expected = upsert(read_catalog(spark, in_parts, "query"), source, QUERY.merge_keys)
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    merged = upserted_parts(source, in_parts, "query")
+    assert rows_of(merged.drop("part")) == rows_of(expected)
+    assert merged.rdd.getNumPartitions() > 16
+    before = rows_of(expected)
+    upsert_catalog(source, in_parts, "query")
+    assert rows_of(read_catalog(spark, in_parts, "query")) == before
+    assert tables._part_groups({3: 4, 1: 9, 2: 1, 7: 30}, 10) == [[1, 2], [3], [7]]
