@@ -30,6 +30,7 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,6 +145,18 @@ class Aligner:
             return [text]
         return _CUT.split(text) if _BLANK_EDGE.search(text) else text.split(" ")
 
+    def distinct_units(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of all texts, by first occurrence, the place of each unit in them, and how many units each text has."""
+        values = texts.to_pylist()
+        plain = np.array([self.cuts and bool(t) and not _BLANK_EDGE.search(t) for t in values], bool)
+        others = [self.units(values[k] or "") for k in np.flatnonzero(~plain).tolist()]
+        lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        if others:
+            order = np.argsort(np.argsort(~plain, kind="stable"), kind="stable")
+            lists = pa.concat_arrays([lists, pa.array(others, lists.type)]).take(pa.array(order))
+        found = lists.flatten().dictionary_encode()
+        return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64), lists.value_lengths().to_numpy().astype(np.int64)
+
     def _joins(self, units: list[str]) -> Iterator[list[int]]:
         """Runs of units that may be encoded as one text: none in them starts or ends with white space."""
         run, size = [], 0
@@ -293,28 +306,26 @@ def align(documents: DataFrame, files: Files, keep: Callable[[Column], Column] =
 
 def _encoded(aligner: Aligner, chunk: int, part: pa.RecordBatch) -> list[pa.Array]:
     """A row for each document, and one more with what the chunk's units link."""
-    known: dict[str, int] = {}
-    cut = [[known.setdefault(u, len(known)) for u in aligner.units(text or "")] for text in part.column(1).to_pylist()]
-    found = aligner.look_up(list(known))
-    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-    flat = np.fromiter(chain.from_iterable(cut), np.int64, int(sizes.sum()))
-    row = np.repeat(np.arange(len(cut)), sizes)
-    bad = np.bincount(row, ~found.valid[flat], minlength=len(cut)) > 0
+    known, flat, sizes = aligner.distinct_units(part.column(1))
+    found = aligner.look_up(known)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    bad = np.bincount(row, ~found.valid[flat], minlength=len(sizes)) > 0
     flat, row = flat[~bad[row]], row[~bad[row]]
     per_unit = np.diff(found.ends, prepend=0)
-    added = lambda values: np.bincount(row, values[flat], minlength=len(cut)).astype(np.int64)
-    groups = ["" if off else ";".join([found.written[u] for u in units]) for off, units in zip(bad.tolist(), cut, strict=True)]
+    added = lambda values: np.bincount(row, values[flat], minlength=len(sizes)).astype(np.int64)
     pairs, links = np.unique(found.links, return_inverse=True)
     counts = np.bincount(links, np.repeat(np.bincount(flat, minlength=len(known)), per_unit), minlength=len(pairs)).astype(np.int64)
-    offsets = np.append(0, np.cumsum(np.bincount(row, minlength=len(cut)))).astype(np.int32)
+    offsets = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=len(sizes)))).astype(np.int32))
+    written = pa.array(found.written, pa.large_string()).take(pa.array(flat))
+    groups = pc.binary_join(pa.ListArray.from_arrays(offsets, written), pa.scalar(";", written.type)).cast(pa.string())
     more = lambda values, kind: pa.array([*values, None], kind)
-    only = lambda values, kind: pa.ListArray.from_arrays(pa.array([*[None] * len(cut), 0, len(values)], pa.int32()), pa.array(values, kind))
+    only = lambda values, kind: pa.ListArray.from_arrays(pa.array([*[None] * len(sizes), 0, len(values)], pa.int32()), pa.array(values, kind))
     return [
-        pa.array(np.full(len(cut) + 1, chunk, np.int64)),
+        pa.array(np.full(len(sizes) + 1, chunk, np.int64)),
         pa.concat_arrays([part.column(0), pa.nulls(1, part.column(0).type)]),
         *(more(added(x).tolist(), pa.int64()) for x in (found.n_a, found.n_b, found.n_groups, per_unit)),
-        more(groups, pa.string()),
-        pa.concat_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())), pa.nulls(1, pa.list_(pa.int32()))]),
+        pa.concat_arrays([groups, pa.nulls(1, pa.string())]),
+        pa.concat_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())), pa.nulls(1, pa.list_(pa.int32()))]),
         only(links, pa.int32()),
         only(found.ends, pa.int32()),
         only(pairs, pa.int64()),
