@@ -91,8 +91,20 @@ def sampled(rows: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(most / count * (1 << 30)))
 
 
+def release() -> None:
+    """Gives free memory back to the system. Python's workers live on, and what they only hold on to would be
+    missing to the next stage and its executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch between rows into pieces of about `most` bytes of the text column."""
+    """Cuts a batch between rows into pieces of about `most` bytes of the text column. When they are done, free
+    memory is given back."""
     texts = batch.column(column)
     start = size = 0
     for i, length in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
@@ -102,6 +114,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
             start, size = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
+    release()
 
 
 def chunk_ids(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -134,7 +134,7 @@ class Lattice:
 
 
 def _filter_short(units: list[str], vocabulary: Vocabulary) -> list[np.ndarray]:
-    """Arcs of short units, all units side by side: unit, end, start, piece, share."""
+    """Arcs of short units, all units side by side: unit, end, start, piece, share. Many arcs: numbers have 32 bits."""
     codes = _codes("".join(units))
     sizes = np.fromiter(map(len, units), np.int64, len(units))
     offsets = np.cumsum(sizes) - sizes
@@ -163,13 +163,15 @@ def _filter_short(units: list[str], vocabulary: Vocabulary) -> list[np.ndarray]:
         total[rows] += vocabulary.weights[spelled] * forward[end - 1][rows]
         arcs.append((rows, end - 1, -1 - code[rows].astype(np.int64), total[rows]))
         for rows, start, piece, reached in arcs:
-            out[0].append(order[rows])
-            out[1].append(np.full(len(rows), end))
-            out[2].append(np.full(len(rows), start))
-            out[3].append(piece)
+            out[0].append(order[rows].astype(np.int32))
+            out[1].append(np.full(len(rows), end, np.int32))
+            out[2].append(np.full(len(rows), start, np.int32))
+            out[3].append(piece.astype(np.int32))
             out[4].append(reached / total[rows])
         forward.append(total)
-    return [np.concatenate([*o, np.empty(0, np.int64)]) for o in out]
+    del hashes, forward
+    kinds = [np.int32] * 4 + [np.float64]
+    return [np.concatenate([*out.pop(0), np.empty(0, kind)]) for kind in kinds]
 
 
 def _filter_long(unit: str, number: int, vocabulary: Vocabulary) -> list[np.ndarray]:
@@ -201,15 +203,17 @@ def lattice(units: list[str], vocabulary: Vocabulary) -> Lattice:
     base = np.cumsum(lengths + 1) - (lengths + 1)
     short = np.flatnonzero(lengths <= _SHORT)
     made = _filter_short([units[k] for k in short], vocabulary)
-    made[0] = short[made[0].astype(np.int64)]
+    made[0] = short[made[0]].astype(np.int32)
     parts = [made, *[_filter_long(units[k], k, vocabulary) for k in np.flatnonzero(lengths > _SHORT)]]
-    unit, end, start, piece = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(4))
-    share = np.concatenate([p[4] for p in parts])
-    node = base[unit] + end
-    order = np.argsort(node * 64 + (start - end), kind="stable")
+    columns = [np.concatenate([p.pop(0) for p in parts]) for _ in range(5)]
+    share, piece, start, end, unit = (columns.pop() for _ in range(5))
+    place = base[unit]
+    del unit
+    order = np.argsort((place + end) * 64 + (start - end), kind="stable")
     first = np.zeros(int((lengths + 1).sum()) + 1, np.int64)
-    np.cumsum(np.bincount(node, minlength=len(first) - 1), out=first[1:])
-    return Lattice(base, lengths, first, share[order], (base[unit] + start)[order], piece[order])
+    np.cumsum(np.bincount(place + end, minlength=len(first) - 1), out=first[1:])
+    del end
+    return Lattice(base, lengths, first, share[order], (place + start)[order], piece.astype(np.int32, copy=False)[order])
 
 
 def load(path: str = MODEL, ranked: bool = True, sharpness: float = 1.0) -> Vocabulary:

@@ -111,3 +111,17 @@ def test_messy_rows(messy, nothing, vocabulary):
     assert sp.round_trip(nothing, vocabulary).collect() == []
     back = {r.doc_id: r.text for r in sp.decode(sp.encode(messy, vocabulary), vocabulary).collect()}
     assert back[2] is None and back[3] == "" and back[8] == "日本語 \U0001f600 ▁ \0 ﬁn"
+
+
+def test_arcs_are_small_and_free_memory_is_given_back(monkeypatch):
+    """The numbers of a lattice's arcs have 32 bits, and after a batch the worker keeps nothing that is free."""
+    import pyarrow as pa
+
+    from asset_catalog.llm import common, sentencepieces
+
+    net = sentencepieces.lattice(["▁the", "▁" + "long" * 20, "▁é"], sentencepieces.load())
+    assert net.pieces.dtype == np.int32
+    given_back = []
+    monkeypatch.setattr(common, "release", lambda: given_back.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 10])], names=["text"])
+    assert sum(part.num_rows for part in common.slices(batch, 0, 10)) == 3 and given_back == [1]
