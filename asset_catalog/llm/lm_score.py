@@ -4,9 +4,9 @@ A text is its bytes and one end. Each of these symbols is coded in bits along a
 For every bit four predictors look up what followed the last one to four symbols: counts of zeros and
 ones under a hash of the context and of the place in the tree. Their log odds are mixed by weights; gates
 choose the weights, one set by how often the longest contexts were seen, the other by the kind of the last
-symbol and the depth in the tree. The weights are learned online, bit after bit, on a bounded
-sample whose own counts are taken off, and an adaptive map from the mixed odds to observed shares refines
-the result. So there are three predictions of every symbol; within a text they are weighed by how well each did on
+symbol and the depth in the tree. The weights are learned online, a few symbols at a time whose own counts are taken off,
+first on a bounded sample, then from there on the windows of all training texts in groups, whose weights are averaged; an adaptive map
+from the mixed odds to observed shares refines the result. So there are three predictions of every symbol; within a text they are weighed by how well each did on
 the blocks before, with older blocks fading, so the mix goes on adapting to the text. Weights depend on
 the past only, so the scores are log probabilities of whole texts.
 
@@ -26,7 +26,7 @@ import heapq
 import itertools
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,8 @@ AT_ONCE = 2 << 20
 #: Words of at least this share of all training words are counted without a shuffle; so there are at most 250,000.
 COMMON = 4e-6
 LONGEST_COMMON = 64
+#: Windows, about, that one group of them learns from one after the other.
+TOGETHER = 1 << 17
 _RATE = 0.02
 _PRIOR = 0.4
 
@@ -292,53 +294,109 @@ def count_slots(counted: DataFrame, tree: Tree) -> np.ndarray:
     return counts.reshape(ORDERS, 1 << TABLE_BITS, 2)
 
 
-def learn_weights(tree: Tree, counts: np.ndarray, texts: list[bytes], batch: int = 2048) -> Mixer:
-    """Goes over the sample once in its order, a few symbols at a time: predicts their bits without
-    their own counts, then moves the weights of the gates that were open, then the map."""
+@dataclass
+class Learner:
+    """A mixer whose weights move: `steady`, what has moved each weight so far; `seen`, zeros and ones at each
+    depth and step of mixed odds, from which the map is made."""
+
+    mixer: Mixer
+    steady: list[np.ndarray]
+    seen: np.ndarray
+
+    def go_over(self, counts: np.ndarray, keys: np.ndarray, times: np.ndarray, batch: int) -> None:
+        """A few windows at a time: predicts their bits without their own counts, then moves the weights of the gates
+        that were open, then the map. `times`: how often each window counts."""
+        mixer = self.mixer
+        for at in range(0, len(keys), batch):
+            part = keys[at : at + batch]
+            owner, depth, bits, slots = mixer.tree.expand(part)
+            often = times[at : at + batch][owner]
+            others = np.stack([counts[k][slots[k]] for k in range(ORDERS)])  # [order, bit, zero or one]
+            others[:, np.arange(len(bits)), bits.astype(np.int64)] -= 1
+            others = np.maximum(others, 0)
+            inputs = _odds(others[..., 0], others[..., 1])
+            seen_levels = np.searchsorted(_LEVELS, others[ORDERS - 2 :].sum(axis=2), side="right")
+            gates = mixer.gates(part, owner, depth, seen_levels)
+            both = mixer.mixed(inputs, gates)
+            full = np.vstack((inputs, np.ones(len(bits))))
+            for weight, steadied, gate, odds in zip(mixer.weights, self.steady, gates, both, strict=True):
+                error = often * (bits - _sigmoid(odds))
+                slopes = np.stack([np.bincount(gate, error * x, len(weight)) for x in full], axis=1)
+                steadied += slopes**2
+                weight += _RATE * 4 * slopes / np.sqrt(steadied)
+            step = np.clip(np.rint((0.5 * (both[0] + both[1]) + 8) * 2), 0, _STEPS - 1).astype(np.int64)
+            cells = np.minimum(depth, _DEPTHS - 1) * _STEPS + step
+            for bit in (0, 1):
+                self.seen[bit] += np.bincount(cells, often * (bits == bit), _DEPTHS * _STEPS).reshape(_DEPTHS, _STEPS)
+
+    def settled(self) -> Mixer:
+        self.mixer.refined = np.log(self.seen[1] / self.seen[0])
+        return self.mixer
+
+
+def start_learning(tree: Tree, counts: np.ndarray, texts: list[bytes], batch: int = 2048) -> Learner:
+    """Goes over the texts once in their order."""
     wide = len(_LEVELS) + 1
     start = np.array([0.2, 0.2, 0.3, 0.4, 0.0])
     weights = [np.tile(start, (wide * wide, 1)), np.tile(start, (8 * _DEPTHS, 1))]
-    steady = [np.full_like(w, 0.1) for w in weights]
     grid = np.tile(np.arange(_STEPS) / 2 - 8.0, (_DEPTHS, 1))
-    seen = np.stack([1 - _sigmoid(grid), _sigmoid(grid)]) * 8
     levels = np.searchsorted(_LEVELS, counts.sum(axis=2), side="right").astype(np.uint8)
     mixer = Mixer(tree, _odds(counts[..., 0], counts[..., 1]), levels, weights, grid)
+    learner = Learner(mixer, [np.full_like(w, 0.1) for w in weights], np.stack([1 - _sigmoid(grid), _sigmoid(grid)]) * 8)
     keys = windows(texts)[0] if texts else np.empty(0, np.uint64)
-    for at in range(0, len(keys), batch):
-        part = keys[at : at + batch]
-        owner, depth, bits, slots = tree.expand(part)
-        others = np.stack([counts[k][slots[k]] for k in range(ORDERS)])  # [order, bit, zero or one]
-        others[:, np.arange(len(bits)), bits.astype(np.int64)] -= 1
-        others = np.maximum(others, 0)
-        inputs = _odds(others[..., 0], others[..., 1])
-        seen_levels = np.searchsorted(_LEVELS, others[ORDERS - 2 :].sum(axis=2), side="right")
-        gates = mixer.gates(part, owner, depth, seen_levels)
-        both = mixer.mixed(inputs, gates)
-        full = np.vstack((inputs, np.ones(len(bits))))
-        for weight, steadied, gate, odds in zip(weights, steady, gates, both, strict=True):
-            error = bits - _sigmoid(odds)
-            slopes = np.stack([np.bincount(gate, error * x, len(weight)) for x in full], axis=1)
-            steadied += slopes**2
-            weight += _RATE * 4 * slopes / np.sqrt(steadied)
-        step = np.clip(np.rint((0.5 * (both[0] + both[1]) + 8) * 2), 0, _STEPS - 1).astype(np.int64)
-        cells = np.minimum(depth, _DEPTHS - 1) * _STEPS + step
-        for bit in (0, 1):
-            seen[bit] += np.bincount(cells, bits == bit, _DEPTHS * _STEPS).reshape(_DEPTHS, _STEPS)
-    mixer.refined = np.log(seen[1] / seen[0])
-    return mixer
+    learner.go_over(counts, keys, np.ones(len(keys)), batch)
+    return learner
+
+
+def learn_weights(tree: Tree, counts: np.ndarray, texts: list[bytes], batch: int = 2048) -> Mixer:
+    """The mixer with what these texts teach."""
+    return start_learning(tree, counts, texts, batch).settled()
+
+
+def learn_from_all(counted: DataFrame, kinds: int, counts: np.ndarray, learner: Learner) -> Mixer:
+    """Goes over all windows, each as often as it occurs: groups of them go on from what the learner knows, each for itself;
+    their weights are averaged by their symbols, and what they see is added up. Groups hold the same windows in the same
+    order however rows are dealt. Only the sums, of fixed number, reach the driver."""
+    groups = max(1, -(-kinds // TOGETHER))
+    travels = replace(learner, mixer=replace(learner.mixer, odds=None, levels=None))
+
+    def go_on(group: pa.Table) -> pa.Table:
+        keys, times = group.column("window").to_numpy().view(np.uint64), group.column("n").to_numpy().astype(float)
+        order = np.argsort(keys * np.uint64(0x9E3779B97F4A7C15))
+        own = Learner(replace(travels.mixer, weights=[w.copy() for w in travels.mixer.weights]), [s.copy() for s in travels.steady], np.zeros_like(travels.seen))
+        own.go_over(counts, keys[order], times[order], 4096)
+        total = times.sum()
+        sums = np.concatenate([*(total * w.reshape(-1) for w in own.mixer.weights), own.seen.reshape(-1), [total]])
+        return pa.table({"place": np.arange(len(sums), dtype=np.int32), "value": sums})
+
+    placed = counted.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(groups)))
+    moved = placed.groupBy("part").applyInArrow(go_on, "place int, value double")
+    rows = sorted(moved.groupBy("place").agg(F.sum("value")).collect())
+    if rows:
+        sums = np.array([value for _, value in rows])
+        at = 0
+        for weight in learner.mixer.weights:
+            weight[:] = (sums[at : at + weight.size] / sums[-1]).reshape(weight.shape)
+            at += weight.size
+        learner.seen += sums[at:-1].reshape(learner.seen.shape)
+    return learner.settled()
 
 
 def learn(documents: DataFrame, learns: Column, sample_rows: int = 400) -> Mixer:
-    """The model of all rows where `learns` holds; its weights come from about sample_rows of them."""
+    """The model of all rows where `learns` holds. Its weights come from all of their windows, and only start from what about
+    sample_rows of the texts teach."""
     training = documents.where(learns & F.col("text").isNotNull())
     counted = checkpointed(count_windows(training.select(F.col("text").cast("binary").alias("text"))))
-    symbols = np.zeros(END + 1, np.int64)
-    for row in counted.groupBy(F.col("window").bitwiseAND(int(_MASK)).alias("symbol")).agg(F.sum("n").alias("n")).collect():
+    symbols, kinds = np.zeros(END + 1, np.int64), 0
+    by_symbol = counted.groupBy(F.col("window").bitwiseAND(int(_MASK)).alias("symbol"))
+    for row in by_symbol.agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
         symbols[row.symbol] = row.n
+        kinds += row.kinds
     tree = Tree(*huffman(symbols))
     drawn = sampled(training.select("doc_id", F.col("text").cast("binary").alias("text")), F.col("doc_id"), sample_rows, 9)
     texts = sorted(((str(r.doc_id), bytes(r.text)) for r in drawn.collect()))
-    return learn_weights(tree, count_slots(counted, tree), [t for _, t in texts])
+    counts = count_slots(counted, tree)
+    return learn_from_all(counted, kinds, counts, start_learning(tree, counts, [t for _, t in texts]))
 
 
 def score_texts(documents: DataFrame, mixer: Mixer) -> DataFrame:

@@ -145,3 +145,16 @@ def test_messy_rows(messy, nothing, documents):
     assert lm.score_all(nothing, learns()).collect() == []
     untaught = lm.score_all(documents([(1, "a b", "en", "s"), (2, None, "en", "s")]), F.lit(False)).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in untaught] == [(0, 0, 0.0)] * 2
+
+
+def test_weights_come_from_all_training_texts(real, monkeypatch):
+    """Also without a sample to start from, and in many groups; rows that are not learned from change nothing."""
+    monkeypatch.setattr(lm, "TOGETHER", 2000)
+    untaught = lm.learn(real.limit(0), learns())
+    taught = lm.learn(real, learns(), sample_rows=0)
+    assert np.abs(taught.weights[0] - untaught.weights[0]).max() > 0.01
+    assert np.abs(taught.refined - untaught.refined).max() > 0.1
+    alone = lm.learn(real.where(learns()), F.lit(True), sample_rows=0)
+    assert all(np.allclose(a, b) for a, b in zip(taught.weights, alone.weights, strict=True))
+    texts = [bytes(r.text, "utf-8") for r in real.where(~learns()).collect() if r.text]
+    assert lm.Scorer(taught).bits(texts)[0].sum() < lm.Scorer(untaught).bits(texts)[0].sum()
