@@ -40,7 +40,9 @@ def _parsed(raw: Column) -> Column:
     wrapped = F.coalesce(F.try_parse_json(text), F.when(F.length(raw) > LONGEST_TEXT, long))
     values = F.array(F.try_variant_get(wrapped, "$", "array<variant>"))
     single = F.transform(values, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
-    return F.when(F.rtrim(raw, F.lit(" \t\r\n")).endswith("}"), F.get(single, F.lit(0)))
+    # Trimming walks through the whole text, so it is left to those that end otherwise.
+    closed = raw.endswith("}") | F.rtrim(raw, F.lit(" \t\r\n")).endswith("}")
+    return F.when(closed, F.get(single, F.lit(0)))
 
 
 def parse_rows(rows: DataFrame, raw: str = "raw") -> Column:
@@ -77,20 +79,19 @@ def set_and_drop(parsed: Column, new: Mapping[str, Column], drop: Iterable[str]
 
     Fields to leave out are blanked in embedded objects.
     """
-    entries = F.map_entries(parsed.try_cast("map<string,variant>"))
+    entries = parsed.try_cast("map<string,variant>")
     drop = list(drop)
     if drop:
-        entries = F.filter(entries, lambda entry: ~entry["key"].isin(drop))
+        entries = F.map_filter(entries, lambda key, value: ~key.isin(drop))
 
-    def replaced(entry: Column) -> Column:
-        value = entry["value"]
+    def replaced(key: Column, value: Column) -> Column:
         for name, column in new.items():
-            value = F.when(entry["key"] == name, column.cast("variant")).otherwise(value)
-        return F.struct(entry["key"].alias("key"), value.alias("value"))
+            value = F.when(key == name, column.cast("variant")).otherwise(value)
+        return value
 
     if new:
-        entries = F.transform(entries, replaced)
-    return blank(F.to_json(F.map_from_entries(entries)), drop)
+        entries = F.transform_values(entries, replaced)
+    return blank(F.to_json(entries), drop)
 
 
 def blank(json: Column, fields: Iterable[str]) -> Column:

@@ -98,11 +98,13 @@ def multi_replace(
     if mark is None:
         raise ConfigError("mapping keys use every control character kept for marking")
     keys = longest_first_pattern(mapping)
+    # Where no match can begin, one look at the character says so.
+    first = "".join(_quoted(char) for char in sorted({key[0] for key in mapping}))
     if match == "token":
         keys = rf"(?<![\p{{L}}\p{{N}}_])(?:{keys})(?![\p{{L}}\p{{N}}_])"
     flags = "(?iu)" if preserve_case else ""
     source = text if preserve_case else F.lower(text)
-    marked = F.regexp_replace(source, F.lit(f"{flags}({keys})|{mark}"), F.lit(f"{mark}$1{mark}"))
+    marked = F.regexp_replace(source, F.lit(f"{flags}(?=[{first}{mark}])(?:({keys})|{mark})"), F.lit(f"{mark}$1{mark}"))
 
     def piece(part: Column, position: Column) -> Column:
         key = F.lower(part) if preserve_case else part

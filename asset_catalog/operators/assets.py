@@ -23,33 +23,37 @@ def changed_at(updated_at: Column) -> Column:
     return F.try_to_timestamp(updated_at)
 
 
-def _usable(parsed: Column, kind: Kind) -> Column:
-    return (
-        parsed.isNotNull()
-        & text_field(parsed, "name").isNotNull()
-        & text_field(parsed, kind.key_field).isNotNull()
-    )
-
-
 def read_assets(rows: DataFrame, kind: str | Kind, raw: str = "raw") -> DataFrame:
     """Rows with a readable object, its key fields as columns and the VARIANT ``parsed``.
 
     ``source_key`` tells the asset from all others in requests and responses.
 
     Unreadable rows are left to :func:`quarantine`. Keeping the good ones is done by the
-    generator, so each text is parsed once; a filter would be pushed below and parse again.
+    generator, so each text is parsed once and its key fields are read once; a filter would be
+    pushed below and parse again.
     """
     kind = kind_of(kind)
-    kept = F.filter(F.array(parse_rows(rows, raw)), lambda parsed: _usable(parsed, kind))
-    return rows.withColumn("parsed", F.explode(kept)).select("*", *_fields(kind))
+    found = rows.withColumn("_found", parse_rows(rows, raw))
+    fields = F.struct(
+        F.col("_found").alias("parsed"),
+        text_field(F.col("_found"), kind.key_field).alias("asset_key"),
+        text_field(F.col("_found"), "name").alias("name"),
+    )
+    usable = F.filter(
+        F.array(fields),
+        lambda asset: asset["parsed"].isNotNull() & asset["asset_key"].isNotNull() & asset["name"].isNotNull(),
+    )
+    return found.select(*rows.columns, F.inline(usable)).select("*", *_other_fields(F.col("asset_key"), F.col("name")))
 
 
 def _fields(kind: Kind) -> list[Column]:
+    key, name = text_field(F.col("parsed"), kind.key_field), text_field(F.col("parsed"), "name")
+    return [key.alias("asset_key"), name.alias("name"), *_other_fields(key, name)]
+
+
+def _other_fields(key: Column, name: Column) -> list[Column]:
     parsed = F.col("parsed")
-    key, name = text_field(parsed, kind.key_field), text_field(parsed, "name")
     return [
-        key.alias("asset_key"),
-        name.alias("name"),
         source_key(key, name).alias("source_key"),
         F.try_variant_get(parsed, "$.tags", "array<string>").alias("tags"),
         text_field(parsed, "updated_at").alias("updated_at"),

@@ -78,10 +78,11 @@ def rewrite_queries(spark, sf_dir):
 
 def rewrite_objects(spark, sf_dir):
     """Fields of the JSON after the text was put back: values and types are kept."""
-    names = ["query", "id", "tags", "schedule", "description", "runtime", "api_key", "visualizations"]
+    names = ["query", "id", "tags", "schedule", "description", "runtime", "api_key"]
+    schema = ", ".join(f"`{name}` string" for name in names) + ", visualizations array<struct<id string>>"
     rows = rewrite_object(_rewritten(spark, sf_dir))
-    fields = rows.select("asset_key", text_fields(F.col("object"), *names).alias("f")).select("asset_key", "f.*")
-    first = F.get_json_object("visualizations", "$[0].id").alias("first_chart")
+    fields = rows.select("asset_key", F.from_json("object", schema).alias("f")).select("asset_key", "f.*")
+    first = F.get("visualizations", F.lit(0))["id"].alias("first_chart")
     return fields.select("*", first).withColumn("runtime", F.col("runtime").cast("double")).drop("visualizations")
 
 
