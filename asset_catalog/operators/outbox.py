@@ -7,17 +7,20 @@ connection, so a task that runs twice cannot create anything twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asset_catalog.functions.json_fields import SECRET_FIELDS, blank_column
 from asset_catalog.operators.payloads import (
-    dashboard_payload,
-    query_payload,
-    visualization_payload,
-    widget_payload,
+    body_text,
+    dashboard_fields,
+    query_fields,
+    visualization_fields,
+    widget_fields,
 )
 from asset_catalog.operators.relate import attach_parent_id, remap_visualization_ids, succeeded
 from asset_catalog.schemas import (
@@ -31,16 +34,21 @@ from asset_catalog.schemas import (
     STEP_WIDGET,
 )
 from asset_catalog.sources.landed import read_json_lines
+from asset_catalog.sources.scratch import written_once
 
 
-def _requests(rows: DataFrame, step: int, path: str, body: Column, source_key: Column) -> DataFrame:
-    return rows.select(
+def _requests(
+    rows: DataFrame, step: int, path: str, fields: Column, source_key: Column, keep: Sequence[str] = ()
+) -> DataFrame:
+    requests = rows.select(
         F.lit(step).alias("step"),
         F.lit("POST").alias("method"),
         F.lit(path).alias("path"),
-        body.alias("body"),
+        body_text(fields).alias("body"),
         source_key.alias("source_key"),
+        *keep,
     )
+    return blank_column(requests, "body", SECRET_FIELDS)
 
 
 def child_key() -> Column:
@@ -48,21 +56,25 @@ def child_key() -> Column:
     return F.concat_ws("#", F.col("parent_key"), F.col("pos").cast("string"))
 
 
-def query_requests(queries: DataFrame, data_source_id: Column, marker: str) -> DataFrame:
-    body = query_payload(F.col("parsed"), data_source_id, marker)
-    return _requests(queries, STEP_QUERY, "queries", body, F.col("source_key"))
+def query_requests(
+    queries: DataFrame, data_source_id: Column, marker: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Requests for queries, with the columns of the queries to keep beside them."""
+    fields = query_fields(F.col("parsed"), data_source_id, marker)
+    return _requests(queries, STEP_QUERY, "queries", fields, F.col("source_key"), keep)
 
 
 def visualization_requests(charts: DataFrame, query_responses: DataFrame) -> DataFrame:
     """Requests for the charts of queries that were created."""
     ready = attach_parent_id(charts.where("visualization IS NOT NULL"), query_responses)
-    body = visualization_payload(F.col("visualization"), F.col("parent_id"))
-    return _requests(ready, STEP_VISUALIZATION, "visualizations", body, child_key())
+    fields = visualization_fields(F.col("visualization"), F.col("parent_id"))
+    return _requests(ready, STEP_VISUALIZATION, "visualizations", fields, child_key())
 
 
-def dashboard_requests(dashboards: DataFrame, marker: str) -> DataFrame:
-    body = dashboard_payload(F.col("parsed"), marker)
-    return _requests(dashboards, STEP_DASHBOARD, "dashboards", body, F.col("source_key"))
+def dashboard_requests(dashboards: DataFrame, marker: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Requests for dashboards, with the columns of the dashboards to keep beside them."""
+    fields = dashboard_fields(F.col("parsed"), marker)
+    return _requests(dashboards, STEP_DASHBOARD, "dashboards", fields, F.col("source_key"), keep)
 
 
 def widget_requests(
@@ -72,8 +84,23 @@ def widget_requests(
     present = widgets.where("widget IS NOT NULL")
     ready = remap_visualization_ids(present, id_map)
     ready = attach_parent_id(ready, dashboard_responses)
-    body = widget_payload(F.col("widget"), F.col("parent_id"), F.col("new_viz_id"))
-    return _requests(ready, STEP_WIDGET, "widgets", body, child_key())
+    fields = widget_fields(F.col("widget"), F.col("parent_id"), F.col("new_viz_id"))
+    return _requests(ready, STEP_WIDGET, "widgets", fields, child_key())
+
+
+def requests_and_children(
+    requests: DataFrame, children: Callable[[DataFrame], DataFrame], name: str
+) -> tuple[DataFrame, DataFrame]:
+    """The requests for assets and the rows of ``children`` of these assets, which are read, parsed
+    and written to the shared folder once.
+
+    ``requests`` keep ``parsed``, and ``children`` gives each asset a row at least, as
+    :func:`explode_visualizations` and :func:`explode_widgets` do. The body goes with the first of them.
+    """
+    own = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    rows = written_once(children(requests).withColumn("body", F.when(own, F.col("body"))), name)
+    sent = rows.where(own).withColumnRenamed("parent_key", "source_key")
+    return sent.select(OUTBOX.names), rows.drop("step", "method", "path", "body")
 
 
 def build_outbox(*requests: DataFrame) -> DataFrame:

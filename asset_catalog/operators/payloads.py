@@ -17,9 +17,14 @@ from asset_catalog.functions.json_fields import (
 _WITH_NULLS = {"ignoreNullFields": "false"}
 
 
-def _body(*fields: Column) -> Column:
-    """The body without secrets, which an export's options and embedded objects may hold."""
-    return blank(F.to_json(F.struct(*fields), _WITH_NULLS), SECRET_FIELDS)
+def body_text(fields: Column) -> Column:
+    """The body of these fields, with the secrets that an export's options and embedded objects may hold."""
+    return F.to_json(fields, _WITH_NULLS)
+
+
+def _body(fields: Column) -> Column:
+    """The body without secrets."""
+    return blank(body_text(fields), SECRET_FIELDS)
 
 
 def _marked_tags(tags: Column, marker: str) -> Column:
@@ -27,9 +32,8 @@ def _marked_tags(tags: Column, marker: str) -> Column:
     return F.concat(F.array(F.lit(marker)), F.coalesce(tags, none))
 
 
-def query_payload(parsed: Column, data_source_id: Column, marker: str) -> Column:
-    """Body that creates a query on the target data source, with the marker among its tags."""
-    return _body(
+def query_fields(parsed: Column, data_source_id: Column, marker: str) -> Column:
+    return F.struct(
         data_source_id.cast("string").alias("data_source_id"),
         text_field(parsed, "query").alias("query"),
         text_field(parsed, "name").alias("name"),
@@ -41,9 +45,13 @@ def query_payload(parsed: Column, data_source_id: Column, marker: str) -> Column
     )
 
 
-def visualization_payload(chart: Column, query_id: Column) -> Column:
-    """Body that creates a chart of an already created query."""
-    return _body(
+def query_payload(parsed: Column, data_source_id: Column, marker: str) -> Column:
+    """Body that creates a query on the target data source, with the marker among its tags."""
+    return _body(query_fields(parsed, data_source_id, marker))
+
+
+def visualization_fields(chart: Column, query_id: Column) -> Column:
+    return F.struct(
         text_field(chart, "name").alias("name"),
         text_field(chart, "type").alias("type"),
         text_field(chart, "description").alias("description"),
@@ -52,10 +60,14 @@ def visualization_payload(chart: Column, query_id: Column) -> Column:
     )
 
 
-def dashboard_payload(parsed: Column, marker: str) -> Column:
-    """Body that creates a dashboard."""
+def visualization_payload(chart: Column, query_id: Column) -> Column:
+    """Body that creates a chart of an already created query."""
+    return _body(visualization_fields(chart, query_id))
+
+
+def dashboard_fields(parsed: Column, marker: str) -> Column:
     no_widgets = F.parse_json(F.lit("[]"))
-    return _body(
+    return F.struct(
         text_field(parsed, "name").alias("name"),
         member(parsed, "layout").alias("layout"),
         member(parsed, "dashboard_filters_enabled").alias("dashboard_filters_enabled"),
@@ -66,15 +78,24 @@ def dashboard_payload(parsed: Column, marker: str) -> Column:
     )
 
 
-def widget_payload(widget: Column, dashboard_id: Column, visualization_id: Column) -> Column:
-    """Body that puts a widget on an already created dashboard.
+def dashboard_payload(parsed: Column, marker: str) -> Column:
+    """Body that creates a dashboard."""
+    return _body(dashboard_fields(parsed, marker))
 
-    Text and width are the widget's own; a widget without chart has a null chart id.
-    """
-    return _body(
+
+def widget_fields(widget: Column, dashboard_id: Column, visualization_id: Column) -> Column:
+    return F.struct(
         dashboard_id.alias("dashboard_id"),
         visualization_id.alias("visualization_id"),
         text_field(widget, "text").alias("text"),
         or_default(member(widget, "options"), F.lit("")).alias("options"),
         or_default(member(widget, "width"), F.lit(1)).alias("width"),
     )
+
+
+def widget_payload(widget: Column, dashboard_id: Column, visualization_id: Column) -> Column:
+    """Body that puts a widget on an already created dashboard.
+
+    Text and width are the widget's own; a widget without chart has a null chart id.
+    """
+    return _body(widget_fields(widget, dashboard_id, visualization_id))

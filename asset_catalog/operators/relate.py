@@ -93,7 +93,7 @@ def build_id_map(charts: DataFrame, responses: DataFrame) -> DataFrame:
     an old id that was sent twice maps to the answer that landed last, and without landing times
     to the last in that order.
     """
-    sent = charts.select("source_key", "old_viz_id", "parent_key", "pos").distinct()
+    sent = charts.select("source_key", "old_viz_id", "parent_key", "pos")
     landed = ["landed_at"] if "landed_at" in responses.columns else []
     good = responses.where(succeeded(F.col("status")))
     answered = good.groupBy("source_key").agg(

@@ -73,18 +73,23 @@ def payload_widget(spark, sf_dir):
 
 def outbox_create(spark, sf_dir):
     """All four steps, each with the answers to the step before."""
-    queries, dashboards = _queries(spark, sf_dir), _dashboards(spark, sf_dir)
-    charts = written_once(relate.explode_visualizations(queries), "charts")
-    widgets = written_once(relate.explode_widgets(dashboards), "widgets")
+    queries, charts = outbox.requests_and_children(
+        outbox.query_requests(_queries(spark, sf_dir), F.lit("ds1"), MARKER, keep=["parsed"]),
+        relate.explode_visualizations,
+        "charts",
+    )
+    dashboards, widgets = outbox.requests_and_children(
+        outbox.dashboard_requests(_dashboards(spark, sf_dir), MARKER, keep=["parsed"]), relate.explode_widgets, "widgets"
+    )
     sent = charts.where("visualization IS NOT NULL").withColumn("source_key", outbox.child_key())
     id_map = relate.build_id_map(
         sent.select("source_key", "old_viz_id", "parent_key", "pos"),
         derived.chart_responses(spark, sf_dir),
     )
     requests = outbox.build_outbox(
-        outbox.query_requests(queries, F.lit("ds1"), MARKER),
+        queries,
         outbox.visualization_requests(charts, derived.query_responses(spark, sf_dir)),
-        outbox.dashboard_requests(dashboards, MARKER),
+        dashboards,
         outbox.widget_requests(widgets, derived.dashboard_responses(spark, sf_dir), id_map),
     )
     return _body_fields(requests, "name", "query_id", "dashboard_id", "visualization_id")
