@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asset_catalog.llm.common import checkpointed, sampled, stored
+from asset_catalog.llm.common import Rounds, sampled, stored
 from asset_catalog.llm.embed_dedup import usable
 
 #: Neighbours that a node keeps, and reverse ones that join them.
 KEPT, REVERSE = 24, 16
-#: A node that is offered partners at so many of the meetings worked on at once gets the best of them only.
-MANY = 16
+#: Rows of groups that are worked on at once; a node that is at so many of their meetings gets the best of its offers only.
+MET, MANY = 20_000, 16
 #: Partners that a node takes from one meeting: as many as it could keep.
 TAKEN = KEPT
 #: Nodes of a first cell, and how often nodes are dealt into cells.
@@ -153,80 +153,113 @@ def _merged(candidates: DataFrame, old: DataFrame, kept: int) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            others, lengths = _lists(batch.column(3))
-            scores, fresh = _lists(batch.column(4))[0], _lists(batch.column(5))[0]
-            owner = np.repeat(np.arange(batch.num_rows), lengths)
-            rows = _best(owner, others, scores, fresh, kept)
-            lengths = np.bincount(owner[rows], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _listed(others[rows], lengths), _listed(scores[rows], lengths), _listed(fresh[rows], lengths)], names=names)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                others, lengths = _lists(part.column(3))
+                scores, fresh = _lists(part.column(4))[0], _lists(part.column(5))[0]
+                owner = np.repeat(np.arange(part.num_rows), lengths)
+                rows = _best(owner, others, scores, fresh, kept)
+                lengths = np.bincount(owner[rows], minlength=part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], _listed(others[rows], lengths), _listed(scores[rows], lengths), _listed(fresh[rows], lengths)], names=names)
 
     names = ["node", "code", "scale", "others", "scores", "fresh"]
     return grouped.mapInArrow(merge, "node long, code binary, scale float, others array<long>, scores array<float>, fresh array<boolean>")
 
 
-def _members(state: DataFrame, reverse: int) -> DataFrame:
-    """(place, member, fresh): who meets at each node: its neighbours, and up to `reverse` that have it as one."""
+def _links(state: DataFrame, reverse: int) -> tuple[DataFrame, DataFrame]:
+    """(place, member, fresh) of each node's neighbours, and of up to `reverse` nodes that have it as one."""
     edges = state.select("node", F.explode(F.arrays_zip("others", "fresh")).alias("edge")).select("node", "edge.others", "edge.fresh")
     luck = F.row_number().over(Window.partitionBy("others").orderBy(F.xxhash64("node", "others"), "node"))
     forward = edges.select(F.col("node").alias("place"), F.col("others").alias("member"), "fresh")
     backward = edges.withColumn("rank", luck).where(F.col("rank") <= reverse)
-    return forward.unionByName(backward.select(F.col("others").alias("place"), F.col("node").alias("member"), "fresh"))
+    return forward, backward.select(F.col("others").alias("place"), F.col("node").alias("member"), "fresh")
+
+
+def _members(state: DataFrame, reverse: int) -> DataFrame:
+    """(place, member, fresh): who meets at each node: its neighbours, and up to `reverse` that have it as one."""
+    forward, backward = _links(state, reverse)
+    return forward.unionByName(backward)
+
+
+def _meetings(state: DataFrame, reverse: int) -> DataFrame:
+    """_members of the places that a newcomer is at: no pair is compared at the others."""
+    backward = _links(state, reverse)[1].groupBy("place").agg(F.collect_list(F.struct("member", "fresh")).alias("back"))
+    own = F.transform(F.arrays_zip("others", "fresh"), lambda e: F.struct(e["others"].alias("member"), e["fresh"].alias("fresh")))
+    places = state.select(F.col("node").alias("place"), own.alias("own")).join(backward, "place", "left")
+    met = places.select("place", F.concat("own", F.coalesce("back", F.array().cast("array<struct<member:bigint,fresh:boolean>>"))).alias("members"))
+    met = met.where(F.exists("members", lambda m: m["fresh"]))
+    return met.select("place", F.explode("members").alias("met")).select("place", "met.member", "met.fresh")
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """Sizes and rows of some groups at once, about MET rows. Rows come in order of their group, the first column; a batch may end
+    inside of one."""
+    held, count = [], 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held.append(batch)
+            count += batch.num_rows
+        if not count or (batch is not None and count < MET):
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        groups = rows.column(0).to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+        end = count if batch is None else int(starts[-1])
+        if end:
+            yield np.diff(np.append(starts[starts < end], end)), rows.slice(0, end)
+        held = rows.slice(end).to_batches()
+        count -= end
 
 
 def descend(state: DataFrame, kept: int, reverse: int, taken: int) -> DataFrame:
     """One round: (node, others, scores), partners that nodes found where they met."""
     last = F.when(F.size("scores") < kept, F.lit(float("-inf"))).otherwise(F.array_min("scores")).cast("float")
     known = state.select(F.col("node").alias("member"), "code", "scale", last.alias("last"))
-    met = _members(state, reverse).join(known, "member")
-    meetings = met.groupBy("place").agg(F.collect_list(F.struct("member", "fresh", "code", "scale", "last")).alias("members"))
+    met = _meetings(state, reverse).join(known, "member").select("place", "member", "fresh", "code", "scale", "last")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            often = []
-            for at in range(0, batch.num_rows, 512):
-                part = batch.column(0).slice(at, 512)
-                sizes = np.diff(part.offsets.to_numpy())
-                members = part.flatten()
-                ids, fresh, last = (members.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 4))
-                vectors = _decoded(members.field(2), members.field(3))
-                widest = int(sizes.max(initial=0))
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                column = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                block = np.zeros((len(sizes), widest, vectors.shape[1]), np.float32)
-                block[row, column] = vectors
-                near = np.matmul(block, block.transpose(0, 2, 1))[row, column]  # [member, column]
-                there = np.full((len(sizes), widest), -1, np.int64)
-                there[row, column] = ids
-                news = np.zeros((len(sizes), widest), bool)
-                news[row, column] = fresh
-                allowed = (there[row] >= 0) & (there[row] != ids[:, None]) & (fresh.astype(bool)[:, None] | news[row])
-                near[~allowed | (near <= last[:, None])] = -np.inf
-                most = min(taken, widest)
-                some = np.argpartition(-near, most - 1, axis=1)[:, :most]
-                scores = np.take_along_axis(near, some, axis=1)
-                good = scores > -np.inf
+        # What is offered to those who are at many meetings at once: the best of a whole task.
+        often = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+        for sizes, rows in _whole(batches):
+            ids, fresh, last = (rows.column(k).to_numpy() for k in ("member", "fresh", "last"))
+            vectors = _decoded(rows.column("code"), rows.column("scale"))
+            widest = int(sizes.max(initial=0))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            column = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            block = np.zeros((len(sizes), widest, vectors.shape[1]), np.float32)
+            block[row, column] = vectors
+            near = np.matmul(block, block.transpose(0, 2, 1))[row, column]  # [member, column]
+            there = np.full((len(sizes), widest), -1, np.int64)
+            there[row, column] = ids
+            news = np.zeros((len(sizes), widest), bool)
+            news[row, column] = fresh
+            allowed = (there[row] >= 0) & (there[row] != ids[:, None]) & (fresh.astype(bool)[:, None] | news[row])
+            near[~allowed | (near <= last[:, None])] = -np.inf
+            most = min(taken, widest)
+            some = np.argpartition(-near, most - 1, axis=1)[:, :most]
+            scores = np.take_along_axis(near, some, axis=1)
+            good = scores > -np.inf
+            lengths = good.sum(axis=1)
+            _, same, times = np.unique(ids, return_inverse=True, return_counts=True)
+            many = times[same] >= MANY
+            if many.any():
+                there_of = np.take_along_axis(there[row], some, axis=1)
+                hubs = good & many[:, None]
+                more = np.repeat(ids, hubs.sum(axis=1)), there_of[hubs], scores[hubs]
+                often = _cut(*map(np.concatenate, zip(often, more, strict=True)), kept)
+                good &= ~many[:, None]
                 lengths = good.sum(axis=1)
-                _, same, times = np.unique(ids, return_inverse=True, return_counts=True)
-                many = times[same] >= MANY
-                if many.any():
-                    there_of = np.take_along_axis(there[row], some, axis=1)
-                    hubs = good & many[:, None]
-                    often.append(_cut(np.repeat(ids, hubs.sum(axis=1)), there_of[hubs], scores[hubs], kept))
-                    good &= ~many[:, None]
-                    lengths = good.sum(axis=1)
-                keep = lengths > 0
-                yield offers(ids[keep], np.take_along_axis(there[row], some, axis=1)[good], scores[good], lengths[keep])
-            if often:
-                owner, others, scores = _cut(*map(np.concatenate, zip(*often, strict=True)), kept)
-                each, lengths = np.unique(owner, return_counts=True)
-                yield offers(each, others, scores, lengths)
+            keep = lengths > 0
+            yield offers(ids[keep], np.take_along_axis(there[row], some, axis=1)[good], scores[good], lengths[keep])
+        if len(often[0]):
+            owner, others, scores = often
+            each, lengths = np.unique(owner, return_counts=True)
+            yield offers(each, others, scores, lengths)
 
     def offers(ids: np.ndarray, others: np.ndarray, scores: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(ids), _listed(others, lengths), _listed(scores, lengths)], names=["node", "others", "scores"])
 
-    return meetings.select("members").mapInArrow(compare, "node long, others array<long>, scores array<float>")
+    return met.repartition("place").sortWithinPartitions("place").mapInArrow(compare, "node long, others array<long>, scores array<float>")
 
 
 def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = REVERSE, taken: int = TAKEN, cell_rows: int = CELL_ROWS, deals: int = DEALS, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
@@ -238,12 +271,13 @@ def grow_graph(nodes: DataFrame, width: int, kept: int = KEPT, reverse: int = RE
     for more in dealt[1:]:
         candidates = candidates.unionByName(more)
     alone = nodes.select("*", F.array().cast("array<long>").alias("others"), F.array().cast("array<float>").alias("scores"))
-    state = checkpointed(_merged(candidates, alone, kept))
+    states = Rounds(nodes.sparkSession, "ann-graph")
+    state = states.put(_merged(candidates, alone, kept))
     for done in itertools.count():
         if done == rounds:
             warnings.warn(f"the graph had not settled after {rounds} rounds", stacklevel=2)
             break
-        state = checkpointed(_merged(descend(state, kept, reverse, taken), state, kept))
+        state = states.put(_merged(descend(state, kept, reverse, taken), state, kept))
         new, all_of_them = state.agg(F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("others"))).first()
         if not all_of_them or new < settled * all_of_them:
             break
@@ -254,22 +288,27 @@ def adjacency(state: DataFrame, reverse: int = REVERSE) -> DataFrame:
     """(node, ids, codes, scales): each node's neighbours and some reverse ones, their codes in one value."""
     links = _members(state, reverse).select(F.col("place").alias("node"), "member").distinct()
     coded = links.join(state.select(F.col("node").alias("member"), "code", "scale"), "member")
-    return checkpointed(packed(coded.groupBy("node").agg(F.collect_list(F.struct("member", "code", "scale")).alias("near"))))
+    return Rounds(state.sparkSession, "ann-adjacency").put(_packed(coded))
 
 
 def packed(graph: DataFrame) -> DataFrame:
     """(node, ids, codes, scales) of (node, near): what a search moves once for each query that comes by."""
+    return _packed(graph.select("node", F.explode("near").alias("near")).select("node", "near.member", "near.code", "near.scale"))
+
+
+def _packed(coded: DataFrame) -> DataFrame:
+    """packed of (node, member, code, scale)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends = batch.column(1).offsets.to_numpy()
-            near = batch.column(1).flatten()
-            codes = near.field(1).to_pylist()
-            joined = [b"".join(codes[a:b]) for a, b in itertools.pairwise(ends - ends[0])]
-            lengths = np.diff(ends)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _listed(near.field(0).to_numpy(), lengths), pa.array(joined, pa.binary()), _listed(near.field(2).to_numpy(), lengths)], names=["node", "ids", "codes", "scales"])
+        for sizes, rows in _whole(batches):
+            ends = np.cumsum(sizes)
+            codes = rows.column("code").to_pylist()
+            joined = [b"".join(codes[a:b]) for a, b in itertools.pairwise([0, *ends])]
+            nodes = rows.column("node").to_numpy()[ends - 1]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), _listed(rows.column("member").to_numpy(), sizes), pa.array(joined, pa.binary()), _listed(rows.column("scale").to_numpy(), sizes)], names=["node", "ids", "codes", "scales"])
 
-    return graph.mapInArrow(pack, "node long, ids array<long>, codes binary, scales array<float>")
+    rows = coded.select("node", "member", "code", "scale").repartition("node").sortWithinPartitions("node")
+    return rows.mapInArrow(pack, "node long, ids array<long>, codes binary, scales array<float>")
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, entered: int = ENTERED, steps: int | None = None, entries: int = ENTRIES) -> DataFrame:
@@ -326,7 +365,9 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
                 lengths = np.bincount(owner[rows], minlength=count)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _listed(ids[rows], lengths), _listed(scores[rows], lengths), _listed(done[rows], lengths)], names=names)
 
-    beams = checkpointed(queries.select("query", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(enter, schema))
+    # Queries that have ended are read from their round's beams.
+    rounds = Rounds(queries.sparkSession, "ann-beams", kept=None)
+    beams = rounds.put(queries.select("query", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(enter, schema))
     ended = []
     for step in itertools.count():
         is_open = F.exists("done", lambda d: ~d)
@@ -345,7 +386,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
         per_query = found.groupBy("query").agg(F.flatten(F.collect_list("ids")).alias("found"), F.flatten(F.collect_list("scores")).alias("found_scores"))
         nothing = F.array().cast("array<long>"), F.array().cast("array<float>")
         joined = beams.join(per_query, "query", "left").select(*names, F.coalesce("found", nothing[0]).alias("found"), F.coalesce("found_scores", nothing[1]).alias("found_scores"))
-        beams = checkpointed(joined.mapInArrow(merge, schema))
+        beams = rounds.put(joined.mapInArrow(merge, schema))
     return functools.reduce(DataFrame.unionByName, ended).select("query", "ids", "scores")
 
 

@@ -80,6 +80,26 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint(eager=True)
 
 
+class Rounds:
+    """Results of rounds that each build on the one before, written to the shared folder as Parquet and read back.
+
+    Only the last `kept` results stay (None: all), and of what went through the shuffles nothing: Spark removes those
+    files when the driver collects what refers to them, which a driver with free memory does long after the disks are full."""
+
+    def __init__(self, spark: SparkSession, name: str, kept: int | None = 1):
+        self.spark, self.path, self.kept, self.done = spark, shared_path(spark, name), kept, 0
+
+    def put(self, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(path := f"{self.path}/{self.done}")
+        self.done += 1
+        jvm = self.spark.sparkContext._jvm
+        if self.kept is not None and self.done > self.kept:
+            gone = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.done - 1 - self.kept}")
+            gone.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+        jvm.System.gc()
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+
 def sampled(rows: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
     """About `most` of the rows, chosen by a hash of their key, all if there are fewer.
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asset_catalog.llm import ann
+from asset_catalog.llm.common import Rounds
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string"
 
@@ -134,3 +135,41 @@ def test_descent_goes_on_until_lists_settle(spark):
     assert new < 0.001 * total
     with pytest.warns(UserWarning, match="not settled after 1 rounds"):
         ann.grow_graph(nodes, 16, cell_rows=100, rounds=1)
+
+
+def test_only_places_with_a_newcomer_meet(spark):
+    """What descent moves shrinks with what is new; the places that meet have all their members."""
+    state = ann.grow_graph(coded(spark, np.random.default_rng(8).normal(size=(600, 16))), 16, cell_rows=100)
+    rows = lambda frame: sorted((r.place, r.member, r.fresh) for r in frame.collect())
+    one = state.withColumn("fresh", F.transform("others", lambda _, i: (F.col("node") == 5) & (i == 0)))
+    members = rows(ann._members(one, 16))
+    places = {place for place, _, fresh in members if fresh}
+    assert 1 <= len(places) <= 2 and rows(ann._meetings(one, 16)) == [m for m in members if m[0] in places]
+    assert ann._meetings(state.withColumn("fresh", F.transform("fresh", lambda _: F.lit(False))), 16).isEmpty()
+
+
+def test_groups_are_whole_where_batches_end_inside_of_them(spark):
+    nodes = coded(spark, np.random.default_rng(9).normal(size=(400, 8)))
+    state = ann.grow_graph(nodes, 8, cell_rows=50, rounds=0)
+
+    def both():
+        offers = ann.descend(state, ann.KEPT, 16, ann.TAKEN).select("node", F.explode(F.arrays_zip("others", "scores")).alias("o")).distinct()
+        graph = ann.adjacency(state).select("node", F.array_sort("ids").alias("ids"), F.length("codes").alias("bytes"))
+        return sorted((r.node, r.o.others, round(r.o.scores, 4)) for r in offers.collect()), sorted((r.node, *r.ids, r.bytes) for r in graph.collect())
+
+    expected = both()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert both() == expected and len(expected[1]) == 400
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rounds_leave_the_last_result_only(spark):
+    rounds = Rounds(spark, "test-rounds")
+    rows = spark.range(10)
+    for _ in range(3):
+        rows = rounds.put(rows.withColumn("id", F.col("id") + 1))
+    assert [r.id for r in rows.orderBy("id").collect()] == list(range(3, 13))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(rounds.path)
+    assert [f.getPath().getName() for f in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)] == ["2"]
